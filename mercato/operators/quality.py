@@ -125,10 +125,16 @@ def search_check_counts(events: DataFrame) -> DataFrame:
 
 
 # -- domains ------------------------------------------------------------------
+def _fixed_rows(df: DataFrame, columns: list[str], rows: list[tuple]) -> DataFrame:
+    """A fixed list as a table of known, small size."""
+    listed = F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in rows])
+    return df.sparkSession.range(1).select(F.inline(listed))
+
+
 def shop_places(df: DataFrame) -> DataFrame:
-    """The shop's fixed (region, city) list as rows, 20 of them."""
+    """The shop's fixed (region, city) list, 20 rows."""
     rows = [(region, city) for region, cities in schemas.CITIES_BY_REGION.items() for city in cities]
-    return df.sparkSession.createDataFrame(rows, "region string, city string")
+    return _fixed_rows(df, ["region", "city"], rows)
 
 
 def unknown_places(orders: DataFrame, places: DataFrame | None = None) -> DataFrame:
@@ -190,10 +196,8 @@ def deduplicate(df: DataFrame, key: str) -> DataFrame:
 
 # -- product catalogue --------------------------------------------------------
 def shop_products(df: DataFrame) -> DataFrame:
-    """The shop's fixed product list as rows, 15 of them."""
-    return df.sparkSession.createDataFrame(
-        schemas.PRODUCTS, "product_id string, product_name string, category string, unit_price double"
-    )
+    """The shop's fixed product list, 15 rows."""
+    return _fixed_rows(df, ["product_id", "product_name", "category", "unit_price"], schemas.PRODUCTS)
 
 
 def catalogue_check_counts(lines: DataFrame, products: DataFrame | None = None) -> DataFrame:

@@ -18,35 +18,43 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.session import stage
+from mercato.session import staged
 
 _PARTITION_SHIFT = 33  # monotonically_increasing_id: partition number above, row number below
 
 
 def tile_starts(df: DataFrame, value: Column, tie: str, k: int) -> list[tuple]:
     """(value, tie) of the first row of tiles 2..k; fewer when there are fewer rows."""
-    placed = stage(
+    ordered = (
         df.select(value.alias("value"), F.col(tie).alias("tie"))
         .repartitionByRange("value", "tie")
         .sortWithinPartitions("value", "tie")
-        .withColumn("place", F.monotonically_increasing_id()),
-        "tiles",
+        .withColumn("place", F.monotonically_increasing_id())
     )
-    sizes = sorted(
-        placed.groupBy(F.shiftright("place", _PARTITION_SHIFT).alias("part")).count().collect()
-    )  # one row per shuffle partition
-    total = sum(r["count"] for r in sizes)
-    ends = list(accumulate(r["count"] for r in sizes))
-    small, larger = divmod(total, k)
+    # Range bounds are sampled anew in every run, so the numbering is stored once.
+    with staged(ordered, "tiles") as placed:
+        part = F.shiftright("place", _PARTITION_SHIFT).alias("part")
+        sizes = sorted(placed.groupBy(part).count().collect())  # one row per shuffle partition
+        places = _boundary_places([(r["part"], r["count"]) for r in sizes], k)
+        if not places:
+            return []
+        starts = placed.filter(F.col("place").isin(places)).orderBy("place").collect()
+        return [(r["value"], r["tie"]) for r in starts]
+
+
+def _boundary_places(sizes: list[tuple[int, int]], k: int) -> list[int]:
+    """Row numbers where tiles 2..k start, given (partition, rows) in order."""
+    ends = list(accumulate(rows for _, rows in sizes))
+    total = ends[-1] if ends else 0
+    small, larger = divmod(total, k)  # the first ``larger`` tiles hold one row more
     places = []
     for tile in range(1, k):
         rank = tile * small + min(tile, larger)
         if rank < total:
             i = next(i for i, end in enumerate(ends) if rank < end)
-            offset = rank - (ends[i] - sizes[i]["count"])
-            places.append((sizes[i]["part"] << _PARTITION_SHIFT) + offset)
-    starts = placed.filter(F.col("place").isin(places)).orderBy("place").collect() if places else []
-    return [(r["value"], r["tie"]) for r in starts]
+            part, rows = sizes[i]
+            places.append((part << _PARTITION_SHIFT) + rank - (ends[i] - rows))
+    return places
 
 
 def tile_of(value: Column, tie: str, starts: list[tuple]) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mercato import schemas
 from mercato.sources.snapshots import snapshot_exists, snapshot_folder
@@ -45,7 +46,7 @@ def create_topic_table(spark: SparkSession, database: str, topic: str, layer: st
     table, view = f"{database}.{topic}_files", f"{database}.{topic}"
     spark.sql(f"DROP VIEW IF EXISTS {view}")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    fields = spark.createDataFrame([], TOPICS[topic].curated).schema.fields
+    fields = StructType.fromDDL(TOPICS[topic].curated).fields
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name != "date")
     spark.sql(
         f"CREATE TABLE {table} ({columns}, dt STRING, generation BIGINT) USING parquet "

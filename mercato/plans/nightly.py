@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import ExitStack
+from functools import cache
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mercato.operators.customers import customer_metrics
 from mercato.plans import summaries
 from mercato.plans.tables import Tables
-from mercato.session import stage
+from mercato.session import staged
 from mercato.sources.snapshots import refresh_snapshot, write_snapshot
 from mercato.sources.tables import has_rows
 from mercato.streaming.layers import Store
@@ -32,38 +34,32 @@ def run_nightly(
     other. A missing or empty input skips a summary. ``dates`` recomputes only those days
     of the two per-day summaries. Customer metrics feed two summaries and are stored once.
     """
-    metrics: list[DataFrame] = []
+    with ExitStack() as open_tables:
 
-    def shared_metrics() -> DataFrame:
-        if not metrics:
-            metrics.append(
-                stage(customer_metrics(tables.orders, as_of, by_identity=compat), "customer-metrics")
-            )
-        return metrics[0]
+        @cache
+        def metrics() -> DataFrame:
+            totals = customer_metrics(tables.orders, as_of, by_identity=compat)
+            return open_tables.enter_context(staged(totals, "customer-metrics"))
 
-    per_day = lambda build, source: lambda: build(source(), as_of, dates=dates)
-    steps: list[tuple[str, str, Callable[[], DataFrame], bool]] = [
-        (
-            "daily_sales", "orders",
-            lambda: summaries.daily_sales(tables.orders, as_of, compat=compat, dates=dates), True,
-        ),
-        (
-            "customer_rfm", "orders",
-            lambda: summaries.score_customers(shared_metrics(), as_of, compat), False,
-        ),
-        (
-            "churn_candidates", "orders",
-            lambda: summaries.churn_from_metrics(shared_metrics(), as_of), False,
-        ),
-        ("payment_analysis", "payments", per_day(summaries.payment_analysis, lambda: tables.payments), True),
-    ]
-    manifest: list[tuple[str, str, int, str]] = []
-    for name, source, build, daily in steps:
-        status, rows = "blocked", 0
-        first_ok = not manifest or manifest[0][1] in ("written", "skipped")
-        if first_ok:
-            status, rows = _run_step(tables, source, build, store.summary(name), dates if daily else None)
-        manifest.append((name, status, rows, as_of))
+        # name, input, how to build it, whether it is kept per day
+        steps: list[tuple[str, str, Callable[[], DataFrame], bool]] = [
+            ("daily_sales", "orders",
+             lambda: summaries.daily_sales(tables.orders, as_of, compat, dates), True),
+            ("customer_rfm", "orders",
+             lambda: summaries.score_customers(metrics(), as_of, compat), False),
+            ("churn_candidates", "orders",
+             lambda: summaries.churn_from_metrics(metrics(), as_of), False),
+            ("payment_analysis", "payments",
+             lambda: summaries.payment_analysis(tables.payments, as_of, dates), True),
+        ]
+        manifest: list[tuple[str, str, int, str]] = []
+        for name, source, build, daily in steps:
+            status, rows = "blocked", 0
+            if not manifest or not manifest[0][1].startswith("failed"):
+                status, rows = _run_step(
+                    tables, source, build, store.summary(name), dates if daily else None
+                )
+            manifest.append((name, status, rows, as_of))
     return spark.createDataFrame(manifest, MANIFEST)
 
 

@@ -269,26 +269,19 @@ def quality_shop_catalogue(w: Workspace) -> DataFrame:
 
 
 # -- streaming ----------------------------------------------------------------
-def _streamed(topic: str, read: Callable[..., DataFrame], *dropped: str) -> Query:
-    def run(w: Workspace) -> DataFrame:
-        store = w.fresh_store()
-        w.ingest(store, [topic])
-        return read(w.spark, store, topic).drop(*_UNCOMPARED, *dropped)
-
-    return run
-
-
 for _topic, _label in _TOPIC_LABEL.items():
-    QUERIES[f"stream_raw_{_label}"] = _streamed(_topic, layers.read_raw, "json_str")
-    QUERIES[f"stream_curated_{_label}"] = _streamed(_topic, layers.read_curated)
+    QUERIES[f"stream_raw_{_label}"] = lambda w, t=_topic: (
+        layers.read_raw(w.spark, w.ingested(), t).drop("json_str", *_UNCOMPARED)
+    )
+    QUERIES[f"stream_curated_{_label}"] = lambda w, t=_topic: (
+        layers.read_curated(w.spark, w.ingested(), t).drop(*_UNCOMPARED)
+    )
 
 
 @query()
 def stream_all_topics(w: Workspace) -> DataFrame:
-    """Three queries side by side; what each received, kept and dropped."""
-    store = w.fresh_store()
-    w.ingest(store, list(schemas.TOPICS))
-    counts = [layers.batch_counts(w.spark, store, t) for t in schemas.TOPICS]
+    """What the three queries received, kept and dropped."""
+    counts = [layers.batch_counts(w.spark, w.ingested(), t) for t in schemas.TOPICS]
     per_batch = counts[0].unionByName(counts[1]).unionByName(counts[2])
     return per_batch.groupBy("topic").agg(
         F.sum("received").alias("received"), F.sum("clean").alias("clean"), F.sum("dropped").alias("dropped")

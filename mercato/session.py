@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mercato.sources.files import Files
+
 TIME_ZONE = "UTC"
 
 
@@ -61,7 +65,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     It survives the loss of any executor, is read column by column, and is computed
     once however many later steps use it.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
+    return _store(df, fresh_path(df.sparkSession, label))
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A staged table that goes when the block ends."""
+    path = fresh_path(df.sparkSession, label)
+    try:
+        yield _store(df, path)
+    finally:
+        Files(df.sparkSession).delete(path)
+
+
+def _store(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from mercato import schemas
 from mercato.operators.cleaning import CLEAN, is_valid
@@ -84,12 +85,17 @@ def _batch_folder(layer: str, run: str, batch_id: int) -> str:
 
 
 def write_batch(
-    batch: DataFrame, batch_id: int, topic: Topic, store: Store, run: str
+    batch: DataFrame, batch_id: int, topic: Topic, store: Store, run: str, tasks: int | None = None
 ) -> dict[str, int]:
     """Write one batch to both layers; returns received, clean and dropped counts.
 
     The source is read once: the batch is kept for the second write, and the counts are
     observed while the raw layer is written.
+
+    A live batch holds a date or two, and each source partition writes its own file per
+    date without a shuffle. A backfill batch may hold many dates: ``tasks`` then ranges
+    the rows by date and offset over that many tasks, so a date spans as few files as
+    possible and a date with most of the rows is still shared out.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -102,9 +108,11 @@ def write_batch(
             F.count_if(is_valid(topic.name)).alias("clean"),
         )
         counted.write.mode("overwrite").parquet(_batch_folder(store.raw(topic.name), run, batch_id))
+        curated = topic.clean(batch)
+        if tasks is not None:
+            curated = curated.repartitionByRange(tasks, "date", "kafka_partition", "kafka_offset")
         (
-            topic.clean(batch)
-            .write.mode("overwrite")
+            curated.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("date")
             .parquet(_batch_folder(store.curated(topic.name), run, batch_id))
@@ -116,10 +124,14 @@ def write_batch(
 
 
 def make_batch_writer(
-    topic: Topic, store: Store, run: str, report: Callable[[str, int, dict], None] | None = None
+    topic: Topic,
+    store: Store,
+    run: str,
+    report: Callable[[str, int, dict], None] | None = None,
+    tasks: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = write_batch(batch, batch_id, topic, store, run)
+        counts = write_batch(batch, batch_id, topic, store, run, tasks)
         if report is not None:
             report(topic.name, batch_id, counts)
 
@@ -132,11 +144,12 @@ def start_topic(
     store: Store,
     trigger: dict | None = None,
     report: Callable[[str, int, dict], None] | None = None,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """One continuous query: envelope -> raw and curated."""
     spark = envelope.sparkSession
     checkpoint = store.checkpoint(topic.name)
-    writer = make_batch_writer(topic, store, run_id(spark, checkpoint), report)
+    writer = make_batch_writer(topic, store, run_id(spark, checkpoint), report, tasks)
     return (
         parse_envelope(envelope, topic.record)
         .writeStream.foreachBatch(writer)
@@ -153,10 +166,11 @@ def start_all(
     topics: list[str] | None = None,
     trigger: dict | None = None,
     report: Callable[[str, int, dict], None] | None = None,
+    tasks: int | None = None,
 ) -> list[StreamingQuery]:
     """All topics side by side, each with its own checkpoint."""
     names = list(TOPICS) if topics is None else topics
-    return [start_topic(envelope_of(n), TOPICS[n], store, trigger, report) for n in names]
+    return [start_topic(envelope_of(n), TOPICS[n], store, trigger, report, tasks) for n in names]
 
 
 def await_all(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
@@ -213,7 +227,7 @@ def read_layer(spark: SparkSession, layer: str, ddl: str, evolve: bool = False)
     if not parts:
         raise FileNotFoundError(f"nothing written at {layer}")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    declared = spark.createDataFrame([], ddl).columns
+    declared = StructType.fromDDL(ddl).names
     return rows.select(*declared, *[c for c in rows.columns if c not in declared])
 
 

@@ -91,13 +91,23 @@ class Workspace:
     def ingest(self, store: layers.Store, topics: list[str]) -> None:
         """Stream all messages of the topics through to both layers, then stop.
 
-        A micro-batch takes one file per core, so its size follows the cluster.
+        A micro-batch takes one file per core and is written by as many tasks, so both
+        follow the size of the cluster.
         """
-        files = self.spark.sparkContext.defaultParallelism
+        cores = self.spark.sparkContext.defaultParallelism
         queries = layers.start_all(
-            lambda t: read_envelope_files(self.spark, self.envelope_folder(t), files),
+            lambda t: read_envelope_files(self.spark, self.envelope_folder(t), cores),
             store,
             topics,
             {"availableNow": True},
+            tasks=cores,
         )
         layers.await_all(queries)
+
+    def ingested(self) -> layers.Store:
+        """The layers of all three topics, streamed side by side once per application."""
+        store = layers.Store(f"{self.root}/streamed")
+        if store.root not in _written:
+            self.ingest(store, list(schemas.TOPICS))
+            _written[store.root] = T.StructType()
+        return store
