@@ -177,24 +177,24 @@ def export_events(w: Workspace) -> DataFrame:
 @query()
 def export_lines_json(w: Workspace) -> DataFrame:
     """Nested values as JSON text: each line as a one-element items array."""
-    lines = testdata.order_lines(w.spark, w.sf_dir)
+    lines = testdata.order_lines(w.spark, w.sf_dir, named=False)
     nested = lines.select("order_id", F.array(F.struct("product_id", "quantity")).alias("items"))
     return export.export_safe(nested)
 
 
 # -- quality ------------------------------------------------------------------
-def _tidied_orders(w: Workspace) -> DataFrame:
-    return w.raw("orders").withColumn("order_id", F.upper(F.trim("order_id")))
-
-
 @query()
 def quality_line_checks(w: Workspace) -> DataFrame:
-    return quality.line_checks(_tidied_orders(w), testdata.order_lines(w.spark, w.sf_dir))
+    return quality.line_checks(
+        testdata.order_headers(w.spark, w.sf_dir), testdata.order_lines(w.spark, w.sf_dir, named=False)
+    )
 
 
 @query()
 def quality_line_totals(w: Workspace) -> DataFrame:
-    return quality.line_check_counts(_tidied_orders(w), testdata.order_lines(w.spark, w.sf_dir))
+    return quality.line_check_counts(
+        testdata.order_headers(w.spark, w.sf_dir), testdata.order_lines(w.spark, w.sf_dir, named=False)
+    )
 
 
 @query()

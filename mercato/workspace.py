@@ -22,6 +22,7 @@ from mercato.plans.tables import Tables
 from mercato.session import fresh_path, pin_time_zone, shared_folder
 from mercato.sources import testdata
 from mercato.sources.envelope import read_envelope_files
+from mercato.sources.files import Files
 from mercato.sources.tables import TableEntry
 from mercato.streaming import layers
 
@@ -111,3 +112,9 @@ class Workspace:
             self.ingest(store, list(schemas.TOPICS))
             _written[store.root] = T.StructType()
         return store
+
+    def release(self) -> None:
+        """Delete everything stored here; later queries build it anew."""
+        Files(self.spark).delete(self.root)
+        for path in [p for p in _written if p.startswith(self.root)]:
+            del _written[path]
