@@ -9,6 +9,7 @@ from an earlier run.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from mercato.streaming import layers
 AS_OF = "2001-08-02"  # the day after the last order in the test tables
 
 _written: dict[str, T.StructType] = {}
+_writing = threading.RLock()  # callers may run queries side by side
 
 
 class Workspace:
@@ -42,10 +44,11 @@ class Workspace:
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
-        if path not in _written:
-            df = build()
-            df.write.mode("overwrite").parquet(path)
-            _written[path] = df.schema
+        with _writing:
+            if path not in _written:
+                df = build()
+                df.write.mode("overwrite").parquet(path)
+                _written[path] = df.schema
         return self.spark.read.schema(_written[path]).parquet(path)
 
     def _load(self, name: str) -> DataFrame:
@@ -80,10 +83,11 @@ class Workspace:
     def envelope_folder(self, topic: str) -> str:
         """A topic's messages as files in arrival order."""
         folder = f"{self.root}/envelopes/{topic}"
-        if folder not in _written:
-            messages = self.envelope(topic)
-            messages.repartitionByRange("timestamp").write.mode("overwrite").parquet(folder)
-            _written[folder] = messages.schema
+        with _writing:
+            if folder not in _written:
+                messages = self.envelope(topic)
+                messages.repartitionByRange("timestamp").write.mode("overwrite").parquet(folder)
+                _written[folder] = messages.schema
         return folder
 
     def fresh_store(self) -> layers.Store:
@@ -108,9 +112,12 @@ class Workspace:
     def ingested(self) -> layers.Store:
         """The layers of all three topics, streamed side by side once per application."""
         store = layers.Store(f"{self.root}/streamed")
-        if store.root not in _written:
-            self.ingest(store, list(schemas.TOPICS))
-            _written[store.root] = T.StructType()
+        with _writing:
+            if store.root not in _written:
+                for topic in schemas.TOPICS:
+                    self.envelope_folder(topic)
+                self.ingest(store, list(schemas.TOPICS))
+                _written[store.root] = T.StructType()
         return store
 
     def release(self) -> None:
