@@ -29,7 +29,7 @@ HEADLINE = [
     "warehouse_weekend_split", "warehouse_rfm_segments",
     "quality_line_totals", "quality_payment_reconciliation_counts", "quality_catalogue",
     "quality_deduplicated", "export_orders", "report_manifest",
-    "stream_curated_events", "stream_topic_counts",
+    "stream_compacted_events", "stream_topic_counts",
 ]
 
 

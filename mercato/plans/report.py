@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.errors import PySparkException
@@ -14,6 +15,9 @@ from mercato.plans.tables import Tables
 from mercato.sources.tables import TableEntry, try_load
 
 
+CONCURRENT_SHEETS = 4  # sheets are independent jobs; small ones then share the cluster
+
+
 def _folder(out_dir: str, sheet: str) -> str:
     return f"{out_dir}/{sheet.replace(' ', '_')}"
 
@@ -47,10 +51,13 @@ def write_report(
 ) -> DataFrame:
     """Write every sheet; returns (sheet, rows, status)."""
     limits = limits or {}
-    manifest = [
-        write_sheet(lambda b=build: b(tables), sheet, out_dir, limits.get(sheet))
-        for sheet, build in sheets.items()
-    ]
+    with ThreadPoolExecutor(CONCURRENT_SHEETS) as pool:
+        manifest = list(
+            pool.map(
+                lambda item: write_sheet(lambda: item[1](tables), item[0], out_dir, limits.get(item[0])),
+                sheets.items(),
+            )
+        )
     return spark.createDataFrame(manifest, "sheet string, rows bigint, status string")
 
 
@@ -69,20 +76,21 @@ def export_tables(spark: SparkSession, entries: list[TableEntry], out_dir: str)
     Each table is written where its rows are; none passes through the driver.
     """
     stamp = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC")
-    index = []
-    for entry in entries:
-        df = try_load(entry)
+
+    def export(entry: TableEntry) -> tuple:
+        sheet, df = entry.sheet or entry.view, try_load(entry)
         available, rows, columns = False, 0, 0
         if df is not None:
             columns = len(df.columns)
-            _, rows, status = write_sheet(lambda d=df: d, entry.sheet or entry.view, out_dir)
+            _, rows, status = write_sheet(lambda: df, sheet, out_dir)
             available = status == "written" and rows > 0
-        index.append(
-            (
-                entry.sheet or entry.view, entry.layer, entry.view, entry.description, available,
-                rows if available else None, columns if available else None, stamp,
-            )
+        return (
+            sheet, entry.layer, entry.view, entry.description, available,
+            rows if available else None, columns if available else None, stamp,
         )
+
+    with ThreadPoolExecutor(CONCURRENT_SHEETS) as pool:
+        index = list(pool.map(export, entries))
     return spark.createDataFrame(
         index,
         "sheet string, layer string, table_name string, description string, available boolean, "

@@ -66,15 +66,21 @@ def score_customers(metrics: DataFrame, as_of: str, compat: bool = False) -> Dat
             ),
         )
     days = F.col("days_since_order")
-    if compat:
-        recency = 6 - global_ntile(metrics, F.coalesce(-days, F.lit(_NEVER)), tie, 5)
-    else:
-        recency = global_ntile(metrics, F.coalesce(-days, F.lit(-_NEVER)), tie, 5)
+    tiles = global_ntile(
+        metrics,
+        {
+            "recency": F.coalesce(-days, F.lit(_NEVER if compat else -_NEVER)),
+            "frequency": F.col("total_orders"),
+            "monetary": F.coalesce("total_revenue", F.lit(0.0)),
+        },
+        tie,
+        5,
+    )
     scored = metrics.withColumns(
         {
-            "recency_score": recency,
-            "frequency_score": global_ntile(metrics, F.col("total_orders"), tie, 5),
-            "monetary_score": global_ntile(metrics, F.coalesce("total_revenue", F.lit(0.0)), tie, 5),
+            "recency_score": 6 - tiles["recency"] if compat else tiles["recency"],
+            "frequency_score": tiles["frequency"],
+            "monetary_score": tiles["monetary"],
         }
     )
     total = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
