@@ -49,6 +49,7 @@ def main() -> None:
 
     for table in ("orders", "payments", "user_events"):
         timed(f"build_{table}", lambda: workspace.tables[table])
+        timed(f"build_messages_{table}", lambda: workspace.envelope_folder(table))
     queries = build_queries()
     for name in HEADLINE:
         timed(name, lambda: queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save())

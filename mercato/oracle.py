@@ -801,6 +801,16 @@ def build_oracle() -> dict[str, str]:
 
     # warehouse
     q["catalog_event_partitions"] = _sql('SELECT DISTINCT "date" AS dt FROM c_user_events')
+    described = [(c, "string") for c in (
+        "event_id", "customer_id", "event_type", "product_id", "product_name", "category",
+        "search_query", "device", "session_id", "page_url", "event_time", "kafka_topic",
+        "pipeline_version", "dt",
+    )] + [("kafka_partition", "int"), ("kafka_offset", "bigint"), ("kafka_timestamp", "timestamp"),
+          ("is_product_event", "boolean"), ("is_search_event", "boolean"),
+          ("event_timestamp", "timestamp"), ("event_hour", "int"), ("processed_at", "timestamp")]
+    q["catalog_event_columns"] = "SELECT col_name, data_type FROM (VALUES {}) AS c(col_name, data_type)".format(
+        ", ".join(f"('{c}', '{t}')" for c, t in described)
+    )
     q["catalog_event_funnel"] = _sql(
         """SELECT "date" AS dt, event_type, COUNT(*) AS total_events, MIN("timestamp") AS first_event
           FROM c_user_events GROUP BY "date", event_type"""

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from mercato import schemas
 from mercato.operators import cleaning, customers, export, quality
 from mercato.plans import analytics, catalog, nightly, report, summaries
-from mercato.session import fresh_path
 from mercato.sources import envelope as messages
 from mercato.sources import snapshots, tables, testdata
 from mercato.streaming import layers, live
@@ -142,19 +141,19 @@ def table_counts(w: Workspace) -> DataFrame:
 
 @query()
 def table_index(w: Workspace) -> DataFrame:
-    index = report.export_tables(w.spark, w.entries(), fresh_path(w.spark, "export"))
+    index = report.export_tables(w.spark, w.entries(), w.fresh_path("export"))
     return index.drop("exported_at", "description")
 
 
 @query()
 def exported_rows(w: Workspace) -> DataFrame:
-    return report.exported_rows(report.export_tables(w.spark, w.entries(), fresh_path(w.spark, "export")))
+    return report.exported_rows(report.export_tables(w.spark, w.entries(), w.fresh_path("export")))
 
 
 @query()
 def report_manifest(w: Workspace) -> DataFrame:
     return report.write_report(
-        w.spark, w.tables, analytics.REPORT_SHEETS, fresh_path(w.spark, "report"),
+        w.spark, w.tables, analytics.REPORT_SHEETS, w.fresh_path("report"),
         limits={"Orders": 1000, "Payments Sample": 1000},
     )
 
@@ -370,9 +369,12 @@ def catalog_daily_sales(w: Workspace) -> DataFrame:
 @query()
 def layer_inventory(w: Workspace) -> DataFrame:
     """Files per folder of the stored layers (counts depend on how many tasks wrote them)."""
-    w.tables.orders, w.tables.payments, w.tables.user_events  # noqa: B018 - stored on first use
-    files = export.file_inventory(w.spark, w.root)
-    return files.select(F.element_at(F.split("folder", "/"), -1).alias("folder"), "files", "bytes")
+    folders = []
+    for topic in schemas.TOPICS:
+        w.tables[topic]  # stored on first use
+        folders.append(export.file_inventory(w.spark, f"{w.root}/{topic}"))
+    found = folders[0].unionByName(folders[1]).unionByName(folders[2])
+    return found.select(F.element_at(F.split("folder", "/"), -1).alias("folder"), "files", "bytes")
 
 
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

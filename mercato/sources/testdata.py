@@ -201,9 +201,14 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW = {"orders": raw_orders, "payments": raw_payments, "user_events": raw_user_events}
 
 
-def envelope(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    """A topic's messages as the broker would deliver them."""
+def envelope(spark: SparkSession, sf_dir: str, topic: str, by_arrival: bool = False) -> DataFrame:
+    """A topic's messages as the broker would deliver them.
+
+    ``by_arrival`` ranges them by time, before packing, so the range sample reads no JSON.
+    """
     raw = RAW[topic](spark, sf_dir)
+    if by_arrival:
+        raw = raw.repartitionByRange("kafka_timestamp")
     return to_envelope(
         raw,
         topic,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +18,11 @@ from pyspark.sql import types as T
 
 from mercato import schemas
 from mercato.operators.cleaning import CLEAN
+from mercato.operators.customers import customer_metrics
 from mercato.plans import summaries
 from mercato.plans.report import TABLE_DESCRIPTIONS
 from mercato.plans.tables import Tables
-from mercato.session import fresh_path, pin_time_zone, shared_folder
+from mercato.session import pin_time_zone, shared_folder
 from mercato.sources import testdata
 from mercato.sources.envelope import read_envelope_files
 from mercato.sources.files import Files
@@ -45,26 +47,35 @@ class Workspace:
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
         with _writing:
-            if path not in _written:
+            if not self._is_written(path):
                 df = build()
                 df.write.mode("overwrite").parquet(path)
                 _written[path] = df.schema
         return self.spark.read.schema(_written[path]).parquet(path)
 
+    def _is_written(self, path: str) -> bool:
+        return path in _written and Files(self.spark).exists(path)
+
     def _load(self, name: str) -> DataFrame:
         if name in CLEAN:
             return self.stored(name, lambda: CLEAN[name](self.raw(name)))
+        if name == "customer_metrics":
+            return self.stored(name, lambda: customer_metrics(self.tables.orders, AS_OF))
         if name == "customer_rfm":
-            return self.stored(name, lambda: summaries.rfm_scores(self.tables.orders, AS_OF))
+            return self.stored(
+                name, lambda: summaries.score_customers(self.tables.customer_metrics, AS_OF)
+            )
         if name == "churn_candidates":
-            return self.stored(name, lambda: summaries.churn_candidates(self.tables.orders, AS_OF))
+            return self.stored(
+                name, lambda: summaries.churn_from_metrics(self.tables.customer_metrics, AS_OF)
+            )
         raise FileNotFoundError(name)
 
     def raw(self, topic: str) -> DataFrame:
         return testdata.RAW[topic](self.spark, self.sf_dir)
 
-    def envelope(self, topic: str) -> DataFrame:
-        return testdata.envelope(self.spark, self.sf_dir, topic)
+    def envelope(self, topic: str, by_arrival: bool = False) -> DataFrame:
+        return testdata.envelope(self.spark, self.sf_dir, topic, by_arrival)
 
     def entries(self) -> list[TableEntry]:
         names = [*schemas.TOPICS, "customer_rfm", "churn_candidates"]
@@ -84,14 +95,17 @@ class Workspace:
         """A topic's messages as files in arrival order."""
         folder = f"{self.root}/envelopes/{topic}"
         with _writing:
-            if folder not in _written:
-                messages = self.envelope(topic)
-                messages.repartitionByRange("timestamp").write.mode("overwrite").parquet(folder)
+            if not self._is_written(folder):
+                messages = self.envelope(topic, by_arrival=True)
+                messages.write.mode("overwrite").parquet(folder)
                 _written[folder] = messages.schema
         return folder
 
+    def fresh_path(self, label: str) -> str:
+        return f"{self.root}/fresh/{label}-{uuid.uuid4().hex}"
+
     def fresh_store(self) -> layers.Store:
-        return layers.Store(fresh_path(self.spark, "store"))
+        return layers.Store(self.fresh_path("store"))
 
     def ingest(self, store: layers.Store, topics: list[str]) -> None:
         """Stream all messages of the topics through to both layers, then stop.
@@ -113,7 +127,7 @@ class Workspace:
         """The layers of all three topics, streamed side by side once per application."""
         store = layers.Store(f"{self.root}/streamed")
         with _writing:
-            if store.root not in _written:
+            if not self._is_written(store.root):
                 for topic in schemas.TOPICS:
                     self.envelope_folder(topic)
                 self.ingest(store, list(schemas.TOPICS))
