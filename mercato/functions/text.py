@@ -25,7 +25,8 @@ def listed_rank(column: str, ordered: list[str]) -> Column:
 
 
 def day_name(day_of_week: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(d) for d in schemas.DAY_NAMES]), day_of_week)
+    """Name of day 1 (Sunday) to 7, NULL for anything else."""
+    return F.get(F.array(*[F.lit(d) for d in schemas.DAY_NAMES]), day_of_week - 1)
 
 
 def tidy(column: str) -> Column:
@@ -51,10 +52,14 @@ def rupee_label(amount: Column | str) -> Column:
 
 
 def rupee_cents_label(amount: Column | str) -> Column:
-    """Two decimals with thousands separators."""
+    """Two decimals with thousands separators; also for the negative amounts of raw records."""
     c = cents(amount)
-    whole = F.format_number(F.call_function("div", c, F.lit(100)), 0)
-    return F.concat(F.lit("₹"), whole, F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
+    size = F.abs(c)
+    whole = F.format_number(F.call_function("div", size, F.lit(100)), 0)
+    return F.concat(
+        F.lit("₹"), F.when(c < 0, "-").otherwise(""), whole,
+        F.lit("."), F.lpad((size % 100).cast("string"), 2, "0"),
+    )
 
 
 def place_label(city: str, region: str) -> Column:
@@ -67,10 +72,12 @@ def stacked_label(column: str) -> Column:
 
 def items_label(items: str) -> Column:
     """'name xqty' of every line, joined with ', '."""
-    return F.array_join(
-        F.transform(items, lambda i: F.concat_ws(" x", i["product_name"], i["quantity"].cast("string"))),
-        ", ",
-    )
+
+    def line(item: Column) -> Column:
+        name = F.coalesce(item["product_name"], F.lit("N/A"))
+        return F.concat(name, F.lit(" x"), item["quantity"].cast("string"))
+
+    return F.array_join(F.transform(items, line), ", ")
 
 
 def or_missing(column: str) -> Column:

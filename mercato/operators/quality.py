@@ -189,9 +189,15 @@ def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-def deduplicate(df: DataFrame, key: str) -> DataFrame:
-    """One row per event id. Broker offsets restart when a topic is recreated, ids do not."""
-    return df.dropDuplicates([key])
+def deduplicate(df: DataFrame, key: str, first_by: str = "kafka_timestamp") -> DataFrame:
+    """One row per event id, the earliest delivered; equal times go by the other columns.
+
+    Broker offsets restart when a topic is recreated, ids do not. Copies are reduced to one
+    per task before the shuffle, however many an id has.
+    """
+    others = [c for c in df.columns if c not in (key, first_by)]
+    kept = df.groupBy(key).agg(F.min(F.struct(first_by, *others)).alias("kept"))
+    return kept.select(key, "kept.*").select(*df.columns)
 
 
 # -- product catalogue --------------------------------------------------------

@@ -54,9 +54,10 @@ def _rupees(x: str) -> str:
 
 
 def _rupees_cents(x: str) -> str:
+    size = f"abs({_cents(x)})"
     return (
-        f"'₹' || format('{{:,}}', {_cents(x)} // 100) || '.' || "
-        f"lpad(CAST({_cents(x)} % 100 AS VARCHAR), 2, '0')"
+        f"'₹' || CASE WHEN {_cents(x)} < 0 THEN '-' ELSE '' END || format('{{:,}}', {size} // 100) || '.' || "
+        f"lpad(CAST({size} % 100 AS VARCHAR), 2, '0')"
     )
 
 
@@ -70,7 +71,8 @@ def _rank(column: str, values: list[str]) -> str:
 
 def _pick(number: str, values: list[str]) -> str:
     listed = ", ".join(f"'{v}'" for v in values)
-    return f"([{listed}])[CAST(({number}) % {len(values)} + 1 AS INTEGER)]"
+    at = f"CAST(({number}) % {len(values)} + 1 AS INTEGER)"
+    return f"CASE WHEN ({number}) IS NOT NULL THEN ([{listed}])[{at}] END"
 
 
 def _delivery(topic: str, key: str, at: str) -> str:
@@ -184,23 +186,28 @@ c_user_events AS (
 
 
 # -- customers ----------------------------------------------------------------
+def _latest(x: str) -> str:
+    """Value on the last order; orders without a time come before all others."""
+    return f"first({x} ORDER BY event_timestamp DESC NULLS LAST, customer_name DESC, customer_email DESC)"
+
+
 _METRICS = f"""
 metrics AS (
-  SELECT customer_id, arg_max(customer_name, event_timestamp) AS customer_name,
-    arg_max(customer_email, event_timestamp) AS customer_email, MAX("date") AS last_order_date,
+  SELECT customer_id, {_latest('customer_name')} AS customer_name,
+    {_latest('customer_email')} AS customer_email, MAX("date") AS last_order_date,
     CAST(date_diff('day', CAST(MAX("date") AS DATE), DATE '{AS_OF}') AS INTEGER) AS days_since_order,
     COUNT(order_id) AS total_orders, {_sum('final_amount')} AS total_revenue,
     {_avg('final_amount')} AS avg_order_value
   FROM c_orders GROUP BY customer_id)"""
 
 
-def _rfm(name: str, recency: str) -> str:
+def _rfm(name: str, recency: str, undated: str) -> str:
     def tile(order: str) -> str:
         return f"ntile(5) OVER (ORDER BY {order}, customer_id)"
 
     return f"""
 {name}_scored AS (
-  SELECT *, CAST({recency.format(tile=tile('days_since_order DESC'))} AS INTEGER) AS recency_score,
+  SELECT *, CAST({recency.format(tile=tile('days_since_order DESC NULLS ' + undated))} AS INTEGER) AS recency_score,
     CAST({tile('total_orders')} AS INTEGER) AS frequency_score,
     CAST({tile('total_revenue')} AS INTEGER) AS monetary_score
   FROM metrics),
@@ -225,14 +232,14 @@ _LINES = """
 order_lines AS (
   SELECT 'ORD' || l_orderkey AS order_id, 'P' || l_partkey AS product_id, p_name AS product_name,
     p_type AS category,
-    CAST(CAST(ROUND(l_extendedprice * 100) AS BIGINT) // CAST(l_quantity AS BIGINT) AS DOUBLE) / 100 AS unit_price,
+    CAST(CAST(ROUND(l_extendedprice * 100) AS BIGINT) // NULLIF(CAST(l_quantity AS BIGINT), 0) AS DOUBLE) / 100 AS unit_price,
     CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS item_total
   FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"""
 
 _SHARED = ",".join(
     [
         _RAW_ORDERS, _RAW_PAYMENTS, _RAW_EVENTS, _CURATED, _METRICS,
-        _rfm("rfm", "{tile}"), _rfm("rfm_compat", "6 - {tile}"), _CHURN, _LINES,
+        _rfm("rfm", "{tile}", "FIRST"), _rfm("rfm_compat", "6 - {tile}", "LAST"), _CHURN, _LINES,
     ]
 )
 
@@ -764,7 +771,15 @@ def build_oracle() -> dict[str, str]:
         "SELECT payment_id, COUNT(*) AS copies FROM delivered GROUP BY payment_id HAVING COUNT(*) > 1",
         _DELIVERED_TWICE,
     )
-    q["quality_deduplicated"] = _sql("SELECT DISTINCT * FROM delivered", _DELIVERED_TWICE)
+    columns = (
+        "kafka_timestamp, order_id, customer_id, amount, payment_method, status, gateway, "
+        'transaction_id, "timestamp", "date", kafka_topic, kafka_partition, kafka_offset'
+    )
+    q["quality_deduplicated"] = _sql(
+        f"""SELECT * FROM delivered QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY
+          {columns.replace(',', ' NULLS FIRST,')} NULLS FIRST) = 1""",
+        _DELIVERED_TWICE,
+    )
     q["quality_catalogue"] = _sql(
         f"""SELECT {_CATALOGUE_STATUS} AS status, COUNT(*) AS lines
           FROM order_lines LEFT JOIN part p ON product_id = 'P' || p.p_partkey GROUP BY 1"""
@@ -797,7 +812,9 @@ def build_oracle() -> dict[str, str]:
           device, 'USER EVENT | ' || event_id || ' | ' || {_pad('rpad', 'event_type', 20)} || ' | ' ||
           customer_id || ' | ' || device AS line FROM raw_user_events"""
     )
-    q["watch_order_lines"] = _sql("SELECT order_id, product_name || ' x' || quantity AS products FROM order_lines")
+    q["watch_order_lines"] = _sql(
+        "SELECT order_id, COALESCE(product_name, 'N/A') || ' x' || quantity AS products FROM order_lines"
+    )
 
     # warehouse
     q["catalog_event_partitions"] = _sql('SELECT DISTINCT "date" AS dt FROM c_user_events')

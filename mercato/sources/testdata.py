@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pick(number: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
+    return F.get(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int"))
 
 
 def _order_time() -> Column:

@@ -56,3 +56,14 @@ def test_labels(spark):
 def test_missing_text(spark):
     df = spark.createDataFrame([(None,), ("x",)], "p string")
     assert [r[0] for r in df.select(text.or_missing("p")).collect()] == ["N/A", "x"]
+
+
+def test_day_names(spark):
+    df = spark.createDataFrame([(None,), (1,), (7,), (8,)], "d int")
+    assert [r[0] for r in df.select(text.day_name(F.col("d"))).collect()] == [None, "Sun", "Sat", None]
+
+
+def test_negative_amounts_keep_their_sign(spark):
+    df = spark.createDataFrame([(-5.0,), (-1234.56,), (0.05,)], "x double")
+    labels = [r[0] for r in df.select(text.rupee_cents_label("x")).collect()]
+    assert labels == ["₹-5.00", "₹-1,234.56", "₹0.05"]

@@ -89,6 +89,15 @@ def test_repeated_ids(spark):
     assert quality.deduplicate(df, "payment_id").count() == 2
 
 
+def test_the_earliest_copy_stays(spark):
+    df = spark.createDataFrame(
+        [("P", 2, "late"), ("P", 1, "first"), ("P", None, "undated"), ("Q", 3, "only")],
+        "id string, kafka_timestamp int, note string",
+    ).filter("kafka_timestamp is not null")
+    kept = quality.deduplicate(df, "id").orderBy("id").collect()
+    assert [tuple(r) for r in kept] == [("P", 1, "first"), ("Q", 3, "only")]
+
+
 def test_catalogue(spark):
     df = curated(
         spark, "orders",

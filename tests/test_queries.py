@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from mercato.plans import summaries
 from mercato.workspace import AS_OF, Workspace
+from tests.odd_tables import write_odd_tables
 
 SF = "/root/testdata/sf0.001"
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
@@ -18,10 +19,18 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 
 
+@pytest.fixture(scope="module", params=["given", "odd"])
+def tables(request, tmp_path_factory):
+    """The given test tables, and the same with hot keys, gaps and odd values."""
+    if request.param == "given":
+        return SF
+    return write_odd_tables(SF, str(tmp_path_factory.mktemp("odd")))
+
+
 @pytest.fixture(scope="module")
-def duck():
+def duck(tables):
     con = duckdb.connect()
-    for file in glob.glob(f"{SF}/*.parquet"):
+    for file in glob.glob(f"{tables}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(file)[:-8]} AS SELECT * FROM '{file}'")
     return con
 
@@ -37,8 +46,8 @@ def ordered(rows):
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_query_equals_duckdb(spark, duck, name):
-    df = entry.queries()[name](spark, SF)
+def test_query_equals_duckdb(spark, duck, tables, name):
+    df = entry.queries()[name](spark, tables)
     columns = sorted(df.columns)
     got = ordered([tuple(plain(r[c]) for c in columns) for r in df.collect()])
     result = duck.execute(entry.oracle_sql()[name])
