@@ -35,7 +35,7 @@ _UNCOMPARED = ("processed_at", "items")  # run time; always null in the test mes
 
 def _parsed(topic: str) -> Query:
     def run(w: Workspace) -> DataFrame:
-        parsed = messages.parse_envelope(w.envelope(topic), layers.TOPICS[topic].record, keep_source=False)
+        parsed = messages.parse_envelope(w.messages(topic), layers.TOPICS[topic].record, keep_source=False)
         return parsed.drop(*_UNCOMPARED)
 
     return run
@@ -43,7 +43,7 @@ def _parsed(topic: str) -> Query:
 
 def _keyed(topic: str) -> Query:
     def run(w: Workspace) -> DataFrame:
-        return w.envelope(topic).select(
+        return testdata.envelope(w.raw(topic), topic).select(
             F.col("key").cast("string").alias("key"), "topic", "partition", "offset",
             F.get_json_object(F.col("value").cast("string"), "$.date").alias("message_date"),
         )
@@ -176,24 +176,25 @@ def export_events(w: Workspace) -> DataFrame:
 @query()
 def export_lines_json(w: Workspace) -> DataFrame:
     """Nested values as JSON text: each line as a one-element items array."""
-    lines = testdata.order_lines(w.spark, w.sf_dir, named=False)
+    lines = w.order_lines()
     nested = lines.select("order_id", F.array(F.struct("product_id", "quantity")).alias("items"))
     return export.export_safe(nested)
 
 
 # -- quality ------------------------------------------------------------------
+def _all_orders(w: Workspace) -> DataFrame:
+    """Raw orders, also those that cleaning drops, under their curated ids."""
+    return w.raw("orders").withColumn("order_id", F.upper(F.trim("order_id")))
+
+
 @query()
 def quality_line_checks(w: Workspace) -> DataFrame:
-    return quality.line_checks(
-        testdata.order_headers(w.spark, w.sf_dir), testdata.order_lines(w.spark, w.sf_dir, named=False)
-    )
+    return quality.line_checks(_all_orders(w), w.order_lines())
 
 
 @query()
 def quality_line_totals(w: Workspace) -> DataFrame:
-    return quality.line_check_counts(
-        testdata.order_headers(w.spark, w.sf_dir), testdata.order_lines(w.spark, w.sf_dir, named=False)
-    )
+    return quality.line_check_counts(_all_orders(w), w.order_lines())
 
 
 @query()
@@ -257,14 +258,14 @@ def quality_deduplicated(w: Workspace) -> DataFrame:
 @query()
 def quality_catalogue(w: Workspace) -> DataFrame:
     return quality.catalogue_check_counts(
-        testdata.order_lines(w.spark, w.sf_dir), testdata.catalogue(w.spark, w.sf_dir)
+        w.order_lines(), testdata.catalogue(w.spark, w.sf_dir)
     )
 
 
 @query()
 def quality_shop_catalogue(w: Workspace) -> DataFrame:
     """Against the shop's own product list, which the test tables do not use."""
-    return quality.catalogue_check_counts(testdata.order_lines(w.spark, w.sf_dir))
+    return quality.catalogue_check_counts(w.order_lines())
 
 
 # -- streaming ----------------------------------------------------------------
@@ -321,7 +322,7 @@ for _topic, _label in _TOPIC_LABEL.items():
 @query()
 def watch_order_lines(w: Workspace) -> DataFrame:
     """The product text of orders, one line item per order record."""
-    lines = testdata.order_lines(w.spark, w.sf_dir)
+    lines = w.order_lines()
     single = lines.select("order_id", F.array(F.struct("product_name", "quantity")).alias("items"))
     return single.select("order_id", live.items_label("items").alias("products"))
 
@@ -334,7 +335,7 @@ def _warehouse(w: Workspace, topics: tuple[str, ...], nightly_first: bool = Fals
         layers.compact(w.spark, store.curated(topic), layers.TOPICS[topic].curated)
     if nightly_first:
         nightly.run_nightly(w.spark, w.tables, store, AS_OF)
-    database = f"shop_{w.tag}".lower()
+    database = f"shop_{uuid.uuid4().hex[:12]}"
     catalog.create_warehouse(w.spark, database, store, topics)
     return database
 

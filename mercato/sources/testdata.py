@@ -59,19 +59,6 @@ def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").join(
-        line_totals(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left"
-    )
-
-
-def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns that line checks need, without the customer join of full orders."""
-    return _orders_with_lines(spark, sf_dir).select(
-        F.concat(F.lit("ORD"), F.col("o_orderkey")).alias("order_id"), "num_items", "subtotal"
-    )
-
-
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = (
         table(spark, sf_dir, "nation")
@@ -85,8 +72,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # The unique-key join runs first on narrow rows, the customer join last: customer keys
     # may be hot, and there adaptive execution can split the order side of a left join.
-    joined = _orders_with_lines(spark, sf_dir).join(
-        customers, F.col("o_custkey") == F.col("c_custkey"), "left"
+    joined = (
+        table(spark, sf_dir, "orders")
+        .join(line_totals(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
     )
     k, at = F.col("o_orderkey"), _order_time()
     status = (
@@ -164,24 +153,19 @@ def raw_user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str, named: bool = True) -> DataFrame:
-    """One row per line item, in the shape of an exploded ``items`` array.
-
-    ``named=False`` leaves out product name and category, and with them the part join.
-    """
-    lines = table(spark, sf_dir, "lineitem")
-    if named:
-        lines = lines.join(
-            table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"),
-            F.col("l_partkey") == F.col("p_partkey"),
-            "left",
-        )
-    names = [F.col("p_name").alias("product_name"), F.col("p_type").alias("category")] if named else []
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item, in the shape of an exploded ``items`` array."""
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"),
+        F.col("l_partkey") == F.col("p_partkey"),
+        "left",
+    )
     price = cents("l_extendedprice")
     return lines.select(
         F.concat(F.lit("ORD"), F.col("l_orderkey")).alias("order_id"),
         F.concat(F.lit("P"), F.col("l_partkey")).alias("product_id"),
-        *names,
+        F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("category"),
         from_cents(F.call_function("div", price, F.nullif(F.col("l_quantity").cast("bigint"), F.lit(0)))).alias("unit_price"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").alias("item_total"),
@@ -201,14 +185,8 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 RAW = {"orders": raw_orders, "payments": raw_payments, "user_events": raw_user_events}
 
 
-def envelope(spark: SparkSession, sf_dir: str, topic: str, by_arrival: bool = False) -> DataFrame:
-    """A topic's messages as the broker would deliver them.
-
-    ``by_arrival`` ranges them by time, before packing, so the range sample reads no JSON.
-    """
-    raw = RAW[topic](spark, sf_dir)
-    if by_arrival:
-        raw = raw.repartitionByRange("kafka_timestamp")
+def envelope(raw: DataFrame, topic: str) -> DataFrame:
+    """Raw records of a topic as the messages a broker would deliver."""
     return to_envelope(
         raw,
         topic,

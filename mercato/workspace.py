@@ -72,10 +72,15 @@ class Workspace:
         raise FileNotFoundError(name)
 
     def raw(self, topic: str) -> DataFrame:
-        return testdata.RAW[topic](self.spark, self.sf_dir)
+        """The topic's records as the raw layer holds them."""
+        return self.stored(f"raw_{topic}", lambda: testdata.RAW[topic](self.spark, self.sf_dir))
 
-    def envelope(self, topic: str, by_arrival: bool = False) -> DataFrame:
-        return testdata.envelope(self.spark, self.sf_dir, topic, by_arrival)
+    def order_lines(self) -> DataFrame:
+        return self.stored("order_lines", lambda: testdata.order_lines(self.spark, self.sf_dir))
+
+    def messages(self, topic: str) -> DataFrame:
+        """The topic's stored messages, read as a batch."""
+        return self.spark.read.schema(schemas.ENVELOPE).parquet(self.envelope_folder(topic))
 
     def entries(self) -> list[TableEntry]:
         names = [*schemas.TOPICS, "customer_rfm", "churn_candidates"]
@@ -96,7 +101,8 @@ class Workspace:
         folder = f"{self.root}/envelopes/{topic}"
         with _writing:
             if not self._is_written(folder):
-                messages = self.envelope(topic, by_arrival=True)
+                arrived = self.raw(topic).repartitionByRange("kafka_timestamp")
+                messages = testdata.envelope(arrived, topic)
                 messages.write.mode("overwrite").parquet(folder)
                 _written[folder] = messages.schema
         return folder
