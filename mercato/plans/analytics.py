@@ -14,7 +14,7 @@ from mercato.functions.money import (
     count_avg, money_avg, money_sum, percent, share_of_total,
 )
 from mercato.functions.text import (
-    day_name, lakh_label, listed_rank, place_label, rupee_label, stacked_label,
+    band, day_name, lakh_label, listed_rank, place_label, rupee_label, stacked_label,
 )
 from mercato.plans.tables import Tables
 
@@ -139,10 +139,9 @@ def payment_methods(t: Tables) -> DataFrame:
 
 
 def payment_success_band(t: Tables) -> DataFrame:
-    rate = F.col("success_rate")
-    colour = F.when(rate >= 90, "green").when(rate >= 80, "amber").otherwise("red")
     return payment_methods(t).select(
-        "payment_method", "success_rate", colour.alias("band"),
+        "payment_method", "success_rate",
+        band(F.col("success_rate"), schemas.SUCCESS_BANDS, "red").alias("band"),
         rupee_label("avg_transaction").alias("avg_label"),
     )
 

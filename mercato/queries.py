@@ -20,12 +20,9 @@ Query = Callable[[Workspace], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str | None = None) -> Callable[[Query], Query]:
-    def register(fn: Query) -> Query:
-        QUERIES[name or fn.__name__] = fn
-        return fn
-
-    return register
+def query(fn: Query) -> Query:
+    QUERIES[fn.__name__] = fn
+    return fn
 
 
 # -- parsing and cleaning -----------------------------------------------------
@@ -64,62 +61,62 @@ for _topic, _label in _TOPIC_LABEL.items():
 
 
 # -- nightly summaries --------------------------------------------------------
-@query()
+@query
 def daily_sales(w: Workspace) -> DataFrame:
     return summaries.daily_sales(w.tables.orders, AS_OF)
 
 
-@query()
+@query
 def daily_sales_compat(w: Workspace) -> DataFrame:
     return summaries.daily_sales(w.tables.orders, AS_OF, compat=True)
 
 
-@query()
+@query
 def customer_metrics(w: Workspace) -> DataFrame:
     return customers.customer_metrics(w.tables.orders, AS_OF)
 
 
-@query()
+@query
 def rfm_scores(w: Workspace) -> DataFrame:
     return summaries.rfm_scores(w.tables.orders, AS_OF)
 
 
-@query()
+@query
 def rfm_scores_compat(w: Workspace) -> DataFrame:
     return summaries.rfm_scores(w.tables.orders, AS_OF, compat=True)
 
 
-@query()
+@query
 def rfm_segment_counts(w: Workspace) -> DataFrame:
     return summaries.rfm_segment_counts(w.tables.customer_rfm)
 
 
-@query()
+@query
 def churn_candidates(w: Workspace) -> DataFrame:
     return summaries.churn_candidates(w.tables.orders, AS_OF)
 
 
-@query()
+@query
 def churn_candidates_compat(w: Workspace) -> DataFrame:
     return summaries.churn_candidates(w.tables.orders, AS_OF, compat=True)
 
 
-@query()
+@query
 def churn_risk_counts(w: Workspace) -> DataFrame:
     return summaries.churn_risk_counts(w.tables.churn_candidates)
 
 
-@query()
+@query
 def payment_analysis(w: Workspace) -> DataFrame:
     return summaries.payment_analysis(w.tables.payments, AS_OF)
 
 
-@query()
+@query
 def nightly_manifest(w: Workspace) -> DataFrame:
     return nightly.run_nightly(w.spark, w.tables, w.fresh_store(), AS_OF)
 
 
-@query()
+@query
 def nightly_snapshot(w: Workspace) -> DataFrame:
     """The stored daily sales after a full run and a rerun of one day."""
     store = w.fresh_store()
@@ -134,23 +131,23 @@ for _name, _analysis in analytics.ANALYSES.items():
 
 
 # -- loading and exporting ----------------------------------------------------
-@query()
+@query
 def table_counts(w: Workspace) -> DataFrame:
     return tables.register_tables(w.spark, w.entries())
 
 
-@query()
+@query
 def table_index(w: Workspace) -> DataFrame:
     index = report.export_tables(w.spark, w.entries(), w.fresh_path("export"))
     return index.drop("exported_at", "description")
 
 
-@query()
+@query
 def exported_rows(w: Workspace) -> DataFrame:
     return report.exported_rows(report.export_tables(w.spark, w.entries(), w.fresh_path("export")))
 
 
-@query()
+@query
 def report_manifest(w: Workspace) -> DataFrame:
     return report.write_report(
         w.spark, w.tables, analytics.REPORT_SHEETS, w.fresh_path("report"),
@@ -158,22 +155,22 @@ def report_manifest(w: Workspace) -> DataFrame:
     )
 
 
-@query()
+@query
 def export_orders(w: Workspace) -> DataFrame:
     return export.export_safe(w.tables.orders).drop("processed_at", "items")
 
 
-@query()
+@query
 def export_payments(w: Workspace) -> DataFrame:
     return export.export_safe(w.tables.payments).drop("processed_at")
 
 
-@query()
+@query
 def export_events(w: Workspace) -> DataFrame:
     return export.export_safe(w.tables.user_events).drop("processed_at")
 
 
-@query()
+@query
 def export_lines_json(w: Workspace) -> DataFrame:
     """Nested values as JSON text: each line as a one-element items array."""
     lines = w.order_lines()
@@ -187,43 +184,43 @@ def _all_orders(w: Workspace) -> DataFrame:
     return w.raw("orders").withColumn("order_id", F.upper(F.trim("order_id")))
 
 
-@query()
+@query
 def quality_line_checks(w: Workspace) -> DataFrame:
     return quality.line_checks(_all_orders(w), w.order_lines())
 
 
-@query()
+@query
 def quality_line_totals(w: Workspace) -> DataFrame:
     return quality.line_check_counts(_all_orders(w), w.order_lines())
 
 
-@query()
+@query
 def quality_amounts(w: Workspace) -> DataFrame:
     return quality.amount_check_counts(w.tables.orders)
 
 
-@query()
+@query
 def quality_payment_reconciliation(w: Workspace) -> DataFrame:
     return quality.reconcile_payments(w.tables.orders, w.tables.payments)
 
 
-@query()
+@query
 def quality_payment_reconciliation_counts(w: Workspace) -> DataFrame:
     return quality.reconcile_counts(w.tables.orders, w.tables.payments)
 
 
-@query()
+@query
 def quality_search_events(w: Workspace) -> DataFrame:
     return quality.search_check_counts(w.tables.user_events)
 
 
-@query()
+@query
 def quality_unknown_places(w: Workspace) -> DataFrame:
     """Against the shop's own place list, which the test tables do not use."""
     return quality.unknown_places(w.tables.orders)
 
 
-@query()
+@query
 def quality_unlisted_places(w: Workspace) -> DataFrame:
     """Against the places of one region, taken from the nation and region tables."""
     places = testdata.table(w.spark, w.sf_dir, "nation").join(
@@ -245,24 +242,24 @@ def _delivered_twice(w: Workspace) -> DataFrame:
     return payments.unionByName(payments.filter("not is_successful"))
 
 
-@query()
+@query
 def quality_duplicate_ids(w: Workspace) -> DataFrame:
     return quality.duplicate_ids(_delivered_twice(w), "payment_id")
 
 
-@query()
+@query
 def quality_deduplicated(w: Workspace) -> DataFrame:
     return quality.deduplicate(_delivered_twice(w), "payment_id")
 
 
-@query()
+@query
 def quality_catalogue(w: Workspace) -> DataFrame:
     return quality.catalogue_check_counts(
         w.order_lines(), testdata.catalogue(w.spark, w.sf_dir)
     )
 
 
-@query()
+@query
 def quality_shop_catalogue(w: Workspace) -> DataFrame:
     """Against the shop's own product list, which the test tables do not use."""
     return quality.catalogue_check_counts(w.order_lines())
@@ -278,7 +275,7 @@ for _topic, _label in _TOPIC_LABEL.items():
     )
 
 
-@query()
+@query
 def stream_all_topics(w: Workspace) -> DataFrame:
     """What the three queries received, kept and dropped."""
     counts = [layers.batch_counts(w.spark, w.ingested(), t) for t in schemas.TOPICS]
@@ -288,7 +285,7 @@ def stream_all_topics(w: Workspace) -> DataFrame:
     )
 
 
-@query()
+@query
 def stream_compacted_events(w: Workspace) -> DataFrame:
     """Curated events after compaction and removal of the batches it covers."""
     store = w.fresh_store()
@@ -299,7 +296,7 @@ def stream_compacted_events(w: Workspace) -> DataFrame:
     return layers.read_curated(w.spark, store, "user_events").drop(*_UNCOMPARED)
 
 
-@query()
+@query
 def stream_topic_counts(w: Workspace) -> DataFrame:
     """Running message counts over all topics read as one stream."""
     for topic in schemas.TOPICS:
@@ -319,7 +316,7 @@ for _topic, _label in _TOPIC_LABEL.items():
     QUERIES[f"watch_{_label}"] = lambda w, t=_topic: live.WATCH[t](w.raw(t))
 
 
-@query()
+@query
 def watch_order_lines(w: Workspace) -> DataFrame:
     """The product text of orders, one line item per order record."""
     lines = w.order_lines()
@@ -340,17 +337,17 @@ def _warehouse(w: Workspace, topics: tuple[str, ...], nightly_first: bool = Fals
     return database
 
 
-@query()
+@query
 def catalog_event_partitions(w: Workspace) -> DataFrame:
     return catalog.list_partitions(w.spark, _warehouse(w, ("user_events",)), "user_events")
 
 
-@query()
+@query
 def catalog_event_columns(w: Workspace) -> DataFrame:
     return catalog.describe_table(w.spark, _warehouse(w, ("user_events",)), "user_events")
 
 
-@query()
+@query
 def catalog_event_funnel(w: Workspace) -> DataFrame:
     """The event funnel in SQL over the warehouse's named table."""
     database = _warehouse(w, ("user_events",))
@@ -360,14 +357,14 @@ def catalog_event_funnel(w: Workspace) -> DataFrame:
     )
 
 
-@query()
+@query
 def catalog_daily_sales(w: Workspace) -> DataFrame:
     """The daily summary through its warehouse view."""
     database = _warehouse(w, (), nightly_first=True)
     return w.spark.table(f"{database}.daily_sales_summary")
 
 
-@query()
+@query
 def layer_inventory(w: Workspace) -> DataFrame:
     """Files per folder of the stored layers (counts depend on how many tasks wrote them)."""
     folders = []

@@ -207,6 +207,26 @@ def _open_batches(df: DataFrame, covered: dict) -> DataFrame:
     return df.filter(~reduce(lambda a, b: a | b, closed)) if closed else df
 
 
+def _batch_numbers(files: Files, layer: str) -> dict[str, list[int]]:
+    """Batch folders of each run, in order."""
+    return {
+        run.split("=", 1)[1]: sorted(
+            int(n.split("=", 1)[1])
+            for n in files.names(f"{layer}/batches/{run}")
+            if n.startswith("batch_id=")
+        )
+        for run in files.names(f"{layer}/batches")
+        if run.startswith("run=")
+    }
+
+
+def _has_open_batches(spark: SparkSession, layer: str, covered: dict) -> bool:
+    return any(
+        numbers and numbers[-1] > covered["runs"].get(run, -1)
+        for run, numbers in _batch_numbers(Files(spark), layer).items()
+    )
+
+
 def read_layer(spark: SparkSession, layer: str, ddl: str, evolve: bool = False) -> DataFrame:
     """All rows of a layer, compacted and not, in the declared column order.
 
@@ -214,13 +234,12 @@ def read_layer(spark: SparkSession, layer: str, ddl: str, evolve: bool = False)
     every file's footer.
     """
     covered = _covered(spark, layer)
-    files = Files(spark)
     parts = []
     if covered["generation"]:
         folder = f"{layer}/compacted"
         done = _scan(spark, folder, f"{ddl}, generation bigint", evolve, ["generation"])
         parts.append(done.filter(F.col("generation") <= covered["generation"]).drop("generation"))
-    if files.names(f"{layer}/batches"):
+    if _has_open_batches(spark, layer, covered):
         folder = f"{layer}/batches"
         tail = _scan(spark, folder, f"{ddl}, run string, batch_id bigint", evolve, ["run", "batch_id"])
         parts.append(_open_batches(tail, covered).drop("run", "batch_id"))
@@ -273,19 +292,12 @@ def batch_counts(spark: SparkSession, store: Store, topic: str) -> DataFrame:
 def _committed(spark: SparkSession, layer: str) -> dict[str, int]:
     """Last batch per run up to which every batch of the run has been committed."""
     files, last = Files(spark), {}
-    for run_folder in files.names(f"{layer}/batches"):
-        if not run_folder.startswith("run="):
-            continue
-        numbers = sorted(
-            int(n.split("=", 1)[1])
-            for n in files.names(f"{layer}/batches/{run_folder}")
-            if n.startswith("batch_id=")
-        )
+    for run, numbers in _batch_numbers(files, layer).items():
         # Only the newest folder can still be in writing: a stream runs one batch at a time.
-        if numbers and not files.exists(f"{layer}/batches/{run_folder}/batch_id={numbers[-1]}/_SUCCESS"):
+        if numbers and not files.exists(f"{layer}/batches/run={run}/batch_id={numbers[-1]}/_SUCCESS"):
             numbers.pop()
         if numbers:
-            last[run_folder.split("=", 1)[1]] = numbers[-1]
+            last[run] = numbers[-1]
     return last
 
 
@@ -345,10 +357,10 @@ def date_folders(spark: SparkSession, layer: str) -> list[tuple[str, int, str]]:
 def drop_covered_batches(spark: SparkSession, layer: str) -> int:
     """Delete batch folders that a generation holds; returns how many went."""
     files, dropped = Files(spark), 0
-    for run, last in _covered(spark, layer)["runs"].items():
-        folder = f"{layer}/batches/run={run}"
-        for name in files.names(folder):
-            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= last:
-                files.delete(f"{folder}/{name}")
+    runs = _covered(spark, layer)["runs"]
+    for run, numbers in _batch_numbers(files, layer).items():
+        for number in numbers:
+            if number <= runs.get(run, -1):
+                files.delete(f"{layer}/batches/run={run}/batch_id={number}")
                 dropped += 1
     return dropped

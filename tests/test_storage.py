@@ -187,3 +187,13 @@ def test_warehouse(spark, root):
     shown = {r["tableName"] for r in catalog.list_tables(spark, "shop_test").collect()}
     assert {"orders", "customer_rfm", "daily_sales_summary"} <= shown
     assert "shop_test" in {r[0] for r in catalog.list_databases(spark).collect()}
+
+
+def test_undated_rows_reach_the_warehouse(spark, root):
+    store = Store(root)
+    batch = raw(spark, "orders", [order(1, date=None), order(2)])
+    layers.write_batch(batch, 0, TOPICS["orders"], store, "r")
+    layers.compact(spark, store.curated("orders"), TOPICS["orders"].curated)
+    catalog.create_warehouse(spark, "shop_undated", store, ("orders",))
+    rows = spark.sql("SELECT order_id, dt FROM shop_undated.orders ORDER BY order_id").collect()
+    assert [tuple(r) for r in rows] == [("ORD1", None), ("ORD2", "2026-05-16")]

@@ -136,10 +136,13 @@ def test_compaction_keeps_every_row_and_goes_on(spark, root):
     assert layers.read_curated(spark, store, "orders").orderBy("order_id").collect() == before
     assert layers.drop_covered_batches(spark, layer) == 2
     assert layers.read_curated(spark, store, "orders").orderBy("order_id").collect() == before
+    assert layers.read_curated(spark, store, "orders", evolve=True).count() == 6
     layers.write_batch(raw(spark, "orders", [order(50)]), 3, topic, store, "r")
     assert layers.compact(spark, layer, topic.curated) == 2
     assert layers.compact(spark, layer, topic.curated) == 2  # nothing new
     assert layers.read_curated(spark, store, "orders").count() == 7
+    assert layers.drop_covered_batches(spark, layer) == 2
+    assert layers.read_curated(spark, store, "orders", evolve=True).count() == 7
     files = [f for f in os.listdir(f"{layer}/compacted/generation=1/date=2026-05-16") if f.endswith(".parquet")]
     assert len(files) == 1
 
