@@ -6,7 +6,7 @@ map-side partial aggregate sends a handful of rows per task into the only shuffl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato import schemas
@@ -218,16 +218,30 @@ def device_share(t: Tables) -> DataFrame:
 SAMPLE_ROWS = 1000  # the two sample sheets are samples by definition
 
 
+def latest_rows(df: DataFrame, n: int, *then: str | Column) -> DataFrame:
+    """The ``n`` rows of the latest dates, equal dates in the order of ``then``.
+
+    Rows are first counted per date, which reads one column (or only folder names where
+    the table is partitioned by date). The sort then reads just the dates it needs.
+    """
+    per_date = df.filter("date is not null").groupBy("date").agg(F.count("*").alias("rows"))
+    latest_first = Window.orderBy(F.desc("date"))  # one row per date
+    so_far = per_date.select("date", F.sum("rows").over(latest_first).alias("so_far"))
+    first_date = so_far.filter(F.col("so_far") >= n).agg(F.max("date")).first()[0]
+    if first_date is not None:  # else there are fewer rows, and undated ones belong to them
+        df = df.filter(F.col("date") >= first_date)
+    return df.orderBy(F.desc("date"), *then).limit(n)
+
+
 def sheet_orders_sample(t: Tables) -> DataFrame:
     """The latest, largest orders; equal ones go by id."""
-    return (
+    return latest_rows(
         t.orders.select(
             "order_id", "customer_name", "customer_email", "city", "region", "final_amount",
             "num_items", "device", "value_segment", "is_high_value", "is_discounted", "discount",
             "order_hour", "date",
-        )
-        .orderBy(F.desc("date"), F.desc("final_amount"), "order_id")
-        .limit(SAMPLE_ROWS)
+        ),
+        SAMPLE_ROWS, F.desc("final_amount"), "order_id",
     )
 
 
@@ -299,13 +313,12 @@ def sheet_customer_rfm(t: Tables) -> DataFrame:
 
 
 def sheet_payments_sample(t: Tables) -> DataFrame:
-    return (
+    return latest_rows(
         t.payments.select(
             "payment_id", "order_id", "customer_id", "amount", "payment_method", "status",
             "gateway", "is_successful", "payment_hour", "date",
-        )
-        .orderBy(F.desc("date"), "payment_id")
-        .limit(SAMPLE_ROWS)
+        ),
+        SAMPLE_ROWS, "payment_id",
     )
 
 

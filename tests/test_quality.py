@@ -118,3 +118,17 @@ def test_shares_add_up(spark):
     df = curated(spark, "orders", [order(i, device=d) for i, d in enumerate("aabbbcd")])
     total = analytics.warehouse_device_share(Tables(lambda name: df)).agg(F.sum("percentage")).first()[0]
     assert abs(total - 100) < 0.05
+
+
+def test_latest_rows_read_only_the_dates_they_need(spark, root):
+    dates = ["2026-05-01"] * 3 + ["2026-05-02"] * 2 + ["2026-05-03"] + [None]
+    spark.createDataFrame(list(enumerate(dates)), "id int, date string").write.partitionBy("date").parquet(f"{root}/t")
+    df = spark.read.schema("id int, date string").parquet(f"{root}/t")
+
+    def ids(n):
+        return [r["id"] for r in analytics.latest_rows(df, n, "id").collect()]
+
+    assert [ids(n) for n in (1, 2, 3, 4, 6)] == [[5], [5, 3], [5, 3, 4], [5, 3, 4, 0], [5, 3, 4, 0, 1, 2]]
+    assert ids(9) == [5, 3, 4, 0, 1, 2, 6]  # fewer rows than asked for: undated ones come last
+    plan = analytics.latest_rows(df, 2, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "date#" in plan and ">= 2026-05-02" in plan.split("PartitionFilters")[1]
