@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from mercato import schemas
+from mercato.jobs import table_entries
 from mercato.operators.cleaning import CLEAN
 from mercato.operators.customers import customer_metrics
 from mercato.plans import summaries
-from mercato.plans.report import TABLE_DESCRIPTIONS
 from mercato.plans.tables import Tables
 from mercato.session import pin_time_zone, shared_folder
 from mercato.sources import testdata
@@ -83,17 +83,7 @@ class Workspace:
         return self.spark.read.schema(schemas.ENVELOPE).parquet(self.envelope_folder(topic))
 
     def entries(self) -> list[TableEntry]:
-        names = [*schemas.TOPICS, "customer_rfm", "churn_candidates"]
-        return [
-            TableEntry(
-                name,
-                "curated" if name in schemas.TOPICS else "summaries",
-                lambda n=name: self.tables[n],
-                "_".join(w.upper() if w == "rfm" else w.capitalize() for w in name.split("_")) + "_Raw",
-                TABLE_DESCRIPTIONS[name],
-            )
-            for name in names
-        ]
+        return table_entries(self.tables)
 
     # -- streaming ------------------------------------------------------------
     def envelope_folder(self, topic: str) -> str:

@@ -38,6 +38,12 @@ def test_snapshot_is_replaced_and_may_read_itself(spark, root):
     assert snapshots.read_snapshot(spark, root).count() == 2
 
 
+def test_empty_result_is_a_snapshot_too(spark, root):
+    empty = spark.range(9).groupBy((F.col("id") % 2).alias("k")).count().filter("count > 9")
+    assert snapshots.write_snapshot(empty, root) == 0
+    assert snapshots.read_snapshot(spark, root).columns == ["k", "count"]
+
+
 def test_failed_write_leaves_the_last_version(spark, root):
     snapshots.write_snapshot(spark.range(3), root)
     with pytest.raises(Exception):
