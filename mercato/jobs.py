@@ -68,7 +68,7 @@ def ingest(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
               f"{counts['dropped']} dropped", flush=True)
 
     trigger = {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
-    layers.await_all(layers.start_all(source, store, trigger=trigger, report=tell))
+    layers.await_all(layers.start_all(source, store, trigger=trigger, report=tell, tasks=args.tasks))
 
 
 def verify(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
@@ -116,8 +116,9 @@ def export(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
 
 def compact(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Rewrite closed batches; the newest batch of a run may still be replayed and stays."""
-    for topic in schemas.TOPICS:
-        layers.compact(spark, store.curated(topic), layers.TOPICS[topic].curated, open_batches=1)
+    for topic in layers.TOPICS.values():
+        layers.compact(spark, store.raw(topic.name), topic.raw, open_batches=1, by_date=False)
+        layers.compact(spark, store.curated(topic.name), topic.curated, open_batches=1)
 
 
 def warehouse(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
@@ -138,6 +139,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--servers", default="localhost:9092", help="brokers to ingest from")
     parser.add_argument("--files", help="ingest envelope files below this folder instead")
     parser.add_argument("--max-per-trigger", type=int, default=1000, help="messages, or files, per batch")
+    parser.add_argument("--tasks", type=int, help="write each batch by date with so many tasks (backfills)")
     parser.add_argument("--once", action="store_true", help="ingest what is there, then stop")
     parser.add_argument("--as-of", help="date the nightly summaries are for")
     parser.add_argument("--dates", nargs="*", help="recompute only these days of the daily summaries")

@@ -301,13 +301,16 @@ def _committed(spark: SparkSession, layer: str) -> dict[str, int]:
     return last
 
 
-def compact(spark: SparkSession, layer: str, ddl: str, open_batches: int = 0) -> int:
-    """Rewrite closed batches of a curated layer into few files per date; returns the generation.
-
-    Earlier generations are not touched. Rows are rebalanced by date, where adaptive
-    execution splits a date that is too large for one task. The marker file is written
-    last, so readers move from the batches to the generation in one step.
-    ``open_batches`` leaves the newest batches of each run alone (they may be replayed).
+def compact(
+    spark: SparkSession, layer: str, ddl: str, open_batches: int = 0, by_date: bool = True
+) -> int:
+    """Rewrite a layer's closed batches into few files; returns the generation.
+
+    Earlier generations are not touched. Rows of a curated layer are rebalanced by date,
+    where adaptive execution splits a date that is too large for one task; ``by_date=False``
+    is for the raw layer, which has no date folders. The marker file is written last, so
+    readers move from the batches to the generation in one step. ``open_batches`` leaves
+    the newest batches of each run alone (they may be replayed).
     """
     covered = _covered(spark, layer)
     closing = {
@@ -328,15 +331,11 @@ def compact(spark: SparkSession, layer: str, ddl: str, open_batches: int = 0) ->
         ],
     )
     generation = covered["generation"] + 1
-    (
-        rows.filter(due)
-        .drop("run", "batch_id")
-        .hint("rebalance", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("date")
-        .parquet(f"{layer}/compacted/generation={generation}")
-    )
+    rows = rows.filter(due).drop("run", "batch_id")
+    rows = rows.hint("rebalance", "date") if by_date else rows.hint("rebalance")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = writer.partitionBy("date") if by_date else writer
+    writer.parquet(f"{layer}/compacted/generation={generation}")
     Files(spark).publish_text(
         f"{layer}/covered/{generation:012d}", json.dumps({**covered["runs"], **closing})
     )

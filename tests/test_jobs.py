@@ -25,6 +25,9 @@ def test_whole_day(spark, root, capsys):
     jobs.main(["compact", "--root", store])
     assert layers.date_folders(spark, Store(store).curated("orders"))
     assert layers.read_curated(spark, Store(store), "orders").count() == 12
+    assert layers.read_raw(spark, Store(store), "orders").count() == 13
+    assert layers.drop_covered_batches(spark, Store(store).raw("orders")) == 2
+    assert layers.read_raw(spark, Store(store), "orders").count() == 13
 
     jobs.main(["nightly", "--root", store, "--as-of", "2026-07-01"])
     assert capsys.readouterr().out.count("written") == 4
