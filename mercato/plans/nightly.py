@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import ExitStack
+from dataclasses import dataclass
 from functools import cache
+from threading import Lock
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +23,16 @@ from mercato.streaming.layers import Store
 MANIFEST = "summary string, status string, rows bigint, as_of string"
 
 
+@dataclass(frozen=True)
+class Step:
+    """A summary, the table it needs, and whether it can be refreshed for single days."""
+
+    name: str
+    source: str
+    build: Callable[[], DataFrame]
+    per_day: bool = False
+
+
 def run_nightly(
     spark: SparkSession,
     tables: Tables,
@@ -31,49 +44,51 @@ def run_nightly(
     """Build and store the summaries; returns what was written, skipped or failed.
 
     Daily sales come first and the others wait for them; the others do not depend on each
-    other. A missing or empty input skips a summary. ``dates`` recomputes only those days
-    of the two per-day summaries. Customer metrics feed two summaries and are stored once.
+    other and run side by side. A missing or empty input skips a summary. ``dates``
+    recomputes only those days of the two per-day summaries. Customer metrics feed two
+    summaries and are stored once for both.
     """
-    with ExitStack() as open_tables:
+    first_use = Lock()
+    with ExitStack() as open_tables, ThreadPoolExecutor(3) as pool:
 
         @cache
-        def metrics() -> DataFrame:
+        def stored_metrics() -> DataFrame:
             totals = customer_metrics(tables.orders, as_of, by_identity=compat)
             return open_tables.enter_context(staged(totals, "customer-metrics"))
 
-        # name, input, how to build it, whether it is kept per day
-        steps: list[tuple[str, str, Callable[[], DataFrame], bool]] = [
-            ("daily_sales", "orders",
-             lambda: summaries.daily_sales(tables.orders, as_of, compat, dates), True),
-            ("customer_rfm", "orders",
-             lambda: summaries.score_customers(metrics(), as_of, compat), False),
-            ("churn_candidates", "orders",
-             lambda: summaries.churn_from_metrics(metrics(), as_of), False),
-            ("payment_analysis", "payments",
-             lambda: summaries.payment_analysis(tables.payments, as_of, dates), True),
+        def metrics() -> DataFrame:
+            with first_use:
+                return stored_metrics()
+
+        def run(step: Step) -> tuple[str, str, int, str]:
+            return step.name, *_run_step(tables, step, store, dates), as_of
+
+        first, *others = [
+            Step("daily_sales", "orders",
+                 lambda: summaries.daily_sales(tables.orders, as_of, compat, dates), per_day=True),
+            Step("customer_rfm", "orders", lambda: summaries.score_customers(metrics(), as_of, compat)),
+            Step("churn_candidates", "orders", lambda: summaries.churn_from_metrics(metrics(), as_of)),
+            Step("payment_analysis", "payments",
+                 lambda: summaries.payment_analysis(tables.payments, as_of, dates), per_day=True),
         ]
-        manifest: list[tuple[str, str, int, str]] = []
-        for name, source, build, daily in steps:
-            status, rows = "blocked", 0
-            if not manifest or not manifest[0][1].startswith("failed"):
-                status, rows = _run_step(
-                    tables, source, build, store.summary(name), dates if daily else None
-                )
-            manifest.append((name, status, rows, as_of))
+        manifest = [run(first)]
+        if manifest[0][1].startswith("failed"):
+            manifest += [(step.name, "blocked", 0, as_of) for step in others]
+        else:
+            manifest += pool.map(run, others)
     return spark.createDataFrame(manifest, MANIFEST)
 
 
-def _run_step(
-    tables: Tables, source: str, build: Callable[[], DataFrame], path: str, dates: list[str] | None
-) -> tuple[str, int]:
+def _run_step(tables: Tables, step: Step, store: Store, dates: list[str] | None) -> tuple[str, int]:
     try:
-        if not has_rows(tables[source]):
+        if not has_rows(tables[step.source]):
             return "skipped", 0
     except (PySparkException, FileNotFoundError):
         return "skipped", 0
+    path = store.summary(step.name)
     try:
-        if dates is None:
-            return "written", write_snapshot(build(), path)
-        return "written", refresh_snapshot(build(), path, "date", dates)
+        if dates is None or not step.per_day:
+            return "written", write_snapshot(step.build(), path)
+        return "written", refresh_snapshot(step.build(), path, "date", dates)
     except PySparkException as problem:
         return f"failed: {type(problem).__name__}", 0
