@@ -1,13 +1,17 @@
-"""The platform's jobs for spark-submit, over one root folder.
-
-    spark-submit mercato/jobs.py ingest    --root R --servers broker:9092
-    spark-submit mercato/jobs.py verify    --root R
-    spark-submit mercato/jobs.py nightly   --root R --as-of 2026-06-01
-    spark-submit mercato/jobs.py analyse   --root R [--only revenue_by_region …]
-    spark-submit mercato/jobs.py report    --root R --out DIR
-    spark-submit mercato/jobs.py export    --root R --out DIR
-    spark-submit mercato/jobs.py compact   --root R
-    spark-submit mercato/jobs.py warehouse --root R --database shop
+"""The platform's jobs, over one root folder.
+
+    python -m mercato.jobs ingest    --root R --servers broker:9092
+    python -m mercato.jobs watch     --root R --servers broker:9092 [--only orders …]
+    python -m mercato.jobs verify    --root R
+    python -m mercato.jobs nightly   --root R --as-of 2026-06-01
+    python -m mercato.jobs analyse   --root R [--only revenue_by_region …]
+    python -m mercato.jobs report    --root R --out DIR
+    python -m mercato.jobs export    --root R --out DIR
+    python -m mercato.jobs compact   --root R
+    python -m mercato.jobs warehouse --root R --database shop
+
+On a cluster: ``PYTHONPATH=. spark-submit <options> mercato/jobs.py <job> …``; executors
+need no Python code of this package.
 """
 
 from __future__ import annotations
@@ -22,10 +26,10 @@ from mercato import schemas
 from mercato.plans import analytics, catalog, nightly, report
 from mercato.plans.tables import Tables
 from mercato.session import pin_time_zone
-from mercato.sources.envelope import read_envelope_files, read_kafka
+from mercato.sources.envelope import parse_envelope, read_envelope_files, read_kafka
 from mercato.sources.snapshots import read_snapshot
 from mercato.sources.tables import TableEntry, register_tables
-from mercato.streaming import layers
+from mercato.streaming import layers, live
 from mercato.streaming.layers import Store
 
 EXPORTED = {
@@ -55,20 +59,46 @@ def table_entries(tables: Tables) -> list[TableEntry]:
     ]
 
 
+def _source(spark: SparkSession, args: argparse.Namespace, *topics: str) -> DataFrame:
+    """Messages of some topics: from brokers, or from files below ``--files``."""
+    if args.files:
+        folders = f"{args.files}/{{{','.join(topics)}}}"
+        return read_envelope_files(spark, folders, args.max_per_trigger)
+    return read_kafka(spark, topics, args.servers, max_per_trigger=args.max_per_trigger)
+
+
+def _trigger(args: argparse.Namespace) -> dict:
+    return {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
+
+
 def ingest(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Run the three topics until stopped, or with ``--once`` until all input is read."""
 
-    def source(topic: str) -> DataFrame:
-        if args.files:
-            return read_envelope_files(spark, f"{args.files}/{topic}", args.max_per_trigger)
-        return read_kafka(spark, topic, args.servers, max_per_trigger=args.max_per_trigger)
-
     def tell(topic: str, batch_id: int, counts: dict[str, int]) -> None:
         print(f"{topic} batch {batch_id}: {counts['received']} in, {counts['clean']} clean, "
               f"{counts['dropped']} dropped", flush=True)
 
-    trigger = {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
-    layers.await_all(layers.start_all(source, store, trigger=trigger, report=tell, tasks=args.tasks))
+    layers.await_all(
+        layers.start_all(
+            lambda topic: _source(spark, args, topic), store,
+            trigger=_trigger(args), report=tell, tasks=args.tasks,
+        )
+    )
+
+
+def watch(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
+    """Show messages as they arrive, and the running count of each topic; stores nothing."""
+    topics = args.only or list(schemas.TOPICS)
+    queries = [
+        live.start_watch(
+            live.WATCH[t](parse_envelope(_source(spark, args, t), layers.TOPICS[t].record)),
+            f"watch_{t}", trigger=_trigger(args),
+        )
+        for t in topics
+    ]
+    counts = live.topic_counts(_source(spark, args, *topics))
+    queries.append(live.start_watch(counts, "watch_counts", mode="complete", trigger=_trigger(args)))
+    layers.await_all(queries)
 
 
 def verify(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
@@ -127,7 +157,7 @@ def warehouse(spark: SparkSession, store: Store, args: argparse.Namespace) -> No
 
 
 JOBS: dict[str, Callable[[SparkSession, Store, argparse.Namespace], None]] = {
-    "ingest": ingest, "verify": verify, "nightly": run_nightly, "analyse": analyse,
+    "ingest": ingest, "watch": watch, "verify": verify, "nightly": run_nightly, "analyse": analyse,
     "report": write_report, "export": export, "compact": compact, "warehouse": warehouse,
 }
 
@@ -144,7 +174,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", help="date the nightly summaries are for")
     parser.add_argument("--dates", nargs="*", help="recompute only these days of the daily summaries")
     parser.add_argument("--compat", action="store_true", help="historic reading of the scoring rules")
-    parser.add_argument("--only", nargs="*", help="names of the analyses to show")
+    parser.add_argument("--only", nargs="*", help="names of the analyses, or topics, to show")
     parser.add_argument("--out", help="folder for a report or export")
     parser.add_argument("--database", default="shop")
     args = parser.parse_args(arguments)

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mercato import schemas
-from mercato.functions.text import items_label, or_missing, pad_left, pad_right, place_label, rupee_cents_label
+from mercato.functions.text import (
+    items_label, or_missing, pad_left, pad_right, place_label, rupee_cents_label,
+)
+from mercato.session import fresh_path
 
 
 def topic_counts(envelope: DataFrame) -> DataFrame:
@@ -75,6 +78,12 @@ WATCH = dict(zip(schemas.TOPICS, (watch_orders, watch_payments, watch_user_event
 def start_watch(
     view: DataFrame, name: str, sink: str = "console", mode: str = "append", trigger: dict | None = None
 ) -> StreamingQuery:
-    """Send a live view to the console, or to an in-memory table for small results."""
+    """Send a live view to the console, or to an in-memory table for small results.
+
+    Offsets and running counts go to the shared folder: by default these sinks would keep
+    them in a temporary folder that other machines do not see.
+    """
+    checkpoint = fresh_path(view.sparkSession, f"watch-{name}")
     writer = view.writeStream.format(sink).queryName(name).outputMode(mode)
+    writer = writer.option("checkpointLocation", checkpoint).option("truncate", "false")
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()

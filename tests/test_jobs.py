@@ -22,6 +22,8 @@ def test_whole_day(spark, root, capsys):
     told = capsys.readouterr().out
     assert told.count("orders batch") == 3 and "1 dropped" in told
 
+    jobs.main(["watch", "--root", store, "--files", f"{root}/in", "--once"])
+
     jobs.main(["compact", "--root", store])
     assert layers.date_folders(spark, Store(store).curated("orders"))
     assert layers.read_curated(spark, Store(store), "orders").count() == 12
