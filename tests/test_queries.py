@@ -81,6 +81,33 @@ def test_no_python_and_no_cross_join_in_the_plan(spark, name):
     assert "Python" not in text and "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
 
 
+# Grouped rows meet in one task for a total over them; detail rows never do.
+ON_GROUPED_ROWS = {
+    "reject_summary_orders", "reject_summary_payments", "reject_summary_events",
+    "warehouse_device_share", "warehouse_event_funnel", "finding_biggest_segment",
+    "finding_device_split", "finding_data_volume",
+}
+
+
+@pytest.mark.parametrize("name", sorted(set(LAZY) - ON_GROUPED_ROWS))
+def test_no_single_task(spark, name):
+    assert "SinglePartition" not in plan(entry.queries()[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", sorted(ON_GROUPED_ROWS))
+def test_a_total_comes_after_the_aggregate(spark, name):
+    text = plan(entry.queries()[name](spark, SF))
+    below = text.split("Exchange SinglePartition")[1].splitlines()[1:]
+    first = next(line for line in below if "- Project" not in line)
+    assert "HashAggregate" in first
+
+
+def test_customer_totals_combine_before_the_shuffle(spark):
+    text = plan(entry.queries()["customer_metrics"](spark, SF))
+    heavy = text.split("hashpartitioning(customer_id")[-1]
+    assert "HashAggregate" in heavy and "partial_" in heavy and "SortAggregate" not in heavy
+
+
 def test_scores_need_no_single_task(spark):
     scored = summaries.rfm_scores(Workspace(spark, SF).tables.orders, AS_OF)
     text = plan(scored)
