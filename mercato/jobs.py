@@ -8,6 +8,7 @@
     python -m mercato.jobs report    --root R --out DIR
     python -m mercato.jobs export    --root R --out DIR
     python -m mercato.jobs compact   --root R
+    python -m mercato.jobs tidy      --root R
     python -m mercato.jobs warehouse --root R --database shop
 
 On a cluster: ``PYTHONPATH=. spark-submit <options> mercato/jobs.py <job> …``; executors
@@ -27,11 +28,12 @@ from mercato.plans import analytics, catalog, nightly, report
 from mercato.plans.tables import Tables
 from mercato.session import pin_time_zone
 from mercato.sources.envelope import parse_envelope, read_envelope_files, read_kafka
-from mercato.sources.snapshots import read_snapshot
+from mercato.sources.snapshots import prune_snapshots, read_snapshot
 from mercato.sources.tables import TableEntry, register_tables
 from mercato.streaming import layers, live
 from mercato.streaming.layers import Store
 
+# The exported tables, their layer and sheet name.
 EXPORTED = {
     "orders": ("curated", "Orders_Raw"),
     "payments": ("curated", "Payments_Raw"),
@@ -151,6 +153,18 @@ def compact(spark: SparkSession, store: Store, args: argparse.Namespace) -> None
         layers.compact(spark, store.curated(topic.name), topic.curated, open_batches=1)
 
 
+def tidy(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
+    """Delete batches that compaction has rewritten, and summary versions before the last two.
+
+    Run it when no reader can still be on them.
+    """
+    for topic in schemas.TOPICS:
+        for layer in (store.raw(topic), store.curated(topic)):
+            print(f"{layer}: {layers.drop_covered_batches(spark, layer)} batches dropped", flush=True)
+    for summary in catalog.SUMMARY_VIEWS:
+        print(f"{summary}: {prune_snapshots(spark, store.summary(summary))} versions dropped", flush=True)
+
+
 def warehouse(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     catalog.create_warehouse(spark, args.database, store)
     catalog.list_tables(spark, args.database).show(truncate=False)
@@ -158,7 +172,8 @@ def warehouse(spark: SparkSession, store: Store, args: argparse.Namespace) -> No
 
 JOBS: dict[str, Callable[[SparkSession, Store, argparse.Namespace], None]] = {
     "ingest": ingest, "watch": watch, "verify": verify, "nightly": run_nightly, "analyse": analyse,
-    "report": write_report, "export": export, "compact": compact, "warehouse": warehouse,
+    "report": write_report, "export": export, "compact": compact, "tidy": tidy,
+    "warehouse": warehouse,
 }
 
 

@@ -82,6 +82,7 @@ def _delivery(topic: str, key: str, at: str) -> str:
     )
 
 
+# Fixed values, restated here so that the SQL does not depend on the code it checks.
 _DEVICES = ["Mobile", "Desktop", "Tablet"]
 _METHODS = ["UPI", "Credit Card", "Debit Card", "Net Banking", "Cash on Delivery", "Wallet"]
 _GATEWAYS = ["Razorpay", "Paytm", "PayU", "CCAvenue"]

@@ -322,6 +322,7 @@ def sheet_payments_sample(t: Tables) -> DataFrame:
     )
 
 
+# The report's sheet names.
 REPORT_SHEETS = {
     "Orders": sheet_orders_sample,
     "Revenue by Region": sheet_revenue_by_region,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# -- messages ---------------------------------------------------------------
+# -- messages: fixed field names and types -------------------------------------
 ENVELOPE = (
     "key binary, value binary, topic string, partition int, offset bigint, "
     "timestamp timestamp, timestampType int"

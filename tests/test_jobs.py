@@ -28,8 +28,10 @@ def test_whole_day(spark, root, capsys):
     assert layers.date_folders(spark, Store(store).curated("orders"))
     assert layers.read_curated(spark, Store(store), "orders").count() == 12
     assert layers.read_raw(spark, Store(store), "orders").count() == 13
-    assert layers.drop_covered_batches(spark, Store(store).raw("orders")) == 2
+    jobs.main(["tidy", "--root", store])
+    assert capsys.readouterr().out.count(": 2 batches dropped") == 6
     assert layers.read_raw(spark, Store(store), "orders").count() == 13
+    assert layers.read_curated(spark, Store(store), "orders").count() == 12
 
     jobs.main(["nightly", "--root", store, "--as-of", "2026-07-01"])
     assert capsys.readouterr().out.count("written") == 4
