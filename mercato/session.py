@@ -25,6 +25,8 @@ def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSes
         .config("spark.sql.session.timeZone", TIME_ZONE)
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
+        # list many date folders with a task per core instead of a task per folder
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", cores)
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
