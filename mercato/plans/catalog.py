@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from mercato import schemas
 from mercato.sources.snapshots import snapshot_exists, snapshot_folder
+from mercato.sources.tables import named_table
 from mercato.streaming.layers import TOPICS, Store, date_folders
 
 # The warehouse's names for columns that the files hold under other names.
@@ -98,7 +99,7 @@ def create_warehouse(
 
 def warehouse_table(spark: SparkSession, database: str, name: str) -> DataFrame:
     """A warehouse view with the column names the analyses use."""
-    df = spark.table(f"{database}.{SUMMARY_VIEWS.get(name, name)}")
+    df = named_table(spark, database, SUMMARY_VIEWS.get(name, name))
     back = {new: old for old, new in RENAMED.get(name, {}).items()}
     if name in schemas.TOPICS:
         back["dt"] = "date"

@@ -44,7 +44,11 @@ def daily_sales(
 
 
 def rfm_scores(orders: DataFrame, as_of: str, compat: bool = False) -> DataFrame:
-    """Recency, frequency and monetary scores 1-5 and the segment of their sum."""
+    """Recency, frequency and monetary scores 1-5 and the segment of their sum.
+
+    The customer metrics are stored in the shared folder first and stay there, because the
+    result reads them; :func:`score_customers` takes metrics the caller looks after.
+    """
     return score_customers(
         stage(customer_metrics(orders, as_of, by_identity=compat), "customer-metrics"), as_of, compat
     )

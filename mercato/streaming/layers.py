@@ -146,11 +146,16 @@ def start_topic(
     report: Callable[[str, int, dict], None] | None = None,
     tasks: int | None = None,
 ) -> StreamingQuery:
-    """One continuous query: envelope -> raw and curated."""
+    """One continuous query: envelope -> raw and curated.
+
+    Its jobs run in a scheduler pool of the topic's name, so with fair scheduling a large
+    batch of one topic does not hold up the others.
+    """
     spark = envelope.sparkSession
     checkpoint = store.checkpoint(topic.name)
     writer = make_batch_writer(topic, store, run_id(spark, checkpoint), report, tasks)
-    return (
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", topic.name)
+    query = (
         parse_envelope(envelope, topic.record)
         .writeStream.foreachBatch(writer)
         .option("checkpointLocation", checkpoint)
@@ -158,6 +163,8 @@ def start_topic(
         .trigger(**(trigger or {"processingTime": "10 seconds"}))
         .start()
     )
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    return query
 
 
 def start_all(
