@@ -91,7 +91,7 @@ class Workspace:
         folder = f"{self.root}/envelopes/{topic}"
         with _writing:
             if not self._is_written(folder):
-                arrived = self.raw(topic).repartitionByRange("kafka_timestamp")
+                arrived = self.raw(topic).repartitionByRange("kafka_timestamp", "kafka_offset")
                 messages = testdata.envelope(arrived, topic)
                 messages.write.mode("overwrite").parquet(folder)
                 _written[folder] = messages.schema
