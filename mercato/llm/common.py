@@ -106,21 +106,29 @@ class WordHashes(dict):
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0x9E3779B97F4A7C15)
-    x = x ^ (x >> np.uint64(29))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
 
 
+def spans_at(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each start on."""
+    total = np.full(len(starts), np.uint64(size), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(size):
+            total = mix(total * np.uint64(0x100000001B3) + words[starts + i])
+    return total
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` words; of the whole sequence if it is shorter; none of none."""
     if not len(words):
         return words
     size = min(size, len(words))
     n = len(words) - size + 1
+    total = np.full(n, np.uint64(size), dtype=np.uint64)
     with np.errstate(over="ignore"):
-        total = np.full(n, np.uint64(size), dtype=np.uint64)
         for i in range(size):
             total = mix(total * np.uint64(0x100000001B3) + words[i : i + n])
     return total

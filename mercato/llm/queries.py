@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import byte_bpe, chat_format, url_filter
+from mercato.llm import byte_bpe, chat_format, decontaminate, url_filter
 
 
 def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_chat_format": chat_format.query,
         "op4_byte_bpe": byte_bpe.query,
+        "op5_decontaminate": decontaminate.query,
         "op9_url_filter": url_filter.query,
     }
 
@@ -20,5 +21,6 @@ def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def build_llm_oracle() -> dict[str, str]:
     return {
         "op3_chat_format": chat_format.ORACLE_SQL,
+        "op5_decontaminate": decontaminate.ORACLE_SQL,
         "op9_url_filter": url_filter.ORACLE_SQL,
     }
