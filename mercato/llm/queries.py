@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import byte_bpe, chat_format, decontaminate, url_filter
+from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, url_filter
 
 
 def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_chat_format": chat_format.query,
         "op4_byte_bpe": byte_bpe.query,
         "op5_decontaminate": decontaminate.query,
+        "op6_fingerprints": fingerprints.query,
         "op9_url_filter": url_filter.query,
     }
 
