@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, url_filter
+from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, quality, url_filter
 
 
 def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": quality.query,
         "op3_chat_format": chat_format.query,
         "op4_byte_bpe": byte_bpe.query,
         "op5_decontaminate": decontaminate.query,
