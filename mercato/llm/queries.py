@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, quality, url_filter
+from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, quality, url_filter
 
 
 def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_bpe": byte_bpe.query,
         "op5_decontaminate": decontaminate.query,
         "op6_fingerprints": fingerprints.query,
+        "op8_lattice_lm": lattice_lm.query,
         "op9_url_filter": url_filter.query,
     }
 
