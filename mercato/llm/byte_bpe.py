@@ -14,24 +14,25 @@ Rows: a null or empty text has no ids and decodes to no bytes; repeated rows giv
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
-from itertools import chain, islice
+from hashlib import sha256
+from heapq import heapify, heappop, heappush
+from itertools import batched, chain, islice
 
 import numpy as np
 import pandas as pd
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import id_text, mix, table
+from mercato.llm.common import id_text, map_rows, mix, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: A vocabulary may be shipped with each task up to this size.
 MAX_ENTRIES = 2_000_000
-#: Pre-tokens remembered per task, and taken from a text at a time.
-REMEMBERED, SLICE = 200_000, 50_000
+#: Pre-tokens remembered in each of two generations per task; characters (pre-tokens of a longer text) at a time.
+REMEMBERED, SLICE = 250_000, 200_000
 
 
 def load_ranks(path: str) -> list[bytes]:
@@ -115,51 +116,103 @@ class Codec:
     def __init__(self, entries: list[bytes], pattern: str) -> None:
         self.entries = entries
         known = [i for i, e in enumerate(entries) if e]
-        self.hash = PerfectHash([entries[i] for i in known], known)
-        self.ranks = {entries[i]: i for i in known}
-        # white space by the Unicode property; the regex module's \s has four control characters more
-        self.pattern = pattern.replace(r"\s\p{L}", r"\p{White_Space}\p{L}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        rank = {entries[i]: i for i in known}
+        self.hash = PerfectHash(list(rank), list(rank.values()))
+        self.byte = [rank.get(bytes((b,)), -1) for b in range(256)]
+        if min(self.byte) < 0:
+            raise ValueError("a byte-level vocabulary has all 256 bytes")
+        # what each entry makes with the one to its right
+        self.makes: list[dict[int, int]] = [{} for _ in entries]
+        for e, i in rank.items():
+            for cut in range(1, len(e)):
+                if (left := rank.get(e[:cut])) is not None and (right := rank.get(e[cut:])) is not None:
+                    self.makes[left][right] = i
+        # white space by the Unicode property; the regex module's \\s has four control characters more
+        space = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        self.matches = regex.compile(space)
         self.seen: dict[str, tuple[int, ...]] = {}
-        self.matches = regex.compile(self.pattern)
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merge(self, word: bytes) -> tuple[int, ...]:
-        """Ids of a pre-token by merging the pair of lowest rank, the leftmost of equals, until none is left."""
-        n, ranks = len(word), self.ranks
-        piece = [word[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, 1, 1) for i in range(n - 1) if (r := ranks.get(word[i : i + 2])) is not None]
-        heapq.heapify(heap)
+        """Ids of a pre-token: merge the pair of lowest rank, the leftmost of equals, until none is left.
+
+        The heap holds rank and place in one number; ``due`` has the valid one of each place.
+        """
+        n, makes = len(word), self.makes
+        bits = n.bit_length()
+        place = (1 << bits) - 1
+        ids = [self.byte[b] for b in word]
+        after, before, due, heap = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n, []
+        for i, made in enumerate(map(dict.get, map(makes.__getitem__, ids), ids[1:])):
+            if made is not None:
+                due[i] = made << bits | i
+                heap.append(due[i])
+        heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
-            j = after[i]
-            if len(piece[i]) != left or j >= n or len(piece[j]) != right or not left:
+            top = heappop(heap)
+            i = top & place
+            if due[i] != top:
                 continue  # either side has been merged since
-            piece[i] += piece[j]
-            piece[j] = b""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (r := ranks.get(piece[i] + piece[after[i]])) is not None:
-                    heapq.heappush(heap, (r, i, len(piece[i]), len(piece[after[i]])))
-            if before[i] >= 0 and (r := ranks.get(piece[before[i]] + piece[i])) is not None:
-                heapq.heappush(heap, (r, before[i], len(piece[before[i]]), len(piece[i])))
-        return tuple(ranks[p] for p in piece if p)
-
-    def encode(self, text: str) -> list[int]:
+            j = after[i]
+            now, right, left = top >> bits, after[j], before[i]
+            ids[i], after[i], due[i], due[j], ids[j] = now, right, -1, -1, -1
+            if right < n:
+                before[right] = i
+                if (made := makes[now].get(ids[right])) is not None:
+                    due[i] = top = made << bits | i
+                    heappush(heap, top)
+            if left >= 0:
+                if (made := makes[ids[left]].get(now)) is not None:
+                    due[left] = top = made << bits | left
+                    heappush(heap, top)
+                else:
+                    due[left] = -1
+        return tuple(i for i in ids if i >= 0)
+
+    def _resolve(self, words: set[str]) -> None:
+        """Remember the ids of words; the older half of what is remembered goes first."""
+        if len(self.seen) + len(words) > REMEMBERED:
+            self.older, self.seen = self.seen, {}
+        rest, older = [], self.older
+        for w in words.difference(self.seen):
+            if w in older:
+                self.seen[w] = older[w]
+            else:
+                rest.append(w)
+        raw = [w.encode() for w in rest]
+        for word, b, i in zip(rest, raw, self.hash.find(raw), strict=True):
+            self.seen[word] = (i,) if i >= 0 else self.merge(b)
+
+    def _long(self, text: str) -> list[int]:
         out: list[int] = []
-        found = (m.group() for m in self.matches.finditer(text)) if len(text) > SLICE else iter(self.matches.findall(text))
+        found = (m.group() for m in self.matches.finditer(text))
         while words := list(islice(found, SLICE)):
-            new = [w for w in set(words) if w not in self.seen]
-            if new:
-                if len(self.seen) + len(new) > REMEMBERED:
-                    self.seen.clear()
-                    new = list(set(words))
-                as_bytes = [w.encode() for w in new]
-                for word, raw, i in zip(new, as_bytes, self.hash.find(as_bytes), strict=True):
-                    self.seen[word] = (i,) if i >= 0 else self.merge(raw)
+            self._resolve(set(words))
             out.extend(chain.from_iterable(map(self.seen.__getitem__, words)))
         return out
 
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text; texts are taken together up to ``SLICE`` characters."""
+        out: list[list[int]] = []
+        start = 0
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and (end == start or size + len(texts[end]) <= SLICE):
+                size += len(texts[end])
+                end += 1
+            if size > SLICE:
+                out.append(self._long(texts[start]))
+            else:
+                words = list(map(self.matches.findall, texts[start:end]))
+                self._resolve(set(chain.from_iterable(words)))
+                get = self.seen.__getitem__
+                out += [list(chain.from_iterable(map(get, w))) for w in words]
+            start = end
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids))
 
@@ -178,7 +231,8 @@ def encoder(spark: SparkSession, own: Codec):
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         use = shipped.value
         for texts in parts:
-            yield pd.Series([np.array(use.encode(t or ""), dtype=np.int32) for t in texts], dtype=object)
+            ids = use.encode_all([t or "" for t in texts])
+            yield pd.Series([np.array(i, dtype=np.int32) for i in ids], dtype=object)
 
     return encode
 
@@ -202,18 +256,25 @@ def encoded(docs: DataFrame, own: Codec | None = None, id_col: str = "doc_id", t
     return id_text(docs, id_col, text_col).select("doc_id", encoder(docs.sparkSession, own)("text").alias("ids"))
 
 
-def digests(ids: DataFrame, own: Codec) -> DataFrame:
-    """Counts and digests of encoded rows, the text's own bytes decoded from the ids."""
-    comma = lambda ids: F.array_join(ids.cast("array<string>"), ",")
-    decode: Column = decoder(ids.sparkSession, own)("ids")
-    return ids.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(comma(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(decode, 256).alias("decoded_sha256"),
-    )
+def digests(docs: DataFrame, own: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: the count and digest of its ids, and of the bytes that they decode to.
+
+    Encodes and decodes in the same task, a few texts at a time, so the ids of no batch are held.
+    """
+    named = id_text(docs, id_col, text_col)
+    shipped = docs.sparkSession.sparkContext.broadcast(own)
+
+    def rows(source: Iterator[dict]) -> Iterator[tuple]:
+        use = shipped.value
+        decimal = [str(i) for i in range(len(use.entries))]
+        for part in batched(source, 128):
+            for r, ids in zip(part, use.encode_all([r["text"] for r in part]), strict=True):
+                listed = ",".join(map(decimal.__getitem__, ids)).encode()
+                yield r["doc_id"], len(ids), sha256(listed).hexdigest(), sha256(use.decode(ids)).hexdigest()
+
+    key = named.schema["doc_id"].dataType.simpleString()
+    return map_rows(named, rows, f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = codec()
-    return digests(encoded(table(spark, sf_dir, "documents"), own), own)
+    return digests(table(spark, sf_dir, "documents"), codec())
