@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ import mercato
 
 #: Rows of a key list that may be broadcast: at most about 16 MB of 8-byte keys with overhead.
 BROADCAST_KEYS = 200_000
+#: Bits of a filter: 16 per entry, but no more than this (16 MB).
+FILTER_BITS = 1 << 27
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: For ``str.translate``: lower-cases A-Z and nothing else.
 ASCII_LOWER = str.maketrans(_UPPER, _LOWER)
@@ -87,6 +90,53 @@ def with_keys(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_se
     return df.join(F.broadcast(keys) if small else keys, on, how)
 
 
+class BitFilter:
+    """Two bits per entry in a fixed number of bits: no entry is missed, few others pass."""
+
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+
+    @staticmethod
+    def of(entries: DataFrame, column: str, max_bits: int = FILTER_BITS) -> BitFilter:
+        """Of 64-bit hashes, built by the executors; what reaches the driver has at most ``max_bits``."""
+        count = entries.agg(F.approx_count_distinct(column)).first()[0]
+        bits = 1 << 12
+        while bits < min(max_bits, 16 * count):
+            bits *= 2
+        spots = F.explode(F.array(F.col(column), F.shiftrightunsigned(column, 32)))
+        at = entries.select(spots.alias("h")).select(F.expr(f"h & {bits - 1}L").alias("at"))
+        rows = at.groupBy(F.shiftright("at", 6).alias("word")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
+        ).toPandas()
+        words = np.zeros(bits // 64, np.uint64)
+        words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+        return BitFilter(words)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        bits = np.uint64(len(self.words) * 64 - 1)
+        found = np.ones(len(hashes), bool)
+        for h in (hashes, hashes >> np.uint64(32)):
+            at = h & bits
+            found &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+        return found
+
+
+def only_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """At least the rows whose doc_id is among ``ids``, for a join that follows. No row is shuffled.
+
+    A short list is broadcast; a long one becomes a bit filter, which lets some other rows pass.
+    """
+    if ids.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        return rows.join(F.broadcast(ids), "doc_id", "left_semi")
+    known = rows.sparkSession.sparkContext.broadcast(BitFilter.of(ids.select(F.xxhash64("doc_id").alias("h")), "h"))
+
+    @F.pandas_udf("boolean")
+    def listed(hashes: pd.Series) -> pd.Series:
+        return pd.Series(known.value.has(hashes.to_numpy(np.int64).view(np.uint64)))
+
+    return rows.where(listed(F.xxhash64("doc_id")))
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered for at most ``limit`` words."""
 

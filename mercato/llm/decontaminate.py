@@ -26,13 +26,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import ASCII_LOWER, WordHashes, id_text, map_rows, shingle_hashes, spans_at, table
+from mercato.llm.common import ASCII_LOWER, BitFilter, WordHashes, id_text, map_rows, shingle_hashes, spans_at, table
 from mercato.session import stage
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, K = 13, 5
-#: A filter's bits: 16 per entry, but no more than this (16 MB).
-FILTER_BITS = 1 << 27
 
 
 def words_of(text: str | None) -> list[str]:
@@ -52,37 +50,6 @@ def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(best)
 
 
-class BitFilter:
-    """Two bits per entry in a fixed number of bits: no entry is missed, few others pass."""
-
-    def __init__(self, words: np.ndarray) -> None:
-        self.words = words
-
-    @staticmethod
-    def of(entries: DataFrame, column: str, max_bits: int = FILTER_BITS) -> BitFilter:
-        """Built by the executors; what reaches the driver has at most ``max_bits``."""
-        count = entries.agg(F.approx_count_distinct(column)).first()[0]
-        bits = 1 << 12
-        while bits < min(max_bits, 16 * count):
-            bits *= 2
-        spots = F.explode(F.array(F.col(column), F.shiftrightunsigned(column, 32)))
-        at = entries.select(spots.alias("h")).select(F.expr(f"h & {bits - 1}L").alias("at"))
-        rows = at.groupBy(F.shiftright("at", 6).alias("word")).agg(
-            F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
-        ).toPandas()
-        words = np.zeros(bits // 64, np.uint64)
-        words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-        return BitFilter(words)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        bits = np.uint64(len(self.words) * 64 - 1)
-        found = np.ones(len(hashes), bool)
-        for h in (hashes, hashes >> np.uint64(32)):
-            at = h & bits
-            found &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
-        return found
-
-
 def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """(item, size, words, hash, kept) per window of an item; ``kept``: the fingerprints it holds."""
 

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, quality, url_filter
+from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, near_dups, quality, url_filter
 
 
 def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": quality.query,
+        "op2_near_dups": near_dups.query,
         "op3_chat_format": chat_format.query,
         "op4_byte_bpe": byte_bpe.query,
         "op5_decontaminate": decontaminate.query,
@@ -23,6 +24,7 @@ def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def build_llm_oracle() -> dict[str, str]:
     return {
+        "op2_near_dups": near_dups.ORACLE_SQL,
         "op3_chat_format": chat_format.ORACLE_SQL,
         "op5_decontaminate": decontaminate.ORACLE_SQL,
         "op9_url_filter": url_filter.ORACLE_SQL,
