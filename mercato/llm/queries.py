@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, near_dups, quality, url_filter
+from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, line_dedup, near_dups, quality, url_filter
 
 
 def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_bpe": byte_bpe.query,
         "op5_decontaminate": decontaminate.query,
         "op6_fingerprints": fingerprints.query,
+        "op7_line_dedup": line_dedup.query,
         "op8_lattice_lm": lattice_lm.query,
         "op9_url_filter": url_filter.query,
     }
@@ -27,5 +28,6 @@ def build_llm_oracle() -> dict[str, str]:
         "op2_near_dups": near_dups.ORACLE_SQL,
         "op3_chat_format": chat_format.ORACLE_SQL,
         "op5_decontaminate": decontaminate.ORACLE_SQL,
+        "op7_line_dedup": line_dedup.ORACLE_SQL,
         "op9_url_filter": url_filter.ORACLE_SQL,
     }
