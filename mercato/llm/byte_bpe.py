@@ -276,5 +276,20 @@ def digests(docs: DataFrame, own: Codec, id_col: str = "doc_id", text_col: str =
     return map_rows(named, rows, f"doc_id {key}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def tokenized(docs: DataFrame, own: Codec, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids, intact): ``intact`` if the ids decode to the text's own bytes."""
+    named = id_text(docs, id_col, text_col)
+    shipped = docs.sparkSession.sparkContext.broadcast(own)
+
+    def rows(source: Iterator[dict]) -> Iterator[tuple]:
+        use = shipped.value
+        for part in batched(source, 128):
+            for r, ids in zip(part, use.encode_all([r["text"] for r in part]), strict=True):
+                yield r["doc_id"], len(ids), ids, use.decode(ids) == r["text"].encode()
+
+    key = named.schema["doc_id"].dataType.simpleString()
+    return map_rows(named, rows, f"doc_id {key}, n_tokens long, ids array<int>, intact boolean", batch=256)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), codec())

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, licenses, line_dedup, near_dups, quality, url_filter
 
 
@@ -21,6 +22,7 @@ def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_line_dedup": line_dedup.query,
         "op8_lattice_lm": lattice_lm.query,
         "op9_url_filter": url_filter.query,
+        "pipeline": corpus_pipeline.run,
     }
 
 
