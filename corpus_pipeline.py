@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.llm import byte_bpe, decontaminate, line_dedup, near_dups, quality
-from mercato.llm.common import table, with_keys
+from mercato.llm.common import table, unused, with_keys
 from mercato.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -35,15 +35,15 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: without lines like an earlier one, and without documents that this leaves without words."""
     _, gone = line_dedup.repeated_lines(docs)
-    gone = gone.select(F.col("doc_id").alias("_gone_from"), F.col("removed").alias("_gone_lines"))
-    joined = docs.join(gone, docs["doc_id"] == gone["_gone_from"], "left")
-    text = line_dedup.without_lines(docs["text"], gone["_gone_lines"])
+    source, lines = unused(docs, "gone_from"), unused(docs, "gone_lines")
+    gone = gone.select(F.col("doc_id").alias(source), F.col("removed").alias(lines))
+    joined = docs.join(gone, F.col("doc_id") == F.col(source), "left")
+    untouched, text = F.col(lines).isNull(), line_dedup.without_lines(F.col("text"), F.col(lines))
     changed = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(gone["_gone_lines"].isNull(), docs["n_chars"]).otherwise(F.length(text).cast(kind))
-    kept = joined.where(gone["_gone_lines"].isNull() | text.rlike(line_dedup.WORDS))
-    return kept.select(*(changed.get(c, docs[c]).alias(c) for c in docs.columns))
+        changed["n_chars"] = F.when(untouched, F.col("n_chars")).otherwise(F.length(text).cast(kind))
+    return joined.where(untouched | text.rlike(line_dedup.WORDS)).withColumns(changed).drop(source, lines)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = stage(near_dups.duplicate_groups(docs, size=SHINGLE), "duplicate-groups")
     named = docs.where("doc_id IS NOT NULL")
     if named.count() != groups.count():  # ids repeat
-        nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        named = named.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+        nth, first = unused(docs, "nth"), F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+        named = named.withColumn(nth, first).where(F.col(nth) == 1).drop(nth)
         docs = named.unionByName(docs.where("doc_id IS NULL"))
     return with_keys(docs, groups.where("doc_id <> component").select("doc_id"), ["doc_id"], "left_anti").select(*docs.columns)
 

@@ -50,6 +50,14 @@ def hash_split(id_col: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % folds, F.lit(0))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], schema: str, batch: int = 4096) -> DataFrame:
     """``mapInArrow`` over dicts: at most ``batch`` result rows are held at a time."""
 
