@@ -20,7 +20,6 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato import schemas
@@ -56,7 +55,7 @@ def stored_tables(spark: SparkSession, store: Store) -> Tables:
 
 def table_entries(tables: Tables) -> list[TableEntry]:
     return [
-        TableEntry(name, layer, lambda n=name: tables[n], sheet, report.TABLE_DESCRIPTIONS[name])
+        TableEntry(name, layer, lambda n=name: tables[n], sheet)
         for name, (layer, sheet) in EXPORTED.items()
     ]
 
@@ -65,8 +64,8 @@ def _source(spark: SparkSession, args: argparse.Namespace, *topics: str) -> Data
     """Messages of some topics: from brokers, or from files below ``--files``."""
     if args.files:
         folders = f"{args.files}/{{{','.join(topics)}}}"
-        return read_envelope_files(spark, folders, args.max_per_trigger)
-    return read_kafka(spark, topics, args.servers, max_per_trigger=args.max_per_trigger)
+        return read_envelope_files(spark, folders, args.max_files)
+    return read_kafka(spark, topics, args.servers, max_per_trigger=args.max_messages)
 
 
 def _trigger(args: argparse.Namespace) -> dict:
@@ -116,12 +115,13 @@ def verify(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     ):
         if topic in available:
             sample(tables).show(truncate=False)
-            counts(tables).show(truncate=False)
+            counts(tables).show(10, truncate=False)
 
 
 def run_nightly(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     tables = stored_tables(spark, store)
     nightly.run_nightly(spark, tables, store, args.as_of, args.dates, args.compat).show(truncate=False)
+    catalog.refresh_warehouse(spark, args.database, store)
 
 
 def analyse(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
@@ -131,7 +131,7 @@ def analyse(spark: SparkSession, store: Store, args: argparse.Namespace) -> None
         print(name, flush=True)
         try:
             analytics.ANALYSES[name](tables).show(truncate=False)
-        except (PySparkException, FileNotFoundError) as problem:
+        except Exception as problem:  # a missing table, or a failed task
             print(f"skipped: {problem}", flush=True)
 
 
@@ -151,13 +151,16 @@ def compact(spark: SparkSession, store: Store, args: argparse.Namespace) -> None
     for topic in layers.TOPICS.values():
         layers.compact(spark, store.raw(topic.name), topic.raw, open_batches=1, by_date=False)
         layers.compact(spark, store.curated(topic.name), topic.curated, open_batches=1)
+        layers.fold_counts(spark, store, topic.name)
+    catalog.refresh_warehouse(spark, args.database, store)
 
 
 def tidy(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Delete batches that compaction has rewritten, and summary versions before the last two.
 
-    Run it when no reader can still be on them.
+    Run it when no reader can still be on them. The warehouse moves to what stays first.
     """
+    catalog.refresh_warehouse(spark, args.database, store)
     for topic in schemas.TOPICS:
         for layer in (store.raw(topic), store.curated(topic)):
             print(f"{layer}: {layers.drop_covered_batches(spark, layer)} batches dropped", flush=True)
@@ -183,7 +186,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="folder of the layers and summaries")
     parser.add_argument("--servers", default="localhost:9092", help="brokers to ingest from")
     parser.add_argument("--files", help="ingest envelope files below this folder instead")
-    parser.add_argument("--max-per-trigger", type=int, default=1000, help="messages, or files, per batch")
+    parser.add_argument("--max-messages", type=int, help="messages per batch from brokers; all there are if not given")
+    parser.add_argument("--max-files", type=int, help="envelope files per batch; all there are if not given")
     parser.add_argument("--tasks", type=int, help="write each batch by date with so many tasks (backfills)")
     parser.add_argument("--once", action="store_true", help="ingest what is there, then stop")
     parser.add_argument("--as-of", help="date the nightly summaries are for")

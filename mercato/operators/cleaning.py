@@ -22,9 +22,15 @@ def filled(column: str) -> Column:
 
 
 def positive(column: str) -> Column:
-    """Not null and above zero. Spark sorts NaN above every number, so it is named."""
+    """Above zero and an amount whose cents can be summed: no NaN (Spark sorts it above every
+    number), no infinity, below ``AMOUNT_BELOW``."""
     value = F.col(column)
-    return value.isNotNull() & ~F.isnan(value.cast("double")) & (value > 0)
+    return value.isNotNull() & (value > 0) & (value < schemas.AMOUNT_BELOW)
+
+
+def usable(amount: str) -> Column:
+    """The amount, or null where it is no number that can be summed."""
+    return F.when(F.abs(amount) < schemas.AMOUNT_BELOW, F.col(amount))
 
 
 RULES: dict[str, list[tuple[str, Callable[[str], Column]]]] = {
@@ -92,7 +98,7 @@ def clean_orders(raw: DataFrame, now: Column | None = None) -> DataFrame:
             "city": tidy("city"),
             "region": upper_tidy("region"),
             "final_amount": F.round("final_amount", 2),
-            "discount": F.round(F.coalesce("discount", F.lit(0.0)), 2),
+            "discount": F.round(F.coalesce(usable("discount"), F.lit(0.0)), 2),
             "event_timestamp": _event_time(),
         }
     )

@@ -11,35 +11,22 @@ from mercato.functions.money import from_cents, half_up, total_cents
 def customer_metrics(orders: DataFrame, as_of: str, by_identity: bool = False) -> DataFrame:
     """Last order day, order count and spend of each customer, and the days since.
 
-    The heavy pass groups by (id, name, e-mail) with numeric buffers only, so it is a hash
-    aggregate with map-side combining and a hot customer shrinks to a few rows before the
-    shuffle. The second, small pass folds a customer's identities into one row and keeps
-    the name and e-mail of the latest order. ``by_identity=True`` stops after the first.
+    One aggregate by customer, combined before its shuffle: a customer becomes a row per task
+    however many names the orders give. Name and e-mail are those of the latest order, of equal
+    times the one of greatest id. ``by_identity=True`` has a row per (id, name, e-mail) instead.
     """
-    identities = orders.groupBy("customer_id", "customer_name", "customer_email").agg(
+    totals = [
         F.max(F.col("date").try_cast("date")).alias("last_day"),
-        F.max("event_timestamp").alias("last_seen"),
         F.count("order_id").alias("total_orders"),
         F.count("final_amount").alias("amounts"),
         total_cents("final_amount").alias("cents"),
-    )
-    folded = identities
-    if not by_identity:
-        latest = F.max_by(
-            F.struct("customer_name", "customer_email"),
-            F.struct("last_seen", "customer_name", "customer_email"),
-        )
-        folded = (
-            identities.groupBy("customer_id")
-            .agg(
-                latest.alias("who"),
-                F.max("last_day").alias("last_day"),
-                F.sum("total_orders").alias("total_orders"),
-                F.sum("amounts").alias("amounts"),
-                F.sum("cents").alias("cents"),
-            )
-            .select("*", "who.*")
-        )
+    ]
+    if by_identity:
+        folded = orders.groupBy("customer_id", "customer_name", "customer_email").agg(*totals)
+    else:
+        who = F.struct("customer_name", "customer_email")
+        latest = F.max_by(who, F.struct("event_timestamp", "order_id", "customer_name", "customer_email"))
+        folded = orders.groupBy("customer_id").agg(latest.alias("who"), *totals).select("*", "who.*")
     return folded.select(
         "customer_id",
         "customer_name",

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato import schemas
-
 # Control characters a spreadsheet cell cannot hold, and texts meaning "no value".
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 EMPTY_TEXTS = ["None", "nan"]
@@ -34,10 +32,10 @@ def _cell(field: T.StructField, cell_limit: int | None) -> Column:
     return text if cell_limit is None else F.substring(text, 1, cell_limit)
 
 
-def export_safe(df: DataFrame, cell_limit: int | None = schemas.CELL_LIMIT) -> DataFrame:
+def export_safe(df: DataFrame, cell_limit: int | None = None) -> DataFrame:
     """Same rows and column names; times and nested values as text, unsafe characters out.
 
-    ``cell_limit`` is the longest text a spreadsheet cell holds; ``None`` leaves texts whole.
+    Texts stay whole. A spreadsheet caller may cut them with ``cell_limit=schemas.CELL_LIMIT``.
     """
     return df.select(*[_cell(f, cell_limit).alias(f.name) for f in df.schema.fields])
 

@@ -210,19 +210,26 @@ def catalogue_check_counts(lines: DataFrame, products: DataFrame | None = None)
     """Lines that match the product list, or how they differ.
 
     A product's lines collapse to their distinct variants before the join, so a product
-    in a third of all lines does not skew it.
+    in a third of all lines does not skew it. Lines of a product that the list has twice, with
+    different entries, are DUPLICATE_PRODUCT.
     """
-    known = (shop_products(lines) if products is None else products).select(
+    listed = (shop_products(lines) if products is None else products).select(
         "product_id",
-        F.col("product_name").alias("listed_name"),
-        F.col("category").alias("listed_category"),
-        cents("unit_price").alias("listed_cents"),
+        F.struct(
+            F.col("product_name").alias("listed_name"),
+            F.col("category").alias("listed_category"),
+            cents("unit_price").alias("listed_cents"),
+        ).alias("entry"),
     )
+    known = listed.groupBy("product_id").agg(
+        F.min("entry").alias("entry"), (~F.min("entry").eqNullSafe(F.max("entry"))).alias("twice")
+    ).select("product_id", "entry.*", "twice", F.lit(True).alias("known"))
     variants = lines.groupBy(
         "product_id", "product_name", "category", cents("unit_price").alias("price_cents")
     ).agg(F.count("*").alias("n"))
     status = (
-        F.when(F.col("listed_name").isNull(), "UNKNOWN_PRODUCT")
+        F.when(F.col("known").isNull(), "UNKNOWN_PRODUCT")
+        .when(F.col("twice"), "DUPLICATE_PRODUCT")
         .when(~F.col("product_name").eqNullSafe(F.col("listed_name")), "NAME_MISMATCH")
         .when(~F.col("category").eqNullSafe(F.col("listed_category")), "CATEGORY_MISMATCH")
         .when(~F.col("price_cents").eqNullSafe(F.col("listed_cents")), "PRICE_MISMATCH")

@@ -143,9 +143,9 @@ raw_user_events AS (
   FROM numbered_events)"""
 
 _ORDERS_VALID = """order_id IS NOT NULL AND trim(order_id) <> '' AND customer_id IS NOT NULL
-    AND trim(customer_id) <> '' AND final_amount > 0 AND NOT isnan(final_amount) AND num_items > 0"""
+    AND trim(customer_id) <> '' AND final_amount > 0 AND final_amount < 9e16 AND num_items > 0"""
 _PAYMENTS_VALID = """payment_id IS NOT NULL AND trim(payment_id) <> '' AND order_id IS NOT NULL
-    AND trim(order_id) <> '' AND amount > 0 AND NOT isnan(amount)"""
+    AND trim(order_id) <> '' AND amount > 0 AND amount < 9e16"""
 _EVENTS_VALID = """event_id IS NOT NULL AND trim(event_id) <> '' AND customer_id IS NOT NULL
     AND trim(customer_id) <> '' AND event_type IS NOT NULL AND trim(event_type) <> ''"""
 
@@ -155,11 +155,11 @@ _CURATED = f"""
 c_orders AS (
   SELECT upper(trim(order_id)) AS order_id, customer_id, trim(customer_name) AS customer_name,
     customer_email, upper(trim(region)) AS region, trim(city) AS city, num_items, subtotal,
-    ROUND(COALESCE(discount, 0.0), 2) AS discount, ROUND(final_amount, 2) AS final_amount,
+    ROUND(COALESCE(CASE WHEN abs(discount) < 9e16 THEN discount END, 0.0), 2) AS discount, ROUND(final_amount, 2) AS final_amount,
     device, status, "timestamp", "date", "hour", {_KAFKA},
     CAST("timestamp" AS TIMESTAMP) AS event_timestamp,
     ROUND(final_amount, 2) >= 50000 AS is_high_value,
-    ROUND(COALESCE(discount, 0.0), 2) > 0 AS is_discounted,
+    ROUND(COALESCE(CASE WHEN abs(discount) < 9e16 THEN discount END, 0.0), 2) > 0 AS is_discounted,
     CAST(dayofweek(CAST("timestamp" AS TIMESTAMP)) + 1 AS INTEGER) AS order_day_of_week,
     CAST(hour(CAST("timestamp" AS TIMESTAMP)) AS INTEGER) AS order_hour,
     CASE WHEN ROUND(final_amount, 2) >= 100000 THEN 'PREMIUM' WHEN ROUND(final_amount, 2) >= 50000
@@ -170,7 +170,7 @@ c_payments AS (
   SELECT upper(trim(payment_id)) AS payment_id, upper(trim(order_id)) AS order_id, customer_id,
     ROUND(amount, 2) AS amount, upper(trim(payment_method)) AS payment_method,
     upper(trim(status)) AS status, gateway, transaction_id, "timestamp", "date", {_KAFKA},
-    upper(trim(status)) = 'SUCCESS' AS is_successful,
+    COALESCE(upper(trim(status)) = 'SUCCESS', FALSE) AS is_successful,
     CAST("timestamp" AS TIMESTAMP) AS event_timestamp,
     CAST(hour(CAST("timestamp" AS TIMESTAMP)) AS INTEGER) AS payment_hour,
     'v2.0' AS pipeline_version
@@ -189,7 +189,7 @@ c_user_events AS (
 # -- customers ----------------------------------------------------------------
 def _latest(x: str) -> str:
     """Value on the last order; orders without a time come before all others."""
-    return f"first({x} ORDER BY event_timestamp DESC NULLS LAST, customer_name DESC, customer_email DESC)"
+    return f"first({x} ORDER BY event_timestamp DESC NULLS LAST, order_id DESC, customer_name DESC, customer_email DESC)"
 
 
 _METRICS = f"""
@@ -310,7 +310,7 @@ def _blank(c: str) -> str:
 
 
 def _not_positive(c: str) -> str:
-    return f"{c} IS NULL OR NOT ({c} > 0) OR isnan(CAST({c} AS DOUBLE))"
+    return f"{c} IS NULL OR NOT ({c} > 0 AND {c} < 9e16)"
 
 
 def _reasons(raw: str, rules: list[tuple[str, str]]) -> str:
@@ -378,13 +378,12 @@ _SEARCH_STATUS = """CASE WHEN is_search_event AND product_id IS NOT NULL THEN 'S
   WHEN NOT is_search_event AND search_query IS NOT NULL THEN 'QUERY_OUTSIDE_SEARCH'
   WHEN NOT is_search_event AND product_id IS NULL THEN 'PRODUCT_MISSING' ELSE 'OK' END"""
 
-_SHOP_CITIES = """[('NORTH','Delhi'),('NORTH','Chandigarh'),('NORTH','Lucknow'),('NORTH','Jaipur'),
+# Fixed values.
+_SHOP_CITIES = """(VALUES ('NORTH','Delhi'),('NORTH','Chandigarh'),('NORTH','Lucknow'),('NORTH','Jaipur'),
  ('SOUTH','Chennai'),('SOUTH','Bangalore'),('SOUTH','Hyderabad'),('SOUTH','Kochi'),
  ('EAST','Kolkata'),('EAST','Bhubaneswar'),('EAST','Patna'),('EAST','Guwahati'),
  ('WEST','Mumbai'),('WEST','Pune'),('WEST','Ahmedabad'),('WEST','Surat'),
- ('CENTRAL','Bhopal'),('CENTRAL','Nagpur'),('CENTRAL','Indore'),('CENTRAL','Raipur')]""".replace(
-    "[", "(VALUES "
-).replace("]", ")")
+ ('CENTRAL','Bhopal'),('CENTRAL','Nagpur'),('CENTRAL','Indore'),('CENTRAL','Raipur'))"""
 
 _CATALOGUE_STATUS = f"""CASE WHEN p.p_name IS NULL THEN 'UNKNOWN_PRODUCT'
   WHEN product_name IS DISTINCT FROM p.p_name THEN 'NAME_MISMATCH'

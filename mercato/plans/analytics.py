@@ -417,9 +417,10 @@ def warehouse_region_orders(t: Tables) -> DataFrame:
 
 
 # -- layer checks -------------------------------------------------------------
-def breakdown(df: DataFrame, column: str, top: int = 10) -> DataFrame:
-    counts = df.groupBy(column).agg(F.count("*").alias("count"))
-    return counts.orderBy(F.desc("count"), column).limit(top)
+def breakdown(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
+    """Rows per value, the most frequent first; ``top`` keeps so many values."""
+    counts = df.groupBy(column).agg(F.count("*").alias("count")).orderBy(F.desc("count"), column)
+    return counts if top is None else counts.limit(top)
 
 
 def layer_sample(df: DataFrame, columns: list[str], order_by: str | None = None, rows: int = 5) -> DataFrame:

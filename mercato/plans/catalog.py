@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from mercato import schemas
+from mercato.sources.files import Files
 from mercato.sources.snapshots import snapshot_exists, snapshot_folder
 from mercato.sources.tables import named_table
-from mercato.streaming.layers import TOPICS, Store, date_folders
+from mercato.streaming.layers import TOPICS, Store, date_folders, open_date_folders
 
 # The warehouse's names for columns that the files hold under other names.
 RENAMED = {
@@ -35,14 +36,18 @@ def create_database(spark: SparkSession, database: str, location: str) -> None:
     )
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_topic_table(spark: SparkSession, database: str, topic: str, layer: str) -> int:
     """Drop and recreate a topic's external table and view; returns its partition count.
 
     The layer's date folders are found and added by location, many per statement: a folder
-    ``date=…`` becomes partition ``dt=…``, one per compacted generation that holds the date.
-    Rows still in open batches join the table after the next compaction. The view carries
-    the warehouse's column names; Parquet finds columns by name, so the table keeps the
-    files' own.
+    ``date=…`` becomes partition ``dt=…``, one per compacted generation or open batch that holds
+    the date. Jobs that add or move folders create the tables anew (``refresh_warehouse``). The
+    view carries the warehouse's column names; Parquet finds columns by name, so the table keeps
+    the files' own.
     """
     table, view = f"{database}.{topic}_files", f"{database}.{topic}"
     spark.sql(f"DROP VIEW IF EXISTS {view}")
@@ -54,10 +59,10 @@ def create_topic_table(spark: SparkSession, database: str, topic: str, layer: st
         f"OPTIONS ('compression'='snappy') PARTITIONED BY (dt, generation) "
         f"LOCATION '{layer}/compacted'"
     )
-    found = date_folders(spark, layer)
+    found = date_folders(spark, layer) + open_date_folders(spark, layer)
     for i in range(0, len(found), _PARTITIONS_PER_STATEMENT):
         added = " ".join(
-            f"PARTITION (dt='{date}', generation={generation}) LOCATION '{folder}'"
+            f"PARTITION (dt={_quoted(date)}, generation={generation}) LOCATION {_quoted(folder)}"
             for date, generation, folder in found[i : i + _PARTITIONS_PER_STATEMENT]
         )
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
@@ -91,12 +96,22 @@ def create_warehouse(
 ) -> None:
     """The whole database: the topic tables and whichever summaries exist."""
     create_database(spark, database, f"{store.root}/warehouse/{database}")
+    files = Files(spark)
     for topic in topics:
-        create_topic_table(spark, database, topic, store.curated(topic))
+        if files.exists(store.curated(topic)):
+            create_topic_table(spark, database, topic, store.curated(topic))
     for summary in SUMMARY_VIEWS:
         create_summary_view(spark, database, summary, store.summary(summary))
 
 
+def refresh_warehouse(spark: SparkSession, database: str, store: Store) -> bool:
+    """Create the tables of an existing database anew, so that they show what the store holds now."""
+    if not spark.catalog.databaseExists(database):
+        return False
+    create_warehouse(spark, database, store)
+    return True
+
+
 def warehouse_table(spark: SparkSession, database: str, name: str) -> DataFrame:
     """A warehouse view with the column names the analyses use."""
     df = named_table(spark, database, SUMMARY_VIEWS.get(name, name))

@@ -81,14 +81,15 @@ def run_nightly(
 
 def _run_step(tables: Tables, step: Step, store: Store, dates: list[str] | None) -> tuple[str, int]:
     try:
-        if not has_rows(tables[step.source]):
-            return "skipped", 0
+        source = tables[step.source]
     except (PySparkException, FileNotFoundError):
         return "skipped", 0
     path = store.summary(step.name)
     try:
+        if not has_rows(source):
+            return "skipped", 0
         if dates is None or not step.per_day:
             return "written", write_snapshot(step.build(), path)
         return "written", refresh_snapshot(step.build(), path, "date", dates)
-    except PySparkException as problem:
+    except Exception as problem:  # a failed task is no PySparkException
         return f"failed: {type(problem).__name__}", 0

@@ -6,7 +6,6 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +37,7 @@ def write_sheet(
         df = build()
         rows = _write_csv(export_safe(df if limit is None else df.limit(limit)), _folder(out_dir, sheet))
         return sheet, rows, "written"
-    except (PySparkException, FileNotFoundError) as problem:
+    except Exception as problem:  # a failed task is no PySparkException
         return sheet, 0, f"skipped: {type(problem).__name__}"
 
 
@@ -61,13 +60,9 @@ def write_report(
     return spark.createDataFrame(manifest, "sheet string, rows bigint, status string")
 
 
-TABLE_DESCRIPTIONS = {
-    "orders": "Curated orders with amounts, line items as JSON, device, region and value band",
-    "payments": "Curated payments with method, gateway, status and success flag",
-    "user_events": "Curated shop events: views, clicks, searches, cart and checkout steps",
-    "customer_rfm": "Recency, frequency and monetary scores and segment per customer",
-    "churn_candidates": "Customers at risk of leaving, with the figures behind it",
-}
+def described(df: DataFrame, layer: str) -> str:
+    """A line on a table, made from its schema."""
+    return f"{layer} table of {len(df.columns)} columns: {', '.join(df.columns)}"
 
 
 def export_tables(spark: SparkSession, entries: list[TableEntry], out_dir: str) -> DataFrame:
@@ -85,7 +80,8 @@ def export_tables(spark: SparkSession, entries: list[TableEntry], out_dir: str)
             _, rows, status = write_sheet(lambda: df, sheet, out_dir)
             available = status == "written" and rows > 0
         return (
-            sheet, entry.layer, entry.view, entry.description, available,
+            sheet, entry.layer, entry.view,
+            entry.description or (described(df, entry.layer) if df is not None else None), available,
             rows if available else None, columns if available else None, stamp,
         )
 

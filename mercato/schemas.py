@@ -17,9 +17,7 @@ ORDER = (
     "order_id string, customer_id string, customer_name string, customer_email string, "
     "customer_phone string, region string, city string, address string, num_items int, "
     "subtotal double, discount double, final_amount double, device string, status string, "
-    "timestamp string, date string, hour int, items array<struct<"
-    "product_id: string, product_name: string, category: string, "
-    "unit_price: double, quantity: int, item_total: double>>"
+    f"timestamp string, date string, hour int, items array<struct<{LINE_ITEM}>>"
 )
 
 PAYMENT = (
@@ -45,8 +43,7 @@ CURATED_ORDERS = (
     "order_id string, customer_id string, customer_name string, customer_email string, "
     "region string, city string, num_items int, subtotal double, discount double, "
     "final_amount double, device string, status string, timestamp string, date string, "
-    "hour int, items array<struct<product_id: string, product_name: string, "
-    "category: string, unit_price: double, quantity: int, item_total: double>>, "
+    f"hour int, items array<struct<{LINE_ITEM}>>, "
     f"{KAFKA_COLUMNS}, event_timestamp timestamp, is_high_value boolean, "
     "is_discounted boolean, order_day_of_week int, order_hour int, value_segment string, "
     f"{AUDIT_COLUMNS}"
@@ -115,3 +112,5 @@ WEEKEND = [1, 7]
 DAY_NAMES = ["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]
 EVENING_HOURS = [19, 20, 21, 22]
 CELL_LIMIT = 32_767
+# cents of larger amounts do not fit 64 bits
+AMOUNT_BELOW = 9e16

@@ -12,9 +12,12 @@ def kafka_options(
     topics: list[str] | tuple[str, ...] | str,
     servers: str,
     starting: str = "latest",
-    max_per_trigger: int | None = 1000,
+    max_per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """Reader options for one topic or several; offsets then live in the checkpoint."""
+    """Reader options for one topic or several; offsets then live in the checkpoint.
+
+    ``max_per_trigger`` limits the messages of a batch; without it a batch takes all there are.
+    """
     names = [topics] if isinstance(topics, str) else list(topics)
     options = {
         "kafka.bootstrap.servers": servers,

@@ -46,5 +46,9 @@ class Files:
             fs.delete(self._path(draft), False)
             raise FileExistsError(path)
 
+    def size(self, path: str) -> int:
+        """Bytes below a folder."""
+        return self._fs(path).getContentSummary(self._path(path)).getLength() if self.exists(path) else 0
+
     def delete(self, path: str) -> bool:
         return self._fs(path).delete(self._path(path), True)

@@ -58,8 +58,12 @@ def register_tables(spark: SparkSession, entries: list[TableEntry]) -> DataFrame
         if df is None:
             rows.append((entry.view, entry.layer, False, 0))
             continue
+        try:
+            rows.append((entry.view, entry.layer, True, df.count()))
+        except Exception:  # files that no task can read
+            rows.append((entry.view, entry.layer, False, 0))
+            continue
         df.createOrReplaceTempView(entry.view)
-        rows.append((entry.view, entry.layer, True, df.count()))
     return spark.createDataFrame(
         rows, "table_name string, layer string, available boolean, row_count bigint"
     )

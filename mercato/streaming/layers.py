@@ -7,13 +7,18 @@ replaces its earlier attempt, in each layer by itself. Layout below a layer's fo
     batches/run=<run>/batch_id=<n>/…            raw
     batches/run=<run>/batch_id=<n>/date=<d>/…   curated
     compacted/generation=<g>/date=<d>/…         closed batches, rewritten in few files
-    covered/<g>                                 which batches generations up to g hold
+    covered/<g>                                 which batches generations up to g hold, and which
+                                                of their folders a later generation has rewritten
+
+Beside the layers, ``metrics/<topic>/batch/run=<run>-<n>.json`` has each batch's counts, replaced
+with its batch; compaction folds them into ``metrics/<topic>/folded``.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -67,6 +72,9 @@ class Store:
     def summary(self, name: str) -> str:
         return f"{self.root}/summaries/{name}"
 
+    def metrics(self, topic: str) -> str:
+        return f"{self.root}/metrics/{topic}"
+
     def checkpoint(self, topic: str) -> str:
         return f"{self.root}/checkpoints/{topic}"
 
@@ -117,8 +125,12 @@ def write_batch(
             .partitionBy("date")
             .parquet(_batch_folder(store.curated(topic.name), run, batch_id))
         )
-        counts = seen.get
-        return {**counts, "dropped": counts["received"] - counts["clean"]}
+        counts = {**seen.get, "dropped": seen.get["received"] - seen.get["clean"]}
+        line = json.dumps({"topic": topic.name, "run": run, "batch_id": batch_id, **counts})
+        files, path = Files(batch.sparkSession), f"{store.metrics(topic.name)}/batch/run={run}-{batch_id}.json"
+        files.delete(path)
+        files.publish_text(path, line + "\n")
+        return counts
     finally:
         batch.unpersist()
 
@@ -196,14 +208,29 @@ def await_all(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
 
 # -- reading ------------------------------------------------------------------
 def _covered(spark: SparkSession, layer: str) -> dict:
+    """Last generation, last batch of each run it covers, and folders that are rewritten: by
+    generation the names of its date folders, or ``*`` for all of it."""
     files = Files(spark)
     generations = [n for n in files.names(f"{layer}/covered") if n.isdigit()]
     if not generations:
-        return {"generation": 0, "runs": {}}
-    return {
-        "generation": int(generations[-1]),
-        "runs": json.loads(files.read_text(f"{layer}/covered/{generations[-1]}")),
-    }
+        return {"generation": 0, "runs": {}, "gone": {}}
+    return {"generation": int(generations[-1]), **json.loads(files.read_text(f"{layer}/covered/{generations[-1]}"))}
+
+
+_NO_DATE = "date=__HIVE_DEFAULT_PARTITION__"
+
+
+def _current(df: DataFrame, covered: dict) -> DataFrame:
+    """Only rows of valid folders; a filter on partition folders."""
+    df = df.filter(F.col("generation") <= covered["generation"])
+    for generation, names in covered["gone"].items():
+        of = F.col("generation") == int(generation)
+        if names != "*":
+            dates = [unquote(n.split("=", 1)[1]) for n in names if n != _NO_DATE]
+            gone = F.coalesce(F.col("date").isin(dates), F.lit(False))
+            of &= gone | F.col("date").isNull() if _NO_DATE in names else gone
+        df = df.filter(~of)
+    return df
 
 
 def _open_batches(df: DataFrame, covered: dict) -> DataFrame:
@@ -245,7 +272,7 @@ def read_layer(spark: SparkSession, layer: str, ddl: str, evolve: bool = False)
     if covered["generation"]:
         folder = f"{layer}/compacted"
         done = _scan(spark, folder, f"{ddl}, generation bigint", evolve, ["generation"])
-        parts.append(done.filter(F.col("generation") <= covered["generation"]).drop("generation"))
+        parts.append(_current(done, covered).drop("generation"))
     if _has_open_batches(spark, layer, covered):
         folder = f"{layer}/batches"
         tail = _scan(spark, folder, f"{ddl}, run string, batch_id bigint", evolve, ["run", "batch_id"])
@@ -275,24 +302,35 @@ def read_curated(spark: SparkSession, store: Store, topic: str, evolve: bool = F
     return read_layer(spark, store.curated(topic), TOPICS[topic].curated, evolve)
 
 
+_COUNTS = "topic string, run string, batch_id bigint, received bigint, clean bigint, dropped bigint"
+
+
 def batch_counts(spark: SparkSession, store: Store, topic: str) -> DataFrame:
-    """Received, clean and dropped per batch, from what the layers hold.
+    """Received, clean and dropped per batch, as counted when the batch was written."""
+    folder = store.metrics(topic)
+    if not Files(spark).exists(folder):
+        return spark.createDataFrame([], _COUNTS)
+    lines = spark.read.schema(_COUNTS).option("recursiveFileLookup", "true").json(folder)
+    return lines.dropDuplicates(["run", "batch_id"])  # folded, and not deleted yet
 
-    Counts need no data column, so only folder names and file footers are read.
-    """
 
-    def per_batch(layer: str, ddl: str, name: str) -> DataFrame:
-        rows = spark.read.schema(f"{ddl}, run string, batch_id bigint").parquet(f"{layer}/batches")
-        return rows.groupBy("run", "batch_id").agg(F.count("*").alias(name))
-
-    spec = TOPICS[topic]
-    received = per_batch(store.raw(topic), spec.raw, "received")
-    clean = per_batch(store.curated(topic), spec.curated, "clean")
-    return received.join(clean, ["run", "batch_id"], "left").select(
-        F.lit(topic).alias("topic"), "run", "batch_id", "received",
-        F.coalesce("clean", F.lit(0)).alias("clean"),
-        (F.col("received") - F.coalesce("clean", F.lit(0))).alias("dropped"),
-    )
+def fold_counts(spark: SparkSession, store: Store, topic: str) -> int:
+    """Gather the files of single batches in one; returns how many there were.
+
+    The newest batch of a run stays, as a replay would write it anew.
+    """
+    files, folder = Files(spark), store.metrics(topic)
+    by_run: dict[str, list[tuple[int, str]]] = {}
+    for name in files.names(f"{folder}/batch"):
+        if name.endswith(".json"):
+            run, number = name.removesuffix(".json").rsplit("-", 1)
+            by_run.setdefault(run, []).append((int(number), f"{folder}/batch/{name}"))
+    closed = [path for batches in by_run.values() for _, path in sorted(batches)[:-1]]
+    if closed:
+        spark.read.schema(_COUNTS).json(closed).coalesce(1).write.json(f"{folder}/folded/{uuid.uuid4().hex}")
+        for path in closed:
+            files.delete(path)
+    return len(closed)
 
 
 # -- compaction ---------------------------------------------------------------
@@ -313,11 +351,13 @@ def compact(
 ) -> int:
     """Rewrite a layer's closed batches into few files; returns the generation.
 
-    Earlier generations are not touched. Rows of a curated layer are rebalanced by date,
-    where adaptive execution splits a date that is too large for one task; ``by_date=False``
-    is for the raw layer, which has no date folders. The marker file is written last, so
-    readers move from the batches to the generation in one step. ``open_batches`` leaves
-    the newest batches of each run alone (they may be replayed).
+    Columns that batches added stay. Folders of earlier generations that hold dates of these
+    batches are rewritten with them, so a date ends up in one folder; without dates
+    (``by_date=False``, the raw layer) a generation is rewritten once those after it are as large,
+    so their number stays small and a row is rewritten a few times only. Rows of a curated layer
+    are rebalanced by date, where adaptive execution splits a date that is too large for one task.
+    The marker file is written last, so readers move to the new folders in one step.
+    ``open_batches`` leaves the newest batches of each run alone (they may be replayed).
     """
     covered = _covered(spark, layer)
     closing = {
@@ -327,46 +367,107 @@ def compact(
     }
     if not closing:
         return covered["generation"]
-    rows = spark.read.schema(f"{ddl}, run string, batch_id bigint").parquet(f"{layer}/batches")
-    due = reduce(
-        lambda a, b: a | b,
-        [
-            (F.col("run") == run)
-            & (F.col("batch_id") <= last)
-            & (F.col("batch_id") > covered["runs"].get(run, -1))
-            for run, last in closing.items()
-        ],
-    )
+    files = Files(spark)
+    batches = [
+        f"{layer}/batches/run={run}/batch_id={n}"
+        for run, numbers in _batch_numbers(files, layer).items() if run in closing
+        for n in numbers if covered["runs"].get(run, -1) < n <= closing[run]
+    ]
+    rows = _merged(spark, batches, f"{layer}/batches", ddl).drop("run", "batch_id")
+    if by_date:
+        dates = {name for batch in batches for name in files.names(batch) if name.startswith("date=")}
+        again = [(g, name) for g, name in _folders(files, layer, covered) if name in dates]
+    else:
+        again, size = [], sum(map(files.size, batches))
+        for g in reversed(_generations(files, layer, covered)):
+            own = files.size(f"{layer}/compacted/generation={g}")
+            if own > size:
+                break
+            again.append((g, "*"))
+            size += own
+    if again:
+        folders = [f"{layer}/compacted/generation={g}" + (f"/{name}" if name != "*" else "") for g, name in again]
+        earlier = _merged(spark, folders, f"{layer}/compacted", ddl).drop("generation")
+        rows = rows.unionByName(earlier, allowMissingColumns=True)
     generation = covered["generation"] + 1
-    rows = rows.filter(due).drop("run", "batch_id")
     rows = rows.hint("rebalance", "date") if by_date else rows.hint("rebalance")
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer = writer.partitionBy("date") if by_date else writer
     writer.parquet(f"{layer}/compacted/generation={generation}")
-    Files(spark).publish_text(
-        f"{layer}/covered/{generation:012d}", json.dumps({**covered["runs"], **closing})
-    )
+    gone = {g: names for g, names in covered["gone"].items() if files.exists(f"{layer}/compacted/generation={g}")}
+    for g, name in again:
+        gone[str(g)] = "*" if name == "*" else [*gone.get(str(g), []), name]
+    marker = {"runs": {**covered["runs"], **closing}, "gone": gone}
+    files.publish_text(f"{layer}/covered/{generation:012d}", json.dumps(marker))
     return generation
 
 
-def date_folders(spark: SparkSession, layer: str) -> list[tuple[str, int, str]]:
-    """(date, generation, folder) of every date folder in the valid generations."""
-    files = Files(spark)
+def _merged(spark: SparkSession, folders: list[str], base: str, ddl: str) -> DataFrame:
+    """Some folders below ``base``, with all columns that any of their files has."""
+    kinds = {"run": "string", "batch_id": "bigint", "generation": "bigint", "date": "string"}
+    rows = spark.read.option("mergeSchema", "true").option("basePath", base).parquet(*folders)
+    rows = rows.withColumns({c: F.col(c).cast(k) for c, k in kinds.items() if c in rows.columns})
+    declared = StructType.fromDDL(ddl)
+    rows = rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in declared if f.name not in rows.columns})
+    return rows.select(*declared.names, *[c for c in rows.columns if c not in declared.names])
+
+
+def _generations(files: Files, layer: str, covered: dict) -> list[int]:
+    """Generations whose folder is there and not rewritten as a whole."""
+    there = sorted(int(n.split("=", 1)[1]) for n in files.names(f"{layer}/compacted") if n.startswith("generation="))
+    return [g for g in there if g <= covered["generation"] and covered["gone"].get(str(g)) != "*"]
+
+
+def _folders(files: Files, layer: str, covered: dict) -> list[tuple[int, str]]:
+    """(generation, folder name) of the date folders that are valid."""
     return [
-        (name.split("=", 1)[1], g, f"{layer}/compacted/generation={g}/{name}")
-        for g in range(1, _covered(spark, layer)["generation"] + 1)
+        (g, name)
+        for g in _generations(files, layer, covered)
         for name in files.names(f"{layer}/compacted/generation={g}")
-        if name.startswith("date=")
+        if name.startswith("date=") and name not in covered["gone"].get(str(g), [])
     ]
 
 
+def date_folders(spark: SparkSession, layer: str) -> list[tuple[str, int, str]]:
+    """(date, generation, folder) of every date folder in the valid generations.
+
+    Folder names hold escaped characters; the date is the value itself.
+    """
+    return [
+        (unquote(name.split("=", 1)[1]), g, f"{layer}/compacted/generation={g}/{name}")
+        for g, name in _folders(Files(spark), layer, _covered(spark, layer))
+    ]
+
+
+def open_date_folders(spark: SparkSession, layer: str) -> list[tuple[str, int, str]]:
+    """The same of batches that no generation holds; they are numbered -1, -2 and so on."""
+    files, covered, found, number = Files(spark), _covered(spark, layer), [], 0
+    for run, numbers in _batch_numbers(files, layer).items():
+        for n in numbers:
+            batch = f"{layer}/batches/run={run}/batch_id={n}"
+            if n <= covered["runs"].get(run, -1) or not files.exists(f"{batch}/_SUCCESS"):
+                continue
+            number += 1
+            found += [
+                (unquote(name.split("=", 1)[1]), -number, f"{batch}/{name}")
+                for name in files.names(batch) if name.startswith("date=")
+            ]
+    return found
+
+
 def drop_covered_batches(spark: SparkSession, layer: str) -> int:
-    """Delete batch folders that a generation holds; returns how many went."""
-    files, dropped = Files(spark), 0
-    runs = _covered(spark, layer)["runs"]
+    """Delete batch folders that a generation holds, and folders that a later one has rewritten;
+    returns how many batches went."""
+    files, dropped, covered = Files(spark), 0, _covered(spark, layer)
     for run, numbers in _batch_numbers(files, layer).items():
         for number in numbers:
-            if number <= runs.get(run, -1):
+            if number <= covered["runs"].get(run, -1):
                 files.delete(f"{layer}/batches/run={run}/batch_id={number}")
                 dropped += 1
+    for generation, names in covered["gone"].items():
+        folder = f"{layer}/compacted/generation={generation}"
+        for path in [folder] if names == "*" else [f"{folder}/{name}" for name in names]:
+            files.delete(path)
+        if not any(name.startswith("date=") for name in files.names(folder)):
+            files.delete(folder)
     return dropped

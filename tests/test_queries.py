@@ -7,7 +7,9 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+import __spark_entry__ as spark_entry
+from mercato.oracle import build_oracle
+from mercato.queries import build_queries
 from mercato.plans import summaries
 from mercato.workspace import AS_OF, Workspace
 from tests.odd_tables import write_odd_tables
@@ -45,12 +47,12 @@ def ordered(rows):
     return sorted(rows, key=lambda r: [(v is None, str(v)) for v in r])
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(build_oracle()))
 def test_query_equals_duckdb(spark, duck, tables, name):
-    df = entry.queries()[name](spark, tables)
+    df = build_queries()[name](spark, tables)
     columns = sorted(df.columns)
     got = ordered([tuple(plain(r[c]) for c in columns) for r in df.collect()])
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck.execute(build_oracle()[name])
     kinds = {d[0]: str(d[1]) for d in result.description}
     assert sorted(kinds) == columns
     assert {c: TYPES[t] for c, t in df.dtypes} == kinds
@@ -58,26 +60,26 @@ def test_query_equals_duckdb(spark, duck, tables, name):
     assert got == ordered([tuple(r[i] for i in at) for r in result.fetchall()])
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(build_queries()) - set(build_oracle())))
 def test_other_queries_give_rows(spark, name):
-    assert entry.queries()[name](spark, SF).count() > 0
+    assert build_queries()[name](spark, SF).count() > 0
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() > 0
+    assert spark_entry.entry(spark).count() > 0
 
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-LAZY = [n for n in entry.queries() if n.split("_")[0] in
+LAZY = [n for n in build_queries() if n.split("_")[0] in
         ("clean", "parse", "reject", "quality", "sheet", "warehouse", "watch", "export", "finding")]
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_cross_join_in_the_plan(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(build_queries()[name](spark, SF))
     assert "Python" not in text and "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
 
 
@@ -91,19 +93,19 @@ ON_GROUPED_ROWS = {
 
 @pytest.mark.parametrize("name", sorted(set(LAZY) - ON_GROUPED_ROWS))
 def test_no_single_task(spark, name):
-    assert "SinglePartition" not in plan(entry.queries()[name](spark, SF))
+    assert "SinglePartition" not in plan(build_queries()[name](spark, SF))
 
 
 @pytest.mark.parametrize("name", sorted(ON_GROUPED_ROWS))
 def test_a_total_comes_after_the_aggregate(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(build_queries()[name](spark, SF))
     below = text.split("Exchange SinglePartition")[1].splitlines()[1:]
     first = next(line for line in below if "- Project" not in line)
     assert "HashAggregate" in first
 
 
 def test_customer_totals_combine_before_the_shuffle(spark):
-    text = plan(entry.queries()["customer_metrics"](spark, SF))
+    text = plan(build_queries()["customer_metrics"](spark, SF))
     heavy = text.split("hashpartitioning(customer_id")[-1]
     assert "HashAggregate" in heavy and "partial_" in heavy and "SortAggregate" not in heavy
 
@@ -115,5 +117,5 @@ def test_scores_need_no_single_task(spark):
 
 
 def test_only_needed_columns_are_read(spark):
-    text = plan(entry.queries()["warehouse_region_orders"](spark, SF))
+    text = plan(build_queries()["warehouse_region_orders"](spark, SF))
     assert "ReadSchema: struct<order_id:string,region:string,final_amount:double>" in text

@@ -143,7 +143,8 @@ def test_compaction_keeps_every_row_and_goes_on(spark, root):
     assert layers.read_curated(spark, store, "orders").count() == 7
     assert layers.drop_covered_batches(spark, layer) == 2
     assert layers.read_curated(spark, store, "orders", evolve=True).count() == 7
-    files = [f for f in os.listdir(f"{layer}/compacted/generation=1/date=2026-05-16") if f.endswith(".parquet")]
+    assert not os.path.exists(f"{layer}/compacted/generation=1")  # its date was rewritten
+    files = [f for f in os.listdir(f"{layer}/compacted/generation=2/date=2026-05-16") if f.endswith(".parquet")]
     assert len(files) == 1
 
 
