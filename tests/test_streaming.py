@@ -228,7 +228,7 @@ def test_envelope_round_trip(spark):
 def test_kafka_options():
     assert kafka_options("orders", "host:9092") == {
         "kafka.bootstrap.servers": "host:9092", "subscribe": "orders", "startingOffsets": "latest",
-        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000",
+        "failOnDataLoss": "false",
     }
-    several = kafka_options(["orders", "payments"], "h:1", max_per_trigger=None)
-    assert several["subscribe"] == "orders,payments" and "maxOffsetsPerTrigger" not in several
+    several = kafka_options(["orders", "payments"], "h:1", max_per_trigger=1000)
+    assert several["subscribe"] == "orders,payments" and several["maxOffsetsPerTrigger"] == "1000"
