@@ -43,7 +43,7 @@ def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed["n_chars"] = F.when(untouched, F.col("n_chars")).otherwise(F.length(text).cast(kind))
-    return joined.where(untouched | text.rlike(line_dedup.WORDS)).withColumns(changed).drop(source, lines)
+    return joined.where(untouched | text.rlike(line_dedup.ANY_WORD)).withColumns(changed).drop(source, lines)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

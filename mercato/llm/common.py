@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +18,6 @@ BROADCAST_KEYS = 200_000
 #: Bits of a filter: 16 per entry, but no more than this (16 MB).
 FILTER_BITS = 1 << 27
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: For ``str.translate``: lower-cases A-Z and nothing else.
-ASCII_LOWER = str.maketrans(_UPPER, _LOWER)
 
 
 def importable(spark: SparkSession) -> SparkSession:
@@ -145,23 +142,6 @@ def only_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.where(listed(F.xxhash64("doc_id")))
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered for at most ``limit`` words."""
-
-    def __init__(self, limit: int = 300_000) -> None:
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode())
-        return value
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     with np.errstate(over="ignore"):
@@ -170,6 +150,74 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+#: For ``bytes.translate``: lower-cases A-Z and turns ASCII white space, or all ASCII but letters and
+#: digits, into blanks. Bytes of other characters stay.
+SPACED = bytes(32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+ALPHANUMERIC = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
+_BASE, _PIECE = 0x9E3779B97F4A7C15 | 1, 1 << 20
+
+
+def _byte_values() -> np.ndarray:
+    values = mix(np.arange(1, 257, dtype=np.uint64))
+    values[32] = 0
+    return values
+
+
+_VALUES = _byte_values()
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+class _Powers:
+    """Powers of the hash base and of its inverse, up to the longest piece so far."""
+
+    up = down = np.empty(0, np.uint64)
+
+    @classmethod
+    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > _PIECE:
+            return _powers(_BASE, n), _powers(_INVERSE, n)
+        if n > len(cls.up):
+            size = min(_PIECE, 2 * n)
+            cls.up, cls.down = _powers(_BASE, size), _powers(_INVERSE, size)
+        return cls.up[:n], cls.down[:n]
+
+
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every run of bytes but blanks: a polynomial in the run's bytes, scrambled.
+
+    Long data is taken in pieces of about a megabyte, cut at blanks.
+    """
+    if len(data) > _PIECE:
+        found, start = [], 0
+        while start < len(data):
+            end = data.find(b" ", start + _PIECE)
+            end = len(data) if end < 0 else end
+            h, a, b = _hashed_words(data[start:end])
+            found.append((h, a + start, b + start))
+            start = end
+        return tuple(map(np.concatenate, zip(*found, strict=True)))  # type: ignore[return-value]
+    return _hashed_words(data)
+
+
+def _hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = np.frombuffer(data, np.uint8)
+    inside = np.zeros(len(raw) + 2, np.int8)
+    inside[1:-1] = raw != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _Powers.to(len(raw))
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_VALUES[raw] * up, out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * (down[starts] if len(starts) else np.uint64(1))), starts, ends
+
+
 def spans_at(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` words from each start on."""
     total = np.full(len(starts), np.uint64(size), dtype=np.uint64)

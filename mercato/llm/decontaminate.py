@@ -19,22 +19,27 @@ ignored. An empty benchmark leaves every document clean.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import ASCII_LOWER, BitFilter, WordHashes, id_text, map_rows, shingle_hashes, spans_at, table
+from mercato.llm.common import ALPHANUMERIC, BitFilter, hashed_words, id_text, map_rows, shingle_hashes, spans_at, table
 from mercato.session import stage
 
-WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, K = 13, 5
 
 
-def words_of(text: str | None) -> list[str]:
-    return re.findall(WORDS, text.translate(ASCII_LOWER)) if text else []
+class Words:
+    """The words of a text, as hashes and as places in its lower-cased bytes."""
+
+    def __init__(self, text: str) -> None:
+        self.data = text.encode().translate(ALPHANUMERIC)
+        self.hashes, self.starts, self.ends = hashed_words(self.data)
+
+    def between(self, first: int, size: int) -> str:
+        return b" ".join(self.data[self.starts[first] : self.ends[first + size - 1]].split()).decode()
 
 
 def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -43,30 +48,30 @@ def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
     if n == 0 or width == 1:
         return np.arange(n)
     width = min(width, n)
-    best = np.arange(n - width + 1)
+    places = n - width + 1
+    least = hashes[:places].copy()
     for step in range(1, width):
-        later = np.arange(step, step + len(best))
-        best = np.where(hashes[later] <= hashes[best], later, best)
-    return np.unique(best)
+        np.minimum(least, hashes[step : step + places], out=least)
+    best = np.zeros(places, np.int64)
+    for step in range(width):
+        best[hashes[step : step + places] == least] = step
+    return np.unique(best + np.arange(places))
 
 
 def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """(item, size, words, hash, kept) per window of an item; ``kept``: the fingerprints it holds."""
 
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
-        hashes = WordHashes()
         for r in source:
-            words = words_of(r["text"])
-            if not words:
-                continue
-            size = min(window, len(words))
+            words = Words(r["text"])
+            whole = words.hashes
+            size = min(window, len(whole))
             gram = k if size == window else size
-            whole = hashes.of(words)
             spans, grams = shingle_hashes(whole, size), shingle_hashes(whole, gram)
-            for i in range(len(words) - size + 1):
+            for i in range(len(spans)):
                 kept = grams[i : i + size - gram + 1]
                 least = kept[winnow(kept, len(kept))]
-                yield r["doc_id"], size, " ".join(words[i : i + size]), int(spans[i].view(np.int64)), least.view(np.int64).tolist()
+                yield r["doc_id"], size, words.between(i, size), int(spans[i].view(np.int64)), least.view(np.int64).tolist()
 
     named = id_text(items, id_col, text_col).where("doc_id IS NOT NULL").select(F.col("doc_id").cast("string"), "text")
     return map_rows(named, rows, "item string, size int, words string, hash long, kept array<long>")
@@ -79,12 +84,11 @@ def candidates(docs: DataFrame, sizes: list[int], grams: BitFilter, spans: BitFi
 
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
         known_grams, known_spans = shipped.value
-        hashes = WordHashes()
         for r in source:
-            words = words_of(r["text"])
-            whole, hits = hashes.of(words), []
+            words = Words(r["text"])
+            whole, hits = words.hashes, []
             for size in sizes:
-                if len(words) < size:
+                if len(whole) < size:
                     continue
                 gram = k if size == window else size
                 kgrams = shingle_hashes(whole, gram)
@@ -93,10 +97,10 @@ def candidates(docs: DataFrame, sizes: list[int], grams: BitFilter, spans: BitFi
                 if not len(kept):
                     continue
                 near = np.unique(kept[:, None] - np.arange(size - gram + 1)[None, :])
-                near = near[(near >= 0) & (near <= len(words) - size)]
+                near = near[(near >= 0) & (near <= len(whole) - size)]
                 found = spans_at(whole, near, size)
-                hits += [(int(s), size, " ".join(words[s : s + size])) for s in near[known_spans.has(found)]]
-            yield r["doc_id"], len(words), [{"start": a, "size": b, "words": c} for a, b, c in hits]
+                hits += [(int(s), size, words.between(s, size)) for s in near[known_spans.has(found)]]
+            yield r["doc_id"], len(whole), [{"start": a, "size": b, "words": c} for a, b, c in hits]
 
     key = docs.schema["doc_id"].dataType.simpleString()
     return map_rows(docs, rows, f"doc_id {key}, n_words long, hits array<struct<start:int,size:int,words:string>>")

@@ -25,7 +25,6 @@ one document: lines at equal places do not count as earlier, and lose the same p
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import batched
 
@@ -35,34 +34,37 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import ASCII_LOWER, BitFilter, WordHashes, id_text, map_rows, mix, only_ids, table
+from mercato.llm.common import SPACED, BitFilter, hashed_words, id_text, map_rows, mix, only_ids, table
 from mercato.session import stage
 
-WORDS = r"[^\x20\x09-\x0D]+"
+ANY_WORD = r"[^\x20\x09-\x0D]"
 #: Similarity in percent; slots of the rarity table (4 bytes each); lines of a word in one task and in
 #: a block; candidates that a line keeps per word; sets remembered per task.
 THRESHOLD, SLOTS, HOT, BLOCK, FIRST, REMEMBERED = 80, 1 << 21, 8192, 2048, 3, 400_000
 
 
 class Lines:
-    """Word sets of the lines of some documents, side by side."""
-
-    def __init__(self, docs: list[dict], hashes: WordHashes) -> None:
-        self.doc, self.line, words, sizes = [], [], [], []
-        self.counts = []
-        for r in docs:
-            lines = r["text"].translate(ASCII_LOWER).split("\n")
-            self.counts.append(len(lines))
-            for i, text in enumerate(lines):
-                if found := set(re.findall(WORDS, text)):
-                    self.doc.append(r["doc_id"])
-                    self.line.append(i)
-                    words += found
-                    sizes.append(len(found))
-        self.sizes = np.array(sizes, np.int64)
-        self.words = hashes.of(words)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.owner = np.repeat(np.arange(len(sizes)), self.sizes)
+    """Word sets of the lines of some documents, side by side: the distinct words of each line by hash."""
+
+    def __init__(self, docs: list[dict]) -> None:
+        texts = [r["text"].encode() for r in docs]
+        self.counts = [t.count(b"\n") + 1 for t in texts]
+        data = b"\n".join(texts)
+        hashes, starts, _ = hashed_words(data.translate(SPACED))
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+        line = np.searchsorted(ends, starts)  # over all documents
+        order = np.lexsort((hashes, line))
+        hashes, line = hashes[order], line[order]
+        new = np.ones(len(line), bool)
+        new[1:] = (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])
+        self.words, line = hashes[new], line[new]
+        self.starts = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else line
+        self.sizes = np.diff(np.append(self.starts, len(line)))
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        line, first = line[self.starts], np.cumsum([0, *self.counts])
+        at = np.searchsorted(first, line, side="right") - 1
+        self.doc = [docs[i]["doc_id"] for i in at]
+        self.line = (line - first[at]).tolist()
 
     def digests(self) -> list[tuple[int, int]]:
         """128 bits of each set, the same in any order."""
@@ -99,10 +101,10 @@ def _survey(docs: DataFrame) -> DataFrame:
     a later place of a set in that task; 2 (a, b): slot of the rarity table and its lines; 3 (doc_id, a): lines."""
 
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
-        hashes, slots = WordHashes(), np.zeros(SLOTS, np.int32)
+        slots = np.zeros(SLOTS, np.int32)
         first: dict[tuple[int, int], tuple] = {}
         for part in batched(source, 128):
-            lines = Lines(part, hashes)
+            lines = Lines(part)
             for r, n in zip(part, lines.counts, strict=True):
                 yield 3, n, None, r["doc_id"], None
             new = np.zeros(len(lines.sizes), bool)
@@ -144,11 +146,11 @@ def _postings(docs: DataFrame, rarity, threshold: int, key: str) -> DataFrame:
     """A row per prefix word of each set that is new in its task, and whether the word may be hot."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), rarity.value
+        counts = rarity.value
         first: dict[tuple[int, int], tuple] = {}
 
         def made(part: list[dict]) -> pa.RecordBatch | None:
-            lines = Lines(part, hashes)
+            lines = Lines(part)
             chosen = np.zeros(len(lines.sizes), bool)
             for i, (d, doc, at) in enumerate(zip(lines.digests(), lines.doc, lines.line, strict=True)):
                 if doc is not None and lines.sizes[i] > 3 and (d not in first or (doc, at) < first[d]):
@@ -333,13 +335,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: int, key: str) -> Da
     filtered = docs.sparkSession.sparkContext.broadcast(BitFilter.of(places.select(F.xxhash64("doc_id", F.col("line").cast("int")).alias("h")), "h"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
-            for r in b.to_pylist():
-                found = set(re.findall(WORDS, r["text"].translate(ASCII_LOWER)))
-                yield pa.record_batch(
-                    [pa.array([r["doc_id"]], b.schema.field("doc_id").type), pa.array([r["line"]], pa.int32()),
-                     pa.array([hashes.of(list(found)).view(np.int64).tolist()], pa.list_(pa.int64()))], names=["doc_id", "line", "found"])
+            found = [np.unique(hashed_words(t.encode().translate(SPACED))[0]).view(np.int64) for t in b.column("text").to_pylist()]
+            yield pa.record_batch(
+                [b.column("doc_id"), b.column("line").cast(pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "line", "found"]
+            )
 
     @F.pandas_udf("boolean")
     def wanted(h: pd.Series) -> pd.Series:

@@ -24,7 +24,6 @@ Rows without id are left out.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,20 +32,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import ASCII_LOWER, WordHashes, id_text, map_rows, mix, only_ids, shingle_hashes, table
+from mercato.llm.common import SPACED, hashed_words, id_text, map_rows, mix, only_ids, shingle_hashes, table
 from mercato.llm.components import components
 from mercato.session import stage
 
-WORDS = r"[^\x20\x09-\x0D]+"
 BANDS, ROWS = 36, 5
 #: Similarity in percent; posterior below which a pair goes; signature bytes per batch; classes per block.
 THRESHOLD, MISS, BATCH, BLOCK = 80, 1e-9, 30, 512
 _HASHES = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def shingles(text: str, size: int, hashes: WordHashes) -> np.ndarray:
+def shingles(text: str, size: int) -> np.ndarray:
     """Distinct shingle hashes in order."""
-    return np.unique(shingle_hashes(hashes.of(re.findall(WORDS, text.translate(ASCII_LOWER))), size))
+    return np.unique(shingle_hashes(hashed_words(text.encode().translate(SPACED))[0], size))
 
 
 def min_hashes(found: np.ndarray) -> np.ndarray:
@@ -62,9 +60,8 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n, digest, bands, bytes) of (doc_id, text)."""
 
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
-        hashes = WordHashes()
         for r in source:
-            found = shingles(r["text"], size, hashes)
+            found = shingles(r["text"], size)
             if not len(found):
                 yield r["doc_id"], 0, None, [], None
                 continue
@@ -129,9 +126,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> D
     """Staged pairs (u, v) whose full sets are as similar as the threshold says."""
 
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
-        hashes = WordHashes()
         for r in source:
-            found = shingles(r["text"], size, hashes)
+            found = shingles(r["text"], size)
             yield r["doc_id"], xxhash.xxh3_128_digest(found.tobytes()), found.view(np.int64).tolist()
 
     ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()

@@ -10,8 +10,8 @@ from hypothesis import given as sampled
 from hypothesis import settings
 from hypothesis import strategies as st
 
-from mercato.llm import components, decontaminate, fingerprints, line_dedup, near_dups
-from mercato.llm.common import BitFilter, WordHashes, shingle_hashes
+from mercato.llm import common, components, decontaminate, fingerprints, line_dedup, near_dups
+from mercato.llm.common import BitFilter, shingle_hashes
 from tests.llm.conftest import LOWER, ODD_TEXTS, rows, words
 
 
@@ -216,7 +216,30 @@ def test_cuts_shift_with_the_content():
             assert fingerprints.cuts(data, start) == [e for e in ends if e > start]
 
 
+def test_hashed_words(monkeypatch):
+    texts = ["", " \t\n", "a", "  B b\x0bB\x85 é\u2003x ", "w " * 300 + "longer" * 40, "x" * 500]
+    texts = [t.encode().translate(common.SPACED) for t in texts]
+    whole = [common.hashed_words(t) for t in texts]
+    monkeypatch.setattr(common, "_PIECE", 64)
+    seen = {}
+    for t, found in zip(texts, whole, strict=True):
+        for a, b in zip(found, common.hashed_words(t), strict=True):
+            assert np.array_equal(a, b)
+        own = [t[a:b] for a, b in zip(found[1], found[2], strict=True)]
+        assert own == t.split()
+        for h, w in zip(found[0].tolist(), own, strict=True):
+            assert seen.setdefault(h, w) == w
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_word_tables():
+    for b in range(128):
+        c = chr(b)
+        assert (common.SPACED[b] == 32) == (c in " \t\n\x0b\x0c\r")
+        assert (common.ALPHANUMERIC[b] == 32) == (re.fullmatch(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]", c.translate(LOWER)) is None)
+        assert common.SPACED[b] in (32, ord(c.translate(LOWER)))
+
+
 def test_shingles():
-    hashes = WordHashes(limit=2)
-    h = hashes.of("a b c a b".split())
+    h = common.hashed_words(b"a b c a b")[0]
     assert len(np.unique(shingle_hashes(h, 2))) == 3 and len(shingle_hashes(h, 9)) == 1 and len(shingle_hashes(h[:0], 2)) == 0
