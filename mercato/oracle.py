@@ -444,7 +444,8 @@ def build_oracle() -> dict[str, str]:
         q[f"reject_reasons_{label}"] = _sql(_reasons(raw, rules))
         q[f"stream_raw_{label}"] = q[f"parse_{label}"]
         q[f"stream_curated_{label}"] = q[f"clean_{label}"]
-    q["stream_compacted_events"] = q["clean_events"]
+    for label in ("orders", "payments", "events"):
+        q[f"stream_compacted_{label}"] = q[f"clean_{label}"]
     q["stream_all_topics"] = _sql(
         " UNION ALL ".join(
             (
@@ -836,4 +837,29 @@ def build_oracle() -> dict[str, str]:
         f"""SELECT "date" AS sale_date, * EXCLUDE ("date", computed_at), computed_at AS computed_date
           FROM ({_daily_sales('upper(trim(device))')})"""
     )
+    q["catalog_daily_orders"] = _sql(
+        """SELECT "date" AS dt, COUNT(*) AS orders, MAX(final_amount) AS largest, MIN("timestamp") AS first_order
+          FROM c_orders GROUP BY "date\""""
+    )
+    q["catalog_daily_payments"] = _sql(
+        """SELECT "date" AS dt, payment_method, COUNT(*) AS payments, MAX("timestamp") AS last_payment
+          FROM c_payments GROUP BY "date", payment_method"""
+    )
+    q["catalog_customer_rfm"] = q["rfm_scores"]
+    q["catalog_churn_candidates"] = q["churn_candidates"]
+    q["catalog_payment_analysis"] = q["payment_analysis"].replace('SELECT "date"', 'SELECT "date" AS analysis_date', 1)
+    q["layer_inventory"] = _sql(
+        " UNION ALL ".join(
+            f"""SELECT DISTINCT '{topic}' AS topic, "date", TRUE AS holds_files FROM c_{topic} WHERE "date" IS NOT NULL"""
+            for topic in ("orders", "payments", "user_events")
+        )
+    )
+    q["parse_order_items"] = _sql("SELECT * FROM order_lines")
+    q["export_order_items"] = q["export_lines_json"]
+    q["quality_item_lines"] = q["quality_line_totals"]
+    q["quality_item_catalogue"] = q["quality_catalogue"]
+    for name, table in (("revenue_by_region", "c_orders"), ("payment_methods", "c_payments")):
+        q[f"{name}_range"] = q[name].replace(
+            f"FROM {table}", f"""FROM (SELECT * FROM {table} WHERE "date" BETWEEN '1997-01-01' AND '1997-12-31')"""
+        )
     return q

@@ -127,7 +127,24 @@ def nightly_snapshot(w: Workspace) -> DataFrame:
 
 # -- analyses, sheets, warehouse queries, checks, findings ----------------------
 for _name, _analysis in analytics.ANALYSES.items():
-    QUERIES[_name] = lambda w, f=_analysis: f(w.tables)
+    if _name.startswith("warehouse_"):
+        QUERIES[_name] = lambda w, f=_analysis: f(w.warehouse_tables())
+    else:
+        QUERIES[_name] = lambda w, f=_analysis: f(w.tables)
+
+#: A year of the test tables, for the queries over a range of dates.
+YEAR = ("1997-01-01", "1997-12-31")
+
+
+@query
+def revenue_by_region_range(w: Workspace) -> DataFrame:
+    """One year out of the date-partitioned layer."""
+    return analytics.revenue_by_region(w.layer_tables().between(*YEAR))
+
+
+@query
+def payment_methods_range(w: Workspace) -> DataFrame:
+    return analytics.payment_methods(w.layer_tables().between(*YEAR))
 
 
 # -- loading and exporting ----------------------------------------------------
@@ -178,6 +195,30 @@ def export_lines_json(w: Workspace) -> DataFrame:
     return export.export_safe(nested)
 
 
+# -- line items as messages carry them ------------------------------------------
+@query
+def parse_order_items(w: Workspace) -> DataFrame:
+    """Nested items out of the message text, one row per line."""
+    return quality.explode_items(w.item_messages())
+
+
+@query
+def export_order_items(w: Workspace) -> DataFrame:
+    """The nested column of parsed messages as JSON text."""
+    pair = F.transform("items", lambda x: F.struct(x["product_id"].alias("product_id"), x["quantity"].alias("quantity")))
+    return export.export_safe(w.item_messages().select("order_id", pair.alias("items")))
+
+
+@query
+def quality_item_lines(w: Workspace) -> DataFrame:
+    return quality.line_check_counts(_all_orders(w), quality.explode_items(w.item_messages()))
+
+
+@query
+def quality_item_catalogue(w: Workspace) -> DataFrame:
+    return quality.catalogue_check_counts(quality.explode_items(w.item_messages()), testdata.catalogue(w.spark, w.sf_dir))
+
+
 # -- quality ------------------------------------------------------------------
 def _all_orders(w: Workspace) -> DataFrame:
     """Raw orders, also those that cleaning drops, under their curated ids."""
@@ -285,15 +326,8 @@ def stream_all_topics(w: Workspace) -> DataFrame:
     )
 
 
-@query
-def stream_compacted_events(w: Workspace) -> DataFrame:
-    """Curated events after compaction and removal of the batches it covers."""
-    store = w.fresh_store()
-    w.ingest(store, ["user_events"])
-    layer = store.curated("user_events")
-    layers.compact(w.spark, layer, layers.TOPICS["user_events"].curated)
-    layers.drop_covered_batches(w.spark, layer)
-    return layers.read_curated(w.spark, store, "user_events").drop(*_UNCOMPARED)
+for _topic, _label in _TOPIC_LABEL.items():
+    QUERIES[f"stream_compacted_{_label}"] = lambda w, t=_topic: w.layer_tables()[t].drop(*_UNCOMPARED)
 
 
 @query
@@ -325,54 +359,72 @@ def watch_order_lines(w: Workspace) -> DataFrame:
 
 
 # -- warehouse ----------------------------------------------------------------
-def _warehouse(w: Workspace, topics: tuple[str, ...], nightly_first: bool = False) -> str:
-    store = w.fresh_store()
-    w.ingest(store, list(topics))
-    for topic in topics:
-        layers.compact(w.spark, store.curated(topic), layers.TOPICS[topic].curated)
-    if nightly_first:
-        nightly.run_nightly(w.spark, w.tables, store, AS_OF)
-    database = f"shop_{uuid.uuid4().hex[:12]}"
-    catalog.create_warehouse(w.spark, database, store, topics)
-    return database
-
-
 @query
 def catalog_event_partitions(w: Workspace) -> DataFrame:
-    return catalog.list_partitions(w.spark, _warehouse(w, ("user_events",)), "user_events")
+    return catalog.list_partitions(w.spark, w.warehouse(), "user_events")
 
 
 @query
 def catalog_event_columns(w: Workspace) -> DataFrame:
-    return catalog.describe_table(w.spark, _warehouse(w, ("user_events",)), "user_events")
+    return catalog.describe_table(w.spark, w.warehouse(), "user_events")
 
 
 @query
 def catalog_event_funnel(w: Workspace) -> DataFrame:
     """The event funnel in SQL over the warehouse's named table."""
-    database = _warehouse(w, ("user_events",))
     return w.spark.sql(
         f"""SELECT dt, event_type, COUNT(*) AS total_events, MIN(event_time) AS first_event
-            FROM {database}.user_events GROUP BY dt, event_type"""
+            FROM {w.warehouse()}.user_events GROUP BY dt, event_type"""
+    )
+
+
+@query
+def catalog_daily_orders(w: Workspace) -> DataFrame:
+    return w.spark.sql(
+        f"""SELECT dt, COUNT(*) AS orders, MAX(final_amount) AS largest, MIN(order_timestamp) AS first_order
+            FROM {w.warehouse()}.orders GROUP BY dt"""
+    )
+
+
+@query
+def catalog_daily_payments(w: Workspace) -> DataFrame:
+    return w.spark.sql(
+        f"""SELECT dt, payment_method, COUNT(*) AS payments, MAX(payment_timestamp) AS last_payment
+            FROM {w.warehouse()}.payments GROUP BY dt, payment_method"""
     )
 
 
 @query
 def catalog_daily_sales(w: Workspace) -> DataFrame:
     """The daily summary through its warehouse view."""
-    database = _warehouse(w, (), nightly_first=True)
-    return w.spark.table(f"{database}.daily_sales_summary")
+    return w.spark.table(f"{w.warehouse()}.daily_sales_summary")
+
+
+@query
+def catalog_customer_rfm(w: Workspace) -> DataFrame:
+    return w.spark.table(f"{w.warehouse()}.customer_rfm")
+
+
+@query
+def catalog_churn_candidates(w: Workspace) -> DataFrame:
+    return w.spark.table(f"{w.warehouse()}.churn_candidates")
+
+
+@query
+def catalog_payment_analysis(w: Workspace) -> DataFrame:
+    return w.spark.table(f"{w.warehouse()}.payment_analysis")
 
 
 @query
 def layer_inventory(w: Workspace) -> DataFrame:
-    """Files per folder of the stored layers (counts depend on how many tasks wrote them)."""
-    folders = []
+    """Date folders of the compacted layers, and whether they hold files."""
+    store, found = w.compacted(), []
     for topic in schemas.TOPICS:
-        w.tables[topic]  # stored on first use
-        folders.append(export.file_inventory(w.spark, f"{w.root}/{topic}"))
-    found = folders[0].unionByName(folders[1]).unionByName(folders[2])
-    return found.select(F.element_at(F.split("folder", "/"), -1).alias("folder"), "files", "bytes")
+        files = export.file_inventory(w.spark, f"{store.curated(topic)}/compacted")
+        date = F.regexp_extract("folder", "/date=([^/]*)$", 1)
+        dated = files.where(~F.col("folder").endswith("__HIVE_DEFAULT_PARTITION__"))  # rows without a date
+        found.append(dated.groupBy(F.lit(topic).alias("topic"), date.alias("date")).agg((F.sum("files") > 0).alias("holds_files")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def build_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

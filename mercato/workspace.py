@@ -14,17 +14,18 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato import schemas
 from mercato.jobs import table_entries
 from mercato.operators.cleaning import CLEAN
 from mercato.operators.customers import customer_metrics
-from mercato.plans import summaries
+from mercato.plans import catalog, nightly, summaries
 from mercato.plans.tables import Tables
 from mercato.session import pin_time_zone, shared_folder
 from mercato.sources import testdata
-from mercato.sources.envelope import read_envelope_files
+from mercato.sources.envelope import parse_envelope, read_envelope_files, to_envelope
 from mercato.sources.files import Files
 from mercato.sources.tables import TableEntry
 from mercato.streaming import layers
@@ -119,6 +120,47 @@ class Workspace:
         )
         layers.await_all(queries)
 
+    def compacted(self) -> layers.Store:
+        """The same store after one compaction of all its batches; nothing is deleted."""
+        store = self.ingested()
+        with _writing:
+            done = f"{store.root}#compacted"
+            if done not in _written:
+                for topic in layers.TOPICS.values():
+                    layers.compact(self.spark, store.raw(topic.name), topic.raw, by_date=False)
+                    layers.compact(self.spark, store.curated(topic.name), topic.curated)
+                _written[done] = T.StructType()
+        return store
+
+    def layer_tables(self) -> Tables:
+        """The curated layers as production has them: date folders, compacted."""
+        store = self.compacted()
+        return Tables(lambda name: layers.read_curated(self.spark, store, name))
+
+    def warehouse(self) -> str:
+        """Name of the warehouse database over that store and its nightly summaries."""
+        store, database = self.compacted(), f"shop_{self.tag}"
+        with _writing:
+            done = f"{store.root}#warehouse"
+            if done not in _written:
+                for topic in ("orders", "payments"):
+                    self.tables[topic]  # stored before the steps ask side by side
+                nightly.run_nightly(self.spark, self.tables, store, AS_OF)
+                catalog.create_warehouse(self.spark, database, store)
+                _written[done] = T.StructType()
+        return database
+
+    def warehouse_tables(self) -> Tables:
+        database = self.warehouse()
+        return Tables(lambda name: catalog.warehouse_table(self.spark, database, name))
+
+    def item_messages(self) -> DataFrame:
+        """Each line as an order message whose ``items`` array has that line, parsed as orders are."""
+        lines = self.order_lines()
+        item = F.struct(*[c for c in lines.columns if c != "order_id"])
+        orders = lines.select("order_id", F.array(item).alias("items"))
+        return parse_envelope(to_envelope(orders, "orders", "order_id", orders.columns), schemas.ORDER, keep_source=False)
+
     def ingested(self) -> layers.Store:
         """The layers of all three topics, streamed side by side once per application."""
         store = layers.Store(f"{self.root}/streamed")

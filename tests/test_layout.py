@@ -192,6 +192,18 @@ def test_a_product_listed_twice_does_not_multiply_lines(spark):
     assert counts(differing) == {"OK": 1, "DUPLICATE_PRODUCT": 1}
 
 
+def test_a_range_of_dates_reads_its_folders_only(spark, root):
+    store = Store(root)
+    put(spark, store, [order(n, date=f"2026-05-{10 + n}") for n in range(9)], 0)
+    compact_all(spark, store)
+    tables = Tables(lambda name: layers.read_curated(spark, store, name)).between("2026-05-12", "2026-05-13")
+    found = analytics.revenue_by_region(tables)
+    assert found.agg(F.sum("total_orders")).first()[0] == 2
+    text = found._jdf.queryExecution().executedPlan().toString()
+    filters = text.split("PartitionFilters: [")[1].split("]")[0]
+    assert "2026-05-12" in filters and "2026-05-13" in filters
+
+
 def test_a_breakdown_shows_all_values(spark):
     df = spark.range(30).selectExpr("id AS v")
     assert analytics.breakdown(df, "v").count() == 30 and analytics.breakdown(df, "v", top=10).count() == 10
