@@ -9,9 +9,9 @@ r"""Near-duplicate documents: MinHash bands, sequential Bayesian verification, e
    What is left is confirmed on the full sets, read again for just these documents.
 4. Confirmed links are merged into components. Pairs within a component need no further look, so
    only the least pair of each class is confirmed first, then those that still join two components.
-5. Buckets that still hold several components are compared in full, with the same batches, cut into
-   blocks of ``BLOCK`` classes that separate tasks compare; only pairs that pass leave a task. So no
-   link inside any bucket is missed, while a bucket of copies never makes all its pairs.
+5. Buckets that still hold several components are compared in full, by the same batches and then on
+   full sets, cut into blocks of ``BLOCK`` classes that separate tasks compare; only links that tie
+   components leave a task. So no link that matters is missed, and no bucket ever makes all its pairs.
 
 The chance that a pair of similarity s shares no bucket is (1 - s^ROWS)^BANDS: 6e-7 at 0.8.
 
@@ -122,20 +122,25 @@ def plausible(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
     return pairs.join(sides[0], "u").join(sides[1], "v").where(likely("bytes_u", "bytes_v")).select("u", "v")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Staged pairs (u, v) whose full sets are as similar as the threshold says."""
+def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """Staged (doc_id, found): the full sets of at least these documents, one row each."""
 
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
         for r in source:
             found = shingles(r["text"], size)
             yield r["doc_id"], xxhash.xxh3_128_digest(found.tobytes()), found.view(np.int64).tolist()
 
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     key = docs.schema["doc_id"].dataType.simpleString()
     sets = stage(map_rows(only_ids(docs, ids), rows, f"doc_id {key}, digest binary, found array<long>", batch=512), "shingle-sets")
     if sets.groupBy("doc_id").count().where("count > 1").limit(1).count():  # repeated ids: see the module's text
         least = sets.groupBy("doc_id").agg(F.min("digest").alias("digest"))
         sets = sets.join(least, ["doc_id", "digest"]).dropDuplicates(["doc_id"])
+    return sets.select("doc_id", "found")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Staged pairs (u, v) whose full sets are as similar as the threshold says."""
+    sets = _sets(docs, pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), size)
     sides = [sets.select(F.col("doc_id").alias(k), F.col("found").alias(f"found_{k}")) for k in ("u", "v")]
     shared = F.size(F.array_intersect("found_u", "found_v"))
     whole = F.size("found_u") + F.size("found_v") - shared
@@ -150,14 +155,20 @@ def _across(pairs: DataFrame, member: DataFrame) -> DataFrame:
     return pairs.where("of_u <> of_v").select("u", "v")
 
 
-def within_buckets(buckets: DataFrame, nodes: DataFrame, member: DataFrame, threshold: int) -> DataFrame:
-    """Plausible pairs across components in buckets that hold three classes or more, of several components."""
+def within_buckets(buckets: DataFrame, nodes: DataFrame, member: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Links across components in buckets that hold three classes or more, of several components.
+
+    A task compares two blocks of a bucket: signatures first, then, from the most similar on, the
+    full sets of what passes, unless a link has tied the two components in this task already. So
+    only links leave it, fewer than it has classes.
+    """
     steps = least_matches(threshold)
     rows = buckets.join(member, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("n > 2 AND a <> b")
-    rows = rows.join(mixed.select("key", "n"), "key")
+    rows = stage(rows.join(mixed.select("key", "n"), "key"), "mixed-buckets")
     if not rows.limit(1).count():
         return rows.select(F.col("id").alias("u"), F.col("id").alias("v"))
+    sets = _sets(docs, rows.select(F.col("id").alias("doc_id")).distinct(), size).withColumnRenamed("doc_id", "id")
     # block i of a bucket meets blocks i and above: a row goes to each pair of blocks that holds its own
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -165,19 +176,26 @@ def within_buckets(buckets: DataFrame, nodes: DataFrame, member: DataFrame, thre
     met = rows.select(
         "key", "id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     ).select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    met = met.join(nodes.select("id", "bytes"), "id")
+    met = met.join(nodes.select("id", "bytes").join(sets, "id"), "id")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        own, j = part["own"].to_numpy(), part["j"].to_numpy()
-        ids, of, sig = part["id"].to_numpy(), part["component"].to_numpy(), _matrix(list(part["bytes"]))
-        left = np.flatnonzero(own == part["i"].to_numpy())
-        right = np.flatnonzero(own == j)
-        same, found = bool((part["i"] == part["j"]).all()), []
-        for a in left:
-            against = right[(of[right] != of[a]) & ((ids[right] < ids[a]) if same else True)]
-            if len(against):
-                passed = against[passing(np.broadcast_to(sig[a], (len(against), sig.shape[1])), sig[against], steps)]
-                found += [(max(ids[a], ids[b]), min(ids[a], ids[b])) for b in passed]
+        own, ids, of = part["own"].to_numpy(), part["id"].to_numpy(), part["component"].to_numpy()
+        sig, sets, same = _matrix(list(part["bytes"])), list(part["found"]), bool((part["i"] == part["j"]).all())
+        tied, of = np.unique(of, return_inverse=True)
+        tied, found = np.arange(len(tied)), []  # tied: by component, the one that stands for it now
+        right = np.flatnonzero(own == part["j"].to_numpy())
+        for a in np.flatnonzero(own == part["i"].to_numpy()):
+            against = right[(tied[of[right]] != tied[of[a]]) & ((ids[right] < ids[a]) if same else True)]
+            if not len(against):
+                continue
+            against = against[passing(np.broadcast_to(sig[a], (len(against), sig.shape[1])), sig[against], steps)]
+            for b in against[np.argsort(-(sig[against] == sig[a]).sum(axis=1), kind="stable")]:
+                if tied[of[a]] == tied[of[b]]:
+                    continue
+                shared = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if shared * 100 >= threshold * (len(sets[a]) + len(sets[b]) - shared):
+                    found.append((max(ids[a], ids[b]), min(ids[a], ids[b])))
+                    tied[tied == tied[of[a]]] = tied[of[b]]
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return met.groupBy("key", "i", "j").applyInPandas(compare, "u long, v long").distinct()
@@ -201,11 +219,13 @@ def duplicate_groups(docs: DataFrame, size: int, threshold: int = THRESHOLD, id_
 
     links = confirmed(pairs.groupBy("u").agg(F.min("v").alias("v")), docs, size, threshold)
     member = stage(components(links), "components")
-    for more in (lambda: _across(pairs, member), lambda: within_buckets(shared, nodes, member, threshold)):
-        rest = stage(more(), "further-pairs")
-        if rest.limit(1).count():
-            links = links.unionByName(confirmed(rest, docs, size, threshold))
-            member = stage(components(links), "components")
+    rest = stage(_across(pairs, member), "further-pairs")
+    if rest.limit(1).count():
+        links = links.unionByName(confirmed(rest, docs, size, threshold))
+        member = stage(components(links), "components")
+    rest = stage(within_buckets(shared, nodes, member, docs, size, threshold), "links")
+    if rest.limit(1).count():
+        member = stage(components(links.unionByName(rest)), "components")
     grouped = filled.join(classes, "digest").join(member, "id", "left")
     return grouped.select("doc_id", "n", F.coalesce("component", "id").alias("component")).unionByName(
         one.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
