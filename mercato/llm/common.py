@@ -112,9 +112,9 @@ class BitFilter:
         at = entries.select(spots.alias("h")).select(F.expr(f"h & {bits - 1}L").alias("at"))
         rows = at.groupBy(F.shiftright("at", 6).alias("word")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
-        ).toPandas()
+        ).toArrow()
         words = np.zeros(bits // 64, np.uint64)
-        words[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+        words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
         return BitFilter(words)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:

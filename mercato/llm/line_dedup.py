@@ -133,9 +133,10 @@ def _survey(docs: DataFrame) -> DataFrame:
 
 def _rarity(survey: DataFrame) -> np.ndarray:
     """The table of fixed size."""
-    rows = survey.where("kind = 2").groupBy("a").agg(F.sum("b").alias("b")).toPandas()
+    rows = survey.where("kind = 2").groupBy("a").agg(F.least(F.sum("b"), F.lit(2**31 - 1)).cast("int").alias("b"))
+    rows = rows.select(F.col("a").cast("int"), "b").toArrow()  # at most SLOTS rows of 8 bytes
     table = np.zeros(SLOTS, np.uint32)
-    table[rows["a"].to_numpy(np.int64)] = np.minimum(rows["b"].to_numpy(np.int64), 2**32 - 1)
+    table[rows.column("a").to_numpy()] = rows.column("b").to_numpy()
     return table
 
 
