@@ -118,7 +118,8 @@ raw_payments AS (
   SELECT ' pay' || o_orderkey AS payment_id, ' ord' || o_orderkey || ' ' AS order_id,
     'CUST' || o_custkey AS customer_id, o_totalprice AS amount,
     {_pick('o_orderkey // 3', _METHODS)} AS payment_method,
-    CASE WHEN (o_orderkey // 7) % 10 = 0 THEN 'FAILED' ELSE 'success' END AS status,
+    CASE WHEN o_orderstatus IS NULL THEN NULL WHEN (o_orderkey // 7) % 10 = 0 THEN 'FAILED'
+      ELSE 'success' END AS status,
     {_pick('o_orderkey', _GATEWAYS)} AS gateway, 'TXN' || o_orderkey AS transaction_id,
     strftime({_ORDER_TIME}, '%Y-%m-%dT%H:%M:%S') AS "timestamp",
     strftime({_ORDER_TIME}, '%Y-%m-%d') AS "date",

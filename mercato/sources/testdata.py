@@ -117,7 +117,8 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("CUST"), F.col("o_custkey")).alias("customer_id"),
         F.col("o_totalprice").alias("amount"),
         _pick(F.call_function("div", k, F.lit(3)), schemas.PAYMENT_METHODS).alias("payment_method"),
-        F.when(F.call_function("div", k, F.lit(7)) % 10 == 0, "FAILED").otherwise("success").alias("status"),
+        F.when(F.col("o_orderstatus").isNull(), None)
+        .when(F.call_function("div", k, F.lit(7)) % 10 == 0, "FAILED").otherwise("success").alias("status"),
         _pick(k, schemas.GATEWAYS).alias("gateway"),
         F.concat(F.lit("TXN"), k).alias("transaction_id"),
         F.date_format(at, ISO_SECONDS).alias("timestamp"),

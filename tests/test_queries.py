@@ -3,6 +3,7 @@
 import datetime
 import glob
 import os
+import re
 
 import duckdb
 import pytest
@@ -51,13 +52,17 @@ def ordered(rows):
 def test_query_equals_duckdb(spark, duck, tables, name):
     df = build_queries()[name](spark, tables)
     columns = sorted(df.columns)
-    got = ordered([tuple(plain(r[c]) for c in columns) for r in df.collect()])
+    rows = [tuple(plain(r[c]) for c in columns) for r in df.collect()]
+    got = ordered(rows)
     result = duck.execute(build_oracle()[name])
     kinds = {d[0]: str(d[1]) for d in result.description}
     assert sorted(kinds) == columns
     assert {c: TYPES[t] for c, t in df.dtypes} == kinds
     at = [[d[0] for d in result.description].index(c) for c in columns]
-    assert got == ordered([tuple(r[i] for i in at) for r in result.fetchall()])
+    want = [tuple(r[i] for i in at) for r in result.fetchall()]
+    if tables == SF and re.search(r"ORDER BY [^()]*$", build_oracle()[name]):  # the engines place nulls differently
+        assert rows == want  # the query sorts, so its order counts, too
+    assert got == ordered(want)
 
 
 @pytest.mark.parametrize("name", sorted(set(build_queries()) - set(build_oracle())))
@@ -73,8 +78,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-LAZY = [n for n in build_queries() if n.split("_")[0] in
-        ("clean", "parse", "reject", "quality", "sheet", "warehouse", "watch", "export", "finding")]
+# These do their work when they are called, and return a few rows about it.
+EAGER = {"nightly_manifest", "nightly_snapshot", "table_counts", "table_index", "report_manifest", "stream_topic_counts", "exported_rows"}
+LAZY = [n for n in build_queries() if n not in EAGER]
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -87,7 +93,7 @@ def test_no_python_and_no_cross_join_in_the_plan(spark, name):
 ON_GROUPED_ROWS = {
     "reject_summary_orders", "reject_summary_payments", "reject_summary_events",
     "warehouse_device_share", "warehouse_event_funnel", "finding_biggest_segment",
-    "finding_device_split", "finding_data_volume",
+    "finding_device_split", "finding_data_volume", "device_share", "rfm_share", "segment_share",
 }
 
 
@@ -107,7 +113,7 @@ def test_a_total_comes_after_the_aggregate(spark, name):
 def test_customer_totals_combine_before_the_shuffle(spark):
     text = plan(build_queries()["customer_metrics"](spark, SF))
     heavy = text.split("hashpartitioning(customer_id")[-1]
-    assert "HashAggregate" in heavy and "partial_" in heavy and "SortAggregate" not in heavy
+    assert "partial_max_by" in heavy and text.count("hashpartitioning(customer_id") == 1
 
 
 def test_scores_need_no_single_task(spark):
