@@ -130,16 +130,17 @@ def descend(rows: list[np.ndarray], good: np.ndarray, ratios: np.ndarray, cost:
     """
     y = np.where(good, 1.0, -1.0)
     costs = cost * len(y) / (2 * np.where(good, good.sum(), (~good).sum()))
-    values = [ratios[f] for f in rows]
-    values = [v / s if (s := math.sqrt(float(v @ v))) > 0 else v for v in values]
-    diagonal = np.array([float(v @ v) + 1.0 for v in values])
+    sizes = np.array([math.sqrt(float(np.square(ratios[f]).sum())) for f in rows])
+    diagonal = 1.0 + (sizes > 0)  # rows of unit length, and the bias
+    sizes[sizes == 0] = 1.0
     dual, weights, bias = np.zeros(len(y)), np.zeros(len(ratios)), 0.0
     order, rng = np.arange(len(y)), np.random.default_rng(7)
     for _ in range(passes):
         rng.shuffle(order)
         moved = 0.0
         for i in order:
-            f, v = rows[i], values[i]
+            f = rows[i]
+            v = ratios[f] / sizes[i]
             slack = y[i] * (float(weights[f] @ v) + bias) - 1.0
             new = min(max(dual[i] - slack / diagonal[i], 0.0), costs[i])
             step = (new - dual[i]) * y[i]
@@ -212,9 +213,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, max_r
     read = map_rows(
         id_text(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "text", "good"), rows,
         "doc_id long, good boolean, found array<int>", batch=256,
-    ).toArrow()
-    ids = read.column("doc_id").to_numpy()
-    found = [np.asarray(f.values, dtype=np.int64) for f in read.column("found")]
+    ).toArrow().combine_chunks()
+    ids, lists = read.column("doc_id").to_numpy(), read.column("found").combine_chunks()
+    flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+    found = np.split(flat, ends[:-1])  # views: the sample is held once, four bytes a feature
     good = np.array(read.column("good").to_pylist(), dtype=bool)
     rank = np.lexsort((ids, mix(ids.view(np.uint64))))
     return fit([found[i] for i in rank], good[rank])
