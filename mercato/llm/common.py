@@ -56,7 +56,8 @@ def unused(df: DataFrame, name: str) -> str:
 
 
 def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], schema: str, batch: int = 4096) -> DataFrame:
-    """``mapInArrow`` over dicts: at most ``batch`` result rows are held at a time."""
+    """``mapInArrow`` over dicts: at most ``batch`` result rows are held at a time. A result may
+    also be a list of columns, for many rows at once."""
 
     kinds = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -74,6 +75,9 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[tuple]], s
 
         held: list[tuple] = []
         for row in rows(source()):
+            if isinstance(row, list):  # whole columns
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, arrow, strict=True)], schema=arrow)
+                continue
             held.append(row)
             if len(held) >= batch:
                 yield _batch(held, arrow)

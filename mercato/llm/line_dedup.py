@@ -31,6 +31,7 @@ from itertools import batched
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ from mercato.session import stage
 ANY_WORD = r"[^\x20\x09-\x0D]"
 #: Similarity in percent; slots of the rarity table (4 bytes each); lines of a word in one task and in
 #: a block; candidates that a line keeps per word; sets remembered per task.
-THRESHOLD, SLOTS, HOT, BLOCK, FIRST, REMEMBERED = 80, 1 << 21, 8192, 2048, 3, 400_000
+THRESHOLD, SLOTS, HOT, BLOCK, FIRST, REMEMBERED = 80, 1 << 21, 8192, 2048, 8, 150_000
 
 
 class Lines:
@@ -124,11 +125,12 @@ def _survey(docs: DataFrame) -> DataFrame:
             np.add.at(slots, (lines.words[new[lines.owner]] & np.uint64(SLOTS - 1)).astype(np.int64), 1)
         for (a, b), (x, y) in first.items():
             yield 0, a, b, x, y
-        for slot in np.flatnonzero(slots).tolist():
-            yield 2, slot, int(slots[slot]), None, None
+        at = np.flatnonzero(slots)
+        none = pa.nulls(len(at))
+        yield [np.full(len(at), 2, np.int32), at, slots[at].astype(np.int64), none, none]
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs, rows, f"kind int, a long, b long, doc_id {key}, line int", batch=50_000)
+    return map_rows(docs, rows, f"kind int, a long, b long, doc_id {key}, line int", batch=10_000)
 
 
 def _rarity(survey: DataFrame) -> np.ndarray:
@@ -143,8 +145,11 @@ def _rarity(survey: DataFrame) -> np.ndarray:
 _POSTING = "word long, p long, q long, n int, rank int, doc_id {key}, line int"
 
 
-def _postings(docs: DataFrame, rarity, threshold: int, key: str) -> DataFrame:
-    """A row per prefix word of each set that is new in its task, and whether the word may be hot."""
+def _postings(docs: DataFrame, rarity, threshold: int, key: str, words=None) -> DataFrame:
+    """A row per prefix word of each set that is new in its task, and whether the word may be hot.
+
+    ``words``: a broadcast bit filter; other words are left out.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = rarity.value
@@ -160,11 +165,14 @@ def _postings(docs: DataFrame, rarity, threshold: int, key: str) -> DataFrame:
                     first[d], chosen[i] = (doc, at), True
             if not chosen.any():
                 return None
-            owner, words, rank, count = lines.prefixes(counts, threshold, chosen)
+            owner, word, rank, count = lines.prefixes(counts, threshold, chosen)
+            if words is not None:
+                kept = words.value.has(word)
+                owner, word, rank, count = owner[kept], word[kept], rank[kept], count[kept]
             p, q = lines.parities()
             doc = pa.array(lines.doc)
             return pa.record_batch([
-                pa.array(words.view(np.int64)), pa.array(p[owner].view(np.int64)), pa.array(q[owner].view(np.int64)),
+                pa.array(word.view(np.int64)), pa.array(p[owner].view(np.int64)), pa.array(q[owner].view(np.int64)),
                 pa.array(lines.sizes[owner].astype(np.int32)), pa.array(rank.astype(np.int32)),
                 doc.take(pa.array(owner)), pa.array(np.array(lines.line, np.int32)[owner]), pa.array(count > HOT),
             ], names=["word", "p", "q", "n", "rank", "doc_id", "line", "hot"])
@@ -190,7 +198,8 @@ def _possible(part: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, thresho
 
 def _sweep(part: dict[str, np.ndarray], threshold: int, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (later, earlier) of rows with equal words that may match: of each row the ``first``
-    earliest (all, if None). Rows are sorted by word, then place. Third: whether a row had more."""
+    earliest (all, if None). Rows are sorted by word, then place; only ``open`` ones are the later
+    of a pair. Third: whether a row had more."""
     word, n = part["word"], len(part["word"])
     ends = np.append(np.flatnonzero(word[1:] != word[:-1]) + 1, n)
     stop = np.repeat(ends, np.diff(np.append(0, ends)))
@@ -199,7 +208,8 @@ def _sweep(part: dict[str, np.ndarray], threshold: int, first: int | None) -> tu
         live = live[live + step < stop[live]]
         if not len(live):
             break
-        ok = live[_possible(part, live, live + step, threshold)]
+        at = live[part["open"][live + step]]
+        ok = at[_possible(part, at, at + step, threshold)]
         later.append(ok + step)
         earlier.append(ok)
         step += 1
@@ -223,7 +233,7 @@ def _earliest(x: np.ndarray, y: np.ndarray, first: int | None) -> tuple[np.ndarr
 
 def _columns(table: pa.Table) -> dict[str, np.ndarray]:
     get = lambda name: table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
-    part = {name: get(name) for name in ("word", "n", "rank", "line")}
+    part = {name: get(name) for name in ("word", "n", "rank", "line", "open")}
     part |= {name: get(name).astype(np.int64).view(np.uint64) for name in ("p", "q")}
     part["doc"] = get("doc_id")
     return part
@@ -246,7 +256,7 @@ def _pair_schema(kind: pa.DataType) -> pa.Schema:
 def _met(rows: DataFrame, threshold: int, first: int | None, key: str) -> DataFrame:
     """Staged candidate pairs among the rows of each word, which meet in one task, sorted. Rows of a
     word that may be hot are spread over all tasks and come out as they are, ``word`` not null."""
-    names = ["word", "p", "q", "n", "rank"]
+    names = ["word", "p", "q", "n", "rank", "open"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -268,7 +278,7 @@ def _met(rows: DataFrame, threshold: int, first: int | None, key: str) -> DataFr
                     [hot.column("doc_id"), hot.column("line"), *none, *(hot.column(c) for c in names)],
                     names=[*_pair_schema(kind).names, *names],
                 )
-            b = b.slice(0, b.num_rows - hot.num_rows)  # these are sorted last
+                b = b.filter(pc.invert(b.column("hot")))
             if not b.num_rows:
                 continue
             words = b.column("word").to_numpy()
@@ -281,8 +291,8 @@ def _met(rows: DataFrame, threshold: int, first: int | None, key: str) -> DataFr
             yield from swept(pa.Table.from_batches(held))
 
     where = F.when(F.col("hot"), F.xxhash64("doc_id", "line")).otherwise(F.col("word"))
-    met = rows.withColumn("at", where).repartition("at").drop("at").sortWithinPartitions("hot", "word", "doc_id", "line")
-    schema = _PAIR.format(key=key) + ", word long, p long, q long, n int, rank int"
+    met = rows.withColumn("at", where).repartition("at").drop("at").sortWithinPartitions("word", "doc_id", "line")
+    schema = _PAIR.format(key=key) + ", word long, p long, q long, n int, rank int, open boolean"
     return stage(met.mapInArrow(compare, schema), "met-lines")
 
 
@@ -299,7 +309,7 @@ def _met_in_blocks(rows: DataFrame, threshold: int, first: int | None, key: str)
         part = _columns(table)
         own, i, j = (table.column(c).to_numpy() for c in ("own", "i", "j"))
         later, earlier = [], []
-        for x in range(1, table.num_rows):
+        for x in np.flatnonzero(part["open"]).tolist():
             y = np.arange(x)
             if i[0] != j[0]:
                 y = y[own[:x] != own[x]]  # pairs inside a block meet in its own group
@@ -316,10 +326,22 @@ def _met_in_blocks(rows: DataFrame, threshold: int, first: int | None, key: str)
 
 
 def _candidates(docs: DataFrame, rarity, threshold: int, first: int | None, key: str, only: DataFrame | None = None) -> DataFrame:
-    """Staged (x_doc, x_line, y_doc, y_line, more); ``only``: for these lines x alone."""
-    met = _met(_postings(docs, rarity, threshold, key), threshold, first, key)
+    """Staged (x_doc, x_line, y_doc, y_line, more); ``only``: for these lines x alone, by the words
+    that prefixes in their documents have."""
+    words, is_open = None, F.lit(True)
+    if only is not None:
+        wanted = docs.sparkSession.sparkContext.broadcast(BitFilter.of(only.select(F.xxhash64("x_doc", "x_line").alias("h")), "h"))
+
+        @F.pandas_udf("boolean")
+        def listed(h: pd.Series) -> pd.Series:
+            return pd.Series(wanted.value.has(h.to_numpy(np.int64).view(np.uint64)))
+
+        is_open = listed(F.xxhash64("doc_id", "line"))
+        own = _postings(only_ids(docs, only.select(F.col("x_doc").alias("doc_id")).distinct()), rarity, threshold, key)
+        words = docs.sparkSession.sparkContext.broadcast(BitFilter.of(stage(own.select("word").distinct(), "open-words"), "word"))
+    met = _met(_postings(docs, rarity, threshold, key, words).withColumn("open", is_open), threshold, first, key)
     usual = met.where("word IS NULL").select("x_doc", "x_line", "y_doc", "y_line", "more")
-    hot = met.where("word IS NOT NULL").select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line"), "word", "p", "q", "n", "rank")
+    hot = met.where("word IS NOT NULL").select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line"), "word", "p", "q", "n", "rank", "open")
     if hot.limit(1).count():
         usual = usual.unionByName(_met_in_blocks(hot, threshold, first, key))
     if only is not None:
