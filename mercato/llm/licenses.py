@@ -1,8 +1,11 @@
 """License scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph (a line of text) is read in windows of ``WINDOW`` words, each half overlapping the one
-before, so any notice of half a window or less lies whole in one. A window's features are the words
-and word pairs that occur in templates, all others count as unknown words. Multinomial logistic
+A paragraph is a run of lines with words, so a notice may be wrapped over many lines; marks of
+comments are no words, and a line of nothing else ends a paragraph. Its words are read in windows of
+``WINDOW``, each half overlapping the one before, so any notice of half a window or less lies whole
+in one. Hits name the first line of their paragraph and the lines that the notice itself spans. A
+window's features are the words and word pairs that occur in templates, all others count as unknown
+words. Multinomial logistic
 regression with an L1 penalty, so most weights are zero, gives a probability to each licence family
 and to "no licence". It is trained here, on variants of the templates (words dropped, set into
 running text) against windows of the corpus and against loose pieces of templates, which are no
@@ -37,6 +40,8 @@ WINDOW, SAMPLE, FALSE_RATE, CONFIRMED = 48, 500, 0.001, 75
 #: Variants of each template and windows without licence, at most, that the model is fitted on.
 VARIANTS, OTHERS = 40, 3000
 WORDS = re.compile(r"[^\W_]+")
+#: Marks of comments that are letters; all others are no words anyway.
+MARK = re.compile(r"\W*(?:rem|dnl|c)(?=\s|$)", re.IGNORECASE)
 #: Public notices, by family. None is longer than half a window.
 TEMPLATES = {
     "apache-2.0": (
@@ -106,6 +111,33 @@ def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
 
+def paragraphs_of(text: str) -> Iterator[tuple[list[str], list[int]]]:
+    """(words, line of each word) of every run of lines with words."""
+    words: list[str] = []
+    lines: list[int] = []
+    for i, line in enumerate(text.split("\n")):
+        mark = MARK.match(line)
+        found = words_of(line[mark.end() :] if mark else line)
+        if found:
+            words += found
+            lines += [i] * len(found)
+        elif words:
+            yield words, lines
+            words, lines = [], []
+    if words:
+        yield words, lines
+
+
+def span_of(words: list[str], template: str) -> tuple[int, int]:
+    """First and last word of the stretch, a third longer than the template at most, that holds most of its word pairs."""
+    text = words_of(template)
+    own, reach = pairs_of(text), len(text) + len(text) // 3
+    at = [i for i, pair in enumerate(zip(words, words[1:], strict=False)) if pair in own]
+    within = [[j for j in at if i <= j < i + reach] for i in at]
+    best = max(within, key=lambda js: (len({(words[j], words[j + 1]) for j in js}), js[0] - js[-1]))
+    return best[0], best[-1] + 1
+
+
 def pairs_of(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:], strict=False))
 
@@ -184,8 +216,8 @@ class Scanner:
         else:
             self.least = 0.5
 
-    def scan(self, paragraphs: list[list[str]]) -> list[tuple[int, int, str, float, float, str]]:
-        """(paragraph, first word, family, probability, template share, template) of confirmed windows."""
+    def scan(self, paragraphs: list[list[str]]) -> list[tuple[int, int, int, str, float, float, str]]:
+        """(paragraph, first and last word of the notice, family, probability, template share, template) of confirmed windows."""
         half, get = WINDOW // 2, self.ids.get
         ids = np.array([get(w, 0) for p in paragraphs for w in p], np.int64)
         sizes = np.array([len(p) for p in paragraphs], np.int64)
@@ -210,9 +242,11 @@ class Scanner:
         for w in np.flatnonzero(p[np.arange(len(p)), best] >= self.least):
             at = int(start[w] - (ends - sizes)[owner[w]])
             family = FAMILIES[best[w]]
-            share, _, template = best_template(paragraphs[owner[w]][at : at + int(stop[w] - start[w])], (family,))
+            words = paragraphs[owner[w]][at : at + int(stop[w] - start[w])]
+            share, _, template = best_template(words, (family,))
             if 100 * share >= CONFIRMED:
-                out.append((int(owner[w]), at, family, float(p[w, best[w]]), share, template))
+                first, last = span_of(words, template)
+                out.append((int(owner[w]), at + first, at + last, family, float(p[w, best[w]]), share, template))
         return out
 
 
@@ -258,7 +292,7 @@ def trained(docs: DataFrame) -> Scanner:
 
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
         for r in source:
-            found = [w for line in r["text"].split("\n") for w in windows_of(words_of(line))]
+            found = [w for words, _ in paragraphs_of(r["text"]) for w in windows_of(words)]
             step = max(1, len(found) // 20)
             for w in found[::step]:  # evenly over the whole text, so that one long text is not the sample
                 yield (w,)
@@ -275,24 +309,28 @@ def trained(docs: DataFrame) -> Scanner:
 
 
 def scanned(docs: DataFrame, scanner: Scanner, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, paragraphs, hits) per row; hits are (paragraph, word, family, probability, share, template)."""
+    """(doc_id, paragraphs, hits) per row; hits are (paragraph, word, line, last_line, family,
+    probability, share, template): the paragraph by its first line, the notice by its first word there and its lines."""
     named = id_text(docs, id_col, text_col)
     shipped = docs.sparkSession.sparkContext.broadcast(scanner)
 
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
         use = shipped.value
         for part in batched(source, 128):
-            lines = [(d, i, words) for d, r in enumerate(part) for i, line in enumerate(r["text"].split("\n")) if (words := words_of(line))]
+            found = [(d, words, lines) for d, r in enumerate(part) for words, lines in paragraphs_of(r["text"])]
             hits: list[list[dict]] = [[] for _ in part]
-            for at, word, family, p, share, template in use.scan([w for _, _, w in lines]) if lines else []:
-                d, i, _ = lines[at]
-                hits[d].append({"paragraph": i, "word": word, "family": family, "probability": p, "share": share, "template": template})
-            counts = np.bincount([d for d, _, _ in lines], minlength=len(part)).tolist()
-            for r, n, found in zip(part, counts, hits, strict=True):
-                yield r["doc_id"], n, found
+            for at, word, last, family, p, share, template in use.scan([words for _, words, _ in found]) if found else []:
+                d, _, lines = found[at]
+                hits[d].append({
+                    "paragraph": lines[0], "word": word, "line": lines[word], "last_line": lines[last],
+                    "family": family, "probability": p, "share": share, "template": template,
+                })
+            counts = np.bincount([d for d, _, _ in found], minlength=len(part)).tolist()
+            for r, n, of_row in zip(part, counts, hits, strict=True):
+                yield r["doc_id"], n, of_row
 
     key = named.schema["doc_id"].dataType.simpleString()
-    hit = "struct<paragraph:int,word:int,family:string,probability:double,share:double,template:string>"
+    hit = "struct<paragraph:int,word:int,line:int,last_line:int,family:string,probability:double,share:double,template:string>"
     return map_rows(named, rows, f"doc_id {key}, paragraphs long, hits array<{hit}>")
 
 

@@ -79,6 +79,41 @@ def test_license_scan(llm, odd, none):
     assert licenses.trained(id_text(none)).least <= 1
 
 
+MIT = """/*
+ * Permission is hereby granted, free of charge, to any person obtaining
+ * a copy of this software and associated documentation files (the
+ * "Software"), to deal in the Software without restriction, including
+ */"""
+BSD = """# Redistribution and use in source and binary
+# forms, with or without modification, are
+# permitted provided that the following
+# conditions are met:"""
+ISC = """// Permission to use, copy, modify, and/or
+// distribute this software for any purpose
+// with or without fee is hereby granted,
+// provided that the above copyright notice"""
+GPL = """dnl This program is free software; you can redistribute it
+dnl and/or modify it under the terms of the GNU General
+dnl Public License as published by the Free Software
+dnl Foundation; either version 2"""
+
+
+def test_wrapped_notices(llm):
+    scanner = licenses.trained(id_text(table(llm, SF, "documents")))
+    wrapped = {"mit": MIT, "bsd": BSD, "isc": ISC, "gpl": GPL}
+    code = "import os\n\n{}\n\nint main ( ) { return 0 ; }\nnothing else"
+    texts = [(k, code.replace("{}", text, 1)) for k, text in enumerate(wrapped.values())]
+    got = {r["doc_id"]: r for r in licenses.scanned(llm.createDataFrame(texts, "doc_id long, text string"), scanner).collect()}
+    for k, family in enumerate(wrapped):
+        assert {h["family"] for h in got[k]["hits"]} == {family}
+        assert got[k]["paragraphs"] == 3
+        for h in got[k]["hits"]:
+            assert 2 <= h["paragraph"] <= h["line"] < h["last_line"] <= 6
+    ends = [(h["line"], h["last_line"]) for k in (0, 1, 2) for h in got[k]["hits"]]
+    assert ends == [(3, 4), (2, 5), (2, 4)]
+    assert [len(w) for w, _ in licenses.paragraphs_of("a b\n//\nc d\n# e f\r\n\n\ng")] == [2, 3, 1]
+
+
 def test_licenses_of_the_given_documents(llm, given):
     lines = {
         "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Released under the MIT License.": "mit",
