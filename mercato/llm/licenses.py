@@ -5,16 +5,17 @@ comments are no words, and a line of nothing else ends a paragraph. Its words ar
 ``WINDOW``, each half overlapping the one before, so any notice of half a window or less lies whole
 in one. Hits name the first line of their paragraph and the lines that the notice itself spans. A
 window's features are the words and word pairs that occur in templates, all others count as unknown
-words. Multinomial logistic
-regression with an L1 penalty, so most weights are zero, gives a probability to each licence family
-and to "no licence". It is trained here, on variants of the templates (words dropped, set into
-running text) against windows of the corpus and against loose pieces of templates, which are no
-licence.
-
-The unknown class is calibrated on rows kept out of training: a temperature by likelihood, then the
-least probability at which no more than ``FALSE_RATE`` of the kept windows without licence pass.
-A prediction counts only if ``CONFIRMED`` percent of the word pairs of a template of its family are
-in the window.
+words. Logistic regression with an L1 penalty, so most weights are zero, gives each licence family a
+probability of its own, so a window may hold several. It is trained here, on variants of the templates
+(words dropped, set into running text) and on notices of two families, against windows of the corpus
+and loose pieces of templates, which are no licence.
+
+The model is calibrated on rows kept out of training: a temperature by likelihood, then the least
+probability, of any family, at which no more than ``FALSE_RATE`` of the kept corpus windows without
+licence pass. A window that passes is compared with the templates of all families, since the
+probability of one says nothing of the others. A family counts if ``CONFIRMED`` percent of the word pairs of one of its
+templates are in the window, and with them all ``KEYS`` of the family that the template has, which
+tell it from families of like wording. Names in an SPDX expression count one by one.
 
 The corpus windows for training come from the ``SAMPLE`` documents of least id hash; a window
 counts as without licence if it holds less than half of every template. Scanning is one pass over
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import batched
+from itertools import batched, permutations
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,8 @@ from mercato.llm.common import id_text, map_rows, table
 WINDOW, SAMPLE, FALSE_RATE, CONFIRMED = 48, 500, 0.001, 75
 #: Variants of each template and windows without licence, at most, that the model is fitted on.
 VARIANTS, OTHERS = 40, 3000
+#: Windows of two notices that the model is fitted on, for every two families.
+DOUBLES = 12
 WORDS = re.compile(r"[^\W_]+")
 #: Marks of comments that are letters; all others are no words anyway.
 MARK = re.compile(r"\W*(?:rem|dnl|c)(?=\s|$)", re.IGNORECASE)
@@ -64,10 +67,12 @@ TEMPLATES = {
     "lgpl": (
         "licensed under the GNU Lesser General Public License, version 2.1",
         "redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        "redistribute it and/or modify it under the terms of the GNU Library General Public License",
         "SPDX-License-Identifier: LGPL-2.1",
     ),
     "agpl": (
         "licensed under the GNU Affero General Public License, version 3",
+        "redistribute it and/or modify it under the terms of the GNU Affero General Public License",
         "SPDX-License-Identifier: AGPL-3.0",
     ),
     "bsd": (
@@ -105,6 +110,15 @@ TEMPLATES = {
     ),
 }
 FAMILIES = tuple(TEMPLATES)
+#: Words by which a family is told from others; a template that has them needs them.
+KEYS = {
+    "apache-2.0": ("apache",), "mit": ("mit",), "gpl": ("gnu general", "gpl"), "lgpl": ("gnu lesser", "gnu library", "lgpl"),
+    "agpl": ("gnu affero", "agpl"), "bsd": ("bsd",), "mpl-2.0": ("mozilla public", "mpl"), "isc": ("isc",),
+    "cc-by": ("by 4", "attribution 4"), "cc-by-sa": ("by sa", "attribution sharealike"),
+    "cc-by-nc": ("by nc", "attribution noncommercial"), "cc0": ("cc0",),
+}
+#: What stands at the head of an SPDX expression, and what may stand in it beside the names and numbers.
+SPDX, SPDX_WORDS = ("spdx", "license", "identifier"), frozenset("or and with only later exception clause by sa nc nd cc".split())
 
 
 def words_of(text: str) -> list[str]:
@@ -142,14 +156,52 @@ def pairs_of(words: list[str]) -> set[tuple[str, str]]:
     return set(zip(words, words[1:], strict=False))
 
 
+def holds(words: list[str], part: tuple[str, ...]) -> bool:
+    return any(tuple(words[i : i + len(part)]) == part for i in range(len(words) - len(part) + 1))
+
+
+class Template:
+    """A template's words, word pairs, the keys it needs and, of an SPDX line, the name."""
+
+    def __init__(self, family: str, text: str) -> None:
+        self.family, self.text, words = family, text, words_of(text)
+        self.pairs = pairs_of(words)
+        self.keys = [k for k in (tuple(k.split()) for k in KEYS.get(family, ())) if holds(words, k)]
+        self.name: tuple[str, ...] = ()
+        if tuple(words[:3]) == SPDX:  # a version is part of the name if it is part of the family's
+            self.name = tuple(words[3:] if family[-1].isdigit() else words[3:4])
+
+    def share(self, words: list[str], found: set[tuple[str, str]], named: list[list[str]]) -> float:
+        """Share of the template's word pairs that a window holds; 0 without a key of it."""
+        if self.name and any(holds(n, self.name) for n in named):
+            return 1.0
+        share = len(self.pairs & found) / len(self.pairs)
+        return share if 100 * share < 50 or all(holds(words, k) for k in self.keys) else 0.0
+
+
+ALL = {family: [Template(family, t) for t in templates] for family, templates in TEMPLATES.items()}
+NAMES = frozenset(w for ts in ALL.values() for t in ts for w in t.name)
+
+
+def expressions(words: list[str]) -> list[list[str]]:
+    """The words of each SPDX expression in a window."""
+    out = []
+    for i in range(len(words) - 3):
+        if tuple(words[i : i + 3]) == SPDX:
+            end = i + 3
+            while end < len(words) and (words[end] in SPDX_WORDS or words[end] in NAMES or words[end][0].isdigit()):
+                end += 1
+            out.append(words[i + 3 : end])
+    return out
+
+
 def best_template(words: list[str], families: tuple[str, ...] = FAMILIES) -> tuple[float, str, str]:
     """(share of its word pairs found, family, template) of the template that the words hold most of; the longer of equals."""
-    found = pairs_of(words)
+    found, named = pairs_of(words), expressions(words)
     best = (0.0, 0, "", "")
     for family in families:
-        for template in TEMPLATES[family]:
-            own = pairs_of(words_of(template))
-            best = max(best, (len(own & found) / len(own), len(own), family, template))
+        for t in ALL[family]:
+            best = max(best, (t.share(words, found, named), len(t.pairs), family, t.text))
     return best[0], best[2], best[3]
 
 
@@ -165,8 +217,8 @@ class Scanner:
             self.pairs[self.ids[a], self.ids[b]] = self.pairs.max() + 1
         self.size = size
         self.features = size + int(self.pairs.max()) + 1
-        self.weights = np.zeros((self.features, len(FAMILIES) + 1))
-        self.bias = np.zeros(len(FAMILIES) + 1)
+        self.weights = np.zeros((self.features, len(FAMILIES)))
+        self.bias = np.zeros(len(FAMILIES))
         self.least = 1.0
 
     def rows(self, windows: list[list[str]]) -> np.ndarray:
@@ -180,41 +232,34 @@ class Scanner:
         return out
 
     def fit(self, rows: np.ndarray, labels: np.ndarray, steps: int = 250, penalty: float = 2e-4) -> None:
-        """Accelerated proximal gradient on the mean logistic loss; classes weigh alike."""
-        counts = np.bincount(labels, minlength=len(self.bias))
-        weight = (1 / np.maximum(counts, 1))[labels]
-        weight = (weight / weight.sum()).astype(np.float32)[:, None]
-        target = np.eye(len(self.bias), dtype=np.float32)[labels]
+        """Accelerated proximal gradient on the mean logistic loss of every family; in each, its
+        windows weigh as much as all others. ``labels``: windows by families, true or false."""
+        target = labels.astype(np.float32)
+        many = target.sum(axis=0)
+        weight = np.where(labels, 0.5 / np.maximum(many, 1), 0.5 / np.maximum(len(labels) - many, 1)).astype(np.float32)
         now = np.zeros((rows.shape[1] + 1, target.shape[1]), np.float32)
         ahead, t = now, 1.0
         full = np.hstack([rows, np.ones((len(rows), 1), np.float32)])
-        rate = 2 / float((weight * np.square(full).sum(axis=1, keepdims=True)).sum())
+        rate = 4 / float((weight * np.square(full).sum(axis=1, keepdims=True)).sum(axis=0).max())
         for _ in range(steps):
-            z = full @ ahead
-            z -= z.max(axis=1, keepdims=True)
-            p = np.exp(z)
-            p /= p.sum(axis=1, keepdims=True)
+            p = _sigmoid(full @ ahead)
             new = ahead - rate * (full.T @ (weight * (p - target)))
             new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - rate * penalty, 0)
             after = (1 + (1 + 4 * t * t) ** 0.5) / 2
             ahead, now, t = new + (t - 1) / after * (new - now), new, after
         self.weights, self.bias = now[:-1].astype(np.float64), now[-1].astype(np.float64)
 
-    def calibrate(self, rows: np.ndarray, labels: np.ndarray) -> None:
+    def calibrate(self, rows: np.ndarray, labels: np.ndarray, corpus: np.ndarray) -> None:
+        """``corpus``: which rows are windows of the corpus."""
         z = rows @ self.weights + self.bias
 
         def likelihood(heat: float) -> float:
-            s = z / heat
-            s = s - s.max(axis=1, keepdims=True)
-            return float((s[np.arange(len(s)), labels] - np.log(np.exp(s).sum(axis=1))).mean())
+            return -float(np.logaddexp(0, np.where(labels, -z, z) / heat).mean())
 
         heat = max(np.geomspace(0.1, 4, 40), key=likelihood)
         self.weights, self.bias = self.weights / heat, self.bias / heat
-        none = _softmax(rows[labels == len(FAMILIES)] @ self.weights + self.bias)[:, :-1].max(axis=1)
-        if len(none):
-            self.least = float(max(0.5, np.quantile(none, 1 - FALSE_RATE)))
-        else:
-            self.least = 0.5
+        none = _sigmoid(z[corpus] / heat).max(axis=1)
+        self.least = float(max(0.5, np.quantile(none, 1 - FALSE_RATE))) if len(none) else 0.5
 
     def scan(self, paragraphs: list[list[str]]) -> list[tuple[int, int, int, str, float, float, str]]:
         """(paragraph, first and last word of the notice, family, probability, template share, template) of confirmed windows."""
@@ -236,23 +281,21 @@ class Scanner:
         double = np.vstack([np.zeros(len(self.bias)), np.cumsum(self.weights[self.size + pair], axis=0)])
         z = single[np.searchsorted(known, stop)] - single[np.searchsorted(known, start)] + self.bias
         z += double[np.searchsorted(after, stop)] - double[np.minimum(np.searchsorted(after, start + 1), np.searchsorted(after, stop))]
-        p = _softmax(z)
-        best = p[:, :-1].argmax(axis=1)
+        p = _sigmoid(z)
         out = []
-        for w in np.flatnonzero(p[np.arange(len(p)), best] >= self.least):
+        for w in np.flatnonzero(p.max(axis=1) >= self.least) if len(p) else ():
             at = int(start[w] - (ends - sizes)[owner[w]])
-            family = FAMILIES[best[w]]
             words = paragraphs[owner[w]][at : at + int(stop[w] - start[w])]
-            share, _, template = best_template(words, (family,))
-            if 100 * share >= CONFIRMED:
-                first, last = span_of(words, template)
-                out.append((int(owner[w]), at + first, at + last, family, float(p[w, best[w]]), share, template))
+            for k, family in enumerate(FAMILIES):
+                share, _, template = best_template(words, (family,))
+                if 100 * share >= CONFIRMED:
+                    first, last = span_of(words, template)
+                    out.append((int(owner[w]), at + first, at + last, family, float(p[w, k]), share, template))
         return out
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    p = np.exp(z - z.max(axis=1, keepdims=True)) if len(z) else z
-    return p / p.sum(axis=1, keepdims=True) if len(z) else z
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
 def windows_of(words: list[str]) -> list[list[str]]:
@@ -260,30 +303,41 @@ def windows_of(words: list[str]) -> list[list[str]]:
     return [words[i : i + WINDOW] for i in range(0, max(1, len(words) - half), half)] if words else []
 
 
-def examples(others: list[list[str]], seed: int = 5) -> tuple[list[list[str]], np.ndarray]:
-    """Windows and labels; the last label is no licence. ``others``: corpus windows."""
+def examples(others: list[list[str]], seed: int = 5) -> tuple[list[list[str]], np.ndarray, int]:
+    """Windows, which families each holds, and how many of the first are from ``others``, corpus windows."""
     rng = np.random.default_rng(seed)
     others = [w for w in others if best_template(w)[0] < 0.5]
     others = [others[i] for i in rng.permutation(len(others))[:OTHERS]] or [["text"]]
-    windows, labels = [list(w) for w in others], [len(FAMILIES)] * len(others)
+    windows, labels = [list(w) for w in others], [()] * len(others)
 
     def around(words: list[str]) -> list[str]:
         text = others[rng.integers(len(others))][: int(rng.integers(0, WINDOW - len(words) + 1))]
         cut = int(rng.integers(0, len(text) + 1))
         return text[:cut] + words + text[cut:]
 
-    for k, family in enumerate(FAMILIES):
+    for family in FAMILIES:
         for template in TEMPLATES[family]:
             words = words_of(template)
             for v in range(VARIANTS):
                 kept = [w for w in words if v % 2 == 0 or rng.random() > 0.08]
                 windows.append(around(kept))
-                labels.append(k)
+                labels.append((family,))
                 if v % 2:  # a loose piece, its words in any order
                     piece = [words[i] for i in rng.permutation(len(words))[: max(1, len(words) // 3)]]
                     windows.append(around(piece))
-                    labels.append(len(FAMILIES))
-    return windows, np.array(labels)
+                    labels.append(())
+    for pair in permutations(FAMILIES, 2):
+        one, two = (ALL[family] for family in pair)
+        for v in range(DOUBLES // 2):
+            a, b = (ts[rng.integers(len(ts))] for ts in (one, two))
+            names = [next((t for t in ts if t.name), None) for ts in (one, two)]
+            joined = words_of(a.text) + ["or"] * (v % 2) + words_of(b.text)
+            if v == 0 and all(names):
+                joined = words_of(names[0].text) + ["or"] + words_of(names[1].text)[3:]
+            if len(joined) <= WINDOW:
+                windows.append(around(joined))
+                labels.append(pair)
+    return windows, np.array([[f in own for f in FAMILIES] for own in labels]), len(others)
 
 
 def trained(docs: DataFrame) -> Scanner:
@@ -299,12 +353,12 @@ def trained(docs: DataFrame) -> Scanner:
 
     windows = map_rows(docs.join(F.broadcast(sample), "doc_id", "left_semi"), rows, "words array<string>").toArrow()
     found = sorted(windows.column("words").to_pylist())
-    texts, labels = examples(found)
+    texts, labels, corpus = examples(found)
     scanner = Scanner()
     features = scanner.rows(texts)
     aside = np.arange(len(texts)) % 4 == 3
     scanner.fit(features[~aside], labels[~aside])
-    scanner.calibrate(features[aside], labels[aside])
+    scanner.calibrate(features[aside], labels[aside], np.arange(len(texts))[aside] < corpus)
     return scanner
 
 

@@ -1,5 +1,6 @@
 """Quality scores, license scans, URL rules."""
 
+import itertools
 import random
 import re
 import zlib
@@ -96,11 +97,15 @@ GPL = """dnl This program is free software; you can redistribute it
 dnl and/or modify it under the terms of the GNU General
 dnl Public License as published by the Free Software
 dnl Foundation; either version 2"""
+LGPL = """REM This library is free software; you can
+REM redistribute it and/or modify it under the
+REM terms of the GNU Lesser General Public
+REM License as published by the Free"""
 
 
 def test_wrapped_notices(llm):
     scanner = licenses.trained(id_text(table(llm, SF, "documents")))
-    wrapped = {"mit": MIT, "bsd": BSD, "isc": ISC, "gpl": GPL}
+    wrapped = {"mit": MIT, "bsd": BSD, "isc": ISC, "gpl": GPL, "lgpl": LGPL}
     code = "import os\n\n{}\n\nint main ( ) { return 0 ; }\nnothing else"
     texts = [(k, code.replace("{}", text, 1)) for k, text in enumerate(wrapped.values())]
     got = {r["doc_id"]: r for r in licenses.scanned(llm.createDataFrame(texts, "doc_id long, text string"), scanner).collect()}
@@ -114,6 +119,24 @@ def test_wrapped_notices(llm):
     assert [len(w) for w, _ in licenses.paragraphs_of("a b\n//\nc d\n# e f\r\n\n\ng")] == [2, 3, 1]
 
 
+def test_lines_of_two_licenses(llm):
+    scanner = licenses.trained(id_text(table(llm, SF, "documents")))
+    lines = {
+        "Licensed under the MIT License or the Apache License, Version 2.0": {"mit", "apache-2.0"},
+        "// SPDX-License-Identifier: Apache-2.0 OR MIT": {"mit", "apache-2.0"},
+        "# SPDX-License-Identifier: (GPL-2.0-only OR BSD-2-Clause)": {"gpl", "bsd"},
+        "SPDX-License-Identifier: LGPL-2.1-or-later": {"lgpl"},
+        "terms of the GNU Affero General Public License as published by the Free Software Foundation; licensed under the GNU Affero General Public License, version 3": {"agpl"},
+        "Licensed under CC BY-SA 4.0": {"cc-by-sa"},
+    }
+    for (a, one), (b, two) in itertools.permutations(licenses.TEMPLATES.items(), 2):
+        lines[f"{one[0]} or {two[0]}"] = {a, b}
+    texts = list(enumerate(lines))
+    found = licenses.scanned(llm.createDataFrame(texts, "doc_id long, text string"), scanner).collect()
+    got = {texts[r["doc_id"]][1]: {h["family"] for h in r["hits"]} for r in found}
+    assert {k: (v, got[k]) for k, v in lines.items() if got[k] != v} == {}
+
+
 def test_licenses_of_the_given_documents(llm, given):
     lines = {
         "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Released under the MIT License.": "mit",
