@@ -14,8 +14,10 @@ The model is calibrated on rows kept out of training: a temperature by likelihoo
 probability, of any family, at which no more than ``FALSE_RATE`` of the kept corpus windows without
 licence pass. A window that passes is compared with the templates of all families, since the
 probability of one says nothing of the others. A family counts if ``CONFIRMED`` percent of the word pairs of one of its
-templates are in the window, and with them all ``KEYS`` of the family that the template has, which
-tell it from families of like wording. Names in an SPDX expression count one by one.
+templates are in the window (of a template with free words in it: all its ``PARTS``), and with them all ``KEYS`` of the family that the template has, which
+tell it from families of like wording. Names in an SPDX expression count one by one. Wording that
+several licences share (the warranty clause of MIT) counts for the family that lists it, and "all
+rights reserved" for ``proprietary``, also beside an open licence.
 
 The corpus windows for training come from the ``SAMPLE`` documents of least id hash; a window
 counts as without licence if it holds less than half of every template. Scanning is one pass over
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from mercato.llm.common import id_text, map_rows, table
 
-WINDOW, SAMPLE, FALSE_RATE, CONFIRMED = 48, 500, 0.001, 75
+WINDOW, SAMPLE, FALSE_RATE, CONFIRMED = 64, 500, 0.001, 75
 #: Variants of each template and windows without licence, at most, that the model is fitted on.
 VARIANTS, OTHERS = 40, 3000
 #: Windows of two notices that the model is fitted on, for every two families.
@@ -50,17 +52,24 @@ TEMPLATES = {
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at apache.org/licenses/LICENSE-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "mit": (
         "Released under the MIT License",
         "Licensed under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+        "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement",
+        "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise",
         "SPDX-License-Identifier: MIT",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3",
         "redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU General Public License for more details",
+        "You should have received a copy of the GNU General Public License along with this program",
         "Licensed under the GPL, version 2 or later",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
@@ -68,24 +77,34 @@ TEMPLATES = {
         "licensed under the GNU Lesser General Public License, version 2.1",
         "redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
         "redistribute it and/or modify it under the terms of the GNU Library General Public License",
+        "without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU Lesser General Public License for more details",
+        "You should have received a copy of the GNU Lesser General Public License along with this library",
         "SPDX-License-Identifier: LGPL-2.1",
     ),
     "agpl": (
         "licensed under the GNU Affero General Public License, version 3",
         "redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "without even the implied warranty of merchantability or fitness for a particular purpose. See the GNU Affero General Public License for more details",
+        "You should have received a copy of the GNU Affero General Public License along with this program",
         "SPDX-License-Identifier: AGPL-3.0",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+        "This software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness",
         "Licensed under the BSD 3-Clause License",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at mozilla.org/MPL/2.0",
         "SPDX-License-Identifier: MPL-2.0",
     ),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "The software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
         "SPDX-License-Identifier: ISC",
     ),
     "cc-by": (
@@ -98,18 +117,23 @@ TEMPLATES = {
     ),
     "cc-by-nc": (
         "Licensed under CC BY-NC 4.0",
+        "Licensed under CC BY-NC-SA 4.0",
         "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     ),
     "cc0": (
         "dedicated to the public domain under CC0 1.0 Universal",
         "This is free and unencumbered software released into the public domain",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose",
     ),
     "proprietary": (
         "Copyright. All rights reserved",
+        "(c) All rights reserved",
         "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited",
     ),
 }
 FAMILIES = tuple(TEMPLATES)
+#: Templates of fixed parts with free words between them, such as a year and a holder: all parts must occur.
+PARTS = {"Copyright. All rights reserved": ("copyright", "all rights reserved"), "(c) All rights reserved": ("c", "all rights reserved")}
 #: Words by which a family is told from others; a template that has them needs them.
 KEYS = {
     "apache-2.0": ("apache",), "mit": ("mit",), "gpl": ("gnu general", "gpl"), "lgpl": ("gnu lesser", "gnu library", "lgpl"),
@@ -117,12 +141,13 @@ KEYS = {
     "cc-by": ("by 4", "attribution 4"), "cc-by-sa": ("by sa", "attribution sharealike"),
     "cc-by-nc": ("by nc", "attribution noncommercial"), "cc0": ("cc0",),
 }
-#: What stands at the head of an SPDX expression, and what may stand in it beside the names and numbers.
+#: Versions in SPDX expressions to train on, what stands at the head of one, and what may stand in it beside the names and numbers.
+TAILS = ("", "", "2 0", "3 0 only", "2 0 only", "2 1 or later", "2 0 or later", "2 clause", "3 clause")
 SPDX, SPDX_WORDS = ("spdx", "license", "identifier"), frozenset("or and with only later exception clause by sa nc nd cc".split())
 
 
 def words_of(text: str) -> list[str]:
-    return WORDS.findall(text.lower())
+    return WORDS.findall(text.lower().replace("©", " copyright "))
 
 
 def paragraphs_of(text: str) -> Iterator[tuple[list[str], list[int]]]:
@@ -144,6 +169,10 @@ def paragraphs_of(text: str) -> Iterator[tuple[list[str], list[int]]]:
 
 def span_of(words: list[str], template: str) -> tuple[int, int]:
     """First and last word of the stretch, a third longer than the template at most, that holds most of its word pairs."""
+    if template in PARTS:  # the last part, and the place of the others nearest to it
+        *others, end = ([i for i in range(len(words)) if holds(words[i : i + len(part)], part)] for part in parts_of(template))
+        at = [end[0], end[0] + len(parts_of(template)[-1]) - 1] + [min(o, key=lambda i: abs(i - end[0])) for o in others]
+        return min(at), max(at)
     text = words_of(template)
     own, reach = pairs_of(text), len(text) + len(text) // 3
     at = [i for i, pair in enumerate(zip(words, words[1:], strict=False)) if pair in own]
@@ -160,12 +189,16 @@ def holds(words: list[str], part: tuple[str, ...]) -> bool:
     return any(tuple(words[i : i + len(part)]) == part for i in range(len(words) - len(part) + 1))
 
 
+def parts_of(template: str) -> list[tuple[str, ...]]:
+    return [tuple(part.split()) for part in PARTS.get(template, ())]
+
+
 class Template:
     """A template's words, word pairs, the keys it needs and, of an SPDX line, the name."""
 
     def __init__(self, family: str, text: str) -> None:
         self.family, self.text, words = family, text, words_of(text)
-        self.pairs = pairs_of(words)
+        self.pairs, self.parts = pairs_of(words), parts_of(text)
         self.keys = [k for k in (tuple(k.split()) for k in KEYS.get(family, ())) if holds(words, k)]
         self.name: tuple[str, ...] = ()
         if tuple(words[:3]) == SPDX:  # a version is part of the name if it is part of the family's
@@ -175,6 +208,8 @@ class Template:
         """Share of the template's word pairs that a window holds; 0 without a key of it."""
         if self.name and any(holds(n, self.name) for n in named):
             return 1.0
+        if self.parts and all(holds(words, part) for part in self.parts):
+            return 1.0
         share = len(self.pairs & found) / len(self.pairs)
         return share if 100 * share < 50 or all(holds(words, k) for k in self.keys) else 0.0
 
@@ -320,6 +355,11 @@ def examples(others: list[list[str]], seed: int = 5) -> tuple[list[list[str]], n
             words = words_of(template)
             for v in range(VARIANTS):
                 kept = [w for w in words if v % 2 == 0 or rng.random() > 0.08]
+                if template in PARTS:  # free words between the parts
+                    first, *rest = parts_of(template)
+                    kept = list(first)
+                    for part in rest:
+                        kept += others[rng.integers(len(others))][: int(rng.integers(0, 13))] + list(part)
                 windows.append(around(kept))
                 labels.append((family,))
                 if v % 2:  # a loose piece, its words in any order
@@ -332,8 +372,9 @@ def examples(others: list[list[str]], seed: int = 5) -> tuple[list[list[str]], n
             a, b = (ts[rng.integers(len(ts))] for ts in (one, two))
             names = [next((t for t in ts if t.name), None) for ts in (one, two)]
             joined = words_of(a.text) + ["or"] * (v % 2) + words_of(b.text)
-            if v == 0 and all(names):
-                joined = words_of(names[0].text) + ["or"] + words_of(names[1].text)[3:]
+            if v % 2 == 0 and all(names):  # one SPDX expression, of any versions
+                c, d = ([*t.name, *TAILS[rng.integers(len(TAILS))].split()] for t in names)
+                joined = [*SPDX, *c, "or", *d]
             if len(joined) <= WINDOW:
                 windows.append(around(joined))
                 labels.append(pair)

@@ -137,6 +137,32 @@ def test_lines_of_two_licenses(llm):
     assert {k: (v, got[k]) for k, v in lines.items() if got[k] != v} == {}
 
 
+WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+
+
+def test_holders_and_later_clauses(llm):
+    scanner = licenses.trained(id_text(table(llm, SF, "documents")))
+    filler = " ".join(f"word{i}" for i in range(45))
+    texts = {
+        "Copyright (c) 2024 Example Inc. All rights reserved.": "proprietary",
+        "filler\n\n// \u00a9 2019-2024, The Example Company GmbH & Co. KG.\n// All rights reserved.": "proprietary",
+        "(C) Example 2020, all rights reserved": "proprietary",
+        WARRANTY: "mit",
+        f"{filler}\n{WARRANTY}\n{filler}": "mit",
+        "Redistributions of source code must retain the above copyright notice, this list of\nconditions and the following disclaimer.": "bsd",
+        "You should have received a copy of the GNU Lesser General Public\nLicense along with this library": "lgpl",
+        "all rights to the copy are reserved": "", "the copyright of all songs": "",
+    }
+    rows = list(enumerate(texts))
+    found = licenses.scanned(llm.createDataFrame(rows, "doc_id long, text string"), scanner).collect()
+    got = {rows[r["doc_id"]][1]: ",".join({h["family"] for h in r["hits"]}) for r in found}
+    assert got == texts
+    assert [(h["line"], h["last_line"]) for r in found if r["doc_id"] == 1 for h in r["hits"]][0] == (2, 3)
+    assert max(len(licenses.words_of(t)) for ts in licenses.TEMPLATES.values() for t in ts) <= licenses.WINDOW // 2
+
+
 def test_licenses_of_the_given_documents(llm, given):
     lines = {
         "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Released under the MIT License.": "mit",
