@@ -6,7 +6,7 @@ or more, whether that one stays or not. So of a chain of similar lines only the
 
 1. One pass over the texts counts words by hash in a table of fixed size (the rarity that orders
    them; ties by hash) and gathers equal sets: in each task first, then by digest.
-2. A second pass sends, for each set that is new in its task, its rarest ``n - ceil(0.8 n) + 1``
+2. A second pass sends, for each set of a task, once and with its least place there, its rarest ``n - ceil(0.8 n) + 1``
    words (its prefix) to where lines with that word meet. Similar lines share a prefix word.
 3. There, lines of a word are compared in one vectorised sweep: length filter, positional filter
    (what the ranks of the shared word leave possible), and a parity filter: the 128-bit parities of
@@ -40,8 +40,8 @@ from mercato.session import stage
 
 ANY_WORD = r"[^\x20\x09-\x0D]"
 #: Similarity in percent; slots of the rarity table (4 bytes each); lines of a word in one task and in
-#: a block; candidates that a line keeps per word; sets remembered per task.
-THRESHOLD, SLOTS, HOT, BLOCK, FIRST, REMEMBERED = 80, 1 << 21, 8192, 2048, 8, 150_000
+#: a block; candidates that a line keeps per word; sets remembered per task; prefix words held per task.
+THRESHOLD, SLOTS, HOT, BLOCK, FIRST, REMEMBERED, HELD = 80, 1 << 21, 8192, 2048, 8, 150_000, 1 << 20
 
 
 class Lines:
@@ -146,42 +146,65 @@ _POSTING = "word long, p long, q long, n int, rank int, doc_id {key}, line int"
 
 
 def _postings(docs: DataFrame, rarity, threshold: int, key: str, words=None) -> DataFrame:
-    """A row per prefix word of each set that is new in its task, and whether the word may be hot.
+    """A row per prefix word of each set in a task, with the set's least place there, and whether the
+    word may be hot. In any order of the rows a set posts once, as the survey counts it, until
+    ``REMEMBERED`` sets or ``HELD`` rows are held.
 
     ``words``: a broadcast bit filter; other words are left out.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = rarity.value
-        first: dict[tuple[int, int], tuple] = {}
+        first: dict[tuple[int, int], int] = {}  # number of each set
+        places: list[tuple] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
-        def made(part: list[dict]) -> pa.RecordBatch | None:
+        def take(part: list[dict]) -> None:
             lines = Lines(part)
-            chosen = np.zeros(len(lines.sizes), bool)
+            number = np.full(len(lines.sizes), -1, np.int32)  # of sets that are new
             for i, (d, doc, at) in enumerate(zip(lines.digests(), lines.doc, lines.line, strict=True)):
-                if doc is not None and lines.sizes[i] > 3 and (d not in first or (doc, at) < first[d]):
-                    if len(first) >= REMEMBERED:
-                        first.clear()
-                    first[d], chosen[i] = (doc, at), True
+                if doc is None or lines.sizes[i] <= 3:
+                    continue
+                known = first.setdefault(d, len(places))
+                if known == len(places):
+                    places.append((doc, at))
+                    number[i] = known
+                elif (doc, at) < places[known]:
+                    places[known] = doc, at
+            chosen = number >= 0
             if not chosen.any():
-                return None
+                return
             owner, word, rank, count = lines.prefixes(counts, threshold, chosen)
             if words is not None:
                 kept = words.value.has(word)
                 owner, word, rank, count = owner[kept], word[kept], rank[kept], count[kept]
+            if not len(word):
+                return
+            nth = (np.cumsum(chosen) - 1).astype(np.int32)[owner]
             p, q = lines.parities()
-            doc = pa.array(lines.doc)
-            return pa.record_batch([
-                pa.array(word.view(np.int64)), pa.array(p[owner].view(np.int64)), pa.array(q[owner].view(np.int64)),
-                pa.array(lines.sizes[owner].astype(np.int32)), pa.array(rank.astype(np.int32)),
-                doc.take(pa.array(owner)), pa.array(np.array(lines.line, np.int32)[owner]), pa.array(count > HOT),
-            ], names=["word", "p", "q", "n", "rank", "doc_id", "line", "hot"])
+            held.append((
+                word, rank.astype(np.int32), count > HOT, nth,
+                number[chosen], p[chosen], q[chosen], lines.sizes[chosen].astype(np.int32),
+            ))
+
+        def posted() -> Iterator[pa.RecordBatch]:
+            for word, rank, hot, nth, number, p, q, n in held:
+                doc = pa.array([places[k][0] for k in number.tolist()])
+                line = np.array([places[k][1] for k in number.tolist()], np.int32)
+                yield pa.record_batch([
+                    pa.array(word.view(np.int64)), pa.array(p[nth].view(np.int64)), pa.array(q[nth].view(np.int64)),
+                    pa.array(n[nth]), pa.array(rank), doc.take(pa.array(nth)), pa.array(line[nth]), pa.array(hot),
+                ], names=["word", "p", "q", "n", "rank", "doc_id", "line", "hot"])
+            first.clear()
+            places.clear()
+            held.clear()
 
         for b in batches:
             for start in range(0, b.num_rows, 128):
-                out = made(b.slice(start, 128).to_pylist())
-                if out is not None:
-                    yield out
+                take(b.slice(start, 128).to_pylist())
+                if len(places) >= REMEMBERED or sum(len(h[0]) for h in held) >= HELD:
+                    yield from posted()
+        yield from posted()
 
     return docs.mapInArrow(rows, _POSTING.format(key=key) + ", hot boolean")
 

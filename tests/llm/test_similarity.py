@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given as sampled
 from hypothesis import settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from mercato.llm import common, components, decontaminate, fingerprints, line_dedup, near_dups
 from mercato.llm.common import BitFilter, shingle_hashes
@@ -243,3 +244,12 @@ def test_word_tables():
 def test_shingles():
     h = common.hashed_words(b"a b c a b")[0]
     assert len(np.unique(shingle_hashes(h, 2))) == 3 and len(shingle_hashes(h, 9)) == 1 and len(shingle_hashes(h[:0], 2)) == 0
+
+
+def test_a_set_posts_once_in_any_order(llm):
+    line = "alpha beta gamma delta epsilon zeta eta theta"
+    docs = llm.createDataFrame([(i, line + "\nshort one") for i in range(600)], "doc_id long, text string")
+    docs = docs.coalesce(1).sortWithinPartitions(F.desc("doc_id"))
+    rarity = llm.sparkContext.broadcast(np.zeros(line_dedup.SLOTS, np.uint32))
+    got = line_dedup._postings(docs, rarity, 80, "bigint").collect()
+    assert len(got) == 2 and {(r["doc_id"], r["line"], r["n"]) for r in got} == {(0, 0, 8)}
