@@ -10,7 +10,8 @@ r"""Near-duplicate documents: MinHash bands, sequential Bayesian verification, e
 4. Confirmed links are merged into components. Pairs within a component need no further look, so
    only the least pair of each class is confirmed first, then those that still join two components.
 5. Buckets that still hold several components are compared in full, by the same batches and then on
-   full sets, cut into blocks of ``BLOCK`` classes that separate tasks compare; only links that tie
+   full sets, cut into blocks of ``BLOCK`` classes or ``BLOCK_SHINGLES`` shingles, whichever is
+   less, that separate tasks compare; only links that tie
    components leave a task. So no link that matters is missed, and no bucket ever makes all its pairs.
 
 The chance that a pair of similarity s shares no bucket is (1 - s^ROWS)^BANDS: 6e-7 at 0.8.
@@ -37,8 +38,9 @@ from mercato.llm.components import components
 from mercato.session import stage
 
 BANDS, ROWS = 36, 5
-#: Similarity in percent; posterior below which a pair goes; signature bytes per batch; classes per block.
-THRESHOLD, MISS, BATCH, BLOCK = 80, 1e-9, 30, 512
+#: Similarity in percent; posterior below which a pair goes; signature bytes per batch; classes and
+#: shingles (of 8 bytes) per block, on average.
+THRESHOLD, MISS, BATCH, BLOCK, BLOCK_SHINGLES = 80, 1e-9, 30, 512, 1 << 23
 _HASHES = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -155,6 +157,17 @@ def _across(pairs: DataFrame, member: DataFrame) -> DataFrame:
     return pairs.where("of_u <> of_v").select("u", "v")
 
 
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """(key, id, component, own, i, j) of bucket members (key, id, component, n, total: classes and
+    shingles in the bucket). Block i meets blocks i and above: a row goes to each pair that holds its own."""
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.ceil(F.col("total") / BLOCK_SHINGLES), F.col("n"))).cast("int")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("blocks", blocks).withColumn("own", own)
+    return rows.select(
+        "key", "id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    ).select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
 def within_buckets(buckets: DataFrame, nodes: DataFrame, member: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
     """Links across components in buckets that hold three classes or more, of several components.
 
@@ -163,19 +176,13 @@ def within_buckets(buckets: DataFrame, nodes: DataFrame, member: DataFrame, docs
     only links leave it, fewer than it has classes.
     """
     steps = least_matches(threshold)
-    rows = buckets.join(member, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("b")).where("n > 2 AND a <> b")
-    rows = stage(rows.join(mixed.select("key", "n"), "key"), "mixed-buckets")
+    rows = buckets.join(member, "id", "left").select("key", "id", "shingles", F.coalesce("component", "id").alias("component"))
+    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("shingles").alias("total"), F.min("component").alias("a"), F.max("component").alias("b")).where("n > 2 AND a <> b")
+    rows = stage(rows.join(mixed.select("key", "n", "total"), "key"), "mixed-buckets")
     if not rows.limit(1).count():
         return rows.select(F.col("id").alias("u"), F.col("id").alias("v"))
     sets = _sets(docs, rows.select(F.col("id").alias("doc_id")).distinct(), size).withColumnRenamed("doc_id", "id")
-    # block i of a bucket meets blocks i and above: a row goes to each pair of blocks that holds its own
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("own", own)
-    met = rows.select(
-        "key", "id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("key", "id", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    met = in_blocks(rows)
     met = met.join(nodes.select("id", "bytes").join(sets, "id"), "id")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
@@ -209,11 +216,11 @@ def duplicate_groups(docs: DataFrame, size: int, threshold: int = THRESHOLD, id_
     filled = one.where("n > 0")
     classes = filled.groupBy("digest").agg(F.min("doc_id").alias("id"))
     nodes = stage(
-        found.join(classes, "digest").where("doc_id = id").select("id", "bands", "bytes").dropDuplicates(["id"]), "classes"
+        found.join(classes, "digest").where("doc_id = id").select("id", "n", "bands", "bytes").dropDuplicates(["id"]), "classes"
     )
-    buckets = nodes.select("id", F.explode("bands").alias("key"))
+    buckets = nodes.select("id", F.col("n").alias("shingles"), F.explode("bands").alias("key"))
     heads = buckets.groupBy("key").agg(F.min("id").alias("v"), F.count("*").alias("n")).where("n > 1").select("key", "v")
-    shared = stage(buckets.join(heads, "key").select("id", "key", "v"), "buckets")  # of classes that share a bucket
+    shared = stage(buckets.join(heads, "key").select("id", "shingles", "key", "v"), "buckets")  # of classes that share a bucket
     starred = shared.where("id <> v").select(F.col("id").alias("u"), "v").distinct()
     pairs = stage(plausible(starred, nodes, threshold), "plausible-pairs")
 

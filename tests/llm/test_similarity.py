@@ -253,3 +253,26 @@ def test_a_set_posts_once_in_any_order(llm):
     rarity = llm.sparkContext.broadcast(np.zeros(line_dedup.SLOTS, np.uint32))
     got = line_dedup._postings(docs, rarity, 80, "bigint").collect()
     assert len(got) == 2 and {(r["doc_id"], r["line"], r["n"]) for r in got} == {(0, 0, 8)}
+
+
+def test_blocks_are_bounded_in_shingles(llm):
+    """64 classes of a million shingles each: far fewer than a block of classes, 512 MB of sets."""
+    met = near_dups.in_blocks(llm.range(64).selectExpr("1L AS key", "id", "id AS component", "64L AS n", "64000000L AS total"))
+    rows = met.collect()
+    blocks = {}
+    for r in rows:
+        blocks.setdefault((r["i"], r["j"]), set()).add(r["id"])
+    assert max(map(len, blocks.values())) * 1_000_000 <= 4 * near_dups.BLOCK_SHINGLES
+    together = {(a, b) for ids in blocks.values() for a in ids for b in ids}
+    assert len(together) == 64 * 64
+    few = near_dups.in_blocks(llm.range(3).selectExpr("1L AS key", "id", "id AS component", "3L AS n", "300L AS total"))
+    assert {(r["own"], r["i"], r["j"]) for r in few.collect()} == {(0, 0, 0)}
+
+
+def test_small_blocks_give_the_same_groups(llm, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    texts = [(k, " ".join(w if rng.random() > 0.06 else f"x{rng.randrange(40)}" for w in base)) for k in range(40)]
+    df = llm.createDataFrame(texts, "doc_id long, text string")
+    monkeypatch.setattr(near_dups, "BLOCK_SHINGLES", 100)
+    assert sorted(tuple(r) for r in near_dups.duplicate_groups(df, 2).collect()) == brute_groups(dict(texts), 2)
