@@ -19,7 +19,7 @@ def test_whole_day(spark, root, capsys):
         envelope(spark, topic, messages).repartition(3).write.parquet(f"{root}/in/{topic}")
     store = f"{root}/shop"
     # one file per batch, so there are closed batches to compact
-    jobs.main(["ingest", "--root", store, "--files", f"{root}/in", "--max-per-trigger", "1", "--once"])
+    jobs.main(["ingest", "--root", store, "--files", f"{root}/in", "--max-files", "1", "--once"])
     told = capsys.readouterr().out
     assert told.count("orders batch") == 3 and "1 dropped" in told
 

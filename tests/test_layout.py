@@ -200,8 +200,14 @@ def test_a_range_of_dates_reads_its_folders_only(spark, root):
     tables = Tables(lambda name: layers.read_curated(spark, store, name)).between("2026-05-12", "2026-05-13")
     found = analytics.revenue_by_region(tables)
     assert found.agg(F.sum("total_orders")).first()[0] == 2
-    text = found._jdf.queryExecution().executedPlan().toString()
-    filters = text.split("PartitionFilters: [")[1].split("PushedFilters")[0]  # the plan's text cuts long ones
+    limit = "spark.sql.maxMetadataStringLength"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "10000")  # so that the plan's text has its filters whole
+    try:
+        text = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    filters = text.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert re.search(r"date#\d+ >= 2026", filters)
 
 

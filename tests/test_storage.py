@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from mercato import schemas
 from mercato.operators.export import export_safe, file_inventory
 from mercato.plans import analytics, catalog, nightly, report
 from mercato.plans.tables import Tables
@@ -100,7 +101,7 @@ def test_export_forms(spark):
     df = spark.createDataFrame(
         rows, "t timestamp, d date, l array<struct<n:string,q:int>>, m map<string,int>, f double, s string"
     )
-    out = [tuple(r) for r in export_safe(df).collect()]
+    out = [tuple(r) for r in export_safe(df, cell_limit=schemas.CELL_LIMIT).collect()]
     assert out[0] == ("2026-05-27 08:39:40", "2026-05-27", '[{"n":"a","q":1}]', '{"k":1}', None, None)
     assert out[1] == (None, None, None, None, 1.5, "abc\td")
     assert len(out[2][5]) == 32767
