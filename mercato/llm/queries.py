@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, licenses, line_dedup, near_dups, quality, url_filter
+from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, licenses, line_dedup, near_dups, periodic_runs, quality, url_filter
 
 
 def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op10_licenses": licenses.query,
+        "op12_periodic_runs": periodic_runs.query,
         "op1_quality": quality.query,
         "op2_near_dups": near_dups.query,
         "op3_chat_format": chat_format.query,

@@ -26,7 +26,7 @@ def test_query_equals_duckdb(llm, duck, name):
 
 def test_every_operator_is_registered_once():
     names = [n.split("_")[0] for n in build_llm_queries() if n != "pipeline"]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
 
 
 def test_chat_formatting_runs_no_python(llm):
