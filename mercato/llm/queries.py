@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, lattice_lm, licenses, line_dedup, near_dups, periodic_runs, quality, ranked_search, url_filter
+from mercato.llm import byte_bpe, chat_format, decontaminate, fingerprints, jaccard_join, lattice_lm, licenses, line_dedup, near_dups, periodic_runs, quality, ranked_search, url_filter
 
 
 def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op10_licenses": licenses.query,
+        "op11_jaccard_join": jaccard_join.query,
         "op12_periodic_runs": periodic_runs.query,
         "op13_ranked_search": ranked_search.query,
         "op1_quality": quality.query,
@@ -30,6 +31,7 @@ def build_llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def build_llm_oracle() -> dict[str, str]:
     return {
+        "op11_jaccard_join": jaccard_join.ORACLE_SQL,
         "op13_ranked_search": ranked_search.ORACLE_SQL,
         "op2_near_dups": near_dups.ORACLE_SQL,
         "op3_chat_format": chat_format.ORACLE_SQL,

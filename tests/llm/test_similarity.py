@@ -35,12 +35,12 @@ def sets(text, size):
     return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def brute_groups(texts, size):
+def brute_groups(texts, size, threshold=80):
     found = {i: sets(t, size) for i, t in texts.items()}
     ids = sorted(found)
     links = [
         (a, b) for k, a in enumerate(ids) for b in ids[k + 1 :]
-        if found[a] and found[b] and 100 * len(found[a] & found[b]) >= 80 * len(found[a] | found[b])
+        if found[a] and found[b] and 100 * len(found[a] & found[b]) >= threshold * len(found[a] | found[b])
     ]
     return sorted((i, len(found[i]), c) for i, c in union(ids, links).items())
 
