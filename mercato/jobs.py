@@ -1,9 +1,10 @@
 """The platform's jobs, over one root folder.
 
-    python -m mercato.jobs ingest    --root R --servers broker:9092
+    python -m mercato.jobs ingest    --root R --servers broker:9092 [--unique '2 hours'] [--reconcile]
+    python -m mercato.jobs recover   --root R
     python -m mercato.jobs watch     --root R --servers broker:9092 [--only orders …]
     python -m mercato.jobs verify    --root R
-    python -m mercato.jobs nightly   --root R --as-of 2026-06-01
+    python -m mercato.jobs nightly   --root R --as-of 2026-06-01 [--incremental]
     python -m mercato.jobs analyse   --root R [--only revenue_by_region …]
     python -m mercato.jobs report    --root R --out DIR
     python -m mercato.jobs export    --root R --out DIR
@@ -23,13 +24,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato import schemas
-from mercato.plans import analytics, catalog, nightly, report
+from mercato.plans import analytics, catalog, incremental, nightly, report
 from mercato.plans.tables import Tables
 from mercato.session import pin_time_zone
 from mercato.sources.envelope import parse_envelope, read_envelope_files, read_kafka
 from mercato.sources.snapshots import prune_snapshots, read_snapshot
 from mercato.sources.tables import TableEntry, register_tables
-from mercato.streaming import layers, live
+from mercato.streaming import layers, live, stateful
 from mercato.streaming.layers import Store
 
 # The exported tables, their layer and sheet name.
@@ -73,18 +74,34 @@ def _trigger(args: argparse.Namespace) -> dict:
 
 
 def ingest(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
-    """Run the three topics until stopped, or with ``--once`` until all input is read."""
+    """Run the three topics until stopped, or with ``--once`` until all input is read.
+
+    An existing warehouse shows each batch once it is written. ``--unique`` also keeps layers without
+    repeated deliveries, ``--reconcile`` lets payments meet their orders on the way.
+    """
 
     def tell(topic: str, batch_id: int, counts: dict[str, int]) -> None:
         print(f"{topic} batch {batch_id}: {counts['received']} in, {counts['clean']} clean, "
               f"{counts['dropped']} dropped", flush=True)
+        if counts["clean"] and spark.catalog.databaseExists(args.database):
+            catalog.refresh_topic(spark, args.database, topic, store)
+
+    source = lambda topic: _source(spark, args, topic)
+    if args.unique or args.reconcile:
+        stateful.state_on_disk(spark)
+    queries = layers.start_all(source, store, trigger=_trigger(args), report=tell, tasks=args.tasks)
+    if args.unique:
+        for name, topic in layers.TOPICS.items():
+            queries.append(stateful.start_unique(source(name), topic, store, args.unique, _trigger(args)))
+    if args.reconcile:
+        queries.append(stateful.start_reconciliation(source, store, _trigger(args)))
+    layers.await_all(queries)
 
-    layers.await_all(
-        layers.start_all(
-            lambda topic: _source(spark, args, topic), store,
-            trigger=_trigger(args), report=tell, tasks=args.tasks,
-        )
-    )
+
+def recover(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
+    """Bring records that came too late for the unique layers into them."""
+    for name, topic in layers.TOPICS.items():
+        print(f"{name}: {stateful.recover_late(spark, store, topic)} recovered", flush=True)
 
 
 def watch(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
@@ -119,6 +136,11 @@ def verify(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
 
 
 def run_nightly(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
+    """All four summaries from the whole layers, or with ``--incremental`` from what is new."""
+    if args.incremental:
+        incremental.run(spark, store, args.as_of, args.buckets, args.rebuild).show(truncate=False)
+        catalog.refresh_warehouse(spark, args.database, store)
+        return
     tables = stored_tables(spark, store)
     nightly.run_nightly(spark, tables, store, args.as_of, args.dates, args.compat).show(truncate=False)
     catalog.refresh_warehouse(spark, args.database, store)
@@ -174,7 +196,7 @@ def warehouse(spark: SparkSession, store: Store, args: argparse.Namespace) -> No
 
 
 JOBS: dict[str, Callable[[SparkSession, Store, argparse.Namespace], None]] = {
-    "ingest": ingest, "watch": watch, "verify": verify, "nightly": run_nightly, "analyse": analyse,
+    "ingest": ingest, "recover": recover, "watch": watch, "verify": verify, "nightly": run_nightly, "analyse": analyse,
     "report": write_report, "export": export, "compact": compact, "tidy": tidy,
     "warehouse": warehouse,
 }
@@ -193,6 +215,11 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", help="date the nightly summaries are for")
     parser.add_argument("--dates", nargs="*", help="recompute only these days of the daily summaries")
     parser.add_argument("--compat", action="store_true", help="historic reading of the scoring rules")
+    parser.add_argument("--unique", help="keep layers without deliveries repeated within this time, such as '2 hours'")
+    parser.add_argument("--reconcile", action="store_true", help="let payments meet their orders while ingesting")
+    parser.add_argument("--incremental", action="store_true", help="nightly: fold in what is new only")
+    parser.add_argument("--buckets", type=int, help="buckets of the stored customer totals, when they begin")
+    parser.add_argument("--rebuild", action="store_true", help="nightly --incremental: start over from the whole layers")
     parser.add_argument("--only", nargs="*", help="names of the analyses, or topics, to show")
     parser.add_argument("--out", help="folder for a report or export")
     parser.add_argument("--database", default="shop")

@@ -23,14 +23,37 @@ def explode_items(orders: DataFrame) -> DataFrame:
     return orders.select("order_id", F.explode("items").alias("line")).select("order_id", "line.*")
 
 
-def line_checks(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Per order: do its lines add up to the header?"""
-    per_order = lines.groupBy("order_id").agg(
+#: Columns of line sums and order headers, as they can be stored.
+LINE_SUMS = "order_id string, lines bigint, bad_lines bigint, line_cents decimal(38,0)"
+HEADERS = "order_id string, num_items int, subtotal_cents bigint"
+
+
+def line_sums(lines: DataFrame) -> DataFrame:
+    """Lines, wrong lines and their total per order; sums of parts merge by adding."""
+    return lines.groupBy("order_id").agg(
         F.count("*").alias("lines"),
         F.count_if(cents("item_total") != cents("unit_price") * F.col("quantity")).alias("bad_lines"),
         total_cents("item_total").alias("line_cents"),
     )
-    headers = orders.select("order_id", "num_items", cents("subtotal").alias("subtotal_cents"))
+
+
+def merged_line_sums(sums: DataFrame) -> DataFrame:
+    return sums.groupBy("order_id").agg(
+        *[F.sum(c).cast(t).alias(c) for c, t in (("lines", "bigint"), ("bad_lines", "bigint"), ("line_cents", "decimal(38,0)"))]
+    )
+
+
+def order_headers(orders: DataFrame) -> DataFrame:
+    return orders.select("order_id", "num_items", cents("subtotal").alias("subtotal_cents"))
+
+
+def line_checks(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Per order: do its lines add up to the header?"""
+    return headers_against_sums(order_headers(orders), line_sums(lines))
+
+
+def headers_against_sums(headers: DataFrame, per_order: DataFrame) -> DataFrame:
+    """The line check on an order's header and the sums of its lines, a row per order there."""
     status = (
         F.when(F.col("lines").isNull(), "NO_LINES")
         .when(F.col("num_items").isNull() | (F.col("lines") != F.col("num_items")), "COUNT_MISMATCH")
@@ -63,25 +86,44 @@ def amount_check_counts(orders: DataFrame) -> DataFrame:
 
 
 # -- payments against orders --------------------------------------------------
-def _sides(df: DataFrame, amount: str, prefix: str) -> DataFrame:
+#: Columns of one side, as it can be stored.
+SIDE = "order_id string, n bigint, low bigint, high bigint, customer string, customer_2 string"
+
+
+def order_side(df: DataFrame, amount: str) -> DataFrame:
+    """What a side says of each order id; rows of parts merge, see :func:`merged_sides`."""
     return df.groupBy("order_id").agg(
-        F.count("*").alias(f"{prefix}_rows"),
-        F.min(cents(amount)).alias(f"{prefix}_low"),
-        F.max(cents(amount)).alias(f"{prefix}_high"),
-        F.min("customer_id").alias(f"{prefix}_customer"),
-        F.max("customer_id").alias(f"{prefix}_customer_2"),
+        F.count("*").alias("n"),
+        F.min(cents(amount)).alias("low"),
+        F.max(cents(amount)).alias("high"),
+        F.min("customer_id").alias("customer"),
+        F.max("customer_id").alias("customer_2"),
+    )
+
+
+def merged_sides(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("order_id").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.min("customer").alias("customer"), F.max("customer_2").alias("customer_2"),
     )
 
 
 def reconcile_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row per order id seen on either side, with how the two sides agree.
+    """One row per order id seen on either side, with how the two sides agree."""
+    return reconcile_sides(order_side(orders, "final_amount"), order_side(payments, "amount"))
+
+
+def reconcile_sides(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """The same from what each side says per order id.
 
     Both sides are one row per id before they meet, on the partitioning and order the
     aggregates already have.
     """
-    both = _sides(orders, "final_amount", "order").join(
-        _sides(payments, "amount", "payment"), "order_id", "full_outer"
-    )
+    sides = [
+        df.select("order_id", *[F.col(c).alias(f"{prefix}_{'rows' if c == 'n' else c}") for c in ("n", "low", "high", "customer", "customer_2")])
+        for df, prefix in ((orders, "order"), (payments, "payment"))
+    ]
+    both = sides[0].join(sides[1], "order_id", "full_outer")
     status = (
         F.when(F.col("order_rows").isNull(), "PAYMENT_WITHOUT_ORDER")
         .when(F.col("payment_rows").isNull(), "ORDER_WITHOUT_PAYMENT")

@@ -396,6 +396,45 @@ _DELIVERED_TWICE = """
 delivered AS (SELECT * FROM c_payments UNION ALL SELECT * FROM c_payments WHERE NOT is_successful)"""
 
 
+_NUMBER = "CAST(substr(order_id, 4) AS BIGINT)"
+# each id once, then what never comes, comes late or is one unit off
+_MET = f"""
+one_order AS (
+  SELECT order_id, customer_id, {_cents('final_amount')} AS o_cents, event_timestamp AS o_at FROM c_orders
+  WHERE {_NUMBER} % 19 <> 0 QUALIFY ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY kafka_timestamp NULLS FIRST,
+    customer_id NULLS FIRST, final_amount, num_items, "timestamp" NULLS FIRST, "date" NULLS FIRST) = 1),
+one_payment AS (
+  SELECT payment_id, order_id, customer_id,
+    {_cents('amount')} + CASE WHEN {_NUMBER} % 17 = 0 THEN 100 ELSE 0 END AS p_cents,
+    event_timestamp + CASE WHEN {_NUMBER} % 13 = 0 THEN INTERVAL 3 DAYS ELSE INTERVAL 0 DAYS END AS p_at FROM c_payments
+  WHERE {_NUMBER} % 11 <> 0 QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY kafka_timestamp NULLS FIRST,
+    order_id, customer_id NULLS FIRST, amount, payment_method NULLS FIRST, status NULLS FIRST, gateway NULLS FIRST,
+    transaction_id NULLS FIRST, "timestamp" NULLS FIRST, "date" NULLS FIRST) = 1),
+met AS (
+  SELECT o.order_id, payment_id, o.customer_id, o_at, p_at, o_cents, p_cents, CASE WHEN o_cents <> p_cents THEN 'AMOUNT_MISMATCH'
+    WHEN o.customer_id IS DISTINCT FROM p.customer_id THEN 'CUSTOMER_MISMATCH' ELSE 'OK' END AS status
+  FROM one_order o JOIN one_payment p ON o.order_id = p.order_id
+    AND p_at >= o_at - INTERVAL 1 HOUR AND p_at <= o_at + INTERVAL 2 DAYS),
+all_met AS (
+  SELECT * FROM met
+  UNION ALL SELECT order_id, NULL, customer_id, o_at, NULL, o_cents, NULL,
+    CASE WHEN o_at IS NULL THEN 'NO_TIME' ELSE 'ORDER_WITHOUT_PAYMENT' END
+  FROM one_order o WHERE NOT EXISTS (SELECT 1 FROM met m WHERE m.order_id = o.order_id)
+  UNION ALL SELECT order_id, payment_id, customer_id, NULL, p_at, NULL, p_cents,
+    CASE WHEN p_at IS NULL THEN 'NO_TIME' ELSE 'PAYMENT_WITHOUT_ORDER' END
+  FROM one_payment p WHERE NOT EXISTS (SELECT 1 FROM met m WHERE m.payment_id = p.payment_id))"""
+
+
+def _last_touched(table: str) -> str:
+    """Per day the date of the last of four nightly runs that had new rows of it."""
+    return f"""
+last_touched AS (
+  SELECT "date", MAX(CASE WHEN CAST(substr(order_id, 4) AS BIGINT) % 97 = 0 THEN '{AS_OF}'
+    WHEN kafka_timestamp >= TIMESTAMP '2001-01-01' THEN '{AS_OF}' WHEN kafka_timestamp >= TIMESTAMP '1999-01-01' THEN '2001-01-01'
+    WHEN kafka_timestamp >= TIMESTAMP '1997-01-01' THEN '1999-01-01' ELSE '1997-01-01' END) AS as_of
+  FROM {table} GROUP BY "date")"""
+
+
 def _as_text(table: str, times: list[str]) -> str:
     replaced = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in times)
     return f"SELECT * REPLACE ({replaced}) FROM {table}"
@@ -475,13 +514,25 @@ def build_oracle() -> dict[str, str]:
     q["churn_risk_counts"] = _sql(
         "SELECT churn_risk, COUNT(*) AS customers FROM churn GROUP BY churn_risk ORDER BY customers DESC"
     )
-    q["payment_analysis"] = _sql(
+    per_method = (
         f"""SELECT "date", payment_method, COUNT(payment_id) AS total_transactions,
           {_if('is_successful')} AS successful, {_if('NOT is_successful')} AS failed,
           {_sum('amount')} AS total_amount,
           {_percent(_if('is_successful'), 'COUNT(payment_id)')} AS success_rate,
           '{AS_OF}' AS computed_date FROM c_payments GROUP BY "date", payment_method"""
     )
+    q["payment_analysis"] = _sql(per_method)
+    q["customer_metrics_folded"], q["rfm_scores_folded"] = q["customer_metrics"], q["rfm_scores"]
+    q["churn_candidates_folded"] = q["churn_candidates"]
+    for name, table, stamp, body in (
+        ("daily_sales", "c_orders", "computed_at", _daily_sales("upper(trim(device))")),
+        ("payment_analysis", "c_payments", "computed_date", per_method),
+    ):  # stamped by the last run that had rows of the day
+        q[f"{name}_refreshed"] = _sql(
+            f"""SELECT b.* REPLACE (t.as_of AS {stamp}) FROM ({body}) b
+              JOIN last_touched t ON b."date" IS NOT DISTINCT FROM t."date" """,
+            _last_touched(table),
+        )
     q["nightly_manifest"] = _sql(
         f"""SELECT 'daily_sales' AS summary, 'written' AS status,
             (SELECT COUNT(*) FROM (SELECT DISTINCT "date", region FROM c_orders)) AS "rows", '{AS_OF}' AS as_of
@@ -604,6 +655,10 @@ def build_oracle() -> dict[str, str]:
         _if(f"device = '{d.upper()}'") + f" AS {d.lower()}_events" for d in _DEVICES
     )
     q["sheet_event_funnel"] = _sql(f"SELECT {funnel}, {per_device} FROM c_user_events GROUP BY event_type")
+    q["event_funnel_all_days"] = _sql(f"SELECT {funnel}, {per_device} FROM c_user_events GROUP BY event_type ")
+    q["event_funnel_range"] = _sql(
+        f"""SELECT {funnel}, {per_device} FROM c_user_events WHERE "date" BETWEEN '2024-01-05' AND '2024-01-20' GROUP BY event_type"""
+    )
     q["sheet_customer_rfm"] = _sql("SELECT * FROM rfm ORDER BY total_revenue DESC, customer_id")
     q["sheet_payments_sample"] = _sql(
         """SELECT payment_id, order_id, customer_id, amount, payment_method, status, gateway,
@@ -736,6 +791,8 @@ def build_oracle() -> dict[str, str]:
     q["quality_payment_reconciliation_counts"] = _sql(
         "SELECT status, COUNT(*) AS order_ids FROM reconciled GROUP BY status", _RECONCILED
     )
+    q["quality_payment_reconciliation_stored"] = q["quality_payment_reconciliation"]
+    q["quality_line_checks_stored"] = q["quality_line_checks"]
     q["quality_search_events"] = _sql(
         f"SELECT {_SEARCH_STATUS} AS status, COUNT(*) AS events FROM c_user_events GROUP BY 1"
     )
@@ -782,6 +839,15 @@ def build_oracle() -> dict[str, str]:
           {columns.replace(',', ' NULLS FIRST,')} NULLS FIRST) = 1""",
         _DELIVERED_TWICE,
     )
+    q["stream_deduplicated_payments"] = _sql(
+        f"""SELECT * EXCLUDE (kafka_topic, kafka_partition, kafka_offset, kafka_timestamp) FROM c_payments
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY payment_id ORDER BY {columns.replace(',', ' NULLS FIRST,')} NULLS FIRST) = 1"""
+    )
+    q["stream_reconciled_payments"] = _sql(
+        """SELECT order_id, payment_id, customer_id, o_at AS ordered_at, p_at AS paid_at,
+          o_cents / 100 AS order_amount, p_cents / 100 AS paid_amount, status FROM all_met""",
+        _MET,
+    )
     q["quality_catalogue"] = _sql(
         f"""SELECT {_CATALOGUE_STATUS} AS status, COUNT(*) AS lines
           FROM order_lines LEFT JOIN part p ON product_id = 'P' || p.p_partkey GROUP BY 1"""

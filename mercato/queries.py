@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from mercato import schemas
 from mercato.operators import cleaning, customers, export, quality
-from mercato.plans import analytics, catalog, nightly, report, summaries
+from mercato.plans import analytics, catalog, incremental, nightly, report, summaries
 from mercato.sources import envelope as messages
 from mercato.sources import snapshots, tables, testdata
-from mercato.streaming import layers, live
-from mercato.workspace import AS_OF, Workspace
+from mercato.streaming import layers, live, stateful
+from mercato.workspace import AS_OF, HEARTBEAT, Workspace
 
 Query = Callable[[Workspace], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,6 +125,49 @@ def nightly_snapshot(w: Workspace) -> DataFrame:
     return snapshots.read_snapshot(w.spark, store.summary("daily_sales"))
 
 
+# -- nightly summaries that read what is new --------------------------------------
+@query
+def customer_metrics_folded(w: Workspace) -> DataFrame:
+    """Metrics out of totals that four nightly runs merged, each from new batches only."""
+    return incremental.customer_metrics(w.spark, w.nightly_runs(), AS_OF)
+
+
+@query
+def rfm_scores_folded(w: Workspace) -> DataFrame:
+    return snapshots.read_snapshot(w.spark, w.nightly_runs().summary("customer_rfm"))
+
+
+@query
+def churn_candidates_folded(w: Workspace) -> DataFrame:
+    return snapshots.read_snapshot(w.spark, w.nightly_runs().summary("churn_candidates"))
+
+
+@query
+def daily_sales_refreshed(w: Workspace) -> DataFrame:
+    """Daily sales of which each run replaced the days it had new orders of."""
+    return incremental.read_days(w.spark, w.nightly_runs(), "daily_sales")
+
+
+@query
+def payment_analysis_refreshed(w: Workspace) -> DataFrame:
+    return incremental.read_days(w.spark, w.nightly_runs(), "payment_analysis")
+
+
+#: Days of the test tables' events, for the funnel over a range.
+DAYS = ("2024-01-05", "2024-01-20")
+
+
+@query
+def event_funnel_range(w: Workspace) -> DataFrame:
+    """Distinct customers per event type over some days, from daily bitmaps."""
+    return incremental.event_funnel(w.spark, w.nightly_runs(), *DAYS)
+
+
+@query
+def event_funnel_all_days(w: Workspace) -> DataFrame:
+    return incremental.event_funnel(w.spark, w.nightly_runs())
+
+
 # -- analyses, sheets, warehouse queries, checks, findings ----------------------
 for _name, _analysis in analytics.ANALYSES.items():
     if _name.startswith("warehouse_"):
@@ -250,6 +293,17 @@ def quality_payment_reconciliation_counts(w: Workspace) -> DataFrame:
     return quality.reconcile_counts(w.tables.orders, w.tables.payments)
 
 
+@query
+def quality_line_checks_stored(w: Workspace) -> DataFrame:
+    """The same check on storage by order id: its plan moves no row."""
+    return w.by_order().line_checks()
+
+
+@query
+def quality_payment_reconciliation_stored(w: Workspace) -> DataFrame:
+    return w.by_order().reconciliation()
+
+
 @query
 def quality_search_events(w: Workspace) -> DataFrame:
     return quality.search_check_counts(w.tables.user_events)
@@ -346,6 +400,22 @@ def stream_topic_counts(w: Workspace) -> DataFrame:
     return w.spark.table(name)
 
 
+@query
+def stream_deduplicated_payments(w: Workspace) -> DataFrame:
+    """Payments of which many were delivered twice, repeats dropped as they arrived."""
+    return _payload(stateful.read_unique(w.spark, w.unique_payments(), "payments"))
+
+
+def _payload(records: DataFrame) -> DataFrame:
+    return records.drop("processed_at", *[c for c in records.columns if c.startswith("kafka_")])
+
+
+@query
+def stream_reconciled_payments(w: Workspace) -> DataFrame:
+    """Payments that met their orders on the way, and what stayed alone."""
+    return stateful.read_reconciled(w.spark, w.reconciled_payments()).where(F.col("order_id") != HEARTBEAT)
+
+
 for _topic, _label in _TOPIC_LABEL.items():
     QUERIES[f"watch_{_label}"] = lambda w, t=_topic: live.WATCH[t](w.raw(t))
 

@@ -72,6 +72,12 @@ class Store:
     def summary(self, name: str) -> str:
         return f"{self.root}/summaries/{name}"
 
+    def unique(self, topic: str) -> str:
+        return f"{self.root}/unique/{topic}"
+
+    def reconciled(self) -> str:
+        return f"{self.root}/reconciled"
+
     def metrics(self, topic: str) -> str:
         return f"{self.root}/metrics/{topic}"
 
@@ -88,10 +94,20 @@ def run_id(spark: SparkSession, checkpoint: str) -> str:
     return files.read_text(marker)
 
 
-def _batch_folder(layer: str, run: str, batch_id: int) -> str:
+def batch_folder(layer: str, run: str, batch_id: int) -> str:
     return f"{layer}/batches/run={run}/batch_id={batch_id}"
 
 
+def write_rows(rows: DataFrame, folder: str, by_date: bool) -> None:
+    """Put the rows in exactly this folder, with a folder per date below."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy("date") if by_date else writer).parquet(folder)
+
+
+def scan_batch(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
+    return spark.read.schema(ddl).parquet(folder)
+
+
 def write_batch(
     batch: DataFrame, batch_id: int, topic: Topic, store: Store, run: str, tasks: int | None = None
 ) -> dict[str, int]:
@@ -115,19 +131,16 @@ def write_batch(
             F.count(F.lit(1)).alias("received"),
             F.count_if(is_valid(topic.name)).alias("clean"),
         )
-        counted.write.mode("overwrite").parquet(_batch_folder(store.raw(topic.name), run, batch_id))
+        write_rows(counted, batch_folder(store.raw(topic.name), run, batch_id), by_date=False)
         curated = topic.clean(batch)
         if tasks is not None:
             curated = curated.repartitionByRange(tasks, "date", "kafka_partition", "kafka_offset")
-        (
-            curated.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("date")
-            .parquet(_batch_folder(store.curated(topic.name), run, batch_id))
-        )
+        write_rows(curated, batch_folder(store.curated(topic.name), run, batch_id), by_date=True)
         counts = {**seen.get, "dropped": seen.get["received"] - seen.get["clean"]}
-        line = json.dumps({"topic": topic.name, "run": run, "batch_id": batch_id, **counts})
         files, path = Files(batch.sparkSession), f"{store.metrics(topic.name)}/batch/run={run}-{batch_id}.json"
+        folder = batch_folder(store.curated(topic.name), run, batch_id)
+        folders = [name for name in files.names(folder) if name.startswith("date=")]
+        line = json.dumps({"topic": topic.name, "run": run, "batch_id": batch_id, **counts, "folders": folders})
         files.delete(path)
         files.publish_text(path, line + "\n")
         return counts
@@ -302,11 +315,20 @@ def read_curated(spark: SparkSession, store: Store, topic: str, evolve: bool = F
     return read_layer(spark, store.curated(topic), TOPICS[topic].curated, evolve)
 
 
-_COUNTS = "topic string, run string, batch_id bigint, received bigint, clean bigint, dropped bigint"
+_COUNTS = "topic string, run string, batch_id bigint, received bigint, clean bigint, dropped bigint, folders array<string>"
+
+
+def _date_of(folder: str) -> str | None:
+    return None if folder == _NO_DATE else unquote(folder.split("=", 1)[1])
 
 
 def batch_counts(spark: SparkSession, store: Store, topic: str) -> DataFrame:
     """Received, clean and dropped per batch, as counted when the batch was written."""
+    return _noted(spark, store, topic).drop("folders")
+
+
+def _noted(spark: SparkSession, store: Store, topic: str) -> DataFrame:
+    """The same with the names of the date folders that each batch made."""
     folder = store.metrics(topic)
     if not Files(spark).exists(folder):
         return spark.createDataFrame([], _COUNTS)
@@ -314,6 +336,48 @@ def batch_counts(spark: SparkSession, store: Store, topic: str) -> DataFrame:
     return lines.dropDuplicates(["run", "batch_id"])  # folded, and not deleted yet
 
 
+def committed_batches(spark: SparkSession, store: Store, topic: str) -> dict[str, int]:
+    """Last committed batch of each run of a curated layer, compacted and tidied ones included."""
+    layer = store.curated(topic)
+    return {**_covered(spark, layer)["runs"], **_committed(spark, layer)}
+
+
+@dataclass(frozen=True)
+class Changes:
+    """What a curated layer got since some batch of each run."""
+
+    rows: DataFrame
+    dates: list[str | None]
+    upto: dict[str, int]
+
+
+def changes(spark: SparkSession, store: Store, topic: str, seen: dict[str, int]) -> Changes | None:
+    """Rows and dates of the committed batches after those in ``seen`` (run -> last batch).
+
+    None if there are no new ones. Reads the new batches' folders only; their dates come from the
+    stored batch counts. Raises if some of them have been tidied away unseen.
+    """
+    layer, files = store.curated(topic), Files(spark)
+    upto = {run: last for run, last in _committed(spark, layer).items() if last > seen.get(run, -1)}
+    if not upto:
+        return None
+    new = reduce(
+        lambda a, b: a | b,
+        [(F.col("run") == run) & F.col("batch_id").between(seen.get(run, -1) + 1, last) for run, last in upto.items()],
+    )
+    noted = _noted(spark, store, topic).where(new).select("run", "batch_id", F.explode_outer("folders").alias("folder"))
+    numbers = _batch_numbers(files, layer)
+    there = {(run, n) for run in upto for n in numbers[run] if seen.get(run, -1) < n <= upto[run]}
+    dates = [_date_of(r["folder"]) for r in noted.select("folder").distinct().collect() if r["folder"]]
+    known = {(r["run"], r["batch_id"]) for r in noted.select("run", "batch_id").distinct().collect()}
+    if not known <= there:
+        raise FileNotFoundError(f"{len(known - there)} batches of {topic} were tidied away before they were read")
+    folders = [f"{layer}/batches/run={run}/batch_id={n}" for run, n in sorted(there)]
+    ddl = f"{TOPICS[topic].curated}, run string, batch_id bigint"
+    rows = spark.read.schema(ddl).option("basePath", f"{layer}/batches").parquet(*folders).drop("run", "batch_id")
+    return Changes(rows, dates, {**seen, **upto})
+
+
 def fold_counts(spark: SparkSession, store: Store, topic: str) -> int:
     """Gather the files of single batches in one; returns how many there were.
 
@@ -439,20 +503,19 @@ def date_folders(spark: SparkSession, layer: str) -> list[tuple[str, int, str]]:
     ]
 
 
-def open_date_folders(spark: SparkSession, layer: str) -> list[tuple[str, int, str]]:
-    """The same of batches that no generation holds; they are numbered -1, -2 and so on."""
-    files, covered, found, number = Files(spark), _covered(spark, layer), [], 0
-    for run, numbers in _batch_numbers(files, layer).items():
-        for n in numbers:
-            batch = f"{layer}/batches/run={run}/batch_id={n}"
-            if n <= covered["runs"].get(run, -1) or not files.exists(f"{batch}/_SUCCESS"):
-                continue
-            number += 1
-            found += [
-                (unquote(name.split("=", 1)[1]), -number, f"{batch}/{name}")
-                for name in files.names(batch) if name.startswith("date=")
-            ]
-    return found
+def open_dates(spark: SparkSession, store: Store, topic: str) -> DataFrame:
+    """(dt, part, folder) of the date folders of committed batches that no generation holds, from the
+    stored batch notes: no folder is listed but the newest of each run."""
+    layer = store.curated(topic)
+    covered, committed = _covered(spark, layer), _committed(spark, layer)
+    open_ = [
+        (F.col("run") == run) & F.col("batch_id").between(covered["runs"].get(run, -1) + 1, last)
+        for run, last in committed.items()
+    ]
+    noted = _noted(spark, store, topic).where(reduce(lambda a, b: a | b, open_, F.lit(False)))
+    batch = F.format_string("%s/batches/run=%s/batch_id=%d", F.lit(layer), F.col("run"), F.col("batch_id"))
+    each = noted.select(F.format_string("b%s-%d", "run", "batch_id").alias("part"), batch.alias("batch"), F.explode("folders").alias("name"))
+    return each.select(F.url_decode(F.regexp_replace(F.substring("name", 6, 1 << 20), r"\+", "%2B")).alias("dt"), "part", F.concat("batch", F.lit("/"), "name").alias("folder"))
 
 
 def drop_covered_batches(spark: SparkSession, layer: str) -> int:

@@ -13,24 +13,33 @@ import threading
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato import schemas
 from mercato.jobs import table_entries
+from mercato.operators import quality
 from mercato.operators.cleaning import CLEAN
 from mercato.operators.customers import customer_metrics
-from mercato.plans import catalog, nightly, summaries
+from mercato.plans import catalog, incremental, integrity, nightly, summaries
 from mercato.plans.tables import Tables
 from mercato.session import pin_time_zone, shared_folder
 from mercato.sources import testdata
 from mercato.sources.envelope import parse_envelope, read_envelope_files, to_envelope
 from mercato.sources.files import Files
 from mercato.sources.tables import TableEntry
-from mercato.streaming import layers
+from mercato.streaming import layers, stateful
 
 AS_OF = "2001-08-02"  # the day after the last order in the test tables
+#: Arrival times at which a new landing of messages begins; what has none lands first.
+LANDINGS = {
+    "orders": ["1997-01-01", "1999-01-01", "2001-01-01"],
+    "payments": ["1997-01-01", "1999-01-01", "2001-01-01"],
+    "user_events": ["2024-01-09", "2024-01-17", "2024-01-25"],
+}
+#: A pair of messages far behind all others, which lets a watermark pass those.
+HEARTBEAT, LAST_TIME = "HEARTBEAT", "2100-01-01T00:00:00"
 
 _written: dict[str, T.StructType] = {}
 _writing = threading.RLock()  # callers may run queries side by side
@@ -155,11 +164,13 @@ class Workspace:
         return Tables(lambda name: catalog.warehouse_table(self.spark, database, name))
 
     def item_messages(self) -> DataFrame:
-        """Each line as an order message whose ``items`` array has that line, parsed as orders are."""
+        """Each line as an order message whose ``items`` array has that line; of the stored messages only
+        the fields asked for are parsed."""
         lines = self.order_lines()
         item = F.struct(*[c for c in lines.columns if c != "order_id"])
         orders = lines.select("order_id", F.array(item).alias("items"))
-        return parse_envelope(to_envelope(orders, "orders", "order_id", orders.columns), schemas.ORDER, keep_source=False)
+        messages = self.stored("item_messages", lambda: to_envelope(orders, "orders", "order_id", orders.columns))
+        return parse_envelope(messages, f"order_id string, items array<struct<{schemas.LINE_ITEM}>>", keep_source=False)
 
     def ingested(self) -> layers.Store:
         """The layers of all three topics, streamed side by side once per application."""
@@ -172,6 +183,140 @@ class Workspace:
                 _written[store.root] = T.StructType()
         return store
 
+    # -- messages landing part by part -------------------------------------------
+    def landing(self, folder: str, topic: str, messages: DataFrame, number: int, late: Column | None = None) -> None:
+        """Add the landing of this number to a topic's folder: messages between two arrival times, and
+        with the last one those that are ``late``."""
+        later = [F.col("timestamp") >= F.lit(t).cast("timestamp") for t in LANDINGS[topic]]
+        number_of = sum((F.coalesce(x, F.lit(False)).cast("int") for x in later), F.lit(0))
+        if late is not None:
+            number_of = F.when(late, len(later)).otherwise(number_of)
+        messages.where(number_of == number).write.mode("append").parquet(f"{folder}/{topic}")
+
+    def delivered(self, topic: str) -> DataFrame:
+        """A topic's valid records, each id once, to be delivered as messages."""
+        columns = {
+            "orders": ["order_id", "kafka_timestamp", "customer_id", "final_amount", "num_items", "timestamp", "date"],
+            "payments": [c.split()[0] for c in schemas.PAYMENT.split(", ")] + ["kafka_timestamp"],
+        }[topic]
+        rows = self.tables[topic].select(*columns, "kafka_topic", "kafka_partition", "kafka_offset")
+        amount = "final_amount" if topic == "orders" else "amount"  # rounded to nothing, but valid as it was sent
+        sent = F.greatest(F.col(amount), F.lit(0.001))
+        return quality.deduplicate(rows, layers.TOPICS[topic].key).withColumn(amount, sent)
+
+    def unique_payments(self) -> layers.Store:
+        """A store whose payments arrived in four landings, the query stopped after each.
+
+        Failed payments are delivered again 20 days later, so many copies fall into a later landing.
+        """
+        store = layers.Store(f"{self.root}/unique")
+        with _writing:
+            if not self._is_written(store.root):
+                first = self.delivered("payments")
+                again = first.where("status <> 'SUCCESS'").withColumns(
+                    {"kafka_timestamp": F.expr("kafka_timestamp + INTERVAL 20 DAYS"), "kafka_offset": F.col("kafka_offset") + 10**9}
+                )
+                messages = self.stored("deliveries", lambda: testdata.envelope(first.unionByName(again), "payments"))
+                folder = f"{self.root}/landed_unique"
+                for number in range(len(LANDINGS["payments"]) + 1):
+                    self.landing(folder, "payments", messages, number)
+                    source = read_envelope_files(self.spark, f"{folder}/payments")
+                    topic = layers.TOPICS["payments"]
+                    layers.await_all([stateful.start_unique(source, topic, store, "60 days", {"availableNow": True})])
+                _written[store.root] = T.StructType()
+        return store
+
+    def reconciled_payments(self) -> layers.Store:
+        """A store in which payments met their orders over four landings, the query stopped after each.
+
+        Some payments never come, some come three days after their order, some are one unit off; some
+        orders never come, some come twice. A last pair of messages moves both watermarks on.
+        """
+        store = layers.Store(f"{self.root}/reconciled_store")
+        with _writing:
+            if not self._is_written(store.root):
+                sent = {"orders": self._sent_orders(), "payments": self._sent_payments()}
+                messages = {t: self.stored(f"sent_{t}", lambda t=t: testdata.envelope(sent[t], t)) for t in sent}
+                folder = f"{self.root}/landed_reconciled"
+                for number in range(len(LANDINGS["orders"]) + 1):
+                    for topic, rows in messages.items():
+                        self.landing(folder, topic, rows, number)
+                    source = lambda t: read_envelope_files(self.spark, f"{folder}/{t}")
+                    layers.await_all([stateful.start_reconciliation(source, store, {"availableNow": True})])
+                _written[store.root] = T.StructType()
+        return store
+
+    def nightly_runs(self) -> layers.Store:
+        """A store after four landings, each streamed in and followed by an incremental nightly run.
+
+        Every 97th message of a topic lands with the last, whatever its day. After two of the runs the layers
+        are compacted and the batches that a generation holds deleted.
+        """
+        store = layers.Store(f"{self.root}/nightly")
+        with _writing:
+            if not self._is_written(store.root):
+                folder = f"{self.root}/landed_nightly"
+                late = F.regexp_extract(F.col("key").cast("string"), "([0-9]+)", 1).cast("bigint") % 97 == 0
+                for number, as_of in enumerate([*LANDINGS["orders"], AS_OF]):
+                    for topic in schemas.TOPICS:
+                        self.landing(folder, topic, self.messages(topic), number, late)
+                    source = lambda t: read_envelope_files(self.spark, f"{folder}/{t}")
+                    cores = self.spark.sparkContext.defaultParallelism
+                    layers.await_all(layers.start_all(source, store, trigger={"availableNow": True}, tasks=cores))
+                    incremental.run(self.spark, store, as_of)
+                    if number in (0, 2):
+                        for topic in schemas.TOPICS:
+                            layers.compact(self.spark, store.curated(topic), layers.TOPICS[topic].curated)
+                            layers.drop_covered_batches(self.spark, store.curated(topic))
+                _written[store.root] = T.StructType()
+        return store
+
+    def by_order(self) -> integrity.ByOrder:
+        """Orders, payments and lines stored by order id, each added in two runs."""
+        tables = integrity.ByOrder(self.spark, layers.Store(f"{self.root}/stored"), self.spark.sparkContext.defaultParallelism)
+        with _writing:
+            done = f"{tables.store.root}/by_order"
+            if not self._is_written(done):
+                tables.forget()
+                raw = self.raw("orders").withColumn("order_id", F.upper(F.trim("order_id")))
+                early, order_lines = F.coalesce(F.col("kafka_timestamp") < F.lit(LANDINGS["orders"][1]).cast("timestamp"), F.lit(True)), self.order_lines()
+                half = F.pmod(F.xxhash64("product_id"), F.lit(2)) == 0  # so that lines of an order come in both
+                for run, (part, lines) in enumerate(((early, half), (~early, ~half)), 1):
+                    tables.add_orders(raw.where(part), run)
+                    tables.add_lines(order_lines.where(lines), run)
+                    tables.add_sides(self.tables.orders.where(part), self.tables.payments.where(part), run)
+                _written[done] = T.StructType()
+        return tables
+
+    def _sent_orders(self) -> DataFrame:
+        orders = self.delivered("orders").where("cast(substr(order_id, 4) AS bigint) % 19 <> 0")
+        again = orders.where("timestamp IS NOT NULL AND cast(substr(order_id, 4) AS bigint) % 5 = 0").withColumns(
+            {"kafka_timestamp": F.expr("kafka_timestamp + INTERVAL 6 HOURS"), "kafka_offset": F.col("kafka_offset") + 10**9}
+        )
+        return orders.unionByName(again).unionByName(self._heartbeat(orders))
+
+    def _sent_payments(self) -> DataFrame:
+        number = F.expr("cast(substr(order_id, 4) AS bigint)")
+        late = number % 13 == 0
+        after = F.expr("cast(timestamp AS timestamp) + INTERVAL 3 DAYS")
+        payments = self.delivered("payments").where(number % 11 != 0).withColumns(
+            {
+                "timestamp": F.when(late, F.date_format(after, testdata.ISO_SECONDS)).otherwise(F.col("timestamp")),
+                "date": F.when(late, F.date_format(after, "yyyy-MM-dd")).otherwise(F.col("date")),
+                "kafka_timestamp": F.when(late, F.expr("kafka_timestamp + INTERVAL 3 DAYS")).otherwise(F.col("kafka_timestamp")),
+                "amount": F.when(number % 17 == 0, F.round(F.col("amount") + 1, 2)).otherwise(F.col("amount")),
+            }
+        )
+        return payments.unionByName(self._heartbeat(payments))
+
+    def _heartbeat(self, like: DataFrame) -> DataFrame:
+        values = {
+            "order_id": HEARTBEAT, "payment_id": HEARTBEAT, "customer_id": HEARTBEAT, "num_items": 1, "final_amount": 1.0,
+            "amount": 1.0, "timestamp": LAST_TIME, "date": LAST_TIME[:10], "kafka_timestamp": LAST_TIME,
+        }
+        row = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in like.schema]
+        return self.spark.range(1).select(*row)
+
     def release(self) -> None:
         """Delete everything stored here; later queries build it anew."""
         Files(self.spark).delete(self.root)

@@ -3,8 +3,8 @@
 import pytest
 
 from mercato import jobs
-from mercato.plans import analytics
-from mercato.streaming import layers
+from mercato.plans import analytics, incremental
+from mercato.streaming import layers, stateful
 from mercato.streaming.layers import Store
 from tests.helpers import envelope, event, order, payment
 
@@ -65,6 +65,40 @@ def test_whole_day(spark, root, capsys):
     assert spark.table("shop_jobs.churn_candidates").count() == 4
 
 
+def test_a_day_with_state(spark, root, capsys):
+    """Repeats dropped and payments reconciled while ingesting, a live warehouse, and incremental nights."""
+    store, provider = f"{root}/shop", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+    def land(first, n):
+        for topic, make in (("orders", order), ("payments", payment), ("user_events", event)):
+            bodies = [make(i) for i in range(first, first + n)] + [make(first)]
+            envelope(spark, topic, bodies, first).coalesce(1).write.mode("append").parquet(f"{root}/in/{topic}")
+
+    try:
+        land(0, 5)
+        ingest = ["ingest", "--root", store, "--files", f"{root}/in", "--once", "--unique", "2 hours", "--reconcile", "--database", "shop_state"]
+        jobs.main(ingest)
+        jobs.main(["warehouse", "--root", store, "--database", "shop_state"])
+        assert spark.table("shop_state.orders").count() == 6
+        jobs.main(["nightly", "--root", store, "--as-of", "2026-07-01", "--incremental", "--buckets", "2", "--database", "shop_state"])
+        land(10, 3)
+        jobs.main(ingest)
+        assert spark.table("shop_state.orders").count() == 10  # without another job
+        jobs.main(["nightly", "--root", store, "--as-of", "2026-07-02", "--incremental", "--database", "shop_state"])
+        jobs.main(["recover", "--root", store])
+        assert capsys.readouterr().out.count(": 0 recovered") == 3
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    opened = Store(store)
+    for topic in layers.TOPICS:
+        assert stateful.read_unique(spark, opened, topic).count() == 8
+    assert stateful.read_reconciled(spark, opened).where("status = 'OK'").count() == 8
+    assert incremental.customer_metrics(spark, opened, "2026-07-02").agg({"total_orders": "sum"}).first()[0] == 10
+    assert spark.table("shop_state.customer_rfm").count() == 3
+    assert spark.table("shop_state.daily_sales_summary").agg({"total_orders": "sum"}).first()[0] == 10
+    assert spark.table("shop_state.payment_analysis").schema["analysis_date"].dataType.simpleString() == "string"
+
+
 def test_analysis_without_its_table_is_skipped(spark, root, capsys):
     jobs.main(["analyse", "--root", f"{root}/none", "--only", "revenue_by_region"])
     assert "skipped" in capsys.readouterr().out

@@ -3,6 +3,7 @@
 import glob
 import os
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,64 @@ def test_batch_counts_outlive_their_batches(spark, root):
     assert layers.batch_counts(spark, store, "payments").count() == 0
 
 
+def test_a_reader_notices_no_refresh(spark, root):
+    """Polls while batches are added, compacted, tidied and the warehouse follows, twenty times over."""
+    store, seen, faults, done = Store(root), [], [], threading.Event()
+    put(spark, store, [order(1)], 0)
+    catalog.create_warehouse(spark, "shop_polled", store)
+
+    def poll():
+        while not done.is_set():
+            try:
+                seen.append(spark.table("shop_polled.orders").count())
+            except Exception as problem:
+                faults.append(str(problem)[:300])
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    try:
+        for n in range(1, 21):
+            put(spark, store, [order(n + 1, date=f"2026-06-{n % 4 + 1:02d}")], n)
+            if n % 3 == 0:
+                layers.compact(spark, store.curated("orders"), TOPICS["orders"].curated, open_batches=1)
+            catalog.refresh_warehouse(spark, "shop_polled", store)
+    finally:
+        done.set()
+        reader.join()
+    assert not faults and seen == sorted(seen) and len(set(seen)) > 3
+    assert spark.table("shop_polled.orders").count() == 21
+
+
+def test_a_refresh_changes_only_what_differs(spark, root):
+    store = Store(root)
+    for n in range(3):
+        put(spark, store, [order(n, date=f"2026-06-0{n + 1}")], n)
+    catalog.create_database(spark, "shop_diff", f"{root}/warehouse")
+    refresh = lambda: catalog.refresh_topic(spark, "shop_diff", "orders", store)
+    assert refresh() == (3, 0) and refresh() == (3, 0) and refresh() == (0, 0)  # each of the two tables once
+    put(spark, store, [order(9, date="2026-06-09")], 3)
+    assert refresh() == (1, 0) and refresh() == (1, 0)
+    compact_all(spark, store)
+    assert refresh() == (4, 4)  # four batches became a folder per date
+    assert spark.table("shop_diff.orders").count() == 4
+    tidy(spark, store)
+    put(spark, store, [order(10, date="a/b c+%41=é")], 4)
+    assert refresh() == (5, 4)
+    assert spark.table("shop_diff.orders").where("dt = 'a/b c+%41=é'").count() == 1
+    assert refresh() == (1, 0) and refresh() == (0, 0)
+    shown = {r["tableName"] for r in catalog.list_tables(spark, "shop_diff").collect()}
+    assert shown == {"orders", "orders_files_a", "orders_files_b"}
+
+
+def test_a_database_made_anew(spark, root):
+    store = Store(root)
+    put(spark, store, [order(1)], 0)
+    for anew in (False, True):
+        catalog.create_warehouse(spark, "shop_anew", store, anew=anew)
+        assert spark.table("shop_anew.orders").count() == 1
+    assert "orders_files_b" not in {r["tableName"] for r in catalog.list_tables(spark, "shop_anew").collect()}
+
+
 def test_warehouse_shows_all_rows_at_any_time(spark, root):
     store = Store(root)
     seen = lambda: spark.table("shop_live.orders").count()
