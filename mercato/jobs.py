@@ -10,6 +10,7 @@
     python -m mercato.jobs export    --root R --out DIR
     python -m mercato.jobs compact   --root R
     python -m mercato.jobs tidy      --root R
+    python -m mercato.jobs redate    --root R --pattern dd/MM/yyyy
     python -m mercato.jobs warehouse --root R --database shop
 
 On a cluster: ``PYTHONPATH=. spark-submit <options> mercato/jobs.py <job> …``; executors
@@ -22,6 +23,7 @@ import argparse
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mercato import schemas
 from mercato.plans import analytics, catalog, incremental, nightly, report
@@ -190,6 +192,15 @@ def tidy(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
         print(f"{summary}: {prune_snapshots(spark, store.summary(summary))} versions dropped", flush=True)
 
 
+def redate(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
+    """Give compacted rows without a date the one that their text has in another pattern."""
+    rule = F.date_format(F.try_to_timestamp("date_text", F.lit(args.pattern)), "yyyy-MM-dd")
+    for name, topic in layers.TOPICS.items():
+        moved = layers.redate(spark, store.curated(name), topic.curated, rule)
+        print(f"{name}: {sum(moved.values())} rows dated", flush=True)
+    catalog.refresh_warehouse(spark, args.database, store)
+
+
 def warehouse(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     catalog.create_warehouse(spark, args.database, store)
     catalog.list_tables(spark, args.database).show(truncate=False)
@@ -198,7 +209,7 @@ def warehouse(spark: SparkSession, store: Store, args: argparse.Namespace) -> No
 JOBS: dict[str, Callable[[SparkSession, Store, argparse.Namespace], None]] = {
     "ingest": ingest, "recover": recover, "watch": watch, "verify": verify, "nightly": run_nightly, "analyse": analyse,
     "report": write_report, "export": export, "compact": compact, "tidy": tidy,
-    "warehouse": warehouse,
+    "redate": redate, "warehouse": warehouse,
 }
 
 
@@ -220,11 +231,12 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--incremental", action="store_true", help="nightly: fold in what is new only")
     parser.add_argument("--buckets", type=int, help="buckets of the stored customer totals, when they begin")
     parser.add_argument("--rebuild", action="store_true", help="nightly --incremental: start over from the whole layers")
+    parser.add_argument("--pattern", help="redate: pattern of the date texts, such as dd/MM/yyyy")
     parser.add_argument("--only", nargs="*", help="names of the analyses, or topics, to show")
     parser.add_argument("--out", help="folder for a report or export")
     parser.add_argument("--database", default="shop")
     args = parser.parse_args(arguments)
-    for job, option in (("nightly", "as_of"), ("report", "out"), ("export", "out")):
+    for job, option in (("nightly", "as_of"), ("report", "out"), ("export", "out"), ("redate", "pattern")):
         if args.job == job and getattr(args, option) is None:
             parser.error(f"{job} needs --{option.replace('_', '-')}")
     return args

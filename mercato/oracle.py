@@ -435,6 +435,20 @@ last_touched AS (
   FROM {table} GROUP BY "date")"""
 
 
+# the messages of which some carry more than is declared, with the landing they came in
+_DRIFTING = """
+numbered AS (
+  SELECT *, CAST(substr(trim(order_id), 4) AS BIGINT) AS k,
+    CASE WHEN kafka_timestamp >= TIMESTAMP '2001-01-01' THEN 3 WHEN kafka_timestamp >= TIMESTAMP '1999-01-01' THEN 2
+      WHEN kafka_timestamp >= TIMESTAMP '1997-01-01' THEN 1 ELSE 0 END AS landing FROM raw_orders),
+drifting AS (
+  SELECT order_id, landing,
+    CASE WHEN k % 31 = 0 AND landing >= 1 THEN k + 3000000000 ELSE num_items END AS num_items,
+    CASE WHEN k % 29 = 0 AND landing >= 1 THEN 'C' || k END AS coupon,
+    CASE WHEN k % 37 = 0 AND landing >= 2 THEN 'n' || k END AS gift_note,
+    CASE WHEN k % 37 = 0 AND landing >= 2 THEN k % 2 = 0 END AS gift_wrap FROM numbered)"""
+
+
 def _as_text(table: str, times: list[str]) -> str:
     replaced = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in times)
     return f"SELECT * REPLACE ({replaced}) FROM {table}"
@@ -848,6 +862,20 @@ def build_oracle() -> dict[str, str]:
           o_cents / 100 AS order_amount, p_cents / 100 AS paid_amount, status FROM all_met""",
         _MET,
     )
+    q["drift_orders"] = _sql("SELECT * EXCLUDE (landing) FROM drifting", _DRIFTING)
+    q["drift_report_orders"] = _sql(
+        " UNION ALL ".join(
+            f"""SELECT '{field}' AS field, {declared} AS declared, '{found}' AS found, CAST(MIN(landing) AS BIGINT) AS first_batch
+              FROM drifting WHERE {having} HAVING COUNT(*) > 0"""
+            for field, declared, found, having in (
+                ("coupon", "CAST(NULL AS VARCHAR)", "string", "coupon IS NOT NULL"),
+                ("gift.note", "NULL", "string", "gift_note IS NOT NULL"),
+                ("gift.wrap", "NULL", "boolean", "gift_note IS NOT NULL"),
+                ("num_items", "'int'", "bigint", "num_items > 2147483647"),
+            )
+        ),
+        _DRIFTING,
+    )
     q["quality_catalogue"] = _sql(
         f"""SELECT {_CATALOGUE_STATUS} AS status, COUNT(*) AS lines
           FROM order_lines LEFT JOIN part p ON product_id = 'P' || p.p_partkey GROUP BY 1"""

@@ -7,6 +7,7 @@ a reader sees all of one state or all of the next, and a query that has begun ke
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,7 +55,7 @@ def _shown(spark: SparkSession, database: str, view: str) -> str | None:
     if not spark.catalog.tableExists(f"{database}.{view}"):
         return None
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{view}").where("col_name = 'View Text'")
-    return described.first()["data_type"].rsplit(f"{database}.", 1)[1].strip()
+    return re.search(rf"FROM {re.escape(database)}\.(\w+)", described.first()["data_type"])[1]
 
 
 def _wanted(spark: SparkSession, topic: str, store: Store) -> DataFrame:
@@ -68,7 +69,7 @@ def _wanted(spark: SparkSession, topic: str, store: Store) -> DataFrame:
 def refresh_topic(spark: SparkSession, database: str, topic: str, store: Store) -> tuple[int, int]:
     """Let a topic's view show what the layer holds now; returns how many partitions were added and dropped.
 
-    A folder ``date=…`` becomes partition ``dt=…``, one per compacted generation or open batch that holds
+    Rows without a date, which share a folder, have their own text as ``dt`` in the view. A folder ``date=…`` becomes partition ``dt=…``, one per compacted generation or open batch that holds
     the date. What is there and what should be are joined; only differences reach the driver. The view
     carries the warehouse's column names; Parquet finds columns by name, so the tables keep the files' own.
     """
@@ -78,7 +79,7 @@ def refresh_topic(spark: SparkSession, database: str, topic: str, store: Store)
     fields = StructType.fromDDL(TOPICS[topic].curated).fields
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name != "date")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, dt STRING, part STRING) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, date_text STRING, dt STRING, part STRING) USING parquet "
         f"OPTIONS ('compression'='snappy') PARTITIONED BY (dt, part) LOCATION '{store.curated(topic)}/compacted'"
     )
     there = [_partition(r["partition"]) for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()]
@@ -108,8 +109,15 @@ def _partition(shown: str) -> tuple[str, str]:
 
 def _show(spark: SparkSession, database: str, view: str, table: str, renamed: dict[str, str]) -> None:
     """Make the view one of this table, in one statement."""
-    listed = ", ".join(f"`{c}` AS `{renamed.get(c, c)}`" for c in spark.table(table).columns if c != "part")
-    spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS SELECT {listed} FROM {table}")
+    columns = spark.table(table).columns
+    listed = ", ".join(f"`{c}` AS `{renamed.get(c, c)}`" for c in columns if c not in ("part", "dt", "date_text"))
+    body = f"SELECT {listed} FROM {table}"
+    if "dt" in columns:
+        body = (
+            f"SELECT {listed}, dt FROM {table} WHERE dt <> '{layers.UNDATED}' "
+            f"UNION ALL SELECT {listed}, date_text AS dt FROM {table} WHERE dt = '{layers.UNDATED}'"
+        )
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS {body}")
 
 
 def refresh_summary(spark: SparkSession, database: str, summary: str, path: str) -> bool:
@@ -136,9 +144,8 @@ def show_days(spark: SparkSession, database: str, summary: str, store: Store) ->
         return False
     renamed = RENAMED.get(summary, {})
     columns = incremental.read_days(spark, store, summary).columns
-    listed = ", ".join(
-        f"{'CAST(`date` AS STRING)' if c == 'date' else f'`{c}`'} AS `{renamed.get(c, c)}`" for c in columns
-    )
+    day = f"CASE WHEN CAST(`date` AS STRING) = '{layers.UNDATED}' THEN date_text ELSE CAST(`date` AS STRING) END"
+    listed = ", ".join(f"{day if c == 'date' else f'`{c}`'} AS `{renamed.get(c, c)}`" for c in columns)
     spark.sql(f"CREATE OR REPLACE VIEW {database}.{SUMMARY_VIEWS[summary]} AS SELECT {listed} FROM parquet.`{folder}`")
     return True
 

@@ -110,16 +110,16 @@ def customer_metrics(spark: SparkSession, store: Store, as_of: str) -> DataFrame
 
 # -- days -----------------------------------------------------------------------
 def _of_days(rows: DataFrame, dates: list[str | None]) -> DataFrame:
-    """Rows of some days; a filter on date folders."""
-    known = [d for d in dates if d is not None]
+    """Rows of some days; a filter on date folders. ``UNDATED`` stands for all rows whose date is none."""
+    known = [d for d in dates if d not in (None, layers.UNDATED)]
     chosen = F.col("date").isin(known) if known else F.lit(False)
-    return rows.where(chosen | F.col("date").isNull() if None in dates else chosen)
+    return rows.where(chosen if len(known) == len(dates) else chosen | ~layers.is_date())
 
 
 def refresh_days(days: DataFrame, folder: str) -> None:
     """Replace the folders of exactly the days that ``days`` has."""
     (
-        days.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        layers.into_partitions(days).hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("date").parquet(folder)
     )
 
@@ -130,7 +130,8 @@ def read_days(spark: SparkSession, store: Store, name: str) -> DataFrame:
     found = spark.read.parquet(folder)
     order = [f.name for f in found.schema if f.name != "date"]
     ddl = StructType([*[found.schema[c] for c in order]]).add("date", "string")
-    return spark.read.schema(ddl).parquet(folder).select("date", *order)
+    rows = layers.out_of_partitions(spark.read.schema(ddl).parquet(folder))
+    return rows.select("date", *[c for c in order if c != "date_text"])
 
 
 # -- customer numbers and bitmaps -------------------------------------------------
@@ -212,7 +213,8 @@ def _everything(spark: SparkSession, store: Store, topic: str) -> Changes | None
         rows = layers.read_curated(spark, store, topic)
     except FileNotFoundError:
         return None
-    dates = [r["date"] for r in rows.select("date").distinct().collect()]
+    day = F.when(layers.is_date(), F.col("date")).otherwise(layers.UNDATED)
+    dates = [r[0] for r in rows.select(day).distinct().collect()]
     return Changes(rows, dates, layers.committed_batches(spark, store, topic))
 
 

@@ -13,7 +13,7 @@ from mercato.operators import cleaning, customers, export, quality
 from mercato.plans import analytics, catalog, incremental, nightly, report, summaries
 from mercato.sources import envelope as messages
 from mercato.sources import snapshots, tables, testdata
-from mercato.streaming import layers, live, stateful
+from mercato.streaming import drift, layers, live, stateful
 from mercato.workspace import AS_OF, HEARTBEAT, Workspace
 
 Query = Callable[[Workspace], DataFrame]
@@ -416,6 +416,19 @@ def stream_reconciled_payments(w: Workspace) -> DataFrame:
     return stateful.read_reconciled(w.spark, w.reconciled_payments()).where(F.col("order_id") != HEARTBEAT)
 
 
+@query
+def drift_report_orders(w: Workspace) -> DataFrame:
+    """Fields that order messages carry beyond the declared shape, their type and the first batch."""
+    return drift.report(w.spark, w.drifting_orders(), "orders").drop("first_run")
+
+
+@query
+def drift_orders(w: Workspace) -> DataFrame:
+    """Those fields, read from the compacted raw layer."""
+    rows = drift.read_raw(w.spark, w.drifting_orders(), "orders")
+    return rows.select("order_id", "num_items", "coupon", F.col("gift.note").alias("gift_note"), F.col("gift.wrap").alias("gift_wrap"))
+
+
 for _topic, _label in _TOPIC_LABEL.items():
     QUERIES[f"watch_{_label}"] = lambda w, t=_topic: live.WATCH[t](w.raw(t))
 
@@ -492,7 +505,7 @@ def layer_inventory(w: Workspace) -> DataFrame:
     for topic in schemas.TOPICS:
         files = export.file_inventory(w.spark, f"{store.curated(topic)}/compacted")
         date = F.regexp_extract("folder", "/date=([^/]*)$", 1)
-        dated = files.where(~F.col("folder").endswith("__HIVE_DEFAULT_PARTITION__"))  # rows without a date
+        dated = files.where(~F.col("folder").endswith(f"date={layers.UNDATED}"))
         found.append(dated.groupBy(F.lit(topic).alias("topic"), date.alias("date")).agg((F.sum("files") > 0).alias("holds_files")))
     return found[0].unionByName(found[1]).unionByName(found[2])
 

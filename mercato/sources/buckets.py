@@ -8,9 +8,9 @@ holds the number of buckets, is made anew where an application does not find it.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from mercato.sources.files import Files
 
@@ -34,9 +34,14 @@ def open_buckets(spark: SparkSession, folder: str, ddl: str, key: str, buckets:
 
 def add_run(rows: DataFrame, folder: str, ddl: str, key: str, buckets: int, run: int) -> None:
     """Store the rows as those of a run, a file per bucket at most."""
-    columns = open_buckets(rows.sparkSession, folder, ddl, key, buckets).drop("run").columns
-    dealt = rows.select(*columns).repartition(buckets, key).withColumn("run", F.lit(run).cast("bigint"))
-    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table_name(folder))
+    spark = rows.sparkSession
+    columns = open_buckets(spark, folder, ddl, key, buckets).drop("run").columns
+    view = f"rows_{uuid.uuid4().hex}"
+    rows.select(*columns).repartition(buckets, key).createOrReplaceTempView(view)
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table_name(folder)} PARTITION (run = {int(run)}) SELECT {', '.join(columns)} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def forget(spark: SparkSession, folder: str) -> None:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -98,9 +98,33 @@ def batch_folder(layer: str, run: str, batch_id: int) -> str:
     return f"{layer}/batches/run={run}/batch_id={batch_id}"
 
 
+#: Folder of rows whose date is none: one, however many texts producers send.
+UNDATED = "undated"
+
+
+def is_date(column: str = "date") -> Column:
+    """An ISO date that the calendar has; never null."""
+    text = F.col(column)
+    return F.coalesce(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & text.try_cast("date").isNotNull(), F.lit(False))
+
+
+def into_partitions(rows: DataFrame) -> DataFrame:
+    """Rows as they are stored by date: what is no date goes to ``UNDATED`` and keeps its text beside it."""
+    return rows.withColumns(
+        {"date": F.when(is_date(), F.col("date")).otherwise(UNDATED), "date_text": F.when(~is_date(), F.col("date"))}
+    )
+
+
+def out_of_partitions(rows: DataFrame) -> DataFrame:
+    """The same rows with the dates they came with. A filter on ``date`` still prunes the folders of dates."""
+    undated = F.coalesce(F.col("date") == UNDATED, F.lit(False))
+    own = rows.where(undated).withColumn("date", F.col("date_text"))
+    return rows.where(~undated).unionByName(own).drop("date_text")
+
+
 def write_rows(rows: DataFrame, folder: str, by_date: bool) -> None:
     """Put the rows in exactly this folder, with a folder per date below."""
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = (into_partitions(rows) if by_date else rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy("date") if by_date else writer).parquet(folder)
 
 
@@ -109,7 +133,8 @@ def scan_batch(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
 
 
 def write_batch(
-    batch: DataFrame, batch_id: int, topic: Topic, store: Store, run: str, tasks: int | None = None
+    batch: DataFrame, batch_id: int, topic: Topic, store: Store, run: str, tasks: int | None = None,
+    note: Callable[[DataFrame, str], dict] | None = None,
 ) -> dict[str, int]:
     """Write one batch to both layers; returns received, clean and dropped counts.
 
@@ -119,7 +144,8 @@ def write_batch(
     A live batch holds a date or two, and each source partition writes its own file per
     date without a shuffle. A backfill batch may hold many dates: ``tasks`` then ranges
     the rows by date and offset over that many tasks, so a date spans as few files as
-    possible and a date with most of the rows is still shared out.
+    possible and a date with most of the rows is still shared out. What ``note`` says of the batch
+    is stored with its counts.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -140,7 +166,7 @@ def write_batch(
         files, path = Files(batch.sparkSession), f"{store.metrics(topic.name)}/batch/run={run}-{batch_id}.json"
         folder = batch_folder(store.curated(topic.name), run, batch_id)
         folders = [name for name in files.names(folder) if name.startswith("date=")]
-        line = json.dumps({"topic": topic.name, "run": run, "batch_id": batch_id, **counts, "folders": folders})
+        line = json.dumps({"topic": topic.name, "run": run, "batch_id": batch_id, **counts, "folders": folders, **(note(batch, topic.record) if note else {})})
         files.delete(path)
         files.publish_text(path, line + "\n")
         return counts
@@ -154,9 +180,10 @@ def make_batch_writer(
     run: str,
     report: Callable[[str, int, dict], None] | None = None,
     tasks: int | None = None,
+    note: Callable[[DataFrame, str], dict] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        counts = write_batch(batch, batch_id, topic, store, run, tasks)
+        counts = write_batch(batch, batch_id, topic, store, run, tasks, note)
         if report is not None:
             report(topic.name, batch_id, counts)
 
@@ -170,6 +197,7 @@ def start_topic(
     trigger: dict | None = None,
     report: Callable[[str, int, dict], None] | None = None,
     tasks: int | None = None,
+    note: Callable[[DataFrame, str], dict] | None = None,
 ) -> StreamingQuery:
     """One continuous query: envelope -> raw and curated.
 
@@ -178,7 +206,7 @@ def start_topic(
     """
     spark = envelope.sparkSession
     checkpoint = store.checkpoint(topic.name)
-    writer = make_batch_writer(topic, store, run_id(spark, checkpoint), report, tasks)
+    writer = make_batch_writer(topic, store, run_id(spark, checkpoint), report, tasks, note)
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", topic.name)
     query = (
         parse_envelope(envelope, topic.record)
@@ -199,10 +227,11 @@ def start_all(
     trigger: dict | None = None,
     report: Callable[[str, int, dict], None] | None = None,
     tasks: int | None = None,
+    note: Callable[[DataFrame, str], dict] | None = None,
 ) -> list[StreamingQuery]:
     """All topics side by side, each with its own checkpoint."""
     names = list(TOPICS) if topics is None else topics
-    return [start_topic(envelope_of(n), TOPICS[n], store, trigger, report, tasks) for n in names]
+    return [start_topic(envelope_of(n), TOPICS[n], store, trigger, report, tasks, note) for n in names]
 
 
 def await_all(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
@@ -274,14 +303,15 @@ def _has_open_batches(spark: SparkSession, layer: str, covered: dict) -> bool:
     )
 
 
-def read_layer(spark: SparkSession, layer: str, ddl: str, evolve: bool = False) -> DataFrame:
-    """All rows of a layer, compacted and not, in the declared column order.
+def read_layer(spark: SparkSession, layer: str, ddl: str, evolve: bool = False, by_date: bool = False) -> DataFrame:
+    """All rows of a layer, compacted and not, in the declared column order. ``by_date``: it is stored by date.
 
     ``evolve`` also returns columns that later batches added, at the price of reading
     every file's footer.
     """
     covered = _covered(spark, layer)
-    parts = []
+    declared = StructType.fromDDL(ddl).names
+    parts, ddl = [], f"{ddl}, date_text string" if by_date else ddl
     if covered["generation"]:
         folder = f"{layer}/compacted"
         done = _scan(spark, folder, f"{ddl}, generation bigint", evolve, ["generation"])
@@ -293,7 +323,8 @@ def read_layer(spark: SparkSession, layer: str, ddl: str, evolve: bool = False)
     if not parts:
         raise FileNotFoundError(f"nothing written at {layer}")
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    declared = StructType.fromDDL(ddl).names
+    if by_date:
+        rows = out_of_partitions(rows if "date_text" in rows.columns else rows.withColumn("date_text", F.lit(None).cast("string")))
     return rows.select(*declared, *[c for c in rows.columns if c not in declared])
 
 
@@ -312,28 +343,34 @@ def read_raw(spark: SparkSession, store: Store, topic: str, evolve: bool = False
 
 
 def read_curated(spark: SparkSession, store: Store, topic: str, evolve: bool = False) -> DataFrame:
-    return read_layer(spark, store.curated(topic), TOPICS[topic].curated, evolve)
+    return read_layer(spark, store.curated(topic), TOPICS[topic].curated, evolve, by_date=True)
 
 
-_COUNTS = "topic string, run string, batch_id bigint, received bigint, clean bigint, dropped bigint, folders array<string>"
+_KEPT = "folders array<string>, schema string, large array<string>"  # notes besides the counts
+_COUNTS = "topic string, run string, batch_id bigint, received bigint, clean bigint, dropped bigint"
 
 
 def _date_of(folder: str) -> str | None:
     return None if folder == _NO_DATE else unquote(folder.split("=", 1)[1])
 
 
+def read_notes(spark: SparkSession, store: Store, topic: str, ddl: str) -> DataFrame:
+    """Fields of the notes that batches left when they were written, a row per batch."""
+    folder = store.metrics(topic)
+    if not Files(spark).exists(folder):
+        return spark.createDataFrame([], ddl)
+    lines = spark.read.schema(ddl).option("recursiveFileLookup", "true").json(folder)
+    return lines.dropDuplicates(["run", "batch_id"])  # folded, and not deleted yet
+
+
 def batch_counts(spark: SparkSession, store: Store, topic: str) -> DataFrame:
     """Received, clean and dropped per batch, as counted when the batch was written."""
-    return _noted(spark, store, topic).drop("folders")
+    return read_notes(spark, store, topic, _COUNTS)
 
 
 def _noted(spark: SparkSession, store: Store, topic: str) -> DataFrame:
-    """The same with the names of the date folders that each batch made."""
-    folder = store.metrics(topic)
-    if not Files(spark).exists(folder):
-        return spark.createDataFrame([], _COUNTS)
-    lines = spark.read.schema(_COUNTS).option("recursiveFileLookup", "true").json(folder)
-    return lines.dropDuplicates(["run", "batch_id"])  # folded, and not deleted yet
+    """The names of the date folders that each batch made."""
+    return read_notes(spark, store, topic, "run string, batch_id bigint, folders array<string>")
 
 
 def committed_batches(spark: SparkSession, store: Store, topic: str) -> dict[str, int]:
@@ -344,7 +381,7 @@ def committed_batches(spark: SparkSession, store: Store, topic: str) -> dict[str
 
 @dataclass(frozen=True)
 class Changes:
-    """What a curated layer got since some batch of each run."""
+    """What a curated layer got since some batch of each run; ``UNDATED`` among the dates for rows without."""
 
     rows: DataFrame
     dates: list[str | None]
@@ -373,9 +410,9 @@ def changes(spark: SparkSession, store: Store, topic: str, seen: dict[str, int])
     if not known <= there:
         raise FileNotFoundError(f"{len(known - there)} batches of {topic} were tidied away before they were read")
     folders = [f"{layer}/batches/run={run}/batch_id={n}" for run, n in sorted(there)]
-    ddl = f"{TOPICS[topic].curated}, run string, batch_id bigint"
+    ddl = f"{TOPICS[topic].curated}, date_text string, run string, batch_id bigint"
     rows = spark.read.schema(ddl).option("basePath", f"{layer}/batches").parquet(*folders).drop("run", "batch_id")
-    return Changes(rows, dates, {**seen, **upto})
+    return Changes(out_of_partitions(rows), dates, {**seen, **upto})
 
 
 def fold_counts(spark: SparkSession, store: Store, topic: str) -> int:
@@ -391,7 +428,7 @@ def fold_counts(spark: SparkSession, store: Store, topic: str) -> int:
             by_run.setdefault(run, []).append((int(number), f"{folder}/batch/{name}"))
     closed = [path for batches in by_run.values() for _, path in sorted(batches)[:-1]]
     if closed:
-        spark.read.schema(_COUNTS).json(closed).coalesce(1).write.json(f"{folder}/folded/{uuid.uuid4().hex}")
+        spark.read.schema(f"{_COUNTS}, {_KEPT}").json(closed).coalesce(1).write.json(f"{folder}/folded/{uuid.uuid4().hex}")
         for path in closed:
             files.delete(path)
     return len(closed)
@@ -453,7 +490,45 @@ def compact(
         folders = [f"{layer}/compacted/generation={g}" + (f"/{name}" if name != "*" else "") for g, name in again]
         earlier = _merged(spark, folders, f"{layer}/compacted", ddl).drop("generation")
         rows = rows.unionByName(earlier, allowMissingColumns=True)
-    generation = covered["generation"] + 1
+    return _publish_generation(spark, layer, rows, covered, again, closing, by_date)
+
+
+def redate(spark: SparkSession, layer: str, ddl: str, rule: Column) -> dict[str, int]:
+    """Give dates to compacted rows that have none, by a rule on their own text (``date_text``) and other
+    columns; returns how many rows moved to which date.
+
+    Those rows move to the folders of their dates, which are rewritten with them as compaction does it;
+    the others stay undated. Rows of open batches are out of reach until they are compacted. Incremental
+    nights have these rows in without a date; rebuild them afterwards.
+    """
+    covered, files = _covered(spark, layer), Files(spark)
+    folders = _folders(files, layer, covered)
+    undated = [(g, name) for g, name in folders if name == f"date={UNDATED}"]
+    if not undated:
+        return {}
+    path = lambda g, name: f"{layer}/compacted/generation={g}/{name}"
+    base = f"{layer}/compacted"
+    rows = _merged(spark, [path(*f) for f in undated], base, ddl).drop("generation")
+    ruled = rows.withColumn("ruled", rule)
+    moved = ruled.where(is_date("ruled"))
+    found = {r["ruled"]: r["count"] for r in moved.groupBy("ruled").count().collect()}
+    if not found:
+        return {}
+    again = [f for f in folders if f[1].removeprefix("date=") in found]
+    out = ruled.where(~is_date("ruled")).drop("ruled").unionByName(
+        moved.withColumns({"date": F.col("ruled"), "date_text": F.lit(None).cast("string")}).drop("ruled")
+    )
+    if again:
+        out = out.unionByName(_merged(spark, [path(*f) for f in again], base, ddl).drop("generation"), allowMissingColumns=True)
+    _publish_generation(spark, layer, out, covered, undated + again, {}, by_date=True)
+    return found
+
+
+def _publish_generation(
+    spark: SparkSession, layer: str, rows: DataFrame, covered: dict, again: list[tuple[int, str]], closing: dict[str, int], by_date: bool
+) -> int:
+    """Write rows as the next generation, which replaces the folders in ``again`` and closes batches."""
+    files, generation = Files(spark), covered["generation"] + 1
     rows = rows.hint("rebalance", "date") if by_date else rows.hint("rebalance")
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer = writer.partitionBy("date") if by_date else writer

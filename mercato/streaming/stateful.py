@@ -66,7 +66,7 @@ def start_unique(
 
 
 def read_unique(spark: SparkSession, store: Store, topic: str) -> DataFrame:
-    return layers.read_layer(spark, store.unique(topic), TOPICS[topic].curated)
+    return layers.read_layer(spark, store.unique(topic), TOPICS[topic].curated, by_date=True)
 
 
 def recover_late(spark: SparkSession, store: Store, topic: Topic) -> int:

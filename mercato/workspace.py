@@ -29,7 +29,7 @@ from mercato.sources import testdata
 from mercato.sources.envelope import parse_envelope, read_envelope_files, to_envelope
 from mercato.sources.files import Files
 from mercato.sources.tables import TableEntry
-from mercato.streaming import layers, stateful
+from mercato.streaming import drift, layers, stateful
 
 AS_OF = "2001-08-02"  # the day after the last order in the test tables
 #: Arrival times at which a new landing of messages begins; what has none lands first.
@@ -271,6 +271,33 @@ class Workspace:
                 _written[store.root] = T.StructType()
         return store
 
+    def drifting_orders(self) -> layers.Store:
+        """A store whose orders, from the second landing on, carry fields that nobody declared and some too
+        large a number; compacted and tidied, with the last landing still open."""
+        store = layers.Store(f"{self.root}/drifting")
+        with _writing:
+            if not self._is_written(store.root):
+                raw, number = self.raw("orders"), F.regexp_extract("order_id", "([0-9]+)", 1).cast("bigint")
+                late = lambda n: F.coalesce(F.col("kafka_timestamp") >= F.lit(LANDINGS["orders"][n]).cast("timestamp"), F.lit(False))
+                gift = F.struct(F.format_string("n%d", number).alias("note"), (number % 2 == 0).alias("wrap"))
+                sent = raw.withColumns(
+                    {
+                        "num_items": F.when((number % 31 == 0) & late(0), number + 3_000_000_000).otherwise(F.col("num_items")),
+                        "coupon": F.when((number % 29 == 0) & late(0), F.format_string("C%d", number)),
+                        "gift": F.when((number % 37 == 0) & late(1), gift),
+                    }
+                )
+                messages = self.stored("sent_drifting", lambda: testdata.envelope(sent, "orders"))
+                folder, topic = f"{self.root}/landed_drifting", layers.TOPICS["orders"]
+                for landing in range(len(LANDINGS["orders"]) + 1):
+                    self.landing(folder, "orders", messages, landing)
+                    source = read_envelope_files(self.spark, f"{folder}/orders")
+                    layers.await_all([layers.start_topic(source, topic, store, {"availableNow": True}, note=drift.noted_schema)])
+                layers.compact(self.spark, store.raw("orders"), topic.raw, open_batches=1, by_date=False)
+                layers.drop_covered_batches(self.spark, store.raw("orders"))
+                _written[store.root] = T.StructType()
+        return store
+
     def by_order(self) -> integrity.ByOrder:
         """Orders, payments and lines stored by order id, each added in two runs."""
         tables = integrity.ByOrder(self.spark, layers.Store(f"{self.root}/stored"), self.spark.sparkContext.defaultParallelism)

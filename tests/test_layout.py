@@ -70,7 +70,44 @@ def test_rewritten_folders_are_not_read_before_they_are_deleted(spark, root):
         put(spark, store, odd, n)
         compact_all(spark, store)
     assert layers.read_curated(spark, store, "orders").groupBy("date").count().where("count = 3").count() == 3
-    assert {d for d, _, _ in layers.date_folders(spark, store.curated("orders"))} >= {"16/05/2026", "2026-05-16"}
+    assert {d for d, _, _ in layers.date_folders(spark, store.curated("orders"))} == {layers.UNDATED, "2026-05-16"}
+
+
+def test_a_thousand_garbage_dates_make_one_folder(spark, root):
+    store, layer = Store(root), Store(root).curated("orders")
+    garbage = [f"{i % 28 + 1:02d}/05/2026" if i % 2 else f"no date {i}" for i in range(998)] + [None, "2026-02-30"]
+    put(spark, store, [order(i, date=d) for i, d in enumerate(garbage)] + [order(5000), order(5001, date="2026-05-02")], 0)
+    folders = lambda: sorted(os.path.basename(f) for f in glob.glob(f"{layer}/batches/*/*/date=*"))
+    assert folders() == ["date=2026-05-02", "date=2026-05-16", "date=undated"]
+    texts = lambda: sorted(str(r["date"]) for r in layers.read_curated(spark, store, "orders").select("date").collect())
+    assert texts() == sorted([str(g) for g in garbage] + ["2026-05-16", "2026-05-02"])  # as they came
+    compact_all(spark, store)
+    assert texts() == sorted([str(g) for g in garbage] + ["2026-05-16", "2026-05-02"])
+    catalog.create_warehouse(spark, "shop_garbage", store)
+    assert spark.table("shop_garbage.orders").where("dt = 'no date 0'").count() == 1
+    assert spark.table("shop_garbage.orders").count() == 1002
+
+    # a corrected rule moves the rows it dates; the others stay, and so does every count
+    def rule(pattern):
+        return F.date_format(F.try_to_timestamp("date_text", F.lit(pattern)), "yyyy-MM-dd")
+
+    assert layers.redate(spark, layer, TOPICS["orders"].curated, rule("yyyy.MM.dd")) == {}
+    moved = layers.redate(spark, layer, TOPICS["orders"].curated, rule("dd/MM/yyyy"))
+    assert sum(moved.values()) == 499 and set(moved) == {f"2026-05-{d:02d}" for d in range(2, 29, 2)}
+    rows = layers.read_curated(spark, store, "orders")
+    assert rows.count() == 1002 and rows.select("order_id").distinct().count() == 1002
+    assert rows.where("date = '2026-05-02'").count() == 1 + sum(g == "02/05/2026" for g in garbage)
+    assert rows.where(~layers.is_date()).count() == 501
+    assert dict(rows.dtypes)["date"] == "string" and "date_text" not in rows.columns
+    catalog.refresh_warehouse(spark, "shop_garbage", store)
+    assert spark.table("shop_garbage.orders").where("dt = '2026-05-02'").count() == rows.where("date = '2026-05-02'").count()
+    tidy(spark, store)
+    put(spark, store, [order(6000, date="03/05/2026")], 1)
+    compact_all(spark, store)
+    assert layers.redate(spark, layer, TOPICS["orders"].curated, rule("dd/MM/yyyy")) == {"2026-05-03": 1}
+    assert layers.read_curated(spark, store, "orders").where("date = '2026-05-03'").count() == 1
+    one = layers.read_curated(spark, store, "orders").where("date = '2026-05-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in one
 
 
 def test_batch_counts_outlive_their_batches(spark, root):
