@@ -7,25 +7,27 @@ m - t(m) + l tokens: their prefixes of level l. A document of level l takes part
 and a pair needs as many shared prefix tokens as the lower of its two levels says.
 
 1. Documents of equal sets are one class, whose least id stands for it.
-2. All classes post a prefix of base level ``1 + n // 10``, in order of the tokens' hashes. A token is
+2. All classes post a prefix of base level ``1 + n // 20``, in order of the tokens' hashes. A token is
    open if it is held in several components (at first each class is one). A class with fewer open
    prefix tokens than any partner's level asks for has no link and is out, exactly. Each other class
-   names the head (the least or the greatest member, one of another component) of most of its
-   tokens; these pairs are verified on their sets and the links joined into components.
+   names the head of most of its tokens, a holder of another component; these pairs are verified on
+   their sets and the links joined into components, which ties most groups of copies.
 3. All tokens of the classes left are counted, by documents and components. No link across
    components has a closed token in it, so a class with fewer than t(n) open tokens is done. The
    others order their tokens by rarity, closed ones first, and choose the level of least estimated
    cost: of matches in the posting lists, and of verifying the pairs that reach the level, at most
    1/l of the matches. Clean texts and tied groups of copies are gone by then.
-4. Rounds: postings of these prefixes name heads again, pairs are verified, components joined, and
-   tokens that this closes leave, until a round finds no link.
-5. What still shares open tokens across components is matched in full, by blocks of a posting list:
-   pairs that reach their level in the number of shared prefix tokens, are of fitting sizes and in
-   different components, are verified. So no link is missed, and no tied group makes its pairs.
+4. What still shares open tokens across components is matched in full: pairs meet in the list of the
+   first token that both have, where a task that holds a block of the list on either side counts the
+   tokens that the prefixes share. Pairs below the lower of their levels go, and pairs that could not
+   reach the threshold if they shared all tokens behind the prefix that ends first. Where the prefixes are
+   whole sets, as in lists of large groups, the count is the intersection: such links tie their components
+   in the task, and only pairs of components that nothing has tied yet leave it. Other pairs are verified.
+   So no link is missed, and a group of k classes sends less than k links from each task.
 
 Skew: a task pools the documents of each token in parts of ``POOL`` tokens before they are dealt out, so a
 token that a third of all documents hold is a row per pool. Heads are verified in parts of ``PART``
-members, lists matched in blocks of ``BLOCK``. Tokens and sets are 64-bit hashes; equal hashes of unlike
+members, lists matched in blocks of ``BLOCK`` members or ``BLOCK_TOKENS`` prefix tokens. Tokens and sets are 64-bit hashes; equal hashes of unlike
 shingles only change the order, but for two in one compared pair, which verification would count.
 
 Rows: words are split at ASCII white space after lower-casing A-Z. A text with fewer words than a
@@ -37,6 +39,7 @@ without component, and are compared with nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -50,9 +53,11 @@ from mercato.llm.common import SPACED, hashed_words, id_text, map_rows, shingle_
 from mercato.llm.components import components
 from mercato.session import stage
 
-#: Words of a shingle; similarity in percent; tokens pooled in a task; members verified against a
-#: head at a time; members of a block of a list; cost of a match, in tokens compared by a verification.
-SIZE, THRESHOLD, POOL, PART, BLOCK, MATCH_COST = 5, 80, 1 << 19, 256, 256, 50
+#: Words of a shingle; similarity in percent; tokens pooled in a task; tokens per level of a base prefix;
+#: members verified against a head at a time; members and prefix tokens of a block of a list.
+SIZE, THRESHOLD, POOL, BASE, PART, BLOCK, BLOCK_TOKENS = 5, 80, 1 << 19, 20, 256, 1024, 1 << 21
+#: Costs: of a token that a prefix carries, of a match in a list, of a token in a verification.
+CARRY, MATCH, VERIFY = 1.0, 0.05, 1.0
 
 
 def tokens(text: str, size: int) -> np.ndarray:
@@ -66,16 +71,20 @@ def least_shared(n: int, threshold: int) -> int:
 
 
 def base_level(n: int) -> int:
-    return 1 + n // 10
+    return 1 + n // BASE
 
 
 def level_of(df: np.ndarray, n: int, threshold: int) -> int:
-    """Level of least estimated cost, for the rising counts of n's open tokens."""
+    """Level of least estimated cost, for the rising counts of n's open tokens.
+
+    The prefix is carried to each list of level 1; each other holder of a prefix token is a match; at
+    most 1/level of the matches are pairs that reach the level and are verified, n tokens each.
+    """
     t = least_shared(n, threshold)
     spare = len(df) - t  # open tokens of the prefix beyond its level
     level = np.arange(1, t + 1)
     matches = np.cumsum(df - 1)[spare:][:t]
-    return int(np.argmin(MATCH_COST * matches + n * (matches / level))) + 1
+    return int(np.argmin(CARRY * (spare + 1) * (spare + level) + MATCH * matches + VERIFY * n * (matches / level))) + 1
 
 
 def sized(docs: DataFrame, size: int) -> DataFrame:
@@ -104,7 +113,7 @@ def pooled(docs: DataFrame, size: int, threshold: int, whole: bool) -> DataFrame
     arrow = to_arrow_schema(schema)
 
     def pool(held: list[tuple]) -> pa.RecordBatch:
-        held.sort(key=lambda h: h[:2])
+        held.sort(key=lambda h: (h[1] if h[0] is None else h[0], h[1]))
         where = np.concatenate([np.full(len(h[2]), i, np.int32) for i, h in enumerate(held)])
         what = np.concatenate([h[2] for h in held])
         order = np.argsort(what, kind="stable")
@@ -131,7 +140,7 @@ def pooled(docs: DataFrame, size: int, threshold: int, whole: bool) -> DataFrame
                     found = found[: len(found) - least_shared(len(found), threshold) + base_level(len(found))]
                 if not len(found):
                     continue
-                held.append((component.as_py(), key.as_py(), found))
+                held.append((component.as_py(), key.as_py(), found))  # no component: its own
                 total += len(found)
                 if total >= POOL:
                     yield pool(held)
@@ -146,28 +155,46 @@ def _holder() -> Column:
     return F.struct("component", "id")
 
 
-def open_tokens(pools: DataFrame) -> DataFrame:
-    """(token, df, lo, hi, component, id) per holder of a token that several components hold.
+def _head() -> Column:
+    """Orders the holders of a token; the least heads it. By hash, so that no id is head of much more than its own."""
+    return F.struct(F.xxhash64("id").alias("at"), "component", "id")
 
-    lo and hi are its holders of least and greatest component."""
+
+def open_tokens(pools: DataFrame) -> DataFrame:
+    """(token, df, head, component, id) per holder of a token that several components hold; the head is one of them."""
+    pools = pools.repartition("token")  # before the columns that follow from these
+    others = F.transform(
+        F.coalesce("more", F.array().cast(pools.schema["more"].dataType)),
+        lambda h: F.struct(F.coalesce(h["component"], h["id"]).alias("component"), h["id"].alias("id")),
+    )
+    pools = pools.select("token", F.coalesce("component", "id").alias("component"), "id", others.alias("more"))
     by = Window.partitionBy("token")
     found = pools.select(
         "*",
-        F.min(_holder()).over(by).alias("lo"),
-        F.max(F.coalesce(F.array_max("more"), _holder())).over(by).alias("hi"),
-        F.sum(F.lit(1) + F.coalesce(F.size("more"), F.lit(0))).over(by).alias("df"),
-    ).where("lo.component <> hi.component")
-    holders = F.concat(F.array(_holder()), F.coalesce("more", F.array().cast(pools.schema["more"].dataType)))
-    return found.select("token", "df", "lo", "hi", F.inline(holders))
+        F.min("component").over(by).alias("lo"),
+        F.max(F.coalesce(F.array_max("more")["component"], F.col("component"))).over(by).alias("hi"),
+        F.min(_head()).over(by).alias("head"),
+        F.sum(F.lit(1) + F.size("more")).over(by).alias("df"),
+    ).where("lo <> hi")
+    return found.select("token", "df", "head", F.inline(F.concat(F.array(_holder()), "more")))
 
 
 def named_heads(held: DataFrame) -> DataFrame:
-    """(id, open, head): open tokens of each holder, and the holder of another component that heads most of them."""
-    head = F.when(F.col("lo.component") == F.col("component"), F.col("hi.id")).otherwise(F.col("lo.id"))
-    times = held.select("id", head.alias("head")).groupBy("id", "head").agg(F.count("*").alias("n"))
-    return times.groupBy("id").agg(
-        F.sum("n").alias("open"), F.min(F.struct((-F.col("n")).alias("n"), "head"))["head"].alias("head")
-    )
+    """(id, open, component, head, of, shared): open tokens of each holder, and the head of most of them that is
+    in another component, if any."""
+    other = F.col("head.component") != F.col("component")
+    times = held.groupBy("id", "component", F.when(other, F.struct("head.component", "head.id")).alias("head")).agg(F.count("*").alias("n"))
+    best = F.min(F.when(F.col("head").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("head.id").alias("id"), F.col("head.component").alias("of"))))
+    found = times.groupBy("id", "component").agg(F.sum("n").alias("open"), best.alias("best"))
+    return found.select("id", "open", "component", F.col("best.id").alias("head"), F.col("best.of").alias("of"), (-F.col("best.n")).alias("shared"))
+
+
+def one_a_pair(named: DataFrame) -> DataFrame:
+    """(u, v): of the pairs between two components the one that shares most tokens."""
+    named = named.where("head IS NOT NULL")
+    ends = F.least("component", "of").alias("a"), F.greatest("component", "of").alias("b")
+    best = named.groupBy(*ends).agg(F.min(F.struct((-F.col("shared")).alias("shared"), "id", "head")).alias("best"))
+    return best.select(F.col("best.id").alias("u"), F.col("best.head").alias("v"))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -215,48 +242,98 @@ def _members(stars: DataFrame) -> DataFrame:
 
 
 def undecided(held: DataFrame, sizes: DataFrame, threshold: int) -> DataFrame:
-    """Staged (id, n, level, found): classes with open tokens enough for a link across components, the
-    level they choose, and these tokens by rarity."""
+    """Staged (id, component, n, level, closed, cut, found): classes with open tokens enough for a link across
+    components, the level they choose, how many tokens are closed, and the open ones as (df, token) by rarity,
+    of which ``cut`` are in the prefix."""
 
     @F.pandas_udf("long")
     def chosen(counts: pd.Series, sizes: pd.Series) -> pd.Series:
         return pd.Series([level_of(np.asarray(df, np.int64), n, threshold) for df, n in zip(counts, sizes, strict=True)], dtype="int64")
 
-    listed = held.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found")).join(sizes, "id")
-    listed = listed.where(F.size("found") * 100 >= threshold * F.col("n"))
-    return stage(listed.select("id", "n", chosen("found.df", "n").alias("level"), F.col("found.token").alias("found")), "undecided")
-
-
-def postings(left: DataFrame, stars: DataFrame, threshold: int) -> DataFrame:
-    """(token, place, id, n, level, component, lo, hi): tokens of the prefixes that several components
-    hold, of classes that can still link with another component. ``place``: in the set's order."""
-    rows = _of(left, _members(stars)).withColumn("known", F.size("found"))
-    every = rows.select("id", "n", "level", "component", "known", F.posexplode("found").alias("at", "token"))
-    by, own = Window.partitionBy("token"), Window.partitionBy("id")
-    found = every.select("*", F.min(_holder()).over(by).alias("lo"), F.max(_holder()).over(by).alias("hi")).where("lo.component <> hi.component")
-    found = found.withColumn("open", F.count("*").over(own)).where(F.col("open") * 100 >= threshold * F.col("n"))
-    prefix = F.col("known") - F.ceil(F.lit(threshold) * F.col("n") / 100) + F.col("level")
-    return found.where(F.col("at") < prefix).select(
-        "token", (F.col("n") - F.col("known") + F.col("at")).alias("place"), "id", "n", "level", "component", "lo", "hi"
+    listed = held.groupBy("id", "component").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("found")).join(sizes, "id")
+    listed = listed.where(F.size("found") * 100 >= threshold * F.col("n")).withColumn("level", chosen("found.df", "n"))
+    known = F.size("found").cast("long")
+    cut = known - F.ceil(F.lit(threshold) * F.col("n") / 100) + F.col("level")
+    return stage(listed.select("id", "component", "n", "level", (F.col("n") - known).alias("closed"), cut.alias("cut"), "found"), "undecided")
+
+
+def matched(sets: DataFrame, threshold: int) -> DataFrame:
+    """Staged (u, v, sure): pairs of ``undecided`` classes of different components that share as many prefix
+    tokens as their levels ask for and may share enough in all; ``sure``: they do."""
+    kind = _kind(sets, "id")
+    first = F.col("cut") - F.col("level") + 1  # tokens of level 1
+    lists = sets.select("id", "cut", F.explode(F.slice("found", F.lit(1), first.cast("int"))).alias("entry"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.least(F.ceil(F.sum("cut") / BLOCK_TOKENS), F.count("*"))).cast("int")
+    sized = lists.groupBy("entry").agg(blocks.alias("blocks"), F.count("*").alias("holders")).where("holders > 1")
+    dealt = lists.select("entry", "id").join(sized.select("entry", "blocks"), "entry").select(
+        "entry", "id", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+    ).select("entry", "id", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    carried = F.slice("found", F.lit(1), F.col("cut").cast("int"))
+    full = dealt.join(sets.select("id", "n", "level", "component", (F.size("found") - F.col("cut")).alias("rest"), carried.alias("prefix")), "id").select(
+        "entry", "i", "j", "own", "id", "n", "level", "component", "rest", F.col("prefix.df").alias("dfs"), F.col("prefix.token").alias("tokens")
     )
-
-
-def matched(rows: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (u, v) of different components that share as many prefix tokens as their levels ask for."""
-    lists = rows.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.select("token", "place", "id", "n", "level", "component").join(lists, "token").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    # of two classes the smaller (of equal ones, that of lesser id) is u; its prefix is shorter, as its partner is no smaller
-    least = F.ceil(F.lit(threshold) * F.col("n") / 100)
-    least_small = F.ceil(F.lit(2 * threshold) * F.col("n") / (100 + threshold))
-    at = lambda t: F.col("place") - (F.col("n") - t) + 1  # noqa: E731  least level whose prefix has this place
-    a = rows.select("token", F.col("own").alias("i"), every.alias("j"), F.col("id").alias("u"), F.col("n").alias("nu"), F.col("level").alias("lu"), F.col("component").alias("cu"), at(least_small).alias("au"))
-    b = rows.select("token", F.col("own").alias("j"), every.alias("i"), F.col("id").alias("v"), F.col("n").alias("nv"), F.col("level").alias("lv"), F.col("component").alias("cv"), at(least).alias("av"))
-    smaller = (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v")))
-    fit = (100 * F.col("nu") >= threshold * F.col("nv")) & (F.col("cu") != F.col("cv"))
-    asked = F.least("lu", "lv")
-    pairs = a.join(b, ["token", "i", "j"]).where(smaller & fit & (F.greatest("au", "av") <= asked))
-    return pairs.groupBy("u", "v", asked.alias("asked")).agg(F.count("*").alias("shared")).where("shared >= asked").select("u", "v")
+    full = full.repartition("entry", "i", "j").sortWithinPartitions("entry", "i", "j")
+
+    def run(source: Iterator[dict]) -> Iterator[tuple]:
+        for (df, token, i, j), members in groupby(source, key=lambda r: (r["entry"]["df"], r["entry"]["token"], r["i"], r["j"])):
+            members = list(members)
+            if len({r["component"] for r in members}) > 1:
+                yield from _pairs(members, df, token, i, j, threshold)
+
+    return stage(map_rows(full, run, f"u {kind}, v {kind}, sure boolean"), "matched")
+
+
+def _pairs(members: list[dict], df: int, token: int, i: int, j: int, threshold: int) -> Iterator[tuple]:
+    """Pairs of a block i with a block j of the list of a token, by the rules of ``matched``."""
+    a = [r for r in members if r["own"] == i]
+    b = a if i == j else [r for r in members if r["own"] == j]
+    if not a or not b:
+        return
+    both = a if i == j else a + b
+    what = np.concatenate([np.asarray(r["tokens"], np.int64) for r in both])
+    counts = np.concatenate([np.asarray(r["dfs"], np.int64) for r in both])
+    where = np.concatenate([np.full(len(r["tokens"]), k) for k, r in enumerate(both)])
+    known, first, at, times = np.unique(what, return_index=True, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)  # others are common to no pair
+    before = (counts[first[shared]] < df) | ((counts[first[shared]] == df) & (known[shared] < token))
+    common = np.zeros((len(a), len(b)), np.float32)
+    earlier = np.zeros((len(a), len(b)), np.float32)
+    number = np.full(len(known), -1)
+    number[shared] = np.arange(len(shared))
+    column = number[at]
+    for start in range(0, len(shared), 2048):
+        here = (column >= start) & (column < start + 2048)
+        held = np.zeros((len(both), min(2048, len(shared) - start)), np.float32)
+        held[where[here], column[here] - start] = 1
+        left, right = held[: len(a)], held if i == j else held[len(a) :]
+        common += left @ right.T
+        old = before[start : start + 2048]
+        if old.any():
+            earlier += left[:, old] @ right[:, old].T
+    get = lambda rows, c: np.array([r[c] for r in rows], np.int64)
+    na, nb = get(a, "n")[:, None], get(b, "n")[None, :]
+    of = {c: k for k, c in enumerate(dict.fromkeys(r["component"] for r in both))}
+    ca, cb = (np.array([of[r["component"]] for r in rows]) for rows in (a, b))
+    needed = -(-threshold * (na + nb) // (100 + threshold))
+    # common tokens that were not counted lie behind the prefix that ends first
+    (da, ta), (db, tb) = ((np.array([r["dfs"][-1] for r in rows]), np.array([r["tokens"][-1] for r in rows])) for rows in (a, b))
+    sooner = (da[:, None] < db[None, :]) | ((da[:, None] == db[None, :]) & (ta[:, None] <= tb[None, :]))
+    reach = common + np.where(sooner, get(a, "rest")[:, None], get(b, "rest")[None, :])
+    good = (earlier == 0) & (ca[:, None] != cb[None, :]) & (common >= np.minimum(get(a, "level")[:, None], get(b, "level")[None, :]))
+    good &= (reach >= needed) & (100 * np.minimum(na, nb) >= threshold * np.maximum(na, nb))
+    if i == j:
+        good = np.triu(good, 1)
+    whole = (get(a, "rest")[:, None] == 0) & (get(b, "rest")[None, :] == 0)
+    sure = good & whole & (common * 100 >= threshold * (na + nb - common))
+    tied = np.arange(len(of))  # by component, the one that stands for it now
+    for x in np.flatnonzero(sure.any(axis=1)):
+        while len(left := np.flatnonzero(sure[x] & (tied[cb] != tied[ca[x]]))):
+            yield a[x]["id"], b[left[0]]["id"], True
+            tied[tied == tied[cb[left[0]]]] = tied[ca[x]]
+    rest = good & ~whole & (tied[ca][:, None] != tied[cb][None, :])
+    for x, y in zip(*np.nonzero(rest), strict=True):
+        yield a[x]["id"], b[y]["id"], False
 
 
 def similar_classes(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,25 +353,19 @@ def similar_classes(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOL
         return docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id")
 
     # base level, in order of the hashes
-    found = open_tokens(pooled(texts(_of(classes.select("id"), None)), size, threshold, whole=False))
+    own = classes.select("id", F.lit(None).cast(_kind(classes, "id")).alias("component"))
+    found = open_tokens(pooled(texts(own), size, threshold, whole=False))
     partner = F.ceil(F.lit(threshold) * F.col("n") / 100)  # size of the smallest partner
-    alive = named_heads(found).join(sizes, "id").where(F.col("open") >= 1 + F.floor(partner / 10))
-    alive = stage(alive.select("id", "head"), "prefixes-that-meet")
-    stars = _joined(None, verified(alive.select(F.col("id").alias("u"), F.col("head").alias("v")), docs, size, threshold))
+    alive = named_heads(found).join(sizes, "id").where(F.col("open") >= 1 + F.floor(partner / BASE))
+    alive = stage(alive.select("id", "component", "head", "of", "shared"), "prefixes-that-meet")
+    stars = _joined(None, verified(one_a_pair(alive), docs, size, threshold))
 
-    # all tokens of what is left, then rounds over its prefixes
+    # all tokens of what is left, and full matching of what they leave
     held = open_tokens(pooled(texts(_of(alive.select("id"), _members(stars))), size, threshold, whole=True))
-    left = undecided(held, sizes, threshold)
-    rows = stage(postings(left, stars, threshold), "postings")
-    while rows.limit(1).count():
-        heads = named_heads(rows).select(F.col("id").alias("u"), F.col("head").alias("v"))
-        links = verified(heads, docs, size, threshold)
-        if not links.limit(1).count():
-            links = verified(matched(rows, threshold), docs, size, threshold)
-            stars = _joined(stars, links)
-            break
+    pairs = matched(undecided(held, sizes, threshold), threshold)
+    if pairs.limit(1).count():
+        links = pairs.where("sure").select("u", "v").unionByName(verified(pairs.where("NOT sure"), docs, size, threshold))
         stars = _joined(stars, links)
-        rows = stage(postings(left, stars, threshold), "postings")
 
     member = _members(stars)
     named = filled.join(classes.select("digest", "id"), "digest").select("doc_id", "n", "id")

@@ -42,7 +42,7 @@ def test_join_equals_brute_force(llm):
     check(frame(llm, texts), texts)
 
 
-def test_full_matching_finds_what_no_round_ties(llm, monkeypatch):
+def test_full_matching_finds_what_no_head_ties(llm, monkeypatch):
     """Without heads, the multi-match prefixes alone find every link, in blocks and pools of any size."""
     rng = random.Random(22)
     texts = families(rng, 25, 7, 60, [f"p{i}" for i in range(30)])
@@ -50,15 +50,18 @@ def test_full_matching_finds_what_no_round_ties(llm, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PART", 2)
     monkeypatch.setattr(jaccard_join, "POOL", 300)
     check(frame(llm, texts), texts)
+    monkeypatch.setattr(jaccard_join, "BLOCK_TOKENS", 40)
     real, calls = jaccard_join.verified, []
 
     def nothing_at_first(pairs, *rest):
         calls.append(1)
-        return real(pairs.where("false") if len(calls) <= 2 else pairs, *rest)
+        return real(pairs.where("false") if len(calls) == 1 else pairs, *rest)
 
-    monkeypatch.setattr(jaccard_join, "verified", nothing_at_first)
-    check(frame(llm, texts), texts)
-    assert len(calls) == 3
+    for cost in (jaccard_join.VERIFY, 0.0, 1e9):  # levels as chosen, the least, whole sets
+        monkeypatch.setattr(jaccard_join, "VERIFY", cost)
+        calls.clear()
+        monkeypatch.setattr(jaccard_join, "verified", nothing_at_first)
+        check(frame(llm, texts), texts)
 
 
 @pytest.mark.parametrize("threshold", [50, 95])
@@ -94,8 +97,8 @@ def test_prefixes_share_as_many_tokens_as_their_level():
 def test_level_is_of_least_cost():
     # a prefix of rare tokens, frequent ones behind it: a longer prefix only costs
     assert jaccard_join.level_of(np.array([2] * 21 + [10**6] * 79), 100, 80) == 1
-    # equally frequent tokens: each further one halves, thirds, ... the pairs to verify
-    assert jaccard_join.level_of(np.array([1000] * 100), 100, 80) > 1
+    # tokens of large groups: verifying costs more than carrying the whole set
+    assert jaccard_join.level_of(np.array([10**5] * 100), 100, 80) > jaccard_join.level_of(np.array([3] * 100), 100, 80)
 
 
 def test_odd_rows(nameless, none):
