@@ -8,9 +8,10 @@
     python -m mercato.jobs analyse   --root R [--only revenue_by_region …]
     python -m mercato.jobs report    --root R --out DIR
     python -m mercato.jobs export    --root R --out DIR
-    python -m mercato.jobs compact   --root R
+    python -m mercato.jobs compact   --root R [--search]
     python -m mercato.jobs tidy      --root R
     python -m mercato.jobs redate    --root R --pattern dd/MM/yyyy
+    python -m mercato.jobs history   --root R --customers CUST00001 … [--out DIR]
     python -m mercato.jobs warehouse --root R --database shop
 
 On a cluster: ``PYTHONPATH=. spark-submit <options> mercato/jobs.py <job> …``; executors
@@ -26,10 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato import schemas
-from mercato.plans import analytics, catalog, incremental, nightly, report
+from mercato.plans import analytics, catalog, incremental, lookup, nightly, report
 from mercato.plans.tables import Tables
 from mercato.session import pin_time_zone
 from mercato.sources.envelope import parse_envelope, read_envelope_files, read_kafka
+from mercato.sources.layout import LAYOUTS, Layout
 from mercato.sources.snapshots import prune_snapshots, read_snapshot
 from mercato.sources.tables import TableEntry, register_tables
 from mercato.streaming import layers, live, stateful
@@ -170,15 +172,28 @@ def export(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     report.exported_rows(index).show()
 
 
+def _layout(args: argparse.Namespace, topic: str) -> Layout | None:
+    return LAYOUTS[topic] if args.search else None
+
+
 def compact(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Rewrite closed batches; the newest batch of a run may still be replayed and stays."""
     for topic in layers.TOPICS.values():
         layers.compact(spark, store.raw(topic.name), topic.raw, open_batches=1, by_date=False)
-        layers.compact(spark, store.curated(topic.name), topic.curated, open_batches=1)
+        layers.compact(spark, store.curated(topic.name), topic.curated, open_batches=1, layout=_layout(args, topic.name))
         layers.fold_counts(spark, store, topic.name)
     catalog.refresh_warehouse(spark, args.database, store)
 
 
+def history(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
+    """All orders of some customers, shown or written to a folder."""
+    found = lookup.customer_history(stored_tables(spark, store), args.customers)
+    if args.out:
+        found.write.mode("overwrite").parquet(args.out)
+    else:
+        found.show(1000, truncate=False)
+
+
 def tidy(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Delete batches that compaction has rewritten, and summary versions before the last two.
 
@@ -196,7 +211,7 @@ def redate(spark: SparkSession, store: Store, args: argparse.Namespace) -> None:
     """Give compacted rows without a date the one that their text has in another pattern."""
     rule = F.date_format(F.try_to_timestamp("date_text", F.lit(args.pattern)), "yyyy-MM-dd")
     for name, topic in layers.TOPICS.items():
-        moved = layers.redate(spark, store.curated(name), topic.curated, rule)
+        moved = layers.redate(spark, store.curated(name), topic.curated, rule, _layout(args, name))
         print(f"{name}: {sum(moved.values())} rows dated", flush=True)
     catalog.refresh_warehouse(spark, args.database, store)
 
@@ -209,7 +224,7 @@ def warehouse(spark: SparkSession, store: Store, args: argparse.Namespace) -> No
 JOBS: dict[str, Callable[[SparkSession, Store, argparse.Namespace], None]] = {
     "ingest": ingest, "recover": recover, "watch": watch, "verify": verify, "nightly": run_nightly, "analyse": analyse,
     "report": write_report, "export": export, "compact": compact, "tidy": tidy,
-    "redate": redate, "warehouse": warehouse,
+    "redate": redate, "history": history, "warehouse": warehouse,
 }
 
 
@@ -231,12 +246,14 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--incremental", action="store_true", help="nightly: fold in what is new only")
     parser.add_argument("--buckets", type=int, help="buckets of the stored customer totals, when they begin")
     parser.add_argument("--rebuild", action="store_true", help="nightly --incremental: start over from the whole layers")
+    parser.add_argument("--search", action="store_true", help="compact, redate: store rows so that few of them are found quickly")
+    parser.add_argument("--customers", nargs="+", help="ids of the customers to show the history of")
     parser.add_argument("--pattern", help="redate: pattern of the date texts, such as dd/MM/yyyy")
     parser.add_argument("--only", nargs="*", help="names of the analyses, or topics, to show")
     parser.add_argument("--out", help="folder for a report or export")
     parser.add_argument("--database", default="shop")
     args = parser.parse_args(arguments)
-    for job, option in (("nightly", "as_of"), ("report", "out"), ("export", "out"), ("redate", "pattern")):
+    for job, option in (("nightly", "as_of"), ("report", "out"), ("export", "out"), ("redate", "pattern"), ("history", "customers")):
         if args.job == job and getattr(args, option) is None:
             parser.error(f"{job} needs --{option.replace('_', '-')}")
     return args

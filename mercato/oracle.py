@@ -912,6 +912,20 @@ def build_oracle() -> dict[str, str]:
         "SELECT order_id, COALESCE(product_name, 'N/A') || ' x' || quantity AS products FROM order_lines"
     )
 
+    # few rows
+    shown = 'customer_id, order_id, "date", "timestamp", region, city, final_amount, status'
+    q["customer_history"] = _sql(
+        f"""SELECT {shown} FROM c_orders WHERE customer_id IN (
+          SELECT customer_id FROM c_orders WHERE customer_id IS NOT NULL GROUP BY customer_id
+          ORDER BY {_sum('final_amount')} DESC NULLS LAST, customer_id LIMIT 10)
+          ORDER BY customer_id, "date" DESC NULLS LAST, "timestamp" DESC NULLS LAST, order_id"""
+    )
+    q["region_premium_orders"] = _sql(
+        f"""SELECT {shown} FROM c_orders WHERE final_amount >= 100000 AND region = (
+          SELECT region FROM c_orders WHERE region IS NOT NULL GROUP BY region
+          ORDER BY {_sum('final_amount')} DESC NULLS LAST, region LIMIT 1)"""
+    )
+
     # warehouse
     q["catalog_event_partitions"] = _sql('SELECT DISTINCT "date" AS dt FROM c_user_events')
     described = [(c, "string") for c in (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mercato import schemas
 from mercato.operators import cleaning, customers, export, quality
-from mercato.plans import analytics, catalog, incremental, nightly, report, summaries
+from mercato.plans import analytics, catalog, incremental, lookup, nightly, report, summaries
 from mercato.sources import envelope as messages
 from mercato.sources import snapshots, tables, testdata
 from mercato.streaming import drift, layers, live, stateful
@@ -384,6 +384,20 @@ for _topic, _label in _TOPIC_LABEL.items():
     QUERIES[f"stream_compacted_{_label}"] = lambda w, t=_topic: w.layer_tables()[t].drop(*_UNCOMPARED)
 
 
+@query
+def customer_history(w: Workspace) -> DataFrame:
+    """All orders of the ten customers with the greatest revenue."""
+    tables = w.layer_tables()
+    return lookup.customer_history(tables, lookup.largest_customers(tables, 10))
+
+
+@query
+def region_premium_orders(w: Workspace) -> DataFrame:
+    """The premium orders of the region with the greatest revenue."""
+    tables = w.layer_tables()
+    return lookup.region_orders(tables, lookup.largest_region(tables), schemas.VALUE_BANDS[0][0])
+
+
 @query
 def stream_topic_counts(w: Workspace) -> DataFrame:
     """Running message counts over all topics read as one stream."""

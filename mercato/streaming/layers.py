@@ -33,6 +33,7 @@ from mercato import schemas
 from mercato.operators.cleaning import CLEAN, is_valid
 from mercato.sources.envelope import parse_envelope
 from mercato.sources.files import Files
+from mercato.sources.layout import Layout
 
 
 @dataclass(frozen=True)
@@ -448,7 +449,7 @@ def _committed(spark: SparkSession, layer: str) -> dict[str, int]:
 
 
 def compact(
-    spark: SparkSession, layer: str, ddl: str, open_batches: int = 0, by_date: bool = True
+    spark: SparkSession, layer: str, ddl: str, open_batches: int = 0, by_date: bool = True, layout: Layout | None = None
 ) -> int:
     """Rewrite a layer's closed batches into few files; returns the generation.
 
@@ -458,7 +459,8 @@ def compact(
     so their number stays small and a row is rewritten a few times only. Rows of a curated layer
     are rebalanced by date, where adaptive execution splits a date that is too large for one task.
     The marker file is written last, so readers move to the new folders in one step.
-    ``open_batches`` leaves the newest batches of each run alone (they may be replayed).
+    ``open_batches`` leaves the newest batches of each run alone (they may be replayed). With a
+    ``layout`` the rows of a date are stored so that few of them are found quickly.
     """
     covered = _covered(spark, layer)
     closing = {
@@ -490,10 +492,10 @@ def compact(
         folders = [f"{layer}/compacted/generation={g}" + (f"/{name}" if name != "*" else "") for g, name in again]
         earlier = _merged(spark, folders, f"{layer}/compacted", ddl).drop("generation")
         rows = rows.unionByName(earlier, allowMissingColumns=True)
-    return _publish_generation(spark, layer, rows, covered, again, closing, by_date)
+    return _publish_generation(spark, layer, rows, covered, again, closing, by_date, layout)
 
 
-def redate(spark: SparkSession, layer: str, ddl: str, rule: Column) -> dict[str, int]:
+def redate(spark: SparkSession, layer: str, ddl: str, rule: Column, layout: Layout | None = None) -> dict[str, int]:
     """Give dates to compacted rows that have none, by a rule on their own text (``date_text``) and other
     columns; returns how many rows moved to which date.
 
@@ -520,17 +522,22 @@ def redate(spark: SparkSession, layer: str, ddl: str, rule: Column) -> dict[str,
     )
     if again:
         out = out.unionByName(_merged(spark, [path(*f) for f in again], base, ddl).drop("generation"), allowMissingColumns=True)
-    _publish_generation(spark, layer, out, covered, undated + again, {}, by_date=True)
+    _publish_generation(spark, layer, out, covered, undated + again, {}, True, layout)
     return found
 
 
 def _publish_generation(
-    spark: SparkSession, layer: str, rows: DataFrame, covered: dict, again: list[tuple[int, str]], closing: dict[str, int], by_date: bool
+    spark: SparkSession, layer: str, rows: DataFrame, covered: dict, again: list[tuple[int, str]], closing: dict[str, int], by_date: bool,
+    layout: Layout | None = None,
 ) -> int:
     """Write rows as the next generation, which replaces the folders in ``again`` and closes batches."""
     files, generation = Files(spark), covered["generation"] + 1
-    rows = rows.hint("rebalance", "date") if by_date else rows.hint("rebalance")
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if layout is not None:
+        rows = layout.arrange(rows)
+    else:
+        rows = rows.hint("rebalance", "date") if by_date else rows.hint("rebalance")
+    writer = rows.write.options(**layout.options() if layout is not None else {})
+    writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     writer = writer.partitionBy("date") if by_date else writer
     writer.parquet(f"{layer}/compacted/generation={generation}")
     gone = {g: names for g, names in covered["gone"].items() if files.exists(f"{layer}/compacted/generation={g}")}

@@ -28,6 +28,7 @@ from mercato.session import pin_time_zone, shared_folder
 from mercato.sources import testdata
 from mercato.sources.envelope import parse_envelope, read_envelope_files, to_envelope
 from mercato.sources.files import Files
+from mercato.sources.layout import LAYOUTS
 from mercato.sources.tables import TableEntry
 from mercato.streaming import drift, layers, stateful
 
@@ -38,6 +39,8 @@ LANDINGS = {
     "payments": ["1997-01-01", "1999-01-01", "2001-01-01"],
     "user_events": ["2024-01-09", "2024-01-17", "2024-01-25"],
 }
+#: Layers that are compacted for searches, too; the others show the plain way.
+SEARCHED = {"orders": LAYOUTS["orders"]}
 #: A pair of messages far behind all others, which lets a watermark pass those.
 HEARTBEAT, LAST_TIME = "HEARTBEAT", "2100-01-01T00:00:00"
 
@@ -137,14 +140,15 @@ class Workspace:
             if done not in _written:
                 for topic in layers.TOPICS.values():
                     layers.compact(self.spark, store.raw(topic.name), topic.raw, by_date=False)
-                    layers.compact(self.spark, store.curated(topic.name), topic.curated)
+                    layers.compact(self.spark, store.curated(topic.name), topic.curated, layout=SEARCHED.get(topic.name))
                 _written[done] = T.StructType()
         return store
 
     def layer_tables(self) -> Tables:
         """The curated layers as production has them: date folders, compacted."""
         store = self.compacted()
-        return Tables(lambda name: layers.read_curated(self.spark, store, name))
+        load = lambda name: layers.read_curated(self.spark, store, name) if name in CLEAN else self._load(name)
+        return Tables(load)
 
     def warehouse(self) -> str:
         """Name of the warehouse database over that store and its nightly summaries."""
