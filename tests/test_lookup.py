@@ -150,7 +150,7 @@ def test_bits_take_turns(spark):
     assert place == 0b10011  # x2 y1, x1 y0, x0
 
 
-def test_registered_history_reads_a_tenth(spark):
+def test_registered_history_reads_part_of_the_rows(spark):
     query = build_queries()["customer_history"](spark, SF)
     everything = Workspace(spark, SF).tables.orders.count()
     assert 0 < query.count() < everything
