@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from mercato import schemas
 from mercato.plans import analytics, catalog, incremental, lookup, nightly, report
 from mercato.plans.tables import Tables
-from mercato.session import pin_time_zone
+from mercato.session import list_with_cores, pin_time_zone
 from mercato.sources.envelope import parse_envelope, read_envelope_files, read_kafka
 from mercato.sources.layout import LAYOUTS, Layout
 from mercato.sources.snapshots import prune_snapshots, read_snapshot
@@ -261,7 +261,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parse(arguments)
-    spark = pin_time_zone(SparkSession.builder.appName(f"mercato-{args.job}").getOrCreate())
+    spark = list_with_cores(pin_time_zone(SparkSession.builder.appName(f"mercato-{args.job}").getOrCreate()))
     JOBS[args.job](spark, Store(args.root.rstrip("/")), args)
 
 

@@ -116,10 +116,14 @@ def _of_days(rows: DataFrame, dates: list[str | None]) -> DataFrame:
     return rows.where(chosen if len(known) == len(dates) else chosen | ~layers.is_date())
 
 
-def refresh_days(days: DataFrame, folder: str) -> None:
-    """Replace the folders of exactly the days that ``days`` has."""
+def refresh_days(days: DataFrame, folder: str, dates: int) -> None:
+    """Replace the folders of exactly the days that ``days`` has, ``dates`` at most.
+
+    A day has few rows, so its file costs more than they do; the days are dealt out over all cores.
+    """
+    tasks = max(1, min(dates, days.sparkSession.sparkContext.defaultParallelism))
     (
-        layers.into_partitions(days).hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        layers.into_partitions(days).repartition(tasks, "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("date").parquet(folder)
     )
 
@@ -222,21 +226,21 @@ def _fold_orders(spark: SparkSession, store: Store, now: Progress, orders: Chang
     before = stored_totals(spark, now.customers, now.buckets) if now.customers else None
     version = _write_totals(folded(spark, orders.rows, before, now.buckets), store, now.buckets)
     days = _of_days(layers.read_curated(spark, store, "orders"), orders.dates)
-    refresh_days(summaries.daily_sales(days, as_of), daily_folder(store, "daily_sales"))
+    refresh_days(summaries.daily_sales(days, as_of), daily_folder(store, "daily_sales"), len(orders.dates))
     return replace(now, customers=version)
 
 
 def _fold_payments(spark: SparkSession, store: Store, now: Progress, payments: Changes, as_of: str) -> Progress:
     days = _of_days(layers.read_curated(spark, store, "payments"), payments.dates)
-    refresh_days(summaries.payment_analysis(days, as_of), daily_folder(store, "payment_analysis"))
+    refresh_days(summaries.payment_analysis(days, as_of), daily_folder(store, "payment_analysis"), len(payments.dates))
     return now
 
 
 def _fold_events(spark: SparkSession, store: Store, now: Progress, events: Changes, as_of: str) -> Progress:
     now = replace(now, numbered=_number_customers(events.rows, store, now))
     days = _of_days(layers.read_curated(spark, store, "user_events"), events.dates)
-    refresh_days(daily_event_counts(days), daily_folder(store, "event_counts"))
-    refresh_days(daily_event_customers(days, customer_numbers(spark, store)), daily_folder(store, "event_customers"))
+    refresh_days(daily_event_counts(days), daily_folder(store, "event_counts"), len(events.dates))
+    refresh_days(daily_event_customers(days, customer_numbers(spark, store)), daily_folder(store, "event_customers"), len(events.dates))
     return now
 
 

@@ -42,6 +42,15 @@ def pin_time_zone(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def list_with_cores(spark: SparkSession) -> SparkSession:
+    """Layers have a folder per date. Spark lists more than a few of them with a task each, up to a limit
+    of 10,000; unless the session sets a limit of its own, that is a task per core."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if int(spark.conf.get(key)) == 10_000:
+        spark.conf.set(key, max(spark.sparkContext.defaultParallelism, 1))
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 

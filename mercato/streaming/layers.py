@@ -436,6 +436,10 @@ def fold_counts(spark: SparkSession, store: Store, topic: str) -> int:
 
 
 # -- compaction ---------------------------------------------------------------
+#: Bytes that one task rewrites, as adaptive execution sees it by default.
+ONE_TASK = 64 << 20
+
+
 def _committed(spark: SparkSession, layer: str) -> dict[str, int]:
     """Last batch per run up to which every batch of the run has been committed."""
     files, last = Files(spark), {}
@@ -457,7 +461,7 @@ def compact(
     batches are rewritten with them, so a date ends up in one folder; without dates
     (``by_date=False``, the raw layer) a generation is rewritten once those after it are as large,
     so their number stays small and a row is rewritten a few times only. Rows of a curated layer
-    are rebalanced by date, where adaptive execution splits a date that is too large for one task.
+    are dealt out by date; beyond ``ONE_TASK`` they are rebalanced by it, where adaptive execution splits a date that is too large for one task.
     The marker file is written last, so readers move to the new folders in one step.
     ``open_batches`` leaves the newest batches of each run alone (they may be replayed). With a
     ``layout`` the rows of a date are stored so that few of them are found quickly.
@@ -477,22 +481,24 @@ def compact(
         for n in numbers if covered["runs"].get(run, -1) < n <= closing[run]
     ]
     rows = _merged(spark, batches, f"{layer}/batches", ddl).drop("run", "batch_id")
+    size, generations = sum(map(files.size, batches)), _generations(files, layer, covered)
     if by_date:
         dates = {name for batch in batches for name in files.names(batch) if name.startswith("date=")}
         again = [(g, name) for g, name in _folders(files, layer, covered) if name in dates]
     else:
-        again, size = [], sum(map(files.size, batches))
-        for g in reversed(_generations(files, layer, covered)):
+        again, held = [], size
+        for g in reversed(generations):
             own = files.size(f"{layer}/compacted/generation={g}")
-            if own > size:
+            if own > held:
                 break
             again.append((g, "*"))
-            size += own
+            held += own
     if again:
         folders = [f"{layer}/compacted/generation={g}" + (f"/{name}" if name != "*" else "") for g, name in again]
         earlier = _merged(spark, folders, f"{layer}/compacted", ddl).drop("generation")
         rows = rows.unionByName(earlier, allowMissingColumns=True)
-    return _publish_generation(spark, layer, rows, covered, again, closing, by_date, layout)
+    size += sum(files.size(f"{layer}/compacted/generation={g}") for g in {g for g, _ in again})
+    return _publish_generation(spark, layer, rows, covered, again, closing, by_date, layout, size)
 
 
 def redate(spark: SparkSession, layer: str, ddl: str, rule: Column, layout: Layout | None = None) -> dict[str, int]:
@@ -528,12 +534,18 @@ def redate(spark: SparkSession, layer: str, ddl: str, rule: Column, layout: Layo
 
 def _publish_generation(
     spark: SparkSession, layer: str, rows: DataFrame, covered: dict, again: list[tuple[int, str]], closing: dict[str, int], by_date: bool,
-    layout: Layout | None = None,
+    layout: Layout | None = None, size: int | None = None,
 ) -> int:
-    """Write rows as the next generation, which replaces the folders in ``again`` and closes batches."""
+    """Write rows as the next generation, which replaces the folders in ``again`` and closes batches.
+
+    Rows of known ``size`` (bytes) that would fit into one task hold no date too large for one. Their
+    files cost more than they do, so their dates are dealt out over all cores.
+    """
     files, generation = Files(spark), covered["generation"] + 1
     if layout is not None:
         rows = layout.arrange(rows)
+    elif by_date and size is not None and size <= ONE_TASK:
+        rows = rows.repartition(spark.sparkContext.defaultParallelism, "date")
     else:
         rows = rows.hint("rebalance", "date") if by_date else rows.hint("rebalance")
     writer = rows.write.options(**layout.options() if layout is not None else {})

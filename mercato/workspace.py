@@ -24,7 +24,7 @@ from mercato.operators.cleaning import CLEAN
 from mercato.operators.customers import customer_metrics
 from mercato.plans import catalog, incremental, integrity, nightly, summaries
 from mercato.plans.tables import Tables
-from mercato.session import pin_time_zone, shared_folder
+from mercato.session import list_with_cores, pin_time_zone, shared_folder
 from mercato.sources import testdata
 from mercato.sources.envelope import parse_envelope, read_envelope_files, to_envelope
 from mercato.sources.files import Files
@@ -50,7 +50,7 @@ _writing = threading.RLock()  # callers may run queries side by side
 
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = pin_time_zone(spark)
+        self.spark = list_with_cores(pin_time_zone(spark))
         self.sf_dir = sf_dir
         tag = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
         self.tag = f"{spark.sparkContext.applicationId.replace('-', '_')}_{tag}"

@@ -240,3 +240,45 @@ def test_a_range_reads_its_days_only(spark, root):
     incremental.run(spark, store, "2026-06-01")
     text = incremental.event_funnel(spark, store, DAYS[1], DAYS[1])._jdf.queryExecution().executedPlan().toString()
     assert text.count("PartitionFilters: [isnotnull(date") >= 2 and "curated" not in text
+
+
+def _writers(folder):
+    """Numbers of the tasks that wrote the files below a folder."""
+    return {name.split("-")[1] for _, _, names in os.walk(folder) for name in names if name.startswith("part-")}
+
+
+def test_days_and_dates_are_written_by_all_cores(spark, root):
+    store, days = Store(root), [f"2026-05-{d:02d}" for d in range(1, 25)]
+    put(spark, store, "orders", [o for n, day in enumerate(days) for o in orders_of(day, 10 * n, 2)], 0)
+    incremental.run(spark, store, "2026-06-01", buckets=2)
+    folder = incremental.daily_folder(store, "daily_sales")
+    assert len(_writers(folder)) > 2
+    assert sorted(os.listdir(folder))[-24:] == [f"date={d}" for d in days]
+    assert all(sum(n.endswith(".parquet") for n in os.listdir(f"{folder}/date={d}")) == 1 for d in days)
+    before = rows(layers.read_curated(spark, store, "orders").drop("items"))
+    layers.compact(spark, store.curated("orders"), TOPICS["orders"].curated)
+    folder = f"{store.curated('orders')}/compacted/generation=1"
+    assert len(_writers(folder)) > 2
+    assert all(sum(n.endswith(".parquet") for n in os.listdir(f"{folder}/date={d}")) == 1 for d in days)
+    assert rows(layers.read_curated(spark, store, "orders").drop("items")) == before
+
+
+def test_dates_beyond_one_task_are_rebalanced(spark, root, monkeypatch):
+    monkeypatch.setattr(layers, "ONE_TASK", 1)
+    store = Store(root)
+    put(spark, store, "orders", orders_of(DAYS[0], 0, 9) + orders_of(DAYS[1], 20, 9), 0)
+    layers.compact(spark, store.curated("orders"), TOPICS["orders"].curated)
+    assert layers.read_curated(spark, store, "orders").count() == 18
+
+
+def test_folders_are_listed_by_a_task_per_core_unless_the_session_says_otherwise(spark):
+    from mercato.session import list_with_cores
+
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    given = spark.conf.get(key)
+    try:
+        for there, then in (("10000", str(spark.sparkContext.defaultParallelism)), ("77", "77")):
+            spark.conf.set(key, there)
+            assert list_with_cores(spark).conf.get(key) == then
+    finally:
+        spark.conf.set(key, given)
