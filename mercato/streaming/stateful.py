@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -58,11 +59,15 @@ def first_deliveries(records: DataFrame, key: str, within: str, at: str = "kafka
 
 
 def start_unique(
-    envelope: DataFrame, topic: Topic, store: Store, within: str, trigger: dict | None = None
+    envelope: DataFrame, topic: Topic, store: Store, within: str, trigger: dict | None = None, tasks: int | None = None
 ) -> StreamingQuery:
-    """Envelope -> the topic's unique layer, beside the raw layer, which keeps every delivery."""
+    """Envelope -> the topic's unique layer, beside the raw layer, which keeps every delivery.
+
+    State deals rows out by id, so each of its tasks would write a file per date. ``tasks`` (the cores,
+    unless given) range them by date and offset first, as :func:`layers.write_batch` does.
+    """
     rows = first_deliveries(curated_stream(envelope, topic), topic.key, within)
-    return _start(rows, store.unique(topic.name), f"{store.checkpoint(topic.name)}-unique", trigger, by_date=True)
+    return _start(rows, store.unique(topic.name), f"{store.checkpoint(topic.name)}-unique", trigger, by_date=True, tasks=tasks)
 
 
 def read_unique(spark: SparkSession, store: Store, topic: str) -> DataFrame:
@@ -161,11 +166,20 @@ def read_reconciled(spark: SparkSession, store: Store) -> DataFrame:
 
 
 # -- running ------------------------------------------------------------------
-def _start(rows: DataFrame, layer: str, checkpoint: str, trigger: dict | None, by_date: bool) -> StreamingQuery:
+def _start(rows: DataFrame, layer: str, checkpoint: str, trigger: dict | None, by_date: bool, tasks: int | None = None) -> StreamingQuery:
     run = run_id(rows.sparkSession, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        layers.write_rows(batch, layers.batch_folder(layer, run, batch_id), by_date)
+        folder = layers.batch_folder(layer, run, batch_id)
+        if not by_date:
+            return layers.write_rows(batch, folder, by_date)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # ranges are found in a pass of their own, and state moves on once
+        try:
+            cores = batch.sparkSession.sparkContext.defaultParallelism
+            ranged = batch.repartitionByRange(tasks or cores, "date", "kafka_partition", "kafka_offset")
+            layers.write_rows(ranged, folder, by_date)
+        finally:
+            batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(write)

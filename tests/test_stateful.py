@@ -1,6 +1,7 @@
 """Streams with state: repeated deliveries, and payments that meet their orders."""
 
 import json
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -55,6 +56,16 @@ def test_replays_of_later_batches_are_dropped_and_state_is_let_go(spark, root):
     assert stateful.read_unique(spark, store, "payments").count() == 14
 
 
+def test_a_date_is_written_by_few_tasks_however_many_hold_state(spark, root):
+    store, folder = Store(f"{root}/store"), f"{root}/in"
+    days = [f"2026-05-{d:02d}" for d in range(1, 11)]
+    land(spark, folder, "payments", [(payment(40 * n + i, date=day), n) for n, day in enumerate(days) for i in range(40)])
+    run_unique(spark, folder, store)
+    files = [n for _, _, names in os.walk(store.unique("payments")) for n in names if n.endswith(".parquet")]
+    assert len(files) <= len(days) + spark.sparkContext.defaultParallelism
+    assert ids(stateful.read_unique(spark, store, "payments")) == sorted(f"PAY{i}" for i in range(400))
+
+
 def test_rows_behind_the_watermark_are_recovered(spark, root):
     store, folder = Store(f"{root}/store"), f"{root}/in"
     for messages in ([(payment(1), 0), (payment(2), 90)], [(payment(3), 1), (payment(3), 2), (payment(1), 1), (payment(4), 91)]):
