@@ -199,4 +199,5 @@ def list_databases(spark: SparkSession) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {database}")
+    """The database's own tables and views; Spark also lists the temporary views of the session."""
+    return spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary")

@@ -310,3 +310,12 @@ def test_a_range_of_dates_reads_its_folders_only(spark, root):
 def test_a_breakdown_shows_all_values(spark):
     df = spark.range(30).selectExpr("id AS v")
     assert analytics.breakdown(df, "v").count() == 30 and analytics.breakdown(df, "v", top=10).count() == 10
+
+
+def test_temporary_views_are_no_tables_of_a_database(spark, root):
+    catalog.create_database(spark, "shop_own", f"{root}/warehouse")
+    spark.range(1).createOrReplaceTempView("passing_by")
+    try:
+        assert catalog.list_tables(spark, "shop_own").count() == 0
+    finally:
+        spark.catalog.dropTempView("passing_by")
