@@ -133,6 +133,23 @@ def scan_batch(spark: SparkSession, folder: str, ddl: str) -> DataFrame:
     return spark.read.schema(ddl).parquet(folder)
 
 
+#: Slices of a task's share of a date that is dealt out: the more, the more even.
+SLICES = 8
+
+
+def dealt_by_date(rows: DataFrame, tasks: int, count: int) -> DataFrame:
+    """So many rows dealt out over the tasks by the folder they go to, whether it gets one row or many,
+    as a small file costs more than its rows. A folder that gets more rows than a task's share is dealt
+    out by offset, too; there are fewer of these than tasks. Reads the rows once more to find them."""
+    folder, share = F.when(is_date(), F.col("date")).otherwise(UNDATED), max(1, -(-count // tasks))
+    large = rows.groupBy(folder.alias("folder")).count().where(F.col("count") > share).collect()
+    slices = F.lit(1)
+    if large:
+        listed = [F.lit(v) for r in large for v in (r["folder"], SLICES * -(-r["count"] // share))]
+        slices = F.coalesce(F.element_at(F.create_map(*listed), folder), F.lit(1))
+    return rows.repartition(tasks, folder, F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), slices))
+
+
 def write_batch(
     batch: DataFrame, batch_id: int, topic: Topic, store: Store, run: str, tasks: int | None = None,
     note: Callable[[DataFrame, str], dict] | None = None,
@@ -143,9 +160,9 @@ def write_batch(
     observed while the raw layer is written.
 
     A live batch holds a date or two, and each source partition writes its own file per
-    date without a shuffle. A backfill batch may hold many dates: ``tasks`` then ranges
-    the rows by date and offset over that many tasks, so a date spans as few files as
-    possible and a date with most of the rows is still shared out. What ``note`` says of the batch
+    date without a shuffle. A backfill batch may hold many dates: ``tasks`` then deals
+    the dates out over that many tasks, so a date spans as few files as possible, and shares
+    out a date with most of the rows (``dealt_by_date``). What ``note`` says of the batch
     is stored with its counts.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -161,7 +178,7 @@ def write_batch(
         write_rows(counted, batch_folder(store.raw(topic.name), run, batch_id), by_date=False)
         curated = topic.clean(batch)
         if tasks is not None:
-            curated = curated.repartitionByRange(tasks, "date", "kafka_partition", "kafka_offset")
+            curated = dealt_by_date(curated, tasks, seen.get["clean"])
         write_rows(curated, batch_folder(store.curated(topic.name), run, batch_id), by_date=True)
         counts = {**seen.get, "dropped": seen.get["received"] - seen.get["clean"]}
         files, path = Files(batch.sparkSession), f"{store.metrics(topic.name)}/batch/run={run}-{batch_id}.json"

@@ -312,6 +312,18 @@ def test_a_breakdown_shows_all_values(spark):
     assert analytics.breakdown(df, "v").count() == 30 and analytics.breakdown(df, "v", top=10).count() == 10
 
 
+def test_dates_of_one_row_are_dealt_out_as_well(spark):
+    """A date with most rows is shared out, and dates of a row each do not end up in the task of a few rows."""
+    days = [f"2026-{m:02d}-{d:02d}" for m in (1, 2) for d in range(1, 21)]
+    bodies = [order(n, date="2026-05-16") for n in range(800)] + [order(1000 + n, date=d) for n, d in enumerate([*days, "soon"])]
+    rows = curated(spark, "orders", bodies)
+    dealt = layers.dealt_by_date(rows, 4, len(bodies)).withColumn("task", F.spark_partition_id())
+    tasks = {r["task"]: r for r in dealt.groupBy("task").agg(F.count("*").alias("n"), F.countDistinct("date").alias("dates")).collect()}
+    assert len(tasks) == 4 and max(r["n"] for r in tasks.values()) < 400 and max(r["dates"] for r in tasks.values()) < 25
+    assert dealt.where("date <> '2026-05-16'").select("date", "task").distinct().count() == 41
+    assert sorted(r[0] for r in dealt.select("order_id").collect()) == sorted(r[0] for r in rows.select("order_id").collect())
+
+
 def test_temporary_views_are_no_tables_of_a_database(spark, root):
     catalog.create_database(spark, "shop_own", f"{root}/warehouse")
     spark.range(1).createOrReplaceTempView("passing_by")
