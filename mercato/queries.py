@@ -129,28 +129,28 @@ def nightly_snapshot(w: Workspace) -> DataFrame:
 @query
 def customer_metrics_folded(w: Workspace) -> DataFrame:
     """Metrics out of totals that four nightly runs merged, each from new batches only."""
-    return incremental.customer_metrics(w.spark, w.nightly_runs(), AS_OF)
+    return incremental.customer_metrics(w.spark, w.nightly_runs("orders"), AS_OF)
 
 
 @query
 def rfm_scores_folded(w: Workspace) -> DataFrame:
-    return snapshots.read_snapshot(w.spark, w.nightly_runs().summary("customer_rfm"))
+    return snapshots.read_snapshot(w.spark, w.nightly_runs("orders").summary("customer_rfm"))
 
 
 @query
 def churn_candidates_folded(w: Workspace) -> DataFrame:
-    return snapshots.read_snapshot(w.spark, w.nightly_runs().summary("churn_candidates"))
+    return snapshots.read_snapshot(w.spark, w.nightly_runs("orders").summary("churn_candidates"))
 
 
 @query
 def daily_sales_refreshed(w: Workspace) -> DataFrame:
     """Daily sales of which each run replaced the days it had new orders of."""
-    return incremental.read_days(w.spark, w.nightly_runs(), "daily_sales")
+    return incremental.read_days(w.spark, w.nightly_runs("orders"), "daily_sales")
 
 
 @query
 def payment_analysis_refreshed(w: Workspace) -> DataFrame:
-    return incremental.read_days(w.spark, w.nightly_runs(), "payment_analysis")
+    return incremental.read_days(w.spark, w.nightly_runs("payments"), "payment_analysis")
 
 
 #: Days of the test tables' events, for the funnel over a range.
@@ -160,12 +160,12 @@ DAYS = ("2024-01-05", "2024-01-20")
 @query
 def event_funnel_range(w: Workspace) -> DataFrame:
     """Distinct customers per event type over some days, from daily bitmaps."""
-    return incremental.event_funnel(w.spark, w.nightly_runs(), *DAYS)
+    return incremental.event_funnel(w.spark, w.nightly_runs("user_events"), *DAYS)
 
 
 @query
 def event_funnel_all_days(w: Workspace) -> DataFrame:
-    return incremental.event_funnel(w.spark, w.nightly_runs())
+    return incremental.event_funnel(w.spark, w.nightly_runs("user_events"))
 
 
 # -- analyses, sheets, warehouse queries, checks, findings ----------------------
@@ -363,17 +363,18 @@ def quality_shop_catalogue(w: Workspace) -> DataFrame:
 # -- streaming ----------------------------------------------------------------
 for _topic, _label in _TOPIC_LABEL.items():
     QUERIES[f"stream_raw_{_label}"] = lambda w, t=_topic: (
-        layers.read_raw(w.spark, w.ingested(), t).drop("json_str", *_UNCOMPARED)
+        layers.read_raw(w.spark, w.ingested(t), t).drop("json_str", *_UNCOMPARED)
     )
     QUERIES[f"stream_curated_{_label}"] = lambda w, t=_topic: (
-        layers.read_curated(w.spark, w.ingested(), t).drop(*_UNCOMPARED)
+        layers.read_curated(w.spark, w.ingested(t), t).drop(*_UNCOMPARED)
     )
 
 
 @query
 def stream_all_topics(w: Workspace) -> DataFrame:
     """What the three queries received, kept and dropped."""
-    counts = [layers.batch_counts(w.spark, w.ingested(), t) for t in schemas.TOPICS]
+    store = w.ingested()
+    counts = [layers.batch_counts(w.spark, store, t) for t in schemas.TOPICS]
     per_batch = counts[0].unionByName(counts[1]).unionByName(counts[2])
     return per_batch.groupBy("topic").agg(
         F.sum("received").alias("received"), F.sum("clean").alias("clean"), F.sum("dropped").alias("dropped")
@@ -458,12 +459,12 @@ def watch_order_lines(w: Workspace) -> DataFrame:
 # -- warehouse ----------------------------------------------------------------
 @query
 def catalog_event_partitions(w: Workspace) -> DataFrame:
-    return catalog.list_partitions(w.spark, w.warehouse(), "user_events")
+    return catalog.list_partitions(w.spark, w.warehouse("user_events"), "user_events")
 
 
 @query
 def catalog_event_columns(w: Workspace) -> DataFrame:
-    return catalog.describe_table(w.spark, w.warehouse(), "user_events")
+    return catalog.describe_table(w.spark, w.warehouse("user_events"), "user_events")
 
 
 @query
@@ -471,7 +472,7 @@ def catalog_event_funnel(w: Workspace) -> DataFrame:
     """The event funnel in SQL over the warehouse's named table."""
     return w.spark.sql(
         f"""SELECT dt, event_type, COUNT(*) AS total_events, MIN(event_time) AS first_event
-            FROM {w.warehouse()}.user_events GROUP BY dt, event_type"""
+            FROM {w.warehouse('user_events')}.user_events GROUP BY dt, event_type"""
     )
 
 
@@ -479,7 +480,7 @@ def catalog_event_funnel(w: Workspace) -> DataFrame:
 def catalog_daily_orders(w: Workspace) -> DataFrame:
     return w.spark.sql(
         f"""SELECT dt, COUNT(*) AS orders, MAX(final_amount) AS largest, MIN(order_timestamp) AS first_order
-            FROM {w.warehouse()}.orders GROUP BY dt"""
+            FROM {w.warehouse('orders')}.orders GROUP BY dt"""
     )
 
 
@@ -487,29 +488,29 @@ def catalog_daily_orders(w: Workspace) -> DataFrame:
 def catalog_daily_payments(w: Workspace) -> DataFrame:
     return w.spark.sql(
         f"""SELECT dt, payment_method, COUNT(*) AS payments, MAX(payment_timestamp) AS last_payment
-            FROM {w.warehouse()}.payments GROUP BY dt, payment_method"""
+            FROM {w.warehouse('payments')}.payments GROUP BY dt, payment_method"""
     )
 
 
 @query
 def catalog_daily_sales(w: Workspace) -> DataFrame:
     """The daily summary through its warehouse view."""
-    return w.spark.table(f"{w.warehouse()}.daily_sales_summary")
+    return w.spark.table(f"{w.warehouse('daily_sales')}.daily_sales_summary")
 
 
 @query
 def catalog_customer_rfm(w: Workspace) -> DataFrame:
-    return w.spark.table(f"{w.warehouse()}.customer_rfm")
+    return w.spark.table(f"{w.warehouse('customer_rfm')}.customer_rfm")
 
 
 @query
 def catalog_churn_candidates(w: Workspace) -> DataFrame:
-    return w.spark.table(f"{w.warehouse()}.churn_candidates")
+    return w.spark.table(f"{w.warehouse('churn_candidates')}.churn_candidates")
 
 
 @query
 def catalog_payment_analysis(w: Workspace) -> DataFrame:
-    return w.spark.table(f"{w.warehouse()}.payment_analysis")
+    return w.spark.table(f"{w.warehouse('payment_analysis')}.payment_analysis")
 
 
 @query

@@ -132,40 +132,57 @@ class Workspace:
         )
         layers.await_all(queries)
 
-    def compacted(self) -> layers.Store:
-        """The same store after one compaction of all its batches; nothing is deleted."""
-        store = self.ingested()
+    def compacted(self, *topics: str) -> layers.Store:
+        """The same store after one compaction of all batches of these topics (all, if none are named);
+        nothing is deleted."""
+        store = self.ingested(*topics)
         with _writing:
-            done = f"{store.root}#compacted"
-            if done not in _written:
-                for topic in layers.TOPICS.values():
-                    layers.compact(self.spark, store.raw(topic.name), topic.raw, by_date=False)
-                    layers.compact(self.spark, store.curated(topic.name), topic.curated, layout=SEARCHED.get(topic.name))
-                _written[done] = T.StructType()
+            for name in topics or schemas.TOPICS:
+                done, topic = f"{store.root}#compacted/{name}", layers.TOPICS[name]
+                if done not in _written:
+                    layers.compact(self.spark, store.raw(name), topic.raw, by_date=False)
+                    layers.compact(self.spark, store.curated(name), topic.curated, layout=SEARCHED.get(name))
+                    _written[done] = T.StructType()
         return store
 
     def layer_tables(self) -> Tables:
         """The curated layers as production has them: date folders, compacted."""
-        store = self.compacted()
-        load = lambda name: layers.read_curated(self.spark, store, name) if name in CLEAN else self._load(name)
+        load = lambda name: layers.read_curated(self.spark, self.compacted(name), name) if name in CLEAN else self._load(name)
         return Tables(load)
 
-    def warehouse(self) -> str:
-        """Name of the warehouse database over that store and its nightly summaries."""
-        store, database = self.compacted(), f"shop_{self.tag}"
+    def warehouse(self, *names: str) -> str:
+        """Name of the warehouse database. It shows these topics of that store and these nightly summaries
+        (all, if none are named), each made when first asked for."""
+        database = f"shop_{self.tag}"
         with _writing:
-            done = f"{store.root}#warehouse"
-            if done not in _written:
-                for topic in ("orders", "payments"):
-                    self.tables[topic]  # stored before the steps ask side by side
-                nightly.run_nightly(self.spark, self.tables, store, AS_OF)
-                catalog.create_warehouse(self.spark, database, store)
+            for name in names or (*schemas.TOPICS, *catalog.SUMMARY_VIEWS):
+                done = f"{self.root}/streamed#warehouse/{name}"
+                if done in _written:
+                    continue
+                if name in schemas.TOPICS:
+                    catalog.create_warehouse(self.spark, database, self.compacted(name), (name,))
+                else:
+                    catalog.create_warehouse(self.spark, database, self._summaries("payments" if name == "payment_analysis" else "orders"), ())
                 _written[done] = T.StructType()
         return database
 
+    def _summaries(self, topic: str) -> layers.Store:
+        """The same store after a nightly run over this topic."""
+        store = layers.Store(f"{self.root}/streamed")
+        done, rows = f"{store.root}#summaries/{topic}", self.tables[topic]  # stored before the steps ask side by side
+
+        def load(name: str) -> DataFrame:
+            if name != topic:
+                raise FileNotFoundError(name)
+            return rows
+
+        if done not in _written:
+            nightly.run_nightly(self.spark, Tables(load), store, AS_OF)
+            _written[done] = T.StructType()
+        return store
+
     def warehouse_tables(self) -> Tables:
-        database = self.warehouse()
-        return Tables(lambda name: catalog.warehouse_table(self.spark, database, name))
+        return Tables(lambda name: catalog.warehouse_table(self.spark, self.warehouse(name), name))
 
     def item_messages(self) -> DataFrame:
         """Each line as an order message whose ``items`` array has that line; of the stored messages only
@@ -176,15 +193,16 @@ class Workspace:
         messages = self.stored("item_messages", lambda: to_envelope(orders, "orders", "order_id", orders.columns))
         return parse_envelope(messages, f"order_id string, items array<struct<{schemas.LINE_ITEM}>>", keep_source=False)
 
-    def ingested(self) -> layers.Store:
-        """The layers of all three topics, streamed side by side once per application."""
+    def ingested(self, *topics: str) -> layers.Store:
+        """The layers of these topics (all, if none are named), streamed side by side, each once per application."""
         store = layers.Store(f"{self.root}/streamed")
         with _writing:
-            if not self._is_written(store.root):
-                for topic in schemas.TOPICS:
-                    self.envelope_folder(topic)
-                self.ingest(store, list(schemas.TOPICS))
-                _written[store.root] = T.StructType()
+            new = [t for t in topics or schemas.TOPICS if not self._is_written(store.raw(t))]
+            for topic in new:
+                self.envelope_folder(topic)
+            if new:
+                self.ingest(store, new)
+                _written.update({store.raw(t): T.StructType() for t in new})
         return store
 
     # -- messages landing part by part -------------------------------------------
@@ -250,28 +268,26 @@ class Workspace:
                 _written[store.root] = T.StructType()
         return store
 
-    def nightly_runs(self) -> layers.Store:
-        """A store after four landings, each streamed in and followed by an incremental nightly run.
+    def nightly_runs(self, topic: str) -> layers.Store:
+        """A store of this topic after four landings, each streamed in and followed by an incremental nightly run.
 
-        Every 97th message of a topic lands with the last, whatever its day. After two of the runs the layers
-        are compacted and the batches that a generation holds deleted.
+        Every 97th message lands with the last, whatever its day. After two of the runs the layer is compacted
+        and the batches that a generation holds deleted. Topics share no state, so each has its runs by itself.
         """
-        store = layers.Store(f"{self.root}/nightly")
+        store = layers.Store(f"{self.root}/nightly/{topic}")
         with _writing:
             if not self._is_written(store.root):
                 folder = f"{self.root}/landed_nightly"
                 late = F.regexp_extract(F.col("key").cast("string"), "([0-9]+)", 1).cast("bigint") % 97 == 0
                 for number, as_of in enumerate([*LANDINGS["orders"], AS_OF]):
-                    for topic in schemas.TOPICS:
-                        self.landing(folder, topic, self.messages(topic), number, late)
+                    self.landing(folder, topic, self.messages(topic), number, late)
                     source = lambda t: read_envelope_files(self.spark, f"{folder}/{t}")
                     cores = self.spark.sparkContext.defaultParallelism
-                    layers.await_all(layers.start_all(source, store, trigger={"availableNow": True}, tasks=cores))
+                    layers.await_all(layers.start_all(source, store, [topic], {"availableNow": True}, tasks=cores))
                     incremental.run(self.spark, store, as_of)
                     if number in (0, 2):
-                        for topic in schemas.TOPICS:
-                            layers.compact(self.spark, store.curated(topic), layers.TOPICS[topic].curated)
-                            layers.drop_covered_batches(self.spark, store.curated(topic))
+                        layers.compact(self.spark, store.curated(topic), layers.TOPICS[topic].curated)
+                        layers.drop_covered_batches(self.spark, store.curated(topic))
                 _written[store.root] = T.StructType()
         return store
 

@@ -282,3 +282,25 @@ def test_folders_are_listed_by_a_task_per_core_unless_the_session_says_otherwise
             assert list_with_cores(spark).conf.get(key) == then
     finally:
         spark.conf.set(key, given)
+
+
+def test_a_topic_is_built_without_the_others(spark):
+    """Runs, layers and the warehouse of one topic wait for no other topic."""
+    from mercato.workspace import Workspace
+
+    w = Workspace(spark, "/root/testdata/sf0.001/./.")  # a folder of its own
+    folders = lambda path: set(os.listdir(path)) if os.path.isdir(path) else set()
+    try:
+        runs = w.nightly_runs("user_events")
+        assert folders(f"{runs.root}/raw") == {"user_events"} and folders(f"{w.root}/envelopes") == {"user_events"}
+        database = w.warehouse("daily_sales")
+        assert not folders(f"{w.root}/streamed/raw") and spark.table(f"{database}.daily_sales_summary").count() > 0
+        w.warehouse("user_events")
+        assert folders(f"{w.root}/streamed/curated") == {"user_events"}
+        assert spark.table(f"{database}.user_events").count() == w.tables.user_events.count()
+        assert w.warehouse() == database and folders(f"{w.root}/streamed/curated") == {"orders", "payments", "user_events"}
+        assert spark.table(f"{database}.payments").count() == w.tables.payments.count()
+        assert spark.table(f"{database}.customer_rfm").count() == w.tables.customer_rfm.count()
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS shop_{w.tag} CASCADE")
+        w.release()
