@@ -40,8 +40,9 @@ from mercato.session import stage
 
 ANY_WORD = r"[^\x20\x09-\x0D]"
 #: Similarity in percent; slots of the rarity table (4 bytes each); lines of a word in one task and in
-#: a block; candidates that a line keeps per word; sets remembered per task; prefix words held per task.
-THRESHOLD, SLOTS, HOT, BLOCK, FIRST, REMEMBERED, HELD = 80, 1 << 21, 8192, 2048, 8, 150_000, 1 << 20
+#: a block; candidates that a line keeps per word; sets remembered per task; prefix words held per task;
+#: pairs compared at a time.
+THRESHOLD, SLOTS, HOT, BLOCK, FIRST, REMEMBERED, HELD, PAIRS = 80, 1 << 21, 8192, 2048, 8, 150_000, 1 << 20, 1 << 18
 
 
 class Lines:
@@ -219,27 +220,29 @@ def _possible(part: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, thresho
     return ok & (apart <= a + b - 2 * need)
 
 
-def _sweep(part: dict[str, np.ndarray], threshold: int, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sweep(part: dict[str, np.ndarray], threshold: int, first: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs (later, earlier) of rows with equal words that may match: of each row the ``first``
     earliest (all, if None). Rows are sorted by word, then place; only ``open`` ones are the later
-    of a pair. Third: whether a row had more."""
-    word, n = part["word"], len(part["word"])
-    ends = np.append(np.flatnonzero(word[1:] != word[:-1]) + 1, n)
-    stop = np.repeat(ends, np.diff(np.append(0, ends)))
-    live, step, later, earlier = np.arange(n), 1, [], []
-    while True:
-        live = live[live + step < stop[live]]
-        if not len(live):
-            break
-        at = live[part["open"][live + step]]
-        ok = at[_possible(part, at, at + step, threshold)]
-        later.append(ok + step)
-        earlier.append(ok)
-        step += 1
-    x = np.concatenate(later) if later else np.empty(0, np.int64)
-    y = np.concatenate(earlier) if earlier else np.empty(0, np.int64)
-    apart = (part["doc"][x] != part["doc"][y]) | (part["line"][x] != part["line"][y])
-    return _earliest(x[apart], y[apart], first)
+    of a pair. Third: whether a row had more. ``PAIRS`` are compared at a time, or those of one row."""
+    word = part["word"]
+    starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    begin = np.repeat(starts, np.diff(np.append(starts, len(word))))  # first row of each row's word
+    rows = np.flatnonzero(part["open"] & (begin < np.arange(len(word))))
+    before = rows - begin[rows]
+    total, at = np.cumsum(before), 0
+    while at < len(rows):
+        end = max(at + 1, int(np.searchsorted(total, total[at] - before[at] + PAIRS, side="right")))
+        n = before[at:end]
+        x = np.repeat(rows[at:end], n)
+        y = np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n) + begin[x]
+        a, b = part["n"][x].astype(np.int64), part["n"][y].astype(np.int64)
+        close = 100 * np.minimum(a, b) >= threshold * np.maximum(a, b)
+        x, y = x[close], y[close]
+        ok = _possible(part, x, y, threshold)
+        x, y = x[ok], y[ok]
+        apart = (part["doc"][x] != part["doc"][y]) | (part["line"][x] != part["line"][y])
+        yield _earliest(x[apart], y[apart], first)
+        at = end
 
 
 def _earliest(x: np.ndarray, y: np.ndarray, first: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,23 +279,39 @@ def _pair_schema(kind: pa.DataType) -> pa.Schema:
     return pa.schema([("x_doc", kind), ("x_line", pa.int32()), ("y_doc", kind), ("y_line", pa.int32()), ("more", pa.bool_())])
 
 
-def _met(rows: DataFrame, threshold: int, first: int | None, key: str) -> DataFrame:
+def _met(rows: DataFrame, threshold: int, first: int | None, key: str, wanted=None) -> DataFrame:
     """Staged candidate pairs among the rows of each word, which meet in one task, sorted. Rows of a
-    word that may be hot are spread over all tasks and come out as they are, ``word`` not null."""
+    word that may be hot are spread over all tasks and come out as they are, ``word`` not null.
+
+    ``wanted``: a broadcast bit filter of the places that are open; all, if None. It is asked here, where
+    a Python worker holds the rows anyway, as each kind of worker costs an executor its own memory.
+    """
     names = ["word", "p", "q", "n", "rank", "open"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def swept(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            part = _columns(table)
-            out = _pairs(part, _sweep(part, threshold, first)).drop_duplicates()
-            pairs = pa.Table.from_pandas(out, schema=_pair_schema(table.schema.field("doc_id").type), preserve_index=False)
-            for c in names:
-                pairs = pairs.append_column(table.schema.field(c).with_nullable(True), pa.nulls(len(out), table.schema.field(c).type))
-            yield from pairs.to_batches()
+            part, found = _columns(table), []
+
+            def pairs() -> Iterator[pa.RecordBatch]:
+                out = _pairs(part, tuple(map(np.concatenate, zip(*found, strict=True)))).drop_duplicates()
+                made = pa.Table.from_pandas(out, schema=_pair_schema(table.schema.field("doc_id").type), preserve_index=False)
+                for c in names:
+                    made = made.append_column(table.schema.field(c).with_nullable(True), pa.nulls(len(out), table.schema.field(c).type))
+                found.clear()
+                yield from made.to_batches()
+
+            for some in _sweep(part, threshold, first):
+                found.append(some)
+                if sum(len(f[0]) for f in found) >= PAIRS:
+                    yield from pairs()
+            if found:
+                yield from pairs()
 
         for b in batches:
+            is_open = np.ones(b.num_rows, bool) if wanted is None else wanted.value.has(b.column("at").to_numpy().view(np.uint64))
+            b = b.append_column("open", pa.array(is_open))
             hot = b.filter(b.column("hot"))
             if hot.num_rows:
                 kind = b.schema.field("doc_id").type
@@ -315,6 +334,8 @@ def _met(rows: DataFrame, threshold: int, first: int | None, key: str) -> DataFr
 
     where = F.when(F.col("hot"), F.xxhash64("doc_id", "line")).otherwise(F.col("word"))
     met = rows.withColumn("at", where).repartition("at").drop("at").sortWithinPartitions("word", "doc_id", "line")
+    if wanted is not None:
+        met = met.withColumn("at", F.xxhash64("doc_id", "line"))
     schema = _PAIR.format(key=key) + ", word long, p long, q long, n int, rank int, open boolean"
     return stage(met.mapInArrow(compare, schema), "met-lines")
 
@@ -351,18 +372,12 @@ def _met_in_blocks(rows: DataFrame, threshold: int, first: int | None, key: str)
 def _candidates(docs: DataFrame, rarity, threshold: int, first: int | None, key: str, only: DataFrame | None = None) -> DataFrame:
     """Staged (x_doc, x_line, y_doc, y_line, more); ``only``: for these lines x alone, by the words
     that prefixes in their documents have."""
-    words, is_open = None, F.lit(True)
+    words, wanted = None, None
     if only is not None:
         wanted = docs.sparkSession.sparkContext.broadcast(BitFilter.of(only.select(F.xxhash64("x_doc", "x_line").alias("h")), "h"))
-
-        @F.pandas_udf("boolean")
-        def listed(h: pd.Series) -> pd.Series:
-            return pd.Series(wanted.value.has(h.to_numpy(np.int64).view(np.uint64)))
-
-        is_open = listed(F.xxhash64("doc_id", "line"))
         own = _postings(only_ids(docs, only.select(F.col("x_doc").alias("doc_id")).distinct()), rarity, threshold, key)
         words = docs.sparkSession.sparkContext.broadcast(BitFilter.of(stage(own.select("word").distinct(), "open-words"), "word"))
-    met = _met(_postings(docs, rarity, threshold, key, words).withColumn("open", is_open), threshold, first, key)
+    met = _met(_postings(docs, rarity, threshold, key, words), threshold, first, key, wanted)
     usual = met.where("word IS NULL").select("x_doc", "x_line", "y_doc", "y_line", "more")
     hot = met.where("word IS NOT NULL").select(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line"), "word", "p", "q", "n", "rank", "open")
     if hot.limit(1).count():

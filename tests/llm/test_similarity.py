@@ -276,3 +276,34 @@ def test_small_blocks_give_the_same_groups(llm, monkeypatch):
     df = llm.createDataFrame(texts, "doc_id long, text string")
     monkeypatch.setattr(near_dups, "BLOCK_SHINGLES", 100)
     assert sorted(tuple(r) for r in near_dups.duplicate_groups(df, 2).collect()) == brute_groups(dict(texts), 2)
+
+
+@pytest.mark.parametrize("first", [3, None])
+def test_a_word_of_many_similar_lines_is_swept_in_little_memory(first):
+    """All pairs of 3,000 lines of a word, and the pairs of some small words, compared a part at a time."""
+    import tracemalloc
+
+    word = np.sort(np.r_[np.full(3000, 7), np.arange(100, 160).repeat(3)])
+    count = len(word)
+    rng = np.random.default_rng(1)
+    part = {
+        "word": word, "n": np.full(count, 20, np.int32), "rank": np.zeros(count, np.int32), "line": np.zeros(count, np.int32),
+        "doc": np.arange(count), "open": rng.random(count) < 0.1,
+        "p": rng.integers(0, 2**20, count).astype(np.uint64), "q": np.zeros(count, np.uint64),
+    }
+    want = {}
+    for x in np.flatnonzero(part["open"]):
+        y = np.flatnonzero(word[:x] == word[x])
+        y = y[line_dedup._possible(part, np.full(len(y), x), y, 80)]
+        if len(y):
+            want[int(x)] = (y[:first].tolist(), first is not None and len(y) > first)
+    tracemalloc.start()
+    got, size = {}, 0
+    for x, y, more in line_dedup._sweep(part, 80, first):
+        size += len(x)
+        for later in np.unique(x).tolist():
+            got[later] = (y[x == later].tolist(), bool(more[x == later][0]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == want and size == sum(len(y) for y, _ in want.values())
+    assert peak < 80 << 20
