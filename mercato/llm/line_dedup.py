@@ -7,7 +7,8 @@ or more, whether that one stays or not. So of a chain of similar lines only the
 1. One pass over the texts counts words by hash in a table of fixed size (the rarity that orders
    them; ties by hash) and gathers equal sets: in each task first, then by digest.
 2. A second pass sends, for each set of a task, once and with its least place there, its rarest ``n - ceil(0.8 n) + 1``
-   words (its prefix) to where lines with that word meet. Similar lines share a prefix word.
+   words (its prefix) to where lines with that word meet. Similar lines share a prefix word. Words that
+   the table knows of one set only stay at home: no other set has them.
 3. There, lines of a word are compared in one vectorised sweep: length filter, positional filter
    (what the ranks of the shared word leave possible), and a parity filter: the 128-bit parities of
    two sets differ in no more bits than the sets differ in words. A line keeps its ``FIRST``
@@ -35,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm.common import SPACED, BitFilter, hashed_words, id_text, map_rows, mix, only_ids, table
+from mercato.llm.common import BROADCAST_KEYS, SPACED, BitFilter, hashed_words, id_text, map_rows, mix, table
 from mercato.session import stage
 
 ANY_WORD = r"[^\x20\x09-\x0D]"
@@ -43,6 +44,8 @@ ANY_WORD = r"[^\x20\x09-\x0D]"
 #: a block; candidates that a line keeps per word; sets remembered per task; prefix words held per task;
 #: pairs compared at a time.
 THRESHOLD, SLOTS, HOT, BLOCK, FIRST, REMEMBERED, HELD, PAIRS = 80, 1 << 21, 8192, 2048, 8, 150_000, 1 << 20, 1 << 18
+#: Documents whose texts are split at a time.
+TOGETHER = 128
 
 
 class Lines:
@@ -86,7 +89,7 @@ class Lines:
         )
 
     def prefixes(self, rarity: np.ndarray, threshold: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(line, word, rank, rarity) of the prefix words of chosen lines, rarest first."""
+        """(line, word, rank, rarity) of the prefix words of chosen lines, rarest first, without those of one set."""
         count = rarity[(self.words & np.uint64(len(rarity) - 1)).astype(np.int64)].astype(np.uint64)
         # rarity and hash in one number; words whose numbers are equal are equal in all that orders them
         order = np.argsort((np.minimum(count, np.uint64((1 << 24) - 1)) << np.uint64(40)) | (self.words >> np.uint64(24)), kind="stable")
@@ -94,7 +97,7 @@ class Lines:
         rank = np.arange(len(order)) - self.starts[self.owner[order]]
         n = self.sizes
         length = n - -(-threshold * n // 100) + 1
-        keep = (rank < length[self.owner[order]]) & chosen[self.owner[order]]
+        keep = (rank < length[self.owner[order]]) & chosen[self.owner[order]] & (count[order] != 1)
         return self.owner[order][keep], self.words[order][keep], rank[keep], count[order][keep]
 
 
@@ -105,7 +108,7 @@ def _survey(docs: DataFrame) -> DataFrame:
     def rows(source: Iterator[dict]) -> Iterator[tuple]:
         slots = np.zeros(SLOTS, np.int32)
         first: dict[tuple[int, int], tuple] = {}
-        for part in batched(source, 128):
+        for part in batched(source, TOGETHER):
             lines = Lines(part)
             for r, n in zip(part, lines.counts, strict=True):
                 yield 3, n, None, r["doc_id"], None
@@ -146,12 +149,21 @@ def _rarity(survey: DataFrame) -> np.ndarray:
 _POSTING = "word long, p long, q long, n int, rank int, doc_id {key}, line int"
 
 
-def _postings(docs: DataFrame, rarity, threshold: int, key: str, words=None) -> DataFrame:
+def _place(doc, line):
+    """A number of each line, from the hash of its document's id and its number; of columns or of arrays."""
+    if isinstance(doc, Column):
+        line = line.cast("bigint")
+        return doc.bitwiseXOR(line.bitwiseOR(F.shiftleft(line, 32)))
+    return doc ^ (line | (line << np.uint64(32)))
+
+
+def _postings(docs: DataFrame, rarity, threshold: int, key: str, words=None, ids=None) -> DataFrame:
     """A row per prefix word of each set in a task, with the set's least place there, and whether the
     word may be hot. In any order of the rows a set posts once, as the survey counts it, until
     ``REMEMBERED`` sets or ``HELD`` rows are held.
 
-    ``words``: a broadcast bit filter; other words are left out.
+    ``words``: a broadcast bit filter; other words are left out. ``ids``: one of hashes of ids; other
+    documents are left out.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,12 +213,15 @@ def _postings(docs: DataFrame, rarity, threshold: int, key: str, words=None) ->
             held.clear()
 
         for b in batches:
-            for start in range(0, b.num_rows, 128):
-                take(b.slice(start, 128).to_pylist())
+            if ids is not None:
+                b = b.filter(pa.array(ids.value.has(b.column("h").to_numpy().view(np.uint64))))
+            for start in range(0, b.num_rows, TOGETHER):
+                take(b.slice(start, TOGETHER).to_pylist())
                 if len(places) >= REMEMBERED or sum(len(h[0]) for h in held) >= HELD:
                     yield from posted()
         yield from posted()
 
+    docs = docs if ids is None else docs.withColumn("h", F.xxhash64("doc_id"))
     return docs.mapInArrow(rows, _POSTING.format(key=key) + ", hot boolean")
 
 
@@ -280,7 +295,8 @@ def _pair_schema(kind: pa.DataType) -> pa.Schema:
 
 
 def _met(rows: DataFrame, threshold: int, first: int | None, key: str, wanted=None) -> DataFrame:
-    """Staged candidate pairs among the rows of each word, which meet in one task, sorted. Rows of a
+    """Staged candidate pairs among the rows of each word, which meet in one task. Spark sorts by word
+    alone, which is cheaper than by three keys; those of a word are put in order here. Rows of a
     word that may be hot are spread over all tasks and come out as they are, ``word`` not null.
 
     ``wanted``: a broadcast bit filter of the places that are open; all, if None. It is asked here, where
@@ -292,6 +308,7 @@ def _met(rows: DataFrame, threshold: int, first: int | None, key: str, wanted=No
         held: list[pa.RecordBatch] = []
 
         def swept(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            table = table.sort_by([(c, "ascending") for c in ("word", "doc_id", "line")])
             part, found = _columns(table), []
 
             def pairs() -> Iterator[pa.RecordBatch]:
@@ -333,7 +350,7 @@ def _met(rows: DataFrame, threshold: int, first: int | None, key: str, wanted=No
             yield from swept(pa.Table.from_batches(held))
 
     where = F.when(F.col("hot"), F.xxhash64("doc_id", "line")).otherwise(F.col("word"))
-    met = rows.withColumn("at", where).repartition("at").drop("at").sortWithinPartitions("word", "doc_id", "line")
+    met = rows.withColumn("at", where).repartition("at").drop("at").sortWithinPartitions("word")
     if wanted is not None:
         met = met.withColumn("at", F.xxhash64("doc_id", "line"))
     schema = _PAIR.format(key=key) + ", word long, p long, q long, n int, rank int, open boolean"
@@ -375,7 +392,8 @@ def _candidates(docs: DataFrame, rarity, threshold: int, first: int | None, key:
     words, wanted = None, None
     if only is not None:
         wanted = docs.sparkSession.sparkContext.broadcast(BitFilter.of(only.select(F.xxhash64("x_doc", "x_line").alias("h")), "h"))
-        own = _postings(only_ids(docs, only.select(F.col("x_doc").alias("doc_id")).distinct()), rarity, threshold, key)
+        ids = docs.sparkSession.sparkContext.broadcast(BitFilter.of(only.select(F.xxhash64("x_doc").alias("h")).distinct(), "h"))
+        own = _postings(docs, rarity, threshold, key, ids=ids)
         words = docs.sparkSession.sparkContext.broadcast(BitFilter.of(stage(own.select("word").distinct(), "open-words"), "word"))
     met = _met(_postings(docs, rarity, threshold, key, words), threshold, first, key, wanted)
     usual = met.where("word IS NULL").select("x_doc", "x_line", "y_doc", "y_line", "more")
@@ -388,26 +406,39 @@ def _candidates(docs: DataFrame, rarity, threshold: int, first: int | None, key:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, threshold: int, key: str) -> DataFrame:
-    """Staged places (doc_id, line) of lines whose candidate is as similar as the threshold says."""
+    """Staged places (doc_id, line) of lines whose candidate is as similar as the threshold says.
+
+    Which lines are asked for, and their words, come out of one kind of Python worker: others would
+    stay in an executor beside it.
+    """
     places = pairs.select(F.explode(F.array(
         F.struct(F.col("x_doc").alias("doc_id"), F.col("x_line").alias("line")),
         F.struct(F.col("y_doc").alias("doc_id"), F.col("y_line").alias("line")),
     )).alias("s")).select("s.*").distinct()
-    filtered = docs.sparkSession.sparkContext.broadcast(BitFilter.of(places.select(F.xxhash64("doc_id", F.col("line").cast("int")).alias("h")), "h"))
+    filtered = docs.sparkSession.sparkContext.broadcast(BitFilter.of(places.select(_place(F.xxhash64("doc_id"), F.col("line")).alias("h")), "h"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.unique(hashed_words(t.encode().translate(SPACED))[0]).view(np.int64) for t in b.column("text").to_pylist()]
-            yield pa.record_batch(
-                [b.column("doc_id"), b.column("line").cast(pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "line", "found"]
-            )
-
-    @F.pandas_udf("boolean")
-    def wanted(h: pd.Series) -> pd.Series:
-        return pd.Series(filtered.value.has(h.to_numpy(np.int64).view(np.uint64)))
+            for start in range(0, b.num_rows, TOGETHER):
+                part = b.slice(start, TOGETHER)
+                texts = [t.split("\n") for t in part.column("text").to_pylist()]
+                sizes = np.array([len(t) for t in texts])
+                doc = np.repeat(np.arange(len(texts)), sizes)
+                line = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                asked = filtered.value.has(_place(part.column("h").to_numpy().view(np.uint64)[doc], line.astype(np.uint64)))
+                doc, line = doc[asked], line[asked]
+                lines = Lines([{"doc_id": i, "text": texts[d][at]} for i, (d, at) in enumerate(zip(doc.tolist(), line.tolist(), strict=True))])
+                at = np.array(lines.doc, np.int64)  # those with words
+                found = pa.ListArray.from_arrays(pa.array(np.append(lines.starts, len(lines.words)).astype(np.int32)), pa.array(lines.words.view(np.int64)))
+                yield pa.record_batch(
+                    [part.column("doc_id").take(pa.array(doc[at])), pa.array(line[at].astype(np.int32)), found], names=["doc_id", "line", "found"]
+                )
 
-    split = only_ids(docs, places.select("doc_id").distinct()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    sets = split.where(wanted(F.xxhash64("doc_id", F.col("line").cast("int")))).mapInArrow(rows, f"doc_id {key}, line int, found array<long>")
+    near = docs.withColumn("h", F.xxhash64("doc_id"))
+    ids = places.select("doc_id").distinct()
+    if ids.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        near = near.join(F.broadcast(ids), "doc_id", "left_semi")
+    sets = near.mapInArrow(rows, f"doc_id {key}, line int, found array<long>")
     sets = sets.dropDuplicates(["doc_id", "line"])
     for k in ("x", "y"):
         side = sets.select(F.col("doc_id").alias(f"{k}_doc"), F.col("line").alias(f"{k}_line"), F.col("found").alias(f"{k}_found"))

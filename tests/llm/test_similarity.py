@@ -255,6 +255,32 @@ def test_a_set_posts_once_in_any_order(llm):
     assert len(got) == 2 and {(r["doc_id"], r["line"], r["n"]) for r in got} == {(0, 0, 8)}
 
 
+def test_words_of_one_set_are_not_posted(llm):
+    texts = [(0, "alpha beta gamma delta epsilon zeta eta theta"), (1, "alpha beta gamma delta epsilon zeta eta iota"), (2, "one two three four five")]
+    docs = llm.createDataFrame(texts, "doc_id long, text string")
+    rarity = llm.sparkContext.broadcast(line_dedup._rarity(line_dedup._survey(docs)))
+    got = line_dedup._postings(docs, rarity, 80, "bigint").collect()
+    assert {r["doc_id"] for r in got} == {0, 1} and len(got) == 2  # the other rarest word, of two, has no other set
+    _, gone = line_dedup.repeated_lines(docs, threshold=77)
+    assert [tuple(r) for r in gone.collect()] == [(1, [0])]
+
+
+def test_one_kind_of_python_worker_in_a_stage(llm, monkeypatch):
+    plans, store = [], line_dedup.stage
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, label)
+
+    monkeypatch.setattr(line_dedup, "stage", noted)
+    for module in (line_dedup, common):
+        monkeypatch.setattr(module, "BROADCAST_KEYS", 1)
+    texts = [(k, t) for k, t in enumerate(variants(60, 5, length=9, edits=2) + variants(60, 6, length=25, edits=4))]
+    _, gone = line_dedup.repeated_lines(llm.createDataFrame(texts, "doc_id long, text string"), first=1)
+    assert {r["doc_id"]: r["removed"] for r in gone.collect()} == brute_lines(texts)
+    assert sum("MapInArrow" in p for p in plans) >= 4 and not any("EvalPython" in p for p in plans)
+
+
 def test_blocks_are_bounded_in_shingles(llm):
     """64 classes of a million shingles each: far fewer than a block of classes, 512 MB of sets."""
     met = near_dups.in_blocks(llm.range(64).selectExpr("1L AS key", "id", "id AS component", "64L AS n", "64000000L AS total"))
