@@ -71,7 +71,7 @@ class Workspace:
 
     def _load(self, name: str) -> DataFrame:
         if name in CLEAN:
-            return self.stored(name, lambda: CLEAN[name](self.raw(name)))
+            return self.stored(name, lambda: CLEAN[name](self._records(name)))
         if name == "customer_metrics":
             return self.stored(name, lambda: customer_metrics(self.tables.orders, AS_OF))
         if name == "customer_rfm":
@@ -88,6 +88,13 @@ class Workspace:
         """The topic's records as the raw layer holds them."""
         return self.stored(f"raw_{topic}", lambda: testdata.RAW[topic](self.spark, self.sf_dir))
 
+    def _records(self, topic: str) -> DataFrame:
+        """The same records, read from the raw layer only if that is stored: who reads a curated table alone
+        needs no second copy of all rows."""
+        if self._is_written(f"{self.root}/raw_{topic}"):
+            return self.raw(topic)
+        return testdata.RAW[topic](self.spark, self.sf_dir)
+
     def order_lines(self) -> DataFrame:
         return self.stored("order_lines", lambda: testdata.order_lines(self.spark, self.sf_dir))
 

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from mercato import jobs
+from mercato.operators.cleaning import CLEAN
 from mercato.plans import lookup
 from mercato.plans.tables import Tables
 from mercato.queries import build_queries
+from mercato.sources.files import Files
 from mercato.sources.layout import LAYOUTS, PUSHED, curve, rows_with
 from mercato.streaming import layers
 from mercato.streaming.layers import TOPICS, Store
@@ -166,3 +168,15 @@ def test_jobs(spark, root):
     assert [r["order_id"] for r in spark.read.parquet(f"{root}/out").collect()] == ["ORD1"]
     with pytest.raises(SystemExit):
         jobs.parse(["history", "--root", root])
+
+
+def test_a_curated_table_needs_no_stored_raw_layer(spark):
+    w = Workspace(spark, f"{SF}/./././.")  # a folder of its own
+    try:
+        straight = w.tables.orders.drop("processed_at", "items")
+        count, there = straight.count(), Files(spark)
+        assert there.exists(f"{w.root}/orders") and not there.exists(f"{w.root}/raw_orders")
+        by_raw = CLEAN["orders"](w.raw("orders")).drop("processed_at", "items")
+        assert by_raw.count() == count and by_raw.exceptAll(straight).isEmpty()
+    finally:
+        w.release()
