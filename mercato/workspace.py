@@ -153,8 +153,16 @@ class Workspace:
         return store
 
     def layer_tables(self) -> Tables:
-        """The curated layers as production has them: date folders, compacted."""
-        load = lambda name: layers.read_curated(self.spark, self.compacted(name), name) if name in CLEAN else self._load(name)
+        """The curated layers as production has them: date folders, compacted. Customers' metrics are those
+        of that layer's orders, so no other copy of the orders is made for them."""
+
+        def load(name: str) -> DataFrame:
+            if name in CLEAN:
+                return layers.read_curated(self.spark, self.compacted(name), name)
+            if name == "customer_metrics" and not self._is_written(f"{self.root}/{name}"):
+                return self.stored(name, lambda: customer_metrics(load("orders"), AS_OF))
+            return self._load(name)
+
         return Tables(load)
 
     def warehouse(self, *names: str) -> str:

@@ -180,3 +180,13 @@ def test_a_curated_table_needs_no_stored_raw_layer(spark):
         assert by_raw.count() == count and by_raw.exceptAll(straight).isEmpty()
     finally:
         w.release()
+
+
+def test_customers_of_a_layer_are_counted_in_it(spark):
+    w = Workspace(spark, f"{SF}/././././.")
+    try:
+        found = w.layer_tables().customer_metrics.collect()
+        assert not Files(spark).exists(f"{w.root}/orders")
+        assert sorted(map(str, found)) == sorted(map(str, Workspace(spark, SF).tables.customer_metrics.collect()))
+    finally:
+        w.release()
