@@ -561,10 +561,12 @@ def _publish_generation(
     files, generation = Files(spark), covered["generation"] + 1
     if layout is not None:
         rows = layout.arrange(rows)
-    elif by_date and size is not None and size <= ONE_TASK:
+    elif not by_date:
+        rows = in_few_files(rows, size)
+    elif size is not None and size <= ONE_TASK:
         rows = rows.repartition(spark.sparkContext.defaultParallelism, "date")
     else:
-        rows = rows.hint("rebalance", "date") if by_date else rows.hint("rebalance")
+        rows = rows.hint("rebalance", "date")
     writer = rows.write.options(**layout.options() if layout is not None else {})
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     writer = writer.partitionBy("date") if by_date else writer
@@ -577,6 +579,12 @@ def _publish_generation(
     return generation
 
 
+def in_few_files(rows: DataFrame, size: int | None) -> DataFrame:
+    """Rows of so many bytes, a task for each ``ONE_TASK`` of them. Without dates any task may write any
+    row, so none has to move."""
+    return rows.hint("rebalance") if size is None else rows.coalesce(max(1, -(-size // ONE_TASK)))
+
+
 def _merged(spark: SparkSession, folders: list[str], base: str, ddl: str) -> DataFrame:
     """Some folders below ``base``, with all columns that any of their files has."""
     kinds = {"run": "string", "batch_id": "bigint", "generation": "bigint", "date": "string"}

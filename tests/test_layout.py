@@ -331,3 +331,12 @@ def test_temporary_views_are_no_tables_of_a_database(spark, root):
         assert catalog.list_tables(spark, "shop_own").count() == 0
     finally:
         spark.catalog.dropTempView("passing_by")
+
+
+def test_compaction_without_dates_moves_no_row(spark, root):
+    spark.range(0, 1000, 1, 12).write.parquet(f"{root}/rows")
+    rows = spark.read.parquet(f"{root}/rows")
+    few = layers.in_few_files(rows, 2 * layers.ONE_TASK)
+    few.write.parquet(f"{root}/few")
+    assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+    assert spark.read.parquet(f"{root}/few").count() == 1000 and 1 <= len(spark.read.parquet(f"{root}/few").inputFiles()) <= 2
