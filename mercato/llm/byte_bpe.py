@@ -4,7 +4,7 @@ Two tiers. A pre-token that is a vocabulary entry by itself is found through a m
 hash: as many slots as entries, one displacement per bucket, one comparison of bytes. A miss is
 merged from its bytes: a heap of pair ranks over a doubly linked list, so a run of n bytes takes
 O(n log n) however long it is. Each distinct pre-token is resolved once per task and remembered
-up to a bound.
+up to a bound, its ids as four bytes each: objects for them would take several times that memory.
 
 Per row, without a shuffle. The vocabulary file's size is bounded and checked.
 
@@ -14,7 +14,8 @@ Rows: a null or empty text has no ids and decodes to no bytes; repeated rows giv
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from hashlib import sha256
 from heapq import heapify, heappop, heappush
 from itertools import batched, chain, islice
@@ -130,8 +131,9 @@ class Codec:
         # white space by the Unicode property; the regex module's \\s has four control characters more
         space = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.matches = regex.compile(space)
-        self.seen: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.single = [array("i", (i,)).tobytes() for i in range(len(entries))]
+        self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a pre-token: merge the pair of lowest rank, the leftmost of equals, until none is left.
@@ -181,14 +183,18 @@ class Codec:
                 rest.append(w)
         raw = [w.encode() for w in rest]
         for word, b, i in zip(rest, raw, self.hash.find(raw), strict=True):
-            self.seen[word] = (i,) if i >= 0 else self.merge(b)
+            self.seen[word] = self.single[i] if i >= 0 else array("i", self.merge(b)).tobytes()
+
+    def _joined(self, words: Iterable[str]) -> list[int]:
+        """Ids of remembered words, one after the other."""
+        return array("i", b"".join(map(self.seen.__getitem__, words))).tolist()
 
     def _long(self, text: str) -> list[int]:
         out: list[int] = []
         found = (m.group() for m in self.matches.finditer(text))
         while words := list(islice(found, SLICE)):
             self._resolve(set(words))
-            out.extend(chain.from_iterable(map(self.seen.__getitem__, words)))
+            out.extend(self._joined(words))
         return out
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
@@ -205,8 +211,7 @@ class Codec:
             else:
                 words = list(map(self.matches.findall, texts[start:end]))
                 self._resolve(set(chain.from_iterable(words)))
-                get = self.seen.__getitem__
-                out += [list(chain.from_iterable(map(get, w))) for w in words]
+                out += map(self._joined, words)
             start = end
         return out
 

@@ -17,6 +17,8 @@ import mercato
 BROADCAST_KEYS = 200_000
 #: Bits of a filter: 16 per entry, but no more than this (16 MB).
 FILTER_BITS = 1 << 27
+#: Bytes of rows that go to a Python worker at a time.
+BATCH_BYTES = 4 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -29,8 +31,17 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def in_small_batches(spark: SparkSession) -> SparkSession:
+    """Whole texts reach Python workers a few megabytes at a time, unless the session sets a limit of its own.
+    Spark's is 64 MB, held several times over on both sides, beyond the heap; narrow rows stay below either."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return in_small_batches(importable(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,13 +4,14 @@ import base64
 
 import duckdb
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from mercato.llm import byte_bpe, quality
-from mercato.llm.common import table
+from mercato.llm.common import BATCH_BYTES, table
 from tests.llm.conftest import ODD_TEXTS, SF, words
 from tests.llm.test_similarity import brute_groups, brute_hits, brute_lines
 
@@ -62,6 +63,29 @@ def test_pipeline_equals_brute_force(llm, folder):
     assert all(r["intact"] and r["n_tokens"] == len(r["ids"]) for r in got)
 
 
+def test_texts_reach_workers_a_few_megabytes_at_a_time(llm, folder):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    table(llm, folder, "documents")
+    seen = llm.range(0, 3000, 1, 1).select(F.repeat(F.lit("text"), 2000).alias("text")).mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in seen) == 3000
+    assert max(r["bytes"] for r in seen) < 2 * BATCH_BYTES
+    narrow = llm.range(0, 10_000, 1, 1).mapInArrow(sizes, "rows long, bytes long").collect()
+    assert [r["rows"] for r in narrow] == [10_000]
+
+
+def test_a_limit_of_the_session_stays(llm, folder):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    llm.conf.set(key, "9m")
+    try:
+        table(llm, folder, "documents")
+        assert llm.conf.get(key) == "9m"
+    finally:
+        llm.conf.unset(key)
+
+
 def test_stages_keep_the_columns(llm, folder):
     docs = table(llm, folder, "documents").withColumns({"nth": F.lit(1), "Gone_lines": F.lit(2)}).withColumn("doc id", F.lit("x"))
     for name, step in corpus_pipeline.STAGES[:-1]:
