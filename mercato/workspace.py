@@ -327,7 +327,8 @@ class Workspace:
                 for landing in range(len(LANDINGS["orders"]) + 1):
                     self.landing(folder, "orders", messages, landing)
                     source = read_envelope_files(self.spark, f"{folder}/orders")
-                    layers.await_all([layers.start_topic(source, topic, store, {"availableNow": True}, note=drift.noted_schema)])
+                    cores = self.spark.sparkContext.defaultParallelism  # a landing holds the dates of years
+                    layers.await_all([layers.start_topic(source, topic, store, {"availableNow": True}, tasks=cores, note=drift.noted_schema)])
                 layers.compact(self.spark, store.raw("orders"), topic.raw, open_batches=1, by_date=False)
                 layers.drop_covered_batches(self.spark, store.raw("orders"))
                 _written[store.root] = T.StructType()

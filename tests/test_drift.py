@@ -1,10 +1,12 @@
 """Fields beyond the declared shape: noted, merged and readable."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.streaming import drift, layers
 from mercato.streaming.layers import TOPICS, Store
+from mercato.workspace import Workspace
 from tests.helpers import order, raw
 
 
@@ -72,3 +74,23 @@ def test_types_widen_as_little_as_they_can():
     two = T.StructType([T.StructField("b", T.ArrayType(l)), T.StructField("c", s)])
     assert drift.widened(one, two).simpleString() == "struct<a:int,b:array<bigint>,c:string>"
     assert drift.widened(one, s) == s
+
+
+def test_a_landing_of_many_dates_leaves_a_file_per_date(spark):
+    """However many tasks read the messages."""
+    many_tasks = {
+        "spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "1k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in many_tasks.items():
+        spark.conf.set(key, value)
+    shop = Workspace(spark, "/root/testdata/./sf0.001")  # stored apart from that of other tests
+    try:
+        layer = f"{shop.drifting_orders().curated('orders')}/batches"
+        named = spark.read.parquet(layer).select("run", "batch_id", "date", F.input_file_name().alias("file"))
+        dates = named.groupBy("run", "batch_id", "date").agg(F.count_distinct("file").alias("files"))
+        assert dates.agg(F.max("files"), F.count("*") > 500).first() == (1, True)
+    finally:
+        for key in many_tasks:
+            spark.conf.unset(key)
+        shop.release()
