@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from mercato.sources.files import Files
 
 TIME_ZONE = "UTC"
+#: Writer options of stored layers and messages, which are mostly text: about half of Spark's default in bytes.
+STORED = {"compression": "zstd"}
 
 
 def local_session(cores: str = "8", memory: str = "8g", **conf: str) -> SparkSession:

@@ -31,6 +31,7 @@ from pyspark.sql.types import StructType
 
 from mercato import schemas
 from mercato.operators.cleaning import CLEAN, is_valid
+from mercato.session import STORED
 from mercato.sources.envelope import parse_envelope
 from mercato.sources.files import Files
 from mercato.sources.layout import Layout
@@ -125,7 +126,7 @@ def out_of_partitions(rows: DataFrame) -> DataFrame:
 
 def write_rows(rows: DataFrame, folder: str, by_date: bool) -> None:
     """Put the rows in exactly this folder, with a folder per date below."""
-    writer = (into_partitions(rows) if by_date else rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = (into_partitions(rows) if by_date else rows).write.mode("overwrite").options(partitionOverwriteMode="static", **STORED)
     (writer.partitionBy("date") if by_date else writer).parquet(folder)
 
 
@@ -140,12 +141,24 @@ SLICES = 8
 def dealt_by_date(rows: DataFrame, tasks: int, count: int) -> DataFrame:
     """So many rows dealt out over the tasks by the folder they go to, whether it gets one row or many,
     as a small file costs more than its rows. A folder that gets more rows than a task's share is dealt
-    out by offset, too; there are fewer of these than tasks. Reads the rows once more to find them."""
+    out by offset, too; there are fewer of these than tasks. Reads the rows once more to find them.
+
+    Rows that lie so already, as those of messages in order of arrival do, stay where they are: when tasks
+    share hardly more folders than they have ends, and none has much more than its share of the rows."""
     folder, share = F.when(is_date(), F.col("date")).otherwise(UNDATED), max(1, -(-count // tasks))
-    large = rows.groupBy(folder.alias("folder")).count().where(F.col("count") > share).collect()
+    parts = rows.groupBy(folder.alias("folder"), F.spark_partition_id().alias("task")).count()
+    sums = parts.groupingSets([["folder"], ["task"]], "folder", "task").agg(F.sum("count").alias("rows"), F.count("*").alias("parts"))
+    of_folder = F.col("task").isNull()
+    lie = sums.agg(
+        F.max(F.when(~of_folder, F.col("rows"))).alias("busiest"), F.count_if(of_folder).alias("folders"),
+        F.sum(F.when(of_folder, F.col("parts"))).alias("files"),
+        F.collect_list(F.when(of_folder & (F.col("rows") > share), F.struct("folder", "rows"))).alias("large"),
+    ).first()
+    if not lie["folders"] or (lie["files"] <= lie["folders"] + tasks and lie["busiest"] <= 2 * share):
+        return rows
     slices = F.lit(1)
-    if large:
-        listed = [F.lit(v) for r in large for v in (r["folder"], SLICES * -(-r["count"] // share))]
+    if lie["large"]:
+        listed = [F.lit(v) for r in lie["large"] for v in (r["folder"], SLICES * -(-r["rows"] // share))]
         slices = F.coalesce(F.element_at(F.create_map(*listed), folder), F.lit(1))
     return rows.repartition(tasks, folder, F.pmod(F.xxhash64("kafka_partition", "kafka_offset"), slices))
 
@@ -567,7 +580,7 @@ def _publish_generation(
         rows = rows.repartition(spark.sparkContext.defaultParallelism, "date")
     else:
         rows = rows.hint("rebalance", "date")
-    writer = rows.write.options(**layout.options() if layout is not None else {})
+    writer = rows.write.options(**STORED, **layout.options() if layout is not None else {})
     writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
     writer = writer.partitionBy("date") if by_date else writer
     writer.parquet(f"{layer}/compacted/generation={generation}")

@@ -24,7 +24,7 @@ from mercato.operators.cleaning import CLEAN
 from mercato.operators.customers import customer_metrics
 from mercato.plans import catalog, incremental, integrity, nightly, summaries
 from mercato.plans.tables import Tables
-from mercato.session import list_with_cores, pin_time_zone, shared_folder
+from mercato.session import STORED, list_with_cores, pin_time_zone, shared_folder
 from mercato.sources import testdata
 from mercato.sources.envelope import parse_envelope, read_envelope_files, to_envelope
 from mercato.sources.files import Files
@@ -62,7 +62,7 @@ class Workspace:
         with _writing:
             if not self._is_written(path):
                 df = build()
-                df.write.mode("overwrite").parquet(path)
+                df.write.mode("overwrite").options(**STORED).parquet(path)
                 _written[path] = df.schema
         return self.spark.read.schema(_written[path]).parquet(path)
 
@@ -111,9 +111,9 @@ class Workspace:
         folder = f"{self.root}/envelopes/{topic}"
         with _writing:
             if not self._is_written(folder):
-                arrived = self.raw(topic).repartitionByRange("kafka_timestamp", "kafka_offset")
+                arrived = self._records(topic).repartitionByRange("kafka_timestamp", "kafka_offset")
                 messages = testdata.envelope(arrived, topic)
-                messages.write.mode("overwrite").parquet(folder)
+                messages.write.mode("overwrite").options(**STORED).parquet(folder)
                 _written[folder] = messages.schema
         return folder
 
@@ -142,9 +142,9 @@ class Workspace:
     def compacted(self, *topics: str) -> layers.Store:
         """The same store after one compaction of all batches of these topics (all, if none are named);
         nothing is deleted."""
-        store = self.ingested(*topics)
         with _writing:
-            for name in topics or schemas.TOPICS:
+            for name in topics or schemas.TOPICS:  # each to its end, so that no two hold what they work with at once
+                store = self.ingested(name)
                 done, topic = f"{store.root}#compacted/{name}", layers.TOPICS[name]
                 if done not in _written:
                     layers.compact(self.spark, store.raw(name), topic.raw, by_date=False)
@@ -228,7 +228,7 @@ class Workspace:
         number_of = sum((F.coalesce(x, F.lit(False)).cast("int") for x in later), F.lit(0))
         if late is not None:
             number_of = F.when(late, len(later)).otherwise(number_of)
-        messages.where(number_of == number).write.mode("append").parquet(f"{folder}/{topic}")
+        messages.where(number_of == number).write.mode("append").options(**STORED).parquet(f"{folder}/{topic}")
 
     def delivered(self, topic: str) -> DataFrame:
         """A topic's valid records, each id once, to be delivered as messages."""

@@ -1,8 +1,10 @@
 """Hand-made messages for the unit tests."""
 
 import json
+import os
 from datetime import datetime
 
+import duckdb
 from pyspark.sql import functions as F
 
 from mercato import schemas
@@ -64,3 +66,20 @@ def curated(spark, topic, bodies):
 
 def column(df, name, by):
     return [r[name] for r in df.orderBy(by).collect()]
+
+
+def shop_tables(folder, orders=600):
+    """Star-schema tables of so many orders, dealt out over all landings; every 50th has no date."""
+    os.makedirs(folder, exist_ok=True)
+    bodies = {
+        "region": "SELECT 0 AS r_regionkey, 'ASIA' AS r_name",
+        "nation": "SELECT 0 AS n_nationkey, 'INDIA' AS n_name, 0 AS n_regionkey",
+        "customer": "SELECT i AS c_custkey, 'Name ' || i AS c_name, 0 AS c_nationkey FROM range(50) t(i)",
+        "orders": f"""SELECT i AS o_orderkey, i % 50 AS o_custkey, 'F' AS o_orderstatus, 100.0::DOUBLE + i AS o_totalprice,
+            CASE WHEN i % 50 <> 49 THEN TIMESTAMP '1995-01-01' + to_days(CAST(i * 2400 // {orders} AS INTEGER)) END AS o_orderdate
+          FROM range({orders}) t(i)""",
+        "lineitem": f"SELECT i AS l_orderkey, 100.0::DOUBLE AS l_extendedprice FROM range({orders}) t(i)",
+    }
+    for name, body in bodies.items():
+        duckdb.sql(f"COPY ({body}) TO '{folder}/{name}.parquet' (FORMAT parquet)")
+    return str(folder)

@@ -17,7 +17,8 @@ from mercato.plans import analytics, catalog, nightly, report
 from mercato.plans.tables import Tables
 from mercato.streaming import layers
 from mercato.streaming.layers import TOPICS, Store
-from tests.helpers import curated, order, payment, raw
+from mercato.workspace import Workspace
+from tests.helpers import curated, order, payment, raw, shop_tables
 
 
 def put(spark, store, bodies, number, run="r", topic="orders", **more):
@@ -324,6 +325,36 @@ def test_dates_of_one_row_are_dealt_out_as_well(spark):
     assert sorted(r[0] for r in dealt.select("order_id").collect()) == sorted(r[0] for r in rows.select("order_id").collect())
 
 
+def test_rows_in_order_of_their_dates_are_not_moved(spark):
+    """Tasks that share hardly a date write few files as they are; rows in any other order are dealt out."""
+    bodies = [order(n, date=f"2026-05-{1 + n // 40:02d}") for n in range(800)]
+    rows = curated(spark, "orders", bodies)
+    in_order = rows.repartitionByRange(4, "kafka_offset").cache()
+    mixed = rows.repartition(4, "order_id").cache()
+    one_busy = rows.coalesce(1).cache()
+    try:
+        moved = lambda df: layers.dealt_by_date(df, 4, 800) is not df
+        assert not moved(in_order) and moved(mixed) and moved(one_busy)
+        assert layers.dealt_by_date(rows.limit(0), 4, 0).count() == 0
+    finally:
+        for df in (in_order, mixed, one_busy):
+            df.unpersist()
+
+
+def test_layers_are_stored_without_a_copy_on_the_way_and_small(spark, root):
+    """Messages need no stored raw rows; layers and messages take a compact codec, compaction included."""
+    shop = Workspace(spark, shop_tables(f"{root}/tables", orders=100))
+    try:
+        store = shop.compacted("payments")
+        assert not os.path.exists(f"{shop.root}/raw_payments")
+        for folder in (f"{shop.root}/envelopes", store.raw("payments"), store.curated("payments")):
+            names = [n for _, _, found in os.walk(folder) for n in found if n.endswith(".parquet")]
+            assert names and all(n.endswith(".zstd.parquet") for n in names)
+        assert layers.read_curated(spark, store, "payments").count() == 100 == layers.read_raw(spark, store, "payments").count()
+    finally:
+        shop.release()
+
+
 def test_temporary_views_are_no_tables_of_a_database(spark, root):
     catalog.create_database(spark, "shop_own", f"{root}/warehouse")
     spark.range(1).createOrReplaceTempView("passing_by")
