@@ -82,15 +82,18 @@ def write_kafka(records: DataFrame, servers: str, topic: str, checkpoint: str):
     )
 
 
-def parse_envelope(envelope: DataFrame, record_ddl: str, keep_source: bool = True) -> DataFrame:
+def parse_envelope(envelope: DataFrame, record_ddl: str, keep_source: bool = True, once: bool = False) -> DataFrame:
     """Typed records plus delivery metadata.
 
     A body that is not valid JSON gives an all-null record; ``json_str`` keeps its text so
-    the raw layer loses nothing.
+    the raw layer loses nothing. Spark moves filters on fields below the parsing and parses again for
+    each field they name; for callers that filter, ``once`` parses every message once, as filters are
+    not moved below a generator.
     """
     text = F.col("value").cast("string")
+    record = F.from_json(text, record_ddl)
     parsed = envelope.select(
-        F.from_json(text, record_ddl).alias("record"),
+        F.inline(F.array(record)) if once else record.alias("record"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
@@ -98,4 +101,5 @@ def parse_envelope(envelope: DataFrame, record_ddl: str, keep_source: bool = Tru
         text.alias("json_str"),
     )
     metadata = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp"]
-    return parsed.select("record.*", *metadata, *(["json_str"] if keep_source else []))
+    fields = [c for c in parsed.columns if c not in (*metadata, "json_str")] if once else ["record.*"]
+    return parsed.select(*fields, *metadata, *(["json_str"] if keep_source else []))

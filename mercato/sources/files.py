@@ -46,6 +46,15 @@ class Files:
             fs.delete(self._path(draft), False)
             raise FileExistsError(path)
 
+    def move(self, path: str, target: str, modified: int) -> bool:
+        """Rename a file and date its last change (milliseconds); whether the file system keeps that date."""
+        fs, new = self._fs(path), self._path(target)
+        fs.mkdirs(new.getParent())
+        if not fs.rename(self._path(path), new):
+            raise FileExistsError(target)
+        fs.setTimes(new, modified, -1)
+        return fs.getFileStatus(new).getModificationTime() == modified
+
     def size(self, path: str) -> int:
         """Bytes below a folder."""
         return self._fs(path).getContentSummary(self._path(path)).getLength() if self.exists(path) else 0

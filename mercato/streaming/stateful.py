@@ -43,7 +43,7 @@ def state_on_disk(spark: SparkSession) -> SparkSession:
 
 def curated_stream(envelope: DataFrame, topic: Topic) -> DataFrame:
     """Valid, tidy records of a topic; a projection, so it runs on streams and batches alike."""
-    return topic.clean(parse_envelope(envelope, topic.record))
+    return topic.clean(parse_envelope(envelope, topic.record, once=True))
 
 
 # -- repeated deliveries ------------------------------------------------------
@@ -96,7 +96,8 @@ def _interval(text: str) -> Column:
 
 
 def met_payments(
-    orders: DataFrame, payments: DataFrame, lateness: str = "1 day", early: str = "1 hour", within: str = "2 days"
+    orders: DataFrame, payments: DataFrame, lateness: str = "1 day", early: str = "1 hour", within: str = "2 days",
+    maybe_untimed: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Each order with its payment, as soon as both are there, and what stays alone, once it must.
 
@@ -105,7 +106,8 @@ def met_payments(
     slower stream (its newest event less ``lateness``) has passed the last time at which a partner
     could still come; then they are released as ORDER_WITHOUT_PAYMENT or PAYMENT_WITHOUT_ORDER.
     Records without event time cannot wait for anything and pass at once as NO_TIME, repeats, too.
-    On batches the same rows come out, all of them.
+    On batches the same rows come out, all of them. ``maybe_untimed`` gives orders and payments among which
+    are all those without event time, where they are found with less work than in the whole streams.
     """
     timed = F.col("event_timestamp").isNotNull()
     sides = []
@@ -142,23 +144,45 @@ def met_payments(
         status.alias("status"),
     )
     time, text, amount = (F.lit(None).cast(t) for t in ("timestamp", "string", "double"))
-    untimed_orders = orders.where(~timed).select(
+    among_orders, among_payments = maybe_untimed or (orders, payments)
+    untimed_orders = among_orders.where(~timed).select(
         "order_id", text.alias("payment_id"), "customer_id", time.alias("ordered_at"), time.alias("paid_at"),
         from_cents(cents("final_amount")).alias("order_amount"), amount.alias("paid_amount"), F.lit("NO_TIME").alias("status"),
     )
-    untimed_payments = payments.where(~timed).select(
+    untimed_payments = among_payments.where(~timed).select(
         "order_id", "payment_id", "customer_id", time.alias("ordered_at"), time.alias("paid_at"),
         amount.alias("order_amount"), from_cents(cents("amount")).alias("paid_amount"), F.lit("NO_TIME").alias("status"),
     )
     return met.unionByName(untimed_orders).unionByName(untimed_payments)
 
 
+def without_time(envelope: DataFrame) -> DataFrame:
+    """Messages whose event time is none, those of no valid JSON included; parses that field alone."""
+    time = F.from_json(F.col("value").cast("string"), "timestamp string")["timestamp"]
+    return envelope.where(time.try_cast("timestamp").isNull())
+
+
 def start_reconciliation(
-    envelope_of: Callable[[str], DataFrame], store: Store, trigger: dict | None = None, **times: str
+    envelope_of: Callable[[str], DataFrame], store: Store, trigger: dict | None = None, tasks: int | None = None, **times: str
 ) -> StreamingQuery:
-    """Both topics -> the stored reconciliation."""
-    sides = [curated_stream(envelope_of(name), TOPICS[name]) for name in ("orders", "payments")]
-    return _start(met_payments(*sides, **times), store.reconciled(), store.checkpoint("reconciled"), trigger, by_date=False)
+    """Both topics -> the stored reconciliation.
+
+    A task keeps six tables of state, which cost files with every batch however few rows they have; ``tasks``
+    is how many hold it when the query first starts, else the session's number of shuffle partitions.
+    """
+    sides, untimed = [], []
+    for name in ("orders", "payments"):
+        envelope = envelope_of(name)
+        sides.append(curated_stream(envelope, TOPICS[name]))
+        untimed.append(curated_stream(without_time(envelope), TOPICS[name]))
+    rows = met_payments(*sides, **times, maybe_untimed=tuple(untimed))
+    conf, key = rows.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    try:  # a query keeps the settings that its session has at its start
+        conf.set(key, tasks or before)
+        return _start(rows, store.reconciled(), store.checkpoint("reconciled"), trigger, by_date=False)
+    finally:
+        conf.set(key, before)
 
 
 def read_reconciled(spark: SparkSession, store: Store) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import time
 import uuid
 from collections.abc import Callable
 
@@ -43,6 +44,10 @@ LANDINGS = {
 SEARCHED = {"orders": LAYOUTS["orders"]}
 #: A pair of messages far behind all others, which lets a watermark pass those.
 HEARTBEAT, LAST_TIME = "HEARTBEAT", "2100-01-01T00:00:00"
+#: Orders that a batch of the reconciliation takes; they and their payments wait as state in the executors' memory.
+BATCH_ROWS = 2_000_000
+#: Files that a batch takes per core.
+BATCH_FILES = 4
 
 _written: dict[str, T.StructType] = {}
 _writing = threading.RLock()  # callers may run queries side by side
@@ -95,6 +100,10 @@ class Workspace:
             return self.raw(topic)
         return testdata.RAW[topic](self.spark, self.sf_dir)
 
+    def _curated(self, topic: str) -> DataFrame:
+        """The same records cleaned, read from the curated table only if that is stored."""
+        return self.tables[topic] if self._is_written(f"{self.root}/{topic}") else CLEAN[topic](self._records(topic))
+
     def order_lines(self) -> DataFrame:
         return self.stored("order_lines", lambda: testdata.order_lines(self.spark, self.sf_dir))
 
@@ -224,19 +233,38 @@ class Workspace:
     def landing(self, folder: str, topic: str, messages: DataFrame, number: int, late: Column | None = None) -> None:
         """Add the landing of this number to a topic's folder: messages between two arrival times, and
         with the last one those that are ``late``."""
-        later = [F.col("timestamp") >= F.lit(t).cast("timestamp") for t in LANDINGS[topic]]
-        number_of = sum((F.coalesce(x, F.lit(False)).cast("int") for x in later), F.lit(0))
+        number_of = self._landing_of(topic)
         if late is not None:
-            number_of = F.when(late, len(later)).otherwise(number_of)
+            number_of = F.when(late, len(LANDINGS[topic])).otherwise(number_of)
         messages.where(number_of == number).write.mode("append").options(**STORED).parquet(f"{folder}/{topic}")
 
+    def _landing_of(self, topic: str) -> Column:
+        later = [F.col("timestamp") >= F.lit(t).cast("timestamp") for t in LANDINGS[topic]]
+        return sum((F.coalesce(x, F.lit(False)).cast("int") for x in later), F.lit(0))
+
+    def _send(self, topic: str, records: DataFrame, files: int) -> str:
+        """Folder of messages that are still to land: a folder per landing, its files in order of arrival."""
+        folder = f"{self.root}/sent/{topic}"
+        arrived = records.repartitionByRange(files, "kafka_timestamp", "kafka_partition", "kafka_offset")
+        messages = testdata.envelope(arrived, topic).withColumn("landing", self._landing_of(topic))
+        messages.write.mode("overwrite").options(**STORED).partitionBy("landing").parquet(folder)
+        return folder
+
+    def _land(self, sent: str, folder: str, number: int) -> bool:
+        """Move the files of one landing to a stream's folder; whether the stream will see them in order of
+        arrival, which it tells by the time of their last change."""
+        files, now = Files(self.spark), int(time.time() * 1000)
+        names = [n for n in files.names(f"{sent}/landing={number}") if n.endswith(".parquet")]
+        kept = [files.move(f"{sent}/landing={number}/{n}", f"{folder}/{number}-{n}", now + i) for i, n in enumerate(names)]
+        return all(kept)
+
     def delivered(self, topic: str) -> DataFrame:
         """A topic's valid records, each id once, to be delivered as messages."""
         columns = {
             "orders": ["order_id", "kafka_timestamp", "customer_id", "final_amount", "num_items", "timestamp", "date"],
             "payments": [c.split()[0] for c in schemas.PAYMENT.split(", ")] + ["kafka_timestamp"],
         }[topic]
-        rows = self.tables[topic].select(*columns, "kafka_topic", "kafka_partition", "kafka_offset")
+        rows = self._curated(topic).select(*columns, "kafka_topic", "kafka_partition", "kafka_offset")
         amount = "final_amount" if topic == "orders" else "amount"  # rounded to nothing, but valid as it was sent
         sent = F.greatest(F.col(amount), F.lit(0.001))
         return quality.deduplicate(rows, layers.TOPICS[topic].key).withColumn(amount, sent)
@@ -267,19 +295,24 @@ class Workspace:
         """A store in which payments met their orders over four landings, the query stopped after each.
 
         Some payments never come, some come three days after their order, some are one unit off; some
-        orders never come, some come twice. A last pair of messages moves both watermarks on.
+        orders never come, some come twice. A last pair of messages moves both watermarks on. A landing is
+        read in batches of about ``BATCH_ROWS`` in order of arrival, so what waits as state is a batch and
+        the days before it, not a landing of years; where files keep no order, it is one batch.
         """
         store = layers.Store(f"{self.root}/reconciled_store")
         with _writing:
             if not self._is_written(store.root):
+                cores = self.spark.sparkContext.defaultParallelism
+                orders = testdata.table(self.spark, self.sf_dir, "orders").count()
+                at_once = BATCH_FILES * cores
+                files = at_once * max(1, -(-orders // BATCH_ROWS))  # as many of both, so that both streams keep step
                 sent = {"orders": self._sent_orders(), "payments": self._sent_payments()}
-                messages = {t: self.stored(f"sent_{t}", lambda t=t: testdata.envelope(sent[t], t)) for t in sent}
+                sent = {t: self._send(t, rows, files) for t, rows in sent.items()}
                 folder = f"{self.root}/landed_reconciled"
                 for number in range(len(LANDINGS["orders"]) + 1):
-                    for topic, rows in messages.items():
-                        self.landing(folder, topic, rows, number)
-                    source = lambda t: read_envelope_files(self.spark, f"{folder}/{t}")
-                    layers.await_all([stateful.start_reconciliation(source, store, {"availableNow": True})])
+                    ordered = all([self._land(path, f"{folder}/{t}", number) for t, path in sent.items()])
+                    source = lambda t: read_envelope_files(self.spark, f"{folder}/{t}", at_once if ordered else None)
+                    layers.await_all([stateful.start_reconciliation(source, store, {"availableNow": True}, tasks=cores)])
                 _written[store.root] = T.StructType()
         return store
 
@@ -353,10 +386,15 @@ class Workspace:
 
     def _sent_orders(self) -> DataFrame:
         orders = self.delivered("orders").where("cast(substr(order_id, 4) AS bigint) % 19 <> 0")
-        again = orders.where("timestamp IS NOT NULL AND cast(substr(order_id, 4) AS bigint) % 5 = 0").withColumns(
-            {"kafka_timestamp": F.expr("kafka_timestamp + INTERVAL 6 HOURS"), "kafka_offset": F.col("kafka_offset") + 10**9}
+        twice = F.expr("timestamp IS NOT NULL AND cast(substr(order_id, 4) AS bigint) % 5 = 0")
+        again = F.explode(F.when(twice, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+        sent = orders.withColumn("again", again).withColumns(
+            {
+                "kafka_timestamp": F.when(F.col("again"), F.expr("kafka_timestamp + INTERVAL 6 HOURS")).otherwise(F.col("kafka_timestamp")),
+                "kafka_offset": F.when(F.col("again"), F.col("kafka_offset") + 10**9).otherwise(F.col("kafka_offset")),
+            }
         )
-        return orders.unionByName(again).unionByName(self._heartbeat(orders))
+        return sent.drop("again").unionByName(self._heartbeat(orders))
 
     def _sent_payments(self) -> DataFrame:
         number = F.expr("cast(substr(order_id, 4) AS bigint)")

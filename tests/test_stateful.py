@@ -6,11 +6,13 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from mercato import schemas
+from mercato import schemas, workspace
+from mercato.operators.quality import deduplicate
 from mercato.sources.envelope import read_envelope_files
+from mercato.sources.files import Files
 from mercato.streaming import layers, stateful
 from mercato.streaming.layers import TOPICS, Store
-from tests.helpers import order, payment
+from tests.helpers import envelope, order, payment, shop_tables
 
 ONCE = {"availableNow": True}
 START = datetime(2026, 5, 16, 10)
@@ -169,3 +171,60 @@ def test_the_stream_gives_what_a_batch_gives(spark):
         ("ORD1", "PAY1", "OK"), ("ORD2", None, "ORDER_WITHOUT_PAYMENT"), ("ORD3", None, "ORDER_WITHOUT_PAYMENT"),
         ("ORD3", "PAY3", "PAYMENT_WITHOUT_ORDER"), ("ORD4", "PAY4", "PAYMENT_WITHOUT_ORDER"),
     }
+
+
+def test_records_without_time_are_found_by_that_field_alone(spark):
+    bodies = [
+        payment(1), payment(2, timestamp=None), payment(3, timestamp="soon"), payment(4, timestamp=20260516), payment(5, timestamp=""),
+        {k: v for k, v in payment(6).items() if k != "timestamp"}, payment(7, amount="much"), "no record", None, "[1]",
+        '{"timestamp": "2026-05-16T10:11:12", "payment_id": "PAY8", "order_id": "ORD8", "amount": 1, "timestamp": null}',
+        payment(9, timestamp=None, amount="much"), payment(10, timestamp={"at": 1}),
+    ]
+    messages, topic = envelope(spark, "payments", bodies), TOPICS["payments"]
+    untimed = lambda rows: ids(stateful.curated_stream(rows, topic).where("event_timestamp IS NULL"))
+    found = untimed(stateful.without_time(messages))
+    assert found == untimed(messages) and {"PAY2", "PAY3", "PAY5", "PAY6", "PAY8"} <= set(found)
+    assert "PAY1" not in ids(stateful.curated_stream(stateful.without_time(messages), topic))
+
+
+def test_state_is_dealt_out_over_so_many_tasks(spark, root):
+    store, before = Store(f"{root}/store"), spark.conf.get("spark.sql.shuffle.partitions")
+    for topic, make in (("orders", order), ("payments", payment)):
+        land(spark, f"{root}/in/{topic}", topic, [at(make, i, 0) for i in range(20)])
+    query = stateful.start_reconciliation(lambda t: read_envelope_files(spark, f"{root}/in/{t}"), store, ONCE, tasks=3)
+    layers.await_all([query])
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    held = os.listdir(f"{store.checkpoint('reconciled')}/state/0")
+    assert sorted(n for n in held if n.isdigit()) == ["0", "1", "2"]
+    assert stateful.read_reconciled(spark, store).where("status = 'OK'").count() == 20
+
+
+def test_a_landing_of_years_is_read_in_batches_in_order_of_arrival(spark, root, monkeypatch):
+    """What waits as state is then a batch and some days, however much lands at once; no row comes late for it."""
+    monkeypatch.setattr(workspace, "BATCH_ROWS", 75, raising=False)
+    monkeypatch.setattr(workspace, "BATCH_FILES", 1, raising=False)
+    shop = workspace.Workspace(spark, shop_tables(f"{root}/tables"))
+    try:
+        store = shop.reconciled_payments()
+        batches = [n for _, names, _ in os.walk(store.reconciled()) for n in names if n.startswith("batch_id=")]
+        assert len(batches) >= 12  # 8, when a landing is a batch and another one lets go of what waits
+        messages = {t: spark.read.schema(schemas.ENVELOPE).parquet(f"{shop.root}/landed_reconciled/{t}") for t in ("orders", "payments")}
+        sides = [deduplicate(stateful.curated_stream(messages[t], TOPICS[t]).drop("items", "processed_at"), TOPICS[t].key) for t in messages]
+        rows = lambda df: sorted(map(str, df.select("order_id", "payment_id", "ordered_at", "paid_at", "order_amount", "status").collect()))
+        found = stateful.read_reconciled(spark, store)
+        assert rows(found) == rows(stateful.met_payments(*sides))
+        assert {r["status"] for r in found.select("status").distinct().collect()} == {
+            "OK", "AMOUNT_MISMATCH", "ORDER_WITHOUT_PAYMENT", "PAYMENT_WITHOUT_ORDER", "NO_TIME"
+        }
+        assert not os.path.exists(f"{shop.root}/orders") and not os.path.exists(f"{shop.root}/payments")  # no copy on the way
+    finally:
+        shop.release()
+
+
+def test_files_land_with_the_time_they_are_given(spark, root):
+    files = Files(spark)
+    files.publish_text(f"{root}/out/a", "text")
+    assert files.move(f"{root}/out/a", f"{root}/in/b", 1_000_000_000_123)
+    assert os.stat(f"{root}/in/b").st_mtime_ns // 1_000_000 == 1_000_000_000_123 and not os.path.exists(f"{root}/out/a")
+    files.publish_text(f"{root}/in/c", "other")
+    assert files.read_text(f"{root}/in/b") == "text"
